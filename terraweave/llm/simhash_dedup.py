@@ -6,8 +6,8 @@ one bit at most. Every segment is indexed once for each of its bits with that bi
 (a one-wildcard variant); linked fingerprints share a variant, so an equality join on
 variants finds them, and the full distance verifies them.
 
-Groups of copies need no pairs. Equal fingerprints are one node. Inside a variant's
-bucket every member is first compared with one centre, chosen by a hash of member and
+Groups of copies need no pairs. Equal fingerprints are one node. Small buckets verify
+all their pairs in the window that forms them. In a large bucket every member is first compared with one centre, chosen by a hash of member and
 bucket so that the buckets of a dense group have different centres. Then only members of
 different components are compared, each bucket's smaller components against all others.
 """
@@ -76,18 +76,28 @@ def _linked(a: Column, b: Column, max_bits: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
 
-def link(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
+def link(nodes: DataFrame, max_bits: int = 4, small: int = 17) -> DataFrame:
     """(fp, component) for the distinct fingerprints ``nodes`` (fp) that have any link.
 
-    All links between different fingerprints count; none is capped. Buckets are window
+    All links between different fingerprints count; none is capped. In buckets of at most
+    ``small`` members every member is compared with all that follow it; larger ones go
+    by centres and components. Buckets are window
     partitions, which spill; their size is the number of distinct fingerprints that
     agree in a third of their bits.
     """
     keyed = nodes.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("variant"))
     bucket = Window.partitionBy("variant")
-    shared = keyed.withColumn("n", F.count("*").over(bucket)).withColumn("centre", F.min(F.struct(F.xxhash64("fp", "variant"), F.col("fp").alias("at"))).over(bucket)["at"])
-    members = materialise(shared.where("n > 1").select("fp", "variant", "centre"), "members")
+    ahead = bucket.orderBy("fp")
+    close = F.filter(F.array(*[F.lead("fp", i).over(ahead) for i in range(1, small)]), lambda x: x.isNotNull() & _linked(F.col("fp"), x, max_bits))
+    shared = keyed.withColumn("n", F.count("*").over(bucket)).withColumn("close", close)
+    shared = shared.withColumn("centre", F.min(F.struct(F.xxhash64("fp", "variant"), F.col("fp").alias("at"))).over(bucket)["at"])
+    large = F.col("n") > small
+    # of a small bucket only members with a link go on: chance meetings end here
+    members = materialise(shared.where(large | (F.size("close") > 0)), "members")
+    pairs = members.where(~large).select(F.col("fp").alias("u"), F.explode("close").alias("v"))
+    members = members.where(large).select("fp", "variant", "centre")
     stars = members.where((F.col("fp") != F.col("centre")) & _linked(F.col("fp"), F.col("centre"), max_bits)).select(F.col("fp").alias("u"), F.col("centre").alias("v"))
+    stars = pairs.unionByName(stars)
     first = materialise(components(stars), "stars")
     # second pass: links between members of different components
     placed = members.select("fp", "variant").join(first.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
