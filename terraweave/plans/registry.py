@@ -1,4 +1,6 @@
 """All queries of the land model by name, with their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from terraweave.plans import cells, scores
+
+QUERIES = cells.QUERIES | scores.QUERIES
+ORACLES = cells.ORACLES | scores.ORACLES
