@@ -38,9 +38,9 @@ class Limits:
     ``chunk_bytes`` leave the chunk band.
     """
 
-    whole: tuple[Band, ...] = (Band(200, 0.18, 1.02), Band(1000, 0.15, 0.90), Band(4000, 0.12, 0.80), Band(32000, 0.08, 0.75))
+    whole: tuple[Band, ...] = (Band(200, 0.18, 1.00), Band(1000, 0.15, 0.74), Band(4000, 0.12, 0.70), Band(32000, 0.08, 0.66))
     chunk_bytes: int = 2048
-    chunk: Band = Band(2048, 0.12, 0.85)
+    chunk: Band = Band(2048, 0.12, 0.72)
     bad_share: float = 0.5
     level: int = 3
 

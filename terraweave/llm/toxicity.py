@@ -97,7 +97,7 @@ def _counter():
             for text, label in zip(pdf["text"], pdf["toxic"], strict=True):
                 (toxic if label else clean).update(set(tokens_of(text or "")))  # a document counts once for a token
             words = list(toxic.keys() | clean.keys())
-            yield pd.DataFrame({"token": words, "c1": [toxic[w] for w in words], "c0": [clean[w] for w in words]})
+            yield pd.DataFrame({"token": pd.Series(words, dtype=object), "c1": [toxic[w] for w in words], "c0": [clean[w] for w in words]})
 
     return count
 
@@ -132,13 +132,13 @@ def bounded_sample(labels: DataFrame, id_col: str, label_col: str, per_class: in
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    per_class: int = 10000, max_terms: int = 20000, min_z: float = 3.0, drift: float = 1.0, prior_tokens: float = 50000.0,
+    per_class: int = 10000, max_terms: int = 20000, min_z: float = 3.0, drift: float = 1.0, prior_share: float = 0.05,
 ) -> Model:
     """Fit on a bounded sample: at most ``per_class`` labelled documents of each class.
 
     The sample's ids (at most 2 * per_class longs) are broadcast, so no text is shuffled.
     Terms with \\|z\\| >= min_z get their own log-odds, at most ``max_terms`` by \\|z\\|; the
-    rest weigh -drift. Without documents of both classes every score is the prior 0.5 or
+    rest weigh -drift. The prior weighs ``prior_share`` of the sample's tokens. Without documents of both classes every score is the prior 0.5 or
     below. Labels of unknown documents and null labels are ignored.
     """
     sample = F.broadcast(bounded_sample(labels, id_col, label_col, per_class))
@@ -148,7 +148,8 @@ def fit(
     n1, n0 = totals["n1"] or 0, totals["n0"] or 0
     if not n1 or not n0:
         return Model({}, -drift, 1.0, 1.0, -5.0, 1.0)
-    prior = F.lit(prior_tokens) * (F.col("c1") + F.col("c0")) / F.lit(n1 + n0)
+    prior_tokens = prior_share * (n1 + n0)
+    prior = F.lit(prior_tokens) * (F.col("c1") + F.col("c0")) / F.lit(float(n1 + n0))
     odds = lambda c, n: F.log((F.col(c) + prior) / (F.lit(n + prior_tokens) - F.col(c) - prior))
     delta = odds("c1", n1) - odds("c0", n0)
     z = delta / F.sqrt(1 / (F.col("c1") + prior) + 1 / (F.col("c0") + prior))
