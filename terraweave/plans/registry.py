@@ -1,6 +1,6 @@
 """All queries of the land model by name, with their SQL."""
 
-from terraweave.plans import cells, scores
+from terraweave.plans import cells, relations, scores
 
-QUERIES = cells.QUERIES | scores.QUERIES
-ORACLES = cells.ORACLES | scores.ORACLES
+QUERIES = cells.QUERIES | scores.QUERIES | relations.QUERIES
+ORACLES = cells.ORACLES | scores.ORACLES | relations.ORACLES

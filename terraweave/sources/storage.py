@@ -5,25 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
-
-    Cuts lineage, so a lost executor costs a reread. Only local mode may go without the
-    setting; it then uses a temporary folder.
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only local mode may go without it and then uses a temporary folder."""
     global _local_dir
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _local_dir = _local_dir or tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         base = _local_dir
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back, so a lost executor costs a reread."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -80,10 +80,10 @@ def _rows(columns, rows):
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables are missing")
-@pytest.mark.parametrize("name", ["s2_eligible_cells", "s5_pixel_to_protection", "s5_network_indicators", "s3_nearest_protected", "s6_riparian_score", "s7_shortlists", "s8_explanations", "s6_leave_one_out"])
+@pytest.mark.parametrize("name", ["s2_eligible_cells", "s5_pixel_to_protection", "s5_network_indicators", "s3_nearest_protected", "s6_riparian_score", "s7_shortlists", "s8_explanations", "s6_leave_one_out", "s2_coverage_gate", "s3_context_filter", "s3_footprint_distance", "s4_adjacent_pairs", "s7_thematic_effect"])
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("lineitem", "part", "supplier", "orders"):
+    for t in ("lineitem", "part", "supplier", "orders", "customer", "nation"):
         con.sql(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     got = __spark_entry__.queries()[name](spark, DATA)
     want = con.sql(__spark_entry__.oracle_sql()[name])
