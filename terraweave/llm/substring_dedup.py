@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraweave.llm.common import ASCII_LOWER, ASCII_UPPER, table
+from terraweave.llm.common import ASCII_LOWER, ASCII_UPPER, materialise, table
 
 #: A unit: a run without line ends or sentence marks, with the marks that close it.
 UNIT = re.compile(r"[^\n.!?]+[.!?]*")
@@ -80,7 +80,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null text stays null. Null ids rank first. Rows repeating (id, text) are one document
     and all get the same result. Other columns are kept as they are.
     """
-    spans = repeated_units(find_units(docs, id_col, text_col, min_words)).distinct().groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_removed"))
+    units = materialise(find_units(docs, id_col, text_col, min_words), "units")
+    spans = repeated_units(units).distinct().groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_removed"))
     keyed = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(text_col))
     joined = keyed.join(spans.select(F.col("doc_id").alias("_sid"), F.col("text_hash").alias("_shash"), "_removed"), F.col("_key").eqNullSafe(F.col("_sid")) & (F.col("_hash") == F.col("_shash")), "left")
     removed = F.coalesce("_removed", F.expr("cast(array() as array<struct<start:int,length:int>>)"))
