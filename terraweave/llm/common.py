@@ -42,7 +42,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._materialised_at = path
+    return out
+
+
+def drop(materialised: DataFrame) -> None:
+    """Remove a table of ``materialise`` that nothing reads any more."""
+    _remove(materialised.sparkSession, materialised._materialised_at)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -1,42 +1,49 @@
 """Katz backoff language model over words, and its score of every document.
 
-Tokens are words and one end token a document. A bounded number of the most frequent
-words are events of their own, all other words form the event RARE, inside which a word
-keeps its own unigram share; the share of unseen words is Good-Turing's. The model
+Tokens are words and one end token a document. Every word is an event of its own; the
+share of unseen words is Good-Turing's. The model
 
-    P(w | h) = d(c) c(h, w) / c(h)         if the pair of events was seen c times
+    P(w | h) = d(c) c(h, w) / c(h)         if the pair of words was seen c times
              = alpha(h) P(w)               otherwise
 
 discounts counts up to ``K_MAX`` by Good-Turing and takes alpha(h) exactly, as the
-discounted mass of h over the unigram mass of the events not seen after h, so every
+discounted mass of h over the unigram mass of the words not seen after h, so every
 distribution sums to one.
 
-Pairs are dealt to hash buckets of bounded size in compressed columnar blocks, so no
-context, however frequent, meets in one task. The counted buckets are written as a table;
-statistics and scores are each one pass over it. What reaches the driver are the frequent
-words and one row a context, both bounded by ``max_words``.
+Texts are cut to words once, in blocks, and words are counted by their 64-bit hashes. A
+word's code is its place by falling count, so its count follows from the code and a table
+of the distinct counts, of which n tokens have at most sqrt(2 n). Codes get to the blocks
+by a join; the most frequent words take a shorter way by a broadcast of bounded size,
+which changes no result.
+
+Pairs are dealt by context to hash buckets in compressed columnar blocks, and a context
+too frequent for one bucket is dealt over several. So alpha of all other contexts is known
+inside a bucket, and only statistics of the split ones, a bounded number a bucket, reach
+the driver. Scores leave the buckets summed by document, packed by groups of documents.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraweave.llm.common import id_remainder, materialise, table
+from terraweave.llm.common import drop, id_remainder, materialise, table
 
 K_MAX = 5
-END = ""  # the end token; words are never empty
+END = 0  # code of the end token
 NO_ID = np.iinfo(np.int64).min  # stands for a null id
-TOKENS_A_BLOCK = 2_000_000
+TOKENS_A_BLOCK = 1_000_000
 BLOCK_SCHEMA = "bucket int, block binary"
 COUNTED_SCHEMA = "bucket int, block binary"
+TOKEN_SCHEMA = "part long, docs binary, words binary, tokens long, ends long"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -87,77 +94,150 @@ def discounts(n: list[float]) -> np.ndarray:
     return d
 
 
-def _counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        counts: Counter = Counter()
-        for text in pdf["text"]:
-            counts.update(words_of(text))
-        counts[END.encode()] = len(pdf)
-        yield pd.DataFrame({"word": pd.Series([w.decode() for w in counts], dtype=object), "n": list(counts.values())})
+def _tokeniser(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Blocks of whole texts: ids, lengths, training marks and word numbers; hashes and training counts of the words."""
+    task, number = TaskContext.get().partitionId() << 32, 0
+    local: dict[bytes, int] = {}
+    ids, train, codes, held = [], [], [], 0
 
+    def flush() -> pd.DataFrame:
+        lengths = np.array([len(c) for c in codes], np.int32)
+        marks = np.array(train, np.int8)
+        code = np.concatenate(codes)
+        n = np.bincount(code[np.repeat(marks, lengths) > 0], minlength=len(local)).astype(np.int32)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in local), np.uint64, len(local)).view(np.int64)
+        row = (task + number, pack_arrays(np.array(ids, np.int64), lengths, marks, code), pack_arrays(hashes, n), len(code) + len(ids), int(marks.sum()))
+        local.clear(), ids.clear(), train.clear(), codes.clear()
+        return pd.DataFrame([row], columns=[c.split()[0] for c in TOKEN_SCHEMA.split(", ")])
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over all texts of ``docs``; the end token is the empty word."""
-    return docs.select("text").mapInPandas(_counter, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    for pdf in batches:
+        for doc_id, text, is_train in zip(pdf["doc_id"], pdf["text"], pdf["train"], strict=True):
+            tokens = words_of(text)
+            codes.append(np.fromiter((local.setdefault(w, len(local)) for w in tokens), np.int32, len(tokens)))
+            ids.append(NO_ID if pd.isna(doc_id) else int(doc_id))
+            train.append(bool(is_train))
+            held += len(tokens) + 1
+            if held >= TOKENS_A_BLOCK:
+                yield flush()
+                number, held = number + 1, 0
+    if ids:
+        yield flush()
+
+
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for words in pdf["words"]:
+            hashes, n = unpack_arrays(words)
+            yield pd.DataFrame({"word": hashes[n > 0], "n": n[n > 0].astype(np.int64)})
 
 
 class Words:
-    """The bounded vocabulary of events; the last code is RARE."""
-
-    def __init__(self, words: list[str], counts: list[int]):
-        self.code = {w.encode(): i for i, w in enumerate(words)}
-        self.counts = np.array(counts, np.int64)
-        self.rare = len(words)
-        self.size = len(words) + 1
-
-
-def _blocks(vocabulary, buckets: int):
-    def emit(docs: list, codes: list[np.ndarray], train: list[bool], size: int) -> Iterator[tuple[int, bytes]]:
-        ids, back = np.unique(np.array(docs, np.int64), return_inverse=True)
-        lengths = [len(c) - 1 for c in codes]
-        key = np.concatenate([c[:-1] * size + c[1:] for c in codes])
-        doc = np.repeat(back.astype(np.int64) * 2 + np.array(train, np.int64), lengths)
-        bucket = (key * np.int64(-7046029254386353131) >> np.int64(33)) % buckets
-        order = np.lexsort((doc, key, bucket))
-        key, doc, bucket = key[order], doc[order], bucket[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        at = np.flatnonzero(fresh)
-        n = np.diff(np.append(at, len(key)))
-        key, doc, bucket = key[at], doc[at], bucket[at]
-        edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            yield int(bucket[a]), pack_arrays(ids, key[a:b], doc[a:b].astype(np.int32), np.minimum(n[a:b], 2**31 - 1).astype(np.int32))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = vocabulary.value
-        get, rare, end = words.code.get, words.rare, words.code[END.encode()]
-        docs, codes, train, held = [], [], [], 0
+    """Counts and shares of words by code: 0 is the end token, the last code all unseen words."""
+
+    def __init__(self, counts: np.ndarray, kinds: np.ndarray, ends: int):
+        order = np.argsort(-counts)
+        self.counts = np.concatenate([[ends], counts[order], [0]]).astype(np.int64)
+        self.starts = np.concatenate([[0, 1], 1 + np.cumsum(kinds[order])]).astype(np.int64)
+        self.unseen = int(self.starts[-1])
+        self.size = self.unseen + 1
+        self.n = int((counts * kinds).sum()) + ends
+        self.kinds = int(kinds.sum()) + (ends > 0)
+        of = [0.0, *[float(kinds[counts == r].sum() + (ends == r)) for r in range(1, K_MAX + 2)]]
+        d = discounts(of)
+        kept = 1.0 - sum((1 - d[r]) * r * of[r] for r in range(1, K_MAX + 1)) / self.n if self.n else 0.0
+        unseen = max(1.0 - kept, 1e-12)  # the mass of the one unseen type
+        self.shares = np.where(self.counts > 0, d[np.minimum(self.counts, K_MAX + 1)] * self.counts / max(self.n, 1), unseen)
+
+    def level(self, codes: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, codes, side="right") - 1
+
+    def pieces(self, codes: np.ndarray, piece: int) -> np.ndarray:
+        """Over how many places the pairs of a context are dealt."""
+        return np.maximum(1, -(-self.counts[self.level(codes)] // piece))
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _frequent_codes(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], default: int) -> np.ndarray:
+    known, codes = frequent
+    out = np.full(len(hashes), default, np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        out = np.where(known[at] == hashes, codes[at], out)
+    return out
 
-        def flush():
-            rows = list(emit(docs, codes, train, words.size))
-            docs.clear(), codes.clear(), train.clear()
-            return pd.DataFrame(rows, columns=["bucket", "block"])
 
+def _lookups(frequent):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc_id, text, is_train in zip(pdf["doc_id"], pdf["text"], pdf["train"], strict=True):
-                tokens = words_of(text)
-                c = np.fromiter((get(w, rare) for w in tokens), np.int64, len(tokens))
-                docs.append(NO_ID if pd.isna(doc_id) else int(doc_id))
-                codes.append(np.concatenate([[end], c, [end]]))
-                train.append(bool(is_train))
-                held += len(tokens) + 1
-                if held >= TOKENS_A_BLOCK:
-                    yield flush()
-                    held = 0
-        if docs:
-            yield flush()
+            for part, words in zip(pdf["part"].tolist(), pdf["words"], strict=True):
+                hashes, _ = unpack_arrays(words)
+                at = np.flatnonzero(_frequent_codes(hashes, frequent.value, -1) < 0)
+                yield pd.DataFrame({"part": np.full(len(at), part, np.int64), "at": at.astype(np.int32), "word": hashes[at]})
 
     return run
 
 
+def _by_group(ids: np.ndarray, values: list[np.ndarray], groups: int) -> Iterator[tuple[int, bytes]]:
+    """(group, block) of rows by the group of their document."""
+    group = (_mix(ids) % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(group[order], prepend=-1)), len(order))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(group[order[a]]), pack_arrays(ids[order[a:b]], *[x[order[a:b]] for x in values])
+
+
+def _dealer(words, frequent, buckets: int, piece: int):
+    """Pairs by bucket; what a document has without regard to contexts stands in buckets -1 - group."""
+
+    def deal(parts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        w = words.value
+        rows = []
+        for docs, own in zip(parts["docs"], parts["words"], strict=True):
+            doc_ids, lengths, train, tokens = unpack_arrays(docs)
+            code = _frequent_codes(unpack_arrays(own)[0], frequent.value, w.unseen)
+            code[found["at"].to_numpy(np.int64)] = found["code"].to_numpy(np.int64)
+            ids, back = np.unique(doc_ids, return_inverse=True)
+            lengths = lengths.astype(np.int64) + 1
+            is_word = np.ones(int(lengths.sum()), bool)
+            is_word[np.cumsum(lengths) - 1] = False
+            after = np.full(len(is_word), END, np.int64)
+            after[is_word] = code[tokens]
+            before = np.concatenate([[END], after[:-1]])  # a text starts after an end
+            c = w.counts[w.level(after)]
+            of = np.repeat(back, lengths)
+            base = np.bincount(of, weights=np.log10((c + 1) / (w.n + w.kinds + 1)), minlength=len(ids))
+            n = [np.bincount(of[x], minlength=len(ids)) for x in (slice(None), c > 0, ~is_word)]
+            rows += [(-1 - group, block) for group, block in _by_group(ids, [base, *n], buckets)]
+            doc = np.repeat(back.astype(np.int64) * 2 + train, lengths)
+            # pairs after an unseen word have no counts to meet
+            salt = np.where(before == w.unseen, np.arange(len(before)), (_mix(after) % w.pieces(before, piece).astype(np.uint64)).astype(np.int64))
+            bucket = (_mix(_mix(before) + salt.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            key = before * w.size + after
+            order = np.lexsort((doc, key, bucket))
+            key, doc, bucket = key[order], doc[order], bucket[order]
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])
+            at = np.flatnonzero(fresh)
+            n = np.diff(np.append(at, len(key)))
+            key, doc, bucket = key[at], doc[at], bucket[at]
+            edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                used, place = np.unique(doc[a:b] >> 1, return_inverse=True)
+                rows.append((int(bucket[a]), pack_arrays(ids[used], key[a:b], (place * 2 + (doc[a:b] & 1)).astype(np.int32), n[a:b].astype(np.int32))))
+        return pd.DataFrame(rows, columns=["bucket", "block"])
+
+    return deal
+
+
 def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     """All blocks of a bucket as one: ids, pairs, training counts, and (pair, doc, n) entries."""
+    if pdf["bucket"].iloc[0] < 0:
+        return pdf[["bucket", "block"]]
     ids, keys, docs, ns = [], [], [], []
     base = 0
     for block in pdf["block"]:
@@ -176,66 +256,74 @@ def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "block": [block]})
 
 
-STAT_COLUMNS = [f"s{r}" for r in range(1, K_MAX + 2)] + [f"n{r}" for r in range(1, K_MAX + 2)] + ["unigram"]
+STAT_COLUMNS = [f"s{r}" for r in range(1, K_MAX + 2)] + [f"n{r}" for r in range(1, K_MAX + 2)] + ["after"]
 
 
-def _context_stats(unigram, size: int):
+def _context_stats(words, piece: int):
+    """Statistics of the contexts that are dealt over several places; context -1 holds the counts of counts of all others."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = unigram.value
+        w = words.value
         for pdf in batches:
             for block in pdf["block"]:
                 _, pairs, c, *_ = unpack_arrays(block)
-                seen = c > 0
-                pairs, c = pairs[seen], c[seen]
-                contexts, at = np.unique(pairs // size, return_inverse=True)
+                pairs, c = pairs[c > 0], c[c > 0]
+                h = pairs // w.size
+                contexts, at = np.unique(np.where(w.pieces(h, piece) > 1, h, -1), return_inverse=True)
                 level = np.minimum(c, K_MAX + 1)
                 out = {"context": contexts}
                 for r in range(1, K_MAX + 2):
                     out[f"s{r}"] = np.bincount(at, weights=np.where(level == r, c, 0), minlength=len(contexts))
                     # of the top level only pairs seen exactly K_MAX + 1 times count
                     out[f"n{r}"] = np.bincount(at, weights=(c == r), minlength=len(contexts))
-                out["unigram"] = np.bincount(at, weights=p[pairs % size], minlength=len(contexts))
+                out["after"] = np.bincount(at, weights=w.shares[w.level(pairs % w.size)], minlength=len(contexts))
                 yield pd.DataFrame(out)
 
     return run
 
 
-def _score_blocks(model):
+def _score_blocks(words, split, groups: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = model.value
-        size = len(m["unigram"])
+        w, (d, hot, hot_mass, hot_after) = words.value, split.value
         for pdf in batches:
             for block in pdf["block"]:
                 ids, pairs, c, per_pair, doc, n = unpack_arrays(block)
-                h, w = pairs // size, pairs % size
-                with np.errstate(divide="ignore"):
-                    seen = np.log10(m["d"][np.minimum(c, K_MAX + 1)] * c / np.maximum(m["context"][h], 1))
-                    backed = np.log10(m["alpha"][h]) + np.log10(m["unigram"][w])
-                logp = np.where(c > 0, seen, backed)
-                values = np.stack([logp, m["base"][w], np.ones(len(w)), m["known"][w], (w == m["end"]).astype(float)])
-                each = np.repeat(values, per_pair, axis=1) * n
+                after = w.level(pairs % w.size)
+                contexts, at = np.unique(pairs // w.size, return_inverse=True)
+                discounted = d[np.minimum(c, K_MAX + 1)] * c
+                mass = np.bincount(at, weights=discounted, minlength=len(contexts))
+                gone = np.bincount(at, weights=np.where(c > 0, w.shares[after], 0.0), minlength=len(contexts))
+                if len(hot):
+                    place = np.minimum(np.searchsorted(hot, contexts), len(hot) - 1)
+                    is_hot = hot[place] == contexts
+                    mass, gone = np.where(is_hot, hot_mass[place], mass), np.where(is_hot, hot_after[place], gone)
+                total = w.counts[w.level(contexts)]
+                alpha = np.where(total > 0, np.maximum(1.0 - mass / np.maximum(total, 1), 1e-12) / np.maximum(1.0 - gone, 1e-12), 1.0)
+                logp = np.log10(np.where(c > 0, discounted / np.maximum(total, 1)[at], alpha[at] * w.shares[after]))
                 found, at = np.unique(ids[doc], return_inverse=True)
-                sums = [np.bincount(at, weights=v, minlength=len(found)) for v in each]
-                yield pd.DataFrame({"doc_id": pd.array(found, dtype="Int64").copy(), "score": sums[0], "base": sums[1], "n": sums[2], "known": sums[3], "copies": sums[4]}).assign(
-                    doc_id=lambda t: t["doc_id"].mask(t["doc_id"] == NO_ID)
-                )
+                score = np.bincount(at, weights=np.repeat(logp, per_pair) * n, minlength=len(found))
+                rows = list(_by_group(found, [score], groups))
+                yield pd.DataFrame(rows, columns=["bucket", "block"])
 
     return run
 
 
-def _rare_words(vocabulary):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = vocabulary.value.code
-        for pdf in batches:
-            at, words, counts = [], [], []
-            for row, text in enumerate(pdf["text"]):
-                rare = Counter(w for w in words_of(text) if w not in code)
-                at += [row] * len(rare)
-                words += [w.decode() for w in rare]
-                counts += rare.values()
-            yield pd.DataFrame({"doc_id": pd.array(pdf["doc_id"].iloc[at].array, dtype="Int64"), "word": pd.Series(words, dtype=object), "n": np.array(counts, np.int64)})
+def _sum_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    blocks = [unpack_arrays(block) for block in pdf["block"]]
+    scores, others = [b for b in blocks if len(b) == 2], [b for b in blocks if len(b) > 2]
+    found = np.unique(np.concatenate([b[0] for b in others]))
+    out = {"doc_id": pd.array(found, dtype="Int64").copy()}
+    for names, parts in ((["score"], scores), (["base", "n", "known", "copies"], others)):
+        ids, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        at = np.searchsorted(found, ids)
+        out |= {name: np.bincount(at, weights=v, minlength=len(found)) for name, v in zip(names, values, strict=True)}
+    return pd.DataFrame(out).assign(doc_id=lambda t: t["doc_id"].mask(t["doc_id"] == NO_ID))
 
-    return run
+
+def _free_shuffles(spark: SparkSession) -> None:
+    """Spark removes the files of shuffles that nothing refers to when the driver's JVM collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1 << 17, bucket_tokens: int = 1 << 21) -> DataFrame:
@@ -245,62 +333,50 @@ def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id"
     (the end token alone). Rows that repeat an id are reported once with their mean;
     null ids count as one id. No training rows: every word is unseen and both scores are
     those of one unseen type. Other columns are ignored. Empty table: no rows.
+    max_words: how many of the most frequent words get their codes by broadcast instead of
+    by the join; it changes no result.
     """
     spark = docs.sparkSession
+    broadcast = spark.sparkContext.broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(is_training, F.lit(True)).alias("train"))
-    unigrams = materialise(word_counts(rows.where("train")), "unigrams")
-    totals = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), *[F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, K_MAX + 2)]).first()
-    frequent = unigrams.where(F.col("word") != END).orderBy(F.col("c").desc(), "word").limit(max_words).toArrow()
-    ends = rows.where("train").count() if totals["n"] else 0
-    words = Words([END, *frequent["word"].to_pylist()], [ends, *frequent["c"].to_pylist()])
-    del frequent
-    n, v = totals["n"], totals["v"]
-    d1 = discounts([0, *[float(totals[f"n{r}"]) for r in range(1, K_MAX + 2)]])
-    share = lambda c: d1[np.minimum(c, K_MAX + 1)] * c / max(n, 1)
-    all_counts = np.arange(K_MAX + 1)
-    kept = 1.0 - sum((1 - d1[r]) * r * totals[f"n{r}"] for r in all_counts[1:].tolist()) / max(n, 1) if n else 0.0
-    unseen = max(1.0 - kept, 1e-12)  # the mass of the one unseen type
-    unigram = np.append(share(words.counts), 0.0)
-    unigram[words.rare] = max(1.0 - unigram.sum(), unseen)
-    unigram /= unigram.sum()
-
-    vocabulary = spark.sparkContext.broadcast(words)
-    buckets = max(1, -(-int(n * 1.2) // bucket_tokens))
-    blocks = rows.mapInPandas(_blocks(vocabulary, buckets), BLOCK_SCHEMA)
-    counted = materialise(blocks.groupBy("bucket").applyInPandas(_count_bucket, COUNTED_SCHEMA), "pair-buckets")
-
-    stats_in = spark.sparkContext.broadcast(unigram)
-    stats = counted.mapInPandas(_context_stats(stats_in, words.size), "context long, " + ", ".join(f"{c} double" for c in STAT_COLUMNS))
-    contexts = stats.groupBy("context").agg(*[F.sum(c).alias(c) for c in STAT_COLUMNS]).toArrow()  # a row an event at most
-    column = lambda name: contexts[name].to_numpy() if len(contexts) else np.empty(0)
-    d2 = discounts([0.0, *[float(column(f"n{r}").sum()) for r in range(1, K_MAX + 2)]])
-    at = column("context").astype(np.int64)
-    context, mass, after = np.zeros(words.size), np.zeros(words.size), np.zeros(words.size)
-    context[at] = sum(column(f"s{r}") for r in range(1, K_MAX + 2))
-    mass[at] = sum(d2[r] * column(f"s{r}") for r in range(1, K_MAX + 2))
-    after[at] = column("unigram")
-    freed = 1.0 - mass / np.maximum(context, 1)
-    alpha = np.where(context > 0, np.maximum(freed, 1e-12) / np.maximum(1.0 - after, 1e-12), 1.0)
-    base = np.append(np.log10((words.counts + 1) / (n + v + 1)), 0.0)
-    known = np.append((words.counts > 0).astype(float), 0.0)
-    model = spark.sparkContext.broadcast({"d": d2, "context": context, "alpha": alpha, "unigram": unigram, "base": base, "known": known, "end": 0})
-    scored = counted.mapInPandas(_score_blocks(model), "doc_id long, score double, base double, n double, known double, copies double")
-
-    rare = rows.select("doc_id", "text").mapInPandas(_rare_words(vocabulary), "doc_id long, word string, n long")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    own = F.when(c == 0, F.lit(unseen))
-    for r in range(1, K_MAX + 1):
-        own = own.when(c == r, F.lit(float(d1[r] * r / max(n, 1))))
-    own = own.otherwise(c / F.lit(float(max(n, 1))))
-    # a rare word's part of the event RARE
-    found = rare.join(unigrams, "word", "left").select(
-        "doc_id", (F.col("n") * (F.log10(own) - F.lit(math.log10(unigram[words.rare])))).alias("score"), (F.col("n") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("base"),
-        F.lit(0.0).alias("n"), (F.col("n") * (c > 0).cast("int")).cast("double").alias("known"), F.lit(0.0).alias("copies"),
-    )
-    sums = scored.unionByName(found).groupBy("doc_id").agg(*[F.sum(x).alias(x) for x in ("score", "base", "n", "known", "copies")])
+    tokens = materialise(rows.mapInPandas(_tokeniser, TOKEN_SCHEMA), "tokens")
+    totals = tokens.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("ends"), F.lit(0)).alias("ends")).first()
+
+    # a word's code: its place by falling count, from its place in a sorted part and the sizes of the parts before
+    counts = tokens.select("words").mapInPandas(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    ranked = materialise(counts.orderBy(F.col("c").desc(), "word").withColumn("place", F.monotonically_increasing_id()), "unigrams")
+    del counts
+    _free_shuffles(spark)
+    part = F.shiftright("place", 33).cast("int")
+    sizes = {r["part"]: r["count"] for r in ranked.groupBy(part.alias("part")).count().collect()}
+    before = np.concatenate([[0], np.cumsum([sizes.get(i, 0) for i in range(max(sizes, default=0))], dtype=np.int64)]).tolist()
+    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in before]), part + 1)
+    codes = ranked.select("word", (F.lit(1) + offset + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("code"))
+    levels = ranked.groupBy("c").agg(F.count("*").alias("kinds")).toPandas()  # at most sqrt(2 n) rows
+    model = Words(levels["c"].to_numpy(np.int64), levels["kinds"].to_numpy(np.int64), int(totals["ends"]))
+    top = codes.where(F.col("code") <= max_words).toPandas().sort_values("word")
+    words, frequent = broadcast(model), broadcast((top["word"].to_numpy(np.int64), top["code"].to_numpy(np.int64)))
+
+    buckets, piece = max(1, -(-int(totals["tokens"] * 1.2) // bucket_tokens)), max(1, bucket_tokens // 8)
+    found = tokens.select("part", "words").mapInPandas(_lookups(frequent), "part long, at int, word long").join(codes, "word").select("part", "at", "code")
+    dealt = tokens.select("part", "docs", "words").groupBy("part").cogroup(found.groupBy("part")).applyInPandas(_dealer(words, frequent, buckets, piece), BLOCK_SCHEMA)
+    counted = materialise(dealt.groupBy("bucket").applyInPandas(_count_bucket, COUNTED_SCHEMA), "pair-buckets")
+
+    del dealt, found
+    _free_shuffles(spark)
+    drop(tokens)
+    pairs, others = counted.where("bucket >= 0"), counted.where("bucket < 0").select((-1 - F.col("bucket")).alias("bucket"), "block")
+    stats = pairs.mapInPandas(_context_stats(words, piece), "context long, " + ", ".join(f"{c} double" for c in STAT_COLUMNS))
+    stats = stats.groupBy("context").agg(*[F.sum(c).alias(c) for c in STAT_COLUMNS]).toPandas().sort_values("context")  # a bounded number a bucket
+    d = discounts([0.0, *[float(stats[f"n{r}"].sum()) for r in range(1, K_MAX + 2)]])
+    hot = stats[stats["context"] >= 0]
+    mass = sum((d[r] * hot[f"s{r}"].to_numpy(float) for r in range(1, K_MAX + 2)), np.zeros(len(hot)))
+    split = broadcast((d, hot["context"].to_numpy(np.int64), mass, hot["after"].to_numpy(float)))
+    scored = pairs.mapInPandas(_score_blocks(words, split, buckets), BLOCK_SCHEMA).unionByName(others)
+    sums = scored.groupBy("bucket").applyInPandas(_sum_group, "doc_id long, score double, base double, n double, known double, copies double")
     mean = lambda x: F.col(x) / F.col("copies")
     return sums.select(
-        "doc_id", F.round(mean("n")).cast("long").alias("n_tokens"), F.round(mean("known")).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), mean("base").alias("base_score"), mean("score").alias("score")
+        "doc_id", F.round(mean("n")).cast("long").alias("n_tokens"), F.round(mean("known")).cast("long").alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"), mean("base").alias("base_score"), mean("score").alias("score")
     )
 
 
