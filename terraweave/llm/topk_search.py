@@ -91,17 +91,27 @@ def threshold_search(comps: np.ndarray, ids: np.ndarray, order: np.ndarray, quer
 def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     keep = ids[rows] != own
     rows, scores = rows[keep], scores[keep]
-    if len(rows) > 4 * k:
-        cut = np.partition(scores, len(scores) - k)[len(scores) - k]
+    keep_scores = 4 * k
+    while len(rows) > keep_scores:
+        cut = np.partition(scores, len(scores) - keep_scores)[len(scores) - keep_scores]
         near = scores >= cut
-        rows, scores = rows[near], scores[near]
+        found = _distinct(rows[near], scores[near], ids)
+        if len(found[0]) >= k:
+            return found[0][:k], found[1][:k]
+        keep_scores *= 4  # repeated rows filled the cut
+    rows, scores = _distinct(rows, scores, ids)
+    return rows[:k], scores[:k]
+
+
+def _distinct(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By falling score, then id; the same id with the same score counts once."""
     best = np.lexsort((ids[rows], -scores))
     rows, scores = rows[best], scores[best]
-    if len(rows) > 1:  # the same id with the same score counts once
+    if len(rows) > 1:
         new = np.ones(len(rows), dtype=bool)
         new[1:] = (ids[rows[1:]] != ids[rows[:-1]]) | (scores[1:] != scores[:-1])
         rows, scores = rows[new], scores[new]
-    return rows[:k], scores[:k]
+    return rows, scores
 
 
 def _searcher(k: int):

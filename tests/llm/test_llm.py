@@ -35,6 +35,18 @@ def test_top_k_equals_brute_force(spark):
     assert topk_search.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_top_k_with_every_row_repeated(spark):
+    rng = np.random.default_rng(12)
+    vectors = {i: [float(x) for x in rng.normal(size=4).round(2)] for i in range(60)}
+    rows = [(i, v) for i, v in vectors.items() for _ in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = topk_search.top_k(df, F.col("vec_id") % 20 == 0, k=10, block_rows=4096).collect()
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in vectors.items()}
+    for q in (0, 20, 40):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:10]
+        assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [(i, -s) for s, i in scored]
+
+
 def test_threshold_search_stops_early():
     comps = np.zeros((1000, 2))
     comps[:, 0] = np.arange(1000)
