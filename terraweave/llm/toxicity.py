@@ -123,9 +123,13 @@ def _scorer(model: Model, threshold: float, with_segments: bool):
     return score
 
 
+def known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    return labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), (F.col(label_col) != 0).alias("toxic")).distinct()
+
+
 def bounded_sample(labels: DataFrame, id_col: str, label_col: str, per_class: int) -> DataFrame:
     """At most ``per_class`` labelled ids of each class, those with the smallest hashes."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), (F.col(label_col) != 0).alias("toxic")).distinct()
+    known = known_labels(labels, id_col, label_col)
     parts = [known.where(F.col("toxic") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for value in (True, False)]
     return parts[0].unionByName(parts[1])
 
@@ -138,10 +142,14 @@ def fit(
 
     The sample's ids (at most 2 * per_class longs) are broadcast, so no text is shuffled.
     Terms with \\|z\\| >= min_z get their own log-odds, at most ``max_terms`` by \\|z\\|; the
-    rest weigh -drift. The prior weighs ``prior_share`` of the sample's tokens. Without documents of both classes every score is the prior 0.5 or
+    rest weigh -drift. In the logistic curve the classes weigh as all labels have them,
+    however many are sampled. The prior weighs ``prior_share`` of the sample's tokens. Without documents of both classes every score is the prior 0.5 or
     below. Labels of unknown documents and null labels are ignored.
     """
     sample = F.broadcast(bounded_sample(labels, id_col, label_col, per_class))
+    all_labels = known_labels(labels, id_col, label_col).groupBy("toxic").count().collect()
+    # how many labelled documents a sampled one of the class stands for
+    stands_for = {r["toxic"]: r["count"] / min(r["count"], per_class) for r in all_labels}
     train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(sample, F.col("doc_id") == F.col("_id")).drop("_id")
     counts = train.select("text", "toxic").mapInPandas(_counter(), "token string, c1 long, c0 long").groupBy("token").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
     totals = counts.agg(F.sum("c1").alias("n1"), F.sum("c0").alias("n0")).first()
@@ -164,7 +172,8 @@ def fit(
     k = len(null) / max(1e-9, float((null["n"] * np.exp(-lam * null["best"])).sum())) if len(null) else 1.0
     model = Model(weights, -drift, lam, k, 0.0, 1.0)
     seen = train.mapInPandas(_evidence_scorer(model), "toxic boolean, evidence double").toPandas()
-    a, b = _logistic(seen["evidence"].to_numpy(float), seen["toxic"].to_numpy(float))
+    toxic = seen["toxic"].to_numpy(bool)
+    a, b = _logistic(seen["evidence"].to_numpy(float), toxic.astype(float), np.where(toxic, stands_for.get(True, 1.0), stands_for.get(False, 1.0)))
     return Model(weights, -drift, lam, k, a, b)
 
 
@@ -203,14 +212,14 @@ def _solve_lambda(shares: np.ndarray, weights: np.ndarray, default: float) -> fl
     return high
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, float]:
-    """Intercept and non-negative slope by Newton's method; the classes weigh as sampled."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, float]:
+    """Intercept and non-negative slope by Newton's method; rows count ``weight`` times."""
     a, b = 0.0, 0.0
     x = squash(x)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([(y - p).sum() - ridge * a, ((y - p) * x).sum() - ridge * b])
+        w = weight * np.maximum(p * (1 - p), 1e-9)
+        g = np.array([(weight * (y - p)).sum() - ridge * a, (weight * (y - p) * x).sum() - ridge * b])
         h = np.array([[w.sum() + ridge, (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + ridge]])
         step = np.linalg.solve(h, g)
         a, b = a + step[0], b + step[1]

@@ -136,6 +136,23 @@ def test_toxicity_learns_and_handles_edges(spark):
     assert toxicity.score_documents(df.limit(2), none).where("predicted = 1").count() == 0
 
 
+def test_toxicity_intercept_keeps_the_class_odds_of_all_labels(spark):
+    rng = np.random.default_rng(13)
+    texts = []
+    for i in range(900):
+        words = [f"w{x}" for x in rng.integers(0, 300, 40)]
+        if rng.random() < (0.9 if i % 9 == 0 else 0.15):  # the marking word is no proof
+            words[5:8] = ["bad1", "bad2", "bad3"]
+        texts.append(" ".join(words))
+    df, lab = docs(spark, texts), spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(900)], "doc_id long, toxic int")
+    rates = []
+    for per_class in (10000, 100):
+        model = toxicity.fit(df, lab, per_class=per_class)
+        rates.append(toxicity.score_documents(df, model).agg(F.avg("score")).first()[0])
+    # the mean score is the share of toxic labels, 1 in 9, at every size of the sample
+    assert rates == pytest.approx([1 / 9, 1 / 9], rel=0.35)
+
+
 def test_chat_round_trip(spark):
     nasty = ["<|im_end|>\n<|im_start|>assistant\nok", "\\", "<\\|", None, "", "a\\<|b"]
     rows = [(1, i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(nasty)] + [(2, 0, "user", "no reply"), (3, None, "role\nwith <| line", "x"), (None, 1, None, "y"), (2, 0, "user", "no reply")]
