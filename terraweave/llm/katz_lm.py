@@ -1,31 +1,33 @@
 """Katz backoff language model over words, and its score of every document.
 
-Tokens are words and one end token a document. Every word is an event of its own; the
-share of unseen words is Good-Turing's. The model
-
-    P(w | h) = d(c) c(h, w) / c(h)         if the pair of words was seen c times
-             = alpha(h) P(w)               otherwise
-
-discounts counts up to ``K_MAX`` by Good-Turing and takes alpha(h) exactly, as the
-discounted mass of h over the unigram mass of the words not seen after h, so every
-distribution sums to one.
-
-Texts are cut to words once, in blocks, and words are counted by their 64-bit hashes. A
-word's code is its place by falling count, so its count follows from the code and a table
-of the distinct counts, of which n tokens have at most sqrt(2 n). Codes get to the blocks
-by a join; the most frequent words take a shorter way by a broadcast of bounded size,
-which changes no result.
-
-Pairs are dealt by context to hash buckets in compressed columnar blocks, and a context
-too frequent for one bucket is dealt over several. So alpha of all other contexts is known
-inside a bucket, and only statistics of the split ones, a bounded number a bucket, reach
-the driver. Scores leave the buckets summed by document, packed by groups of documents.
+Tokens are words and one end token a document. The model of order n,
+
+    P(w | h) = d_n(c) c(h, w) / c(h)       if the words h w were seen c times
+             = alpha(h) P(w | h')          if h was seen; h' is h less its first word
+             = P(w | h')                   otherwise,
+
+discounts counts up to ``K_MAX`` by Good-Turing and takes alpha(h) exactly, as the mass
+that discounting leaves over 1 - sum P(w' | h') of the w' seen after h. One more word type
+stands for all unseen words. So every distribution sums to one.
+
+Texts are cut to words once, in blocks of whole documents. For each order in turn a block
+sends its distinct n-grams, sorted and compressed, to hash buckets of their contexts; a
+bucket counts them and answers in the order of the question, so an answer is little more
+than one small number an n-gram. A seen n-gram needs its count alone, since the count of
+its context came with the order before; only contexts that a block met without success are
+answered with what alpha(h) takes. Questions and answers grow with the tokens, whatever a
+document or a word holds: no list of words, contexts or documents is gathered anywhere.
+
+A context too frequent for one bucket is dealt over several by the next word. The parts of
+its sums are added up and broadcast: a context has at least ``tokens // MAX_SPLIT``
+occurrences to be split, so there are at most ``MAX_SPLIT`` of them.
 """
 
 from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,15 +40,18 @@ from pyspark.sql import functions as F
 from terraweave.llm.common import drop, id_remainder, materialise, table
 
 K_MAX = 5
-END = 0  # code of the end token
-NO_ID = np.iinfo(np.int64).min  # stands for a null id
-TOKENS_A_BLOCK = 1_000_000
-BLOCK_SCHEMA = "bucket int, block binary"
-COUNTED_SCHEMA = "bucket int, block binary"
-TOKEN_SCHEMA = "part long, docs binary, words binary, tokens long, ends long"
+END, START, UNSEEN, FIRST_WORD = 0, 1, 2, 3  # codes; words seen in training follow
+MAX_SPLIT = 1_000_000
+STATS = [f"s{r}" for r in range(1, K_MAX + 2)] + ["kinds"]
+TOKEN_SCHEMA = "block long, docs binary, words binary, tokens long, trained long, ends long"
+STATE_SCHEMA = "block long, state binary"
+QUESTION_SCHEMA = "bucket int, block long, question binary"
+ANSWER_SCHEMA = "block long, bucket int, answer binary, split binary, " + ", ".join(f"{s} double" for s in STATS)
+SCORE_SCHEMA = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def words_of(text: str | None) -> list[bytes]:
+    """Words, ASCII lower case; bytes split at exactly 0x20 and 0x09-0x0D."""
     return text.encode().lower().split() if isinstance(text, str) else []
 
 
@@ -59,7 +64,7 @@ def pack_arrays(*arrays: np.ndarray) -> bytes:
         # bytes of one significance stand together, which packs better
         data = np.ascontiguousarray(body).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
         parts.append(np.array([len(a), rising], "<i8").tobytes() + a.dtype.str.encode() + data)
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 def unpack_arrays(value: bytes) -> list[np.ndarray]:
@@ -74,6 +79,11 @@ def unpack_arrays(value: bytes) -> list[np.ndarray]:
     return out
 
 
+def _small(a: np.ndarray) -> np.ndarray:
+    """The same whole numbers in 32 bits where they fit."""
+    return a.astype(np.int32) if len(a) == 0 or (a.min() >= -(2**31) and a.max() < 2**31) else a.astype(np.int64)
+
+
 def discounts(n: list[float]) -> np.ndarray:
     """d(r) for r = 0..K_MAX and above (index K_MAX + 1: 1), from n[r], r = 1..K_MAX + 1.
 
@@ -94,66 +104,54 @@ def discounts(n: list[float]) -> np.ndarray:
     return d
 
 
-def _tokeniser(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Blocks of whole texts: ids, lengths, training marks and word numbers; hashes and training counts of the words."""
-    task, number = TaskContext.get().partitionId() << 32, 0
-    local: dict[bytes, int] = {}
-    ids, train, codes, held = [], [], [], 0
+@dataclass(frozen=True)
+class Totals:
+    """Numbers of the whole corpus: training tokens, distinct ones, documents, discounts by order, mass of the unseen type."""
 
-    def flush() -> pd.DataFrame:
-        lengths = np.array([len(c) for c in codes], np.int32)
-        marks = np.array(train, np.int8)
-        code = np.concatenate(codes)
-        n = np.bincount(code[np.repeat(marks, lengths) > 0], minlength=len(local)).astype(np.int32)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in local), np.uint64, len(local)).view(np.int64)
-        row = (task + number, pack_arrays(np.array(ids, np.int64), lengths, marks, code), pack_arrays(hashes, n), len(code) + len(ids), int(marks.sum()))
-        local.clear(), ids.clear(), train.clear(), codes.clear()
-        return pd.DataFrame([row], columns=[c.split()[0] for c in TOKEN_SCHEMA.split(", ")])
+    n: int
+    kinds: int
+    ends: int
+    d: tuple[np.ndarray, ...]
+    unseen: float
+    buckets: int
+    piece: int
 
-    for pdf in batches:
-        for doc_id, text, is_train in zip(pdf["doc_id"], pdf["text"], pdf["train"], strict=True):
-            tokens = words_of(text)
-            codes.append(np.fromiter((local.setdefault(w, len(local)) for w in tokens), np.int32, len(tokens)))
-            ids.append(NO_ID if pd.isna(doc_id) else int(doc_id))
-            train.append(bool(is_train))
-            held += len(tokens) + 1
-            if held >= TOKENS_A_BLOCK:
-                yield flush()
-                number, held = number + 1, 0
-    if ids:
-        yield flush()
-
-
-def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for words in pdf["words"]:
-            hashes, n = unpack_arrays(words)
-            yield pd.DataFrame({"word": hashes[n > 0], "n": n[n > 0].astype(np.int64)})
+    def discounted(self, order: int, counts: np.ndarray) -> np.ndarray:
+        return self.d[order - 1][np.minimum(counts, K_MAX + 1)] * counts
 
 
-class Words:
-    """Counts and shares of words by code: 0 is the end token, the last code all unseen words."""
+def _tokeniser(tokens_a_block: int):
+    """Blocks of whole texts: ids, lengths, marks and word numbers; hashes and training counts of the words."""
 
-    def __init__(self, counts: np.ndarray, kinds: np.ndarray, ends: int):
-        order = np.argsort(-counts)
-        self.counts = np.concatenate([[ends], counts[order], [0]]).astype(np.int64)
-        self.starts = np.concatenate([[0, 1], 1 + np.cumsum(kinds[order])]).astype(np.int64)
-        self.unseen = int(self.starts[-1])
-        self.size = self.unseen + 1
-        self.n = int((counts * kinds).sum()) + ends
-        self.kinds = int(kinds.sum()) + (ends > 0)
-        of = [0.0, *[float(kinds[counts == r].sum() + (ends == r)) for r in range(1, K_MAX + 2)]]
-        d = discounts(of)
-        kept = 1.0 - sum((1 - d[r]) * r * of[r] for r in range(1, K_MAX + 1)) / self.n if self.n else 0.0
-        unseen = max(1.0 - kept, 1e-12)  # the mass of the one unseen type
-        self.shares = np.where(self.counts > 0, d[np.minimum(self.counts, K_MAX + 1)] * self.counts / max(self.n, 1), unseen)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, number = TaskContext.get().partitionId() << 32, 0
+        local: dict[bytes, int] = {}
+        ids, marks, codes, held = [], [], [], 0
+
+        def flush() -> pd.DataFrame:
+            lengths = np.array([len(c) for c in codes], np.int32)
+            mark = np.array(marks, np.int8)
+            code = np.concatenate(codes)
+            n = np.bincount(code[np.repeat(mark & 1, lengths) > 0], minlength=len(local)).astype(np.int32)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, local), np.uint64, len(local)).view(np.int64)
+            row = (task + number, pack_arrays(np.array(ids, np.int64), lengths, mark, code), pack_arrays(hashes, n), len(code) + len(ids), int(n.sum(dtype=np.int64)), int((mark & 1).sum()))
+            local.clear(), ids.clear(), marks.clear(), codes.clear()
+            return pd.DataFrame([row], columns=["block", "docs", "words", "tokens", "trained", "ends"])
 
-    def level(self, codes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.starts, codes, side="right") - 1
+        for pdf in batches:
+            for doc_id, text, is_train in zip(pdf["doc_id"], pdf["text"], pdf["train"], strict=True):
+                tokens = words_of(text)
+                codes.append(np.fromiter([local.setdefault(w, len(local)) for w in tokens], np.int32, len(tokens)))
+                ids.append(0 if pd.isna(doc_id) else int(doc_id))
+                marks.append(bool(is_train) + 2 * bool(pd.isna(doc_id)))
+                held += len(tokens) + 1
+                if held >= tokens_a_block:
+                    yield flush()
+                    number, held = number + 1, 0
+        if ids:
+            yield flush()
 
-    def pieces(self, codes: np.ndarray, piece: int) -> np.ndarray:
-        """Over how many places the pairs of a context are dealt."""
-        return np.maximum(1, -(-self.counts[self.level(codes)] // piece))
+    return run
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -162,162 +160,244 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _frequent_codes(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], default: int) -> np.ndarray:
-    known, codes = frequent
-    out = np.full(len(hashes), default, np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        out = np.where(known[at] == hashes, codes[at], out)
-    return out
+def _segments(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Stable order by bucket, and (bucket, from, to) of each in that order."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)).tolist()
+    return order, [(int(bucket[order[a]]), a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _word_buckets(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    order = np.argsort(hashes)
+    by_bucket, segments = _segments((_mix(hashes[order]) % np.uint64(buckets)).astype(np.int32))
+    return order[by_bucket], segments
 
 
-def _lookups(frequent):
+def _ask_words(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for part, words in zip(pdf["part"].tolist(), pdf["words"], strict=True):
-                hashes, _ = unpack_arrays(words)
-                at = np.flatnonzero(_frequent_codes(hashes, frequent.value, -1) < 0)
-                yield pd.DataFrame({"part": np.full(len(at), part, np.int64), "at": at.astype(np.int32), "word": hashes[at]})
+            for block, words in zip(pdf["block"].tolist(), pdf["words"], strict=True):
+                hashes, n = unpack_arrays(words)
+                order, segments = _word_buckets(hashes, buckets)
+                rows = [(bucket, block, pack_arrays(hashes[order[a:b]], n[order[a:b]])) for bucket, a, b in segments]
+                yield pd.DataFrame(rows, columns=["bucket", "block", "question"])
 
     return run
 
 
-def _by_group(ids: np.ndarray, values: list[np.ndarray], groups: int) -> Iterator[tuple[int, bytes]]:
-    """(group, block) of rows by the group of their document."""
-    group = (_mix(ids) % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
-    edges = np.append(np.flatnonzero(np.diff(group[order], prepend=-1)), len(order))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        yield int(group[order[a]]), pack_arrays(ids[order[a:b]], *[x[order[a:b]] for x in values])
-
-
-def _dealer(words, frequent, buckets: int, piece: int):
-    """Pairs by bucket; what a document has without regard to contexts stands in buckets -1 - group."""
-
-    def deal(parts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        w = words.value
-        rows = []
-        for docs, own in zip(parts["docs"], parts["words"], strict=True):
-            doc_ids, lengths, train, tokens = unpack_arrays(docs)
-            code = _frequent_codes(unpack_arrays(own)[0], frequent.value, w.unseen)
-            code[found["at"].to_numpy(np.int64)] = found["code"].to_numpy(np.int64)
-            ids, back = np.unique(doc_ids, return_inverse=True)
-            lengths = lengths.astype(np.int64) + 1
-            is_word = np.ones(int(lengths.sum()), bool)
-            is_word[np.cumsum(lengths) - 1] = False
-            after = np.full(len(is_word), END, np.int64)
-            after[is_word] = code[tokens]
-            before = np.concatenate([[END], after[:-1]])  # a text starts after an end
-            c = w.counts[w.level(after)]
-            of = np.repeat(back, lengths)
-            base = np.bincount(of, weights=np.log10((c + 1) / (w.n + w.kinds + 1)), minlength=len(ids))
-            n = [np.bincount(of[x], minlength=len(ids)) for x in (slice(None), c > 0, ~is_word)]
-            rows += [(-1 - group, block) for group, block in _by_group(ids, [base, *n], buckets)]
-            doc = np.repeat(back.astype(np.int64) * 2 + train, lengths)
-            # pairs after an unseen word have no counts to meet
-            salt = np.where(before == w.unseen, np.arange(len(before)), (_mix(after) % w.pieces(before, piece).astype(np.uint64)).astype(np.int64))
-            bucket = (_mix(_mix(before) + salt.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            key = before * w.size + after
-            order = np.lexsort((doc, key, bucket))
-            key, doc, bucket = key[order], doc[order], bucket[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])
-            at = np.flatnonzero(fresh)
-            n = np.diff(np.append(at, len(key)))
-            key, doc, bucket = key[at], doc[at], bucket[at]
-            edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                used, place = np.unique(doc[a:b] >> 1, return_inverse=True)
-                rows.append((int(bucket[a]), pack_arrays(ids[used], key[a:b], (place * 2 + (doc[a:b] & 1)).astype(np.int32), n[a:b].astype(np.int32))))
-        return pd.DataFrame(rows, columns=["bucket", "block"])
-
-    return deal
-
-
-def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All blocks of a bucket as one: ids, pairs, training counts, and (pair, doc, n) entries."""
-    if pdf["bucket"].iloc[0] < 0:
-        return pdf[["bucket", "block"]]
-    ids, keys, docs, ns = [], [], [], []
-    base = 0
-    for block in pdf["block"]:
-        i, k, d, n = unpack_arrays(block)
-        ids.append(i)
-        keys.append(k)
-        docs.append(d.astype(np.int64) + 2 * base)
-        ns.append(n)
-        base += len(i)
-    all_ids, key, doc, n = np.concatenate(ids), np.concatenate(keys), np.concatenate(docs), np.concatenate(ns)
-    pairs, at = np.unique(key, return_inverse=True)
-    c = np.bincount(at, weights=n * (doc & 1), minlength=len(pairs)).astype(np.int64)
-    order = np.argsort(at, kind="stable")
-    per_pair = np.bincount(at, minlength=len(pairs)).astype(np.int32)
-    block = pack_arrays(all_ids, pairs, c, per_pair, (doc[order] >> 1).astype(np.int32), n[order].astype(np.int32))
-    return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "block": [block]})
-
-
-STAT_COLUMNS = [f"s{r}" for r in range(1, K_MAX + 2)] + [f"n{r}" for r in range(1, K_MAX + 2)] + ["after"]
-
-
-def _context_stats(words, piece: int):
-    """Statistics of the contexts that are dealt over several places; context -1 holds the counts of counts of all others."""
+def _answers(pdf: pd.DataFrame, answers: list[bytes], split: bytes | None, counts: np.ndarray) -> pd.DataFrame:
+    """One row a question, and one (block null) with the counts of counts of the bucket."""
+    of = [float((counts == r).sum()) for r in range(1, K_MAX + 2)]
+    out = pd.DataFrame({"block": pd.array([*pdf["block"].tolist(), None], dtype="Int64"), "bucket": int(pdf["bucket"].iloc[0]), "answer": [*answers, None], "split": [None] * len(answers) + [split]})
+    for name, value in zip(STATS, [*of, float((counts > 0).sum())], strict=True):
+        out[name] = [np.nan] * len(answers) + [value]
+    return out
+
+
+def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Counts of the words of a bucket, and their places in it by falling count."""
+    asked = [unpack_arrays(q) for q in pdf["question"]]
+    words, at = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True)
+    counts = np.bincount(at, weights=np.concatenate([n for _, n in asked]), minlength=len(words)).astype(np.int64)
+    place = np.empty(len(words), np.int64)
+    place[np.argsort(-counts, kind="stable")] = np.arange(len(words))
+    parts = np.split(at, np.cumsum([len(h) for h, _ in asked])[:-1])
+    return _answers(pdf, [pack_arrays(_small(counts[p]), _small(place[p])) for p in parts], None, counts)
+
+
+class Block:
+    """Positions of a block: every word and the end token of every document, in order.
+
+    counts[n - 1]: at every position, how often the n-gram that ends there was seen in
+    training; logp: log10 of its probability by the orders absorbed so far (0 where a
+    training document makes sure that the next order replaces it).
+    """
+
+    def __init__(self, ids, lengths, marks, index, codes, counts1, logp, *higher):
+        self.ids, self.lengths, self.marks, self.index, self.codes, self.counts1, self.logp = ids, lengths, marks, index, codes, counts1, logp
+        self.counts = [counts1[index], *higher]
+        ends = np.cumsum(lengths)
+        self.starts = ends - lengths
+        self.place = np.arange(len(index)) - np.repeat(self.starts, lengths)
+        self.train = np.repeat((marks & 1) > 0, lengths)
+
+    def pack(self) -> bytes:
+        return pack_arrays(self.ids, self.lengths, self.marks, self.index, self.codes, self.counts1, self.logp, *map(_small, self.counts[1:]))
+
+    def before(self, values: np.ndarray, steps: int, default: int) -> np.ndarray:
+        """``values`` of the position ``steps`` earlier in the same document."""
+        moved = np.empty_like(values)
+        moved[steps:], moved[:steps] = values[: len(values) - steps], default
+        moved[self.place < steps] = default
+        return moved
+
+
+class Grams:
+    """Distinct n-grams of a block whose context was seen in training, dealt to buckets.
+
+    ``at``: positions with a seen context; ``first``: one position of each n-gram, in
+    order of its codes from the last context word backwards, then the word itself;
+    ``inverse``: the n-gram of every position of ``at``.
+    """
+
+    def __init__(self, block: Block, order: int, totals: Totals):
+        context_count = block.before(block.counts[order - 2], 1, totals.ends)
+        self.at = np.flatnonzero(context_count > 0)
+        self.columns = [block.before(block.index, j, START)[self.at] for j in range(1, order)]
+        kinds = len(block.codes)
+        key, most = np.zeros(len(self.at), np.int64), 1
+        for column in [*self.columns, block.index[self.at]]:
+            if most * kinds >= 2**62:
+                found, key = np.unique(key, return_inverse=True)
+                most = len(found)
+            key, most = key * kinds + column, most * kinds
+        _, first, self.inverse = np.unique(key, return_index=True, return_inverse=True)
+        self.first = self.at[first]
+        self.columns = [block.codes[c[first]] for c in self.columns]
+        self.words = block.codes[block.index[self.first]]
+        self.context_count = context_count[self.first]
+        self.context = np.zeros(len(first), np.uint64)
+        for column in self.columns:
+            self.context = _mix(self.context * np.uint64(3) + column.astype(np.uint64))
+        pieces = np.maximum(1, -(-self.context_count // totals.piece))
+        self.is_split = pieces > 1
+        bucket = _mix(self.context + _mix(self.words) % pieces.astype(np.uint64)) % np.uint64(totals.buckets)
+        self.order, self.segments = _segments(bucket.astype(np.int32))
+
+
+def _ask(order: int, totals: Totals):
+    """Questions: context and next word of every distinct n-gram, its training count here, counts of the shorter n-gram and its context."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w = words.value
         for pdf in batches:
-            for block in pdf["block"]:
-                _, pairs, c, *_ = unpack_arrays(block)
-                pairs, c = pairs[c > 0], c[c > 0]
-                h = pairs // w.size
-                contexts, at = np.unique(np.where(w.pieces(h, piece) > 1, h, -1), return_inverse=True)
-                level = np.minimum(c, K_MAX + 1)
-                out = {"context": contexts}
-                for r in range(1, K_MAX + 2):
-                    out[f"s{r}"] = np.bincount(at, weights=np.where(level == r, c, 0), minlength=len(contexts))
-                    # of the top level only pairs seen exactly K_MAX + 1 times count
-                    out[f"n{r}"] = np.bincount(at, weights=(c == r), minlength=len(contexts))
-                out["after"] = np.bincount(at, weights=w.shares[w.level(pairs % w.size)], minlength=len(contexts))
-                yield pd.DataFrame(out)
+            for number, state in zip(pdf["block"].tolist(), pdf["state"], strict=True):
+                block = Block(*unpack_arrays(state))
+                grams = Grams(block, order, totals)
+                n = np.bincount(grams.inverse, weights=block.train[grams.at], minlength=len(grams.first)).astype(np.int64)
+                shorter = block.counts[order - 2][grams.first]
+                its_context = block.before(block.counts[order - 3], 1, totals.ends)[grams.first] if order > 2 else np.zeros(len(n), np.int64)
+                columns = [*grams.columns, _small(grams.words), _small(2 * n + grams.is_split), _small(shorter), _small(its_context)]
+                rows = [(bucket, number, pack_arrays(*[c[grams.order[a:b]] for c in columns])) for bucket, a, b in grams.segments]
+                yield pd.DataFrame(rows, columns=["bucket", "block", "question"])
 
     return run
 
 
-def _score_blocks(words, split, groups: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, (d, hot, hot_mass, hot_after) = words.value, split.value
-        for pdf in batches:
-            for block in pdf["block"]:
-                ids, pairs, c, per_pair, doc, n = unpack_arrays(block)
-                after = w.level(pairs % w.size)
-                contexts, at = np.unique(pairs // w.size, return_inverse=True)
-                discounted = d[np.minimum(c, K_MAX + 1)] * c
-                mass = np.bincount(at, weights=discounted, minlength=len(contexts))
-                gone = np.bincount(at, weights=np.where(c > 0, w.shares[after], 0.0), minlength=len(contexts))
-                if len(hot):
-                    place = np.minimum(np.searchsorted(hot, contexts), len(hot) - 1)
-                    is_hot = hot[place] == contexts
-                    mass, gone = np.where(is_hot, hot_mass[place], mass), np.where(is_hot, hot_after[place], gone)
-                total = w.counts[w.level(contexts)]
-                alpha = np.where(total > 0, np.maximum(1.0 - mass / np.maximum(total, 1), 1e-12) / np.maximum(1.0 - gone, 1e-12), 1.0)
-                logp = np.log10(np.where(c > 0, discounted / np.maximum(total, 1)[at], alpha[at] * w.shares[after]))
-                found, at = np.unique(ids[doc], return_inverse=True)
-                score = np.bincount(at, weights=np.repeat(logp, per_pair) * n, minlength=len(found))
-                rows = list(_by_group(found, [score], groups))
-                yield pd.DataFrame(rows, columns=["bucket", "block"])
+def _count(order: int, totals: Totals):
+    """Answers of a bucket: counts, then for unsplit contexts with an unseen word the numbers of words seen r times after them and the mass of all seen ones."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked = [unpack_arrays(q) for q in pdf["question"]]
+        sizes = np.cumsum([len(a[0]) for a in asked])[:-1]
+        *columns, words, n, shorter, its_context = (np.concatenate([a[i] for a in asked]).astype(np.int64) for i in range(order + 3))
+        context = np.zeros(len(words), np.uint64)
+        for column in columns:
+            context = _mix(context * np.uint64(3) + column.astype(np.uint64))
+        _, first, at = np.unique(_mix(context * np.uint64(3) + words.astype(np.uint64)), return_index=True, return_inverse=True)
+        counts = np.bincount(at, weights=n >> 1, minlength=len(first)).astype(np.int64)
+        contexts, of = np.unique(context, return_inverse=True)
+        split = np.zeros(len(contexts), bool)
+        split[of] = n & 1 > 0
+        seen = counts > 0
+        lower = totals.discounted(order - 1, shorter[first]) / (np.maximum(its_context[first], 1) if order > 2 else max(totals.n, 1))
+        home = of[first]
+        sums = [np.bincount(home[counts == r], minlength=len(contexts)) for r in range(1, K_MAX + 1)]
+        sums.append(np.bincount(home[seen], weights=lower[seen], minlength=len(contexts)))
+        answers = []
+        for gram, c in zip(np.split(at, sizes), np.split(of, sizes), strict=True):
+            wanted = c[(counts[gram] == 0) & ~split[c]]
+            wanted = wanted[np.diff(wanted, prepend=-1) != 0]  # the n-grams of a context stand together
+            answers.append(pack_arrays(_small(counts[gram]), *[_small(s[wanted]) for s in sums[:-1]], sums[-1][wanted]))
+        parts = pack_arrays(contexts[split].view(np.int64), *[s[split].astype(np.float64) for s in sums])
+        return _answers(pdf, answers, parts if split.any() else None, counts)
 
     return run
 
 
-def _sum_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    blocks = [unpack_arrays(block) for block in pdf["block"]]
-    scores, others = [b for b in blocks if len(b) == 2], [b for b in blocks if len(b) > 2]
-    found = np.unique(np.concatenate([b[0] for b in others]))
-    out = {"doc_id": pd.array(found, dtype="Int64").copy()}
-    for names, parts in ((["score"], scores), (["base", "n", "known", "copies"], others)):
-        ids, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
-        at = np.searchsorted(found, ids)
-        out |= {name: np.bincount(at, weights=v, minlength=len(found)) for name, v in zip(names, values, strict=True)}
-    return pd.DataFrame(out).assign(doc_id=lambda t: t["doc_id"].mask(t["doc_id"] == NO_ID))
+def _split_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for value in pdf["split"]:
+            context, *sums = unpack_arrays(value)
+            yield pd.DataFrame({"context": context} | {f"x{i}": s for i, s in enumerate(sums)})
+
+
+def _absorb_words(totals: Totals, last: bool):
+    def run(own: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
+        number = int(own["block"].iloc[0])
+        ids, lengths, marks, local = unpack_arrays(own["docs"].iloc[0])
+        hashes, _ = unpack_arrays(own["words"].iloc[0])
+        order, segments = _word_buckets(hashes, totals.buckets)
+        answers = dict(zip(answered["bucket"].tolist(), answered["answer"], strict=True))
+        counts, codes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        for bucket, a, b in segments:
+            c, place = unpack_arrays(answers[bucket])
+            counts[order[a:b]] = c
+            codes[order[a:b]] = np.where(c > 0, FIRST_WORD + place.astype(np.int64) * totals.buckets + bucket, UNSEEN)
+        table_, at = np.unique(np.concatenate([[END, START, UNSEEN], codes]), return_inverse=True)
+        counts1 = np.zeros(len(table_), np.int64)
+        counts1[at[3:]] = counts
+        counts1[END] = totals.ends
+        lengths = lengths + np.int32(1)
+        index = np.zeros(int(lengths.sum()), np.int32)
+        is_word = np.ones(len(index), bool)
+        is_word[np.cumsum(lengths) - 1] = False
+        index[is_word] = at[3:][local]
+        p = np.where(counts1 > 0, totals.discounted(1, counts1) / max(totals.n, 1), totals.unseen)
+        block = Block(ids, lengths, marks, index, table_, counts1, np.log10(p)[index])
+        return _result(number, block, totals, last)
+
+    return run
+
+
+def _absorb(order: int, totals: Totals, split, last: bool):
+    def run(own: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
+        number = int(own["block"].iloc[0])
+        block = Block(*unpack_arrays(own["state"].iloc[0]))
+        grams = Grams(block, order, totals)
+        answers = dict(zip(answered["bucket"].tolist(), answered["answer"], strict=True))
+        size = len(grams.first)
+        counts, kept, gone = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+        d = totals.d[order - 1]
+        loss = [(1 - d[r]) * r for r in range(1, K_MAX + 1)]  # what discounting takes from a word seen r times
+        for bucket, a, b in grams.segments:
+            c, *sums, mass = unpack_arrays(answers[bucket])
+            at = grams.order[a:b]
+            counts[at] = c
+            wanted = at[(c == 0) & ~grams.is_split[at]]
+            of = np.cumsum(np.diff(grams.context[wanted], prepend=~grams.context[wanted[:1]]) != 0) - 1
+            kept[wanted], gone[wanted] = sum(x * s for x, s in zip(loss, sums, strict=True))[of], mass[of]
+        hot, *sums, mass = split.value
+        if len(hot):
+            wanted = np.flatnonzero((counts == 0) & grams.is_split)
+            of = np.searchsorted(hot, grams.context[wanted])
+            kept[wanted], gone[wanted] = sum(x * s for x, s in zip(loss, sums, strict=True))[of], mass[of]
+        lower = block.logp[grams.first]
+        alpha = np.maximum(kept / np.maximum(grams.context_count, 1), 1e-12) / np.maximum(1.0 - gone, 1e-12)
+        seen = np.where(counts > 0, totals.discounted(order, counts) / np.maximum(grams.context_count, 1), 1.0)
+        block.logp = block.logp.copy()
+        block.logp[grams.at] = np.where(counts > 0, np.log10(seen), np.log10(alpha) + lower)[grams.inverse]
+        higher = np.zeros(len(block.index), np.int64)
+        higher[grams.at] = counts[grams.inverse]
+        block.counts.append(higher)
+        return _result(number, block, totals, last)
+
+    return run
+
+
+def _result(number: int, block: Block, totals: Totals, last: bool) -> pd.DataFrame:
+    if not last:
+        block.logp = np.where(block.train, 0.0, block.logp)
+        return pd.DataFrame({"block": [number], "state": [block.pack()]})
+    c = block.counts[0]
+    sums = lambda x: np.add.reduceat(x, block.starts)
+    ids = pd.array(block.ids, dtype="Int64").copy()
+    ids[(block.marks & 2) > 0] = pd.NA
+    return pd.DataFrame(
+        {
+            "doc_id": ids, "train": (block.marks & 1) > 0, "n_tokens": block.lengths.astype(np.int64), "n_known": sums((c > 0).astype(np.int64)),
+            "base_score": sums(np.log10((c + 1) / (totals.n + totals.kinds + 1))), "score": sums(block.logp),
+        }
+    )
 
 
 def _free_shuffles(spark: SparkSession) -> None:
@@ -326,60 +406,69 @@ def _free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1 << 17, bucket_tokens: int = 1 << 21) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score), one row an id.
+def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, tokens_a_block: int = 1_000_000, tokens_a_bucket: int = 1_000_000) -> DataFrame:
+    """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score), one row a row of ``docs``.
 
     is_training: boolean column over ``docs``; null counts as true. Null texts are empty
-    (the end token alone). Rows that repeat an id are reported once with their mean;
-    null ids count as one id. No training rows: every word is unseen and both scores are
-    those of one unseen type. Other columns are ignored. Empty table: no rows.
-    max_words: how many of the most frequent words get their codes by broadcast instead of
-    by the join; it changes no result.
+    (the end token alone). Repeated rows and null ids are scored each on its own, and train
+    each. No training rows: every word is unseen and both scores are those of one unseen
+    type. Other columns are ignored. Empty table: no rows. A document is never cut, so a
+    block holds at least one whole text.
+
+    order: longest n-gram. tokens_a_block, tokens_a_bucket: work of one task; they change
+    no result.
     """
     spark = docs.sparkSession
-    broadcast = spark.sparkContext.broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(is_training, F.lit(True)).alias("train"))
-    tokens = materialise(rows.mapInPandas(_tokeniser, TOKEN_SCHEMA), "tokens")
-    totals = tokens.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("ends"), F.lit(0)).alias("ends")).first()
-
-    # a word's code: its place by falling count, from its place in a sorted part and the sizes of the parts before
-    counts = tokens.select("words").mapInPandas(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
-    ranked = materialise(counts.orderBy(F.col("c").desc(), "word").withColumn("place", F.monotonically_increasing_id()), "unigrams")
-    del counts
-    _free_shuffles(spark)
-    part = F.shiftright("place", 33).cast("int")
-    sizes = {r["part"]: r["count"] for r in ranked.groupBy(part.alias("part")).count().collect()}
-    before = np.concatenate([[0], np.cumsum([sizes.get(i, 0) for i in range(max(sizes, default=0))], dtype=np.int64)]).tolist()
-    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in before]), part + 1)
-    codes = ranked.select("word", (F.lit(1) + offset + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("code"))
-    levels = ranked.groupBy("c").agg(F.count("*").alias("kinds")).toPandas()  # at most sqrt(2 n) rows
-    model = Words(levels["c"].to_numpy(np.int64), levels["kinds"].to_numpy(np.int64), int(totals["ends"]))
-    top = codes.where(F.col("code") <= max_words).toPandas().sort_values("word")
-    words, frequent = broadcast(model), broadcast((top["word"].to_numpy(np.int64), top["code"].to_numpy(np.int64)))
-
-    buckets, piece = max(1, -(-int(totals["tokens"] * 1.2) // bucket_tokens)), max(1, bucket_tokens // 8)
-    found = tokens.select("part", "words").mapInPandas(_lookups(frequent), "part long, at int, word long").join(codes, "word").select("part", "at", "code")
-    dealt = tokens.select("part", "docs", "words").groupBy("part").cogroup(found.groupBy("part")).applyInPandas(_dealer(words, frequent, buckets, piece), BLOCK_SCHEMA)
-    counted = materialise(dealt.groupBy("bucket").applyInPandas(_count_bucket, COUNTED_SCHEMA), "pair-buckets")
-
-    del dealt, found
+    tokens = materialise(rows.mapInPandas(_tokeniser(tokens_a_block), TOKEN_SCHEMA), "tokens")
+    whole = tokens.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "ends")]).first()
+    buckets = max(1, -(-int(whole["tokens"]) // tokens_a_bucket))
+    piece = max(1, tokens_a_bucket // 4, int(whole["tokens"]) // MAX_SPLIT)
+
+    answers = materialise(tokens.select("block", "words").mapInPandas(_ask_words(buckets), QUESTION_SCHEMA).groupBy("bucket").applyInPandas(_count_words, ANSWER_SCHEMA), "answers-1")
+    of, kinds = _count_of_counts(answers)
+    ends = int(whole["ends"])
+    of[ends] = of.get(ends, 0.0) + (ends > 0)
+    n = int(whole["trained"]) + ends
+    d = discounts([0.0, *[of.get(r, 0.0) for r in range(1, K_MAX + 2)]])
+    lost = sum((1 - d[r]) * r * of.get(r, 0.0) for r in range(1, K_MAX + 1))
+    totals = Totals(n, kinds + (ends > 0), ends, (d,), max(lost / n, 1e-12) if n else 1.0, buckets, piece)
+    state = tokens.select("block", "docs", "words")
+    result = _joined(state, answers, _absorb_words(totals, order == 1), order == 1)
+    for level in range(2, order + 1):
+        previous, state = state, materialise(result, f"state-{level - 1}")
+        _forget(spark, tokens if level == 2 else previous, answers)
+        answers = materialise(state.mapInPandas(_ask(level, totals), QUESTION_SCHEMA).groupBy("bucket").applyInPandas(_count(level, totals), ANSWER_SCHEMA), f"answers-{level}")
+        _free_shuffles(spark)
+        of, _ = _count_of_counts(answers)
+        totals = Totals(n, totals.kinds, ends, (*totals.d, discounts([0.0, *[of[r] for r in range(1, K_MAX + 2)]])), totals.unseen, buckets, piece)
+        names = [f"x{i}" for i in range(K_MAX + 1)]
+        parts = answers.where(F.col("split").isNotNull()).select("split").mapInPandas(_split_sums, "context long, " + ", ".join(f"{x} double" for x in names))
+        hot = parts.groupBy("context").agg(*[F.sum(x).alias(x) for x in names]).toPandas()  # at most MAX_SPLIT rows
+        contexts = hot["context"].to_numpy(np.int64).view(np.uint64)
+        by = np.argsort(contexts)
+        split = spark.sparkContext.broadcast((contexts[by], *[hot[x].to_numpy(float)[by] for x in names]))
+        result = _joined(state, answers, _absorb(level, totals, split, level == order), level == order)
+    return result.select("doc_id", "train", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _count_of_counts(answers: DataFrame) -> tuple[dict[int, float], int]:
+    row = answers.agg(*[F.coalesce(F.sum(s), F.lit(0.0)).alias(s) for s in STATS]).first()
+    return {r: row[f"s{r}"] for r in range(1, K_MAX + 2)}, int(row["kinds"])
+
+
+def _joined(state: DataFrame, answers: DataFrame, function, last: bool) -> DataFrame:
+    """Every block with all answers to its questions."""
+    own = answers.where(F.col("block").isNotNull()).select("block", "bucket", "answer")
+    return state.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(function, SCORE_SCHEMA if last else STATE_SCHEMA)
+
+
+def _forget(spark: SparkSession, *tables: DataFrame) -> None:
+    for done in tables:
+        drop(done)
     _free_shuffles(spark)
-    drop(tokens)
-    pairs, others = counted.where("bucket >= 0"), counted.where("bucket < 0").select((-1 - F.col("bucket")).alias("bucket"), "block")
-    stats = pairs.mapInPandas(_context_stats(words, piece), "context long, " + ", ".join(f"{c} double" for c in STAT_COLUMNS))
-    stats = stats.groupBy("context").agg(*[F.sum(c).alias(c) for c in STAT_COLUMNS]).toPandas().sort_values("context")  # a bounded number a bucket
-    d = discounts([0.0, *[float(stats[f"n{r}"].sum()) for r in range(1, K_MAX + 2)]])
-    hot = stats[stats["context"] >= 0]
-    mass = sum((d[r] * hot[f"s{r}"].to_numpy(float) for r in range(1, K_MAX + 2)), np.zeros(len(hot)))
-    split = broadcast((d, hot["context"].to_numpy(np.int64), mass, hot["after"].to_numpy(float)))
-    scored = pairs.mapInPandas(_score_blocks(words, split, buckets), BLOCK_SCHEMA).unionByName(others)
-    sums = scored.groupBy("bucket").applyInPandas(_sum_group, "doc_id long, score double, base double, n double, known double, copies double")
-    mean = lambda x: F.col(x) / F.col("copies")
-    return sums.select(
-        "doc_id", F.round(mean("n")).cast("long").alias("n_tokens"), F.round(mean("known")).cast("long").alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"), mean("base").alias("base_score"), mean("score").alias("score")
-    )
 
 
 def op9_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_remainder("doc_id", 7) == 2, F.lit(False))
-    return score_documents(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
+    return score_documents(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", ~F.col("train")).drop("train")

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from terraweave.llm import chat_format, components, katz_lm, language_id, mixing, packing, quality_rules, simhash_dedup, substring_dedup, topk_search, toxicity
+from terraweave.llm import chat_format, components, language_id, mixing, packing, quality_rules, simhash_dedup, substring_dedup, topk_search, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string"
 
@@ -255,65 +255,6 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert sum(p.times for p in patterns) <= optimum(items, 20) + 1
 
 
-@pytest.mark.parametrize("max_words", [1 << 18, 4])
-def test_katz_is_normalised_and_edges(spark, max_words):
-    rng = np.random.default_rng(7)
-    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, 40) if x < 60) for _ in range(60)]
-    df = docs(spark, [*texts, *EDGE])
-    got = {r.doc_id: r for r in katz_lm.score_documents(df, F.col("doc_id") % 7 != 2, max_words=max_words).collect()}
-    assert len(got) == len(texts) + len(EDGE)
-    train = [t for i, t in enumerate([*texts, *EDGE]) if i % 7 != 2]
-    c = collections.Counter(w for t in train for w in [*katz_lm.words_of(t), b""])
-    total, kinds = sum(c.values()), len(c)
-    for i, t in enumerate([*texts, *EDGE]):
-        words = [*katz_lm.words_of(t), b""]
-        assert got[i].n_tokens == len(words) and got[i].n_known == sum(w in c for w in words) and got[i].train_tokens == total
-        assert got[i].base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total * 1.0 + kinds + 1)) for w in words)) and got[i].score < 0
-    if max_words > kinds:
-        # single-word texts: the scores of all first words, the empty text and one unseen word sum to one
-        first = [w.decode() for w in c if w] + ["never-seen"]
-        probe = docs(spark, [*[t or "" for t in train], *first, ""])
-        n = len(train)
-        r = {x.doc_id: x.score for x in katz_lm.score_documents(probe, F.col("doc_id") < n).collect()}
-        # p(w | start) p(end | w) over all w, with p(end | w) from texts "w" alone, is at most one
-        assert 0 < sum(10 ** r[n + k] for k in range(len(first) + 1)) <= 1 + 1e-9
-    assert katz_lm.score_documents(df.limit(0), F.lit(True)).count() == 0
-
-
-def test_katz_equals_brute_force_for_all_words(spark):
-    """Rare words have bigrams of their own; no dictionary size and no dealing of contexts changes a score."""
-    rng = np.random.default_rng(11)
-    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, 50) if x < 500) for _ in range(80)]
-    train = [i % 7 != 2 for i in range(len(texts))]
-    token = [["", *t.split(), ""] for t in texts]
-    uni = collections.Counter(w for k, t in zip(train, token) if k for w in t[1:])
-    pair = collections.Counter(p for k, t in zip(train, token) if k for p in zip(t, t[1:]))
-    of = lambda counts: [0.0, *[float(sum(c == r for c in counts.values())) for r in range(1, katz_lm.K_MAX + 2)]]
-    n, top = sum(uni.values()), katz_lm.K_MAX + 1
-    d1, d2 = katz_lm.discounts(of(uni)), katz_lm.discounts(of(pair))
-    share = {w: d1[min(c, top)] * c / n for w, c in uni.items()}
-    unseen = 1 - sum(share.values())
-
-    def p(h, w):
-        if pair[h, w]:
-            return d2[min(pair[h, w], top)] * pair[h, w] / uni[h]
-        if not uni[h]:
-            return share.get(w, unseen)
-        after = [x for x in uni if pair[h, x]]
-        return (1 - sum(p(h, x) for x in after)) / (1 - sum(share[x] for x in after)) * share.get(w, unseen)
-
-    want = [sum(math.log10(p(h, w)) for h, w in zip(t, t[1:])) for t in token]
-    for max_words, bucket_tokens in ((1 << 17, 1 << 21), (5, 1 << 21), (5, 256), (0, 64)):
-        got = {r.doc_id: r.score for r in katz_lm.score_documents(docs(spark, texts).repartition(3), F.col("doc_id") % 7 != 2, max_words=max_words, bucket_tokens=bucket_tokens).collect()}
-        assert [got[i] for i in range(len(texts))] == pytest.approx(want)
-
-
-def test_array_packing_round_trip():
-    a, b = np.array([3, 9, 9, 2**40], np.int64), np.array([5, 1, 2], np.int32)
-    x, y, z = katz_lm.unpack_arrays(katz_lm.pack_arrays(a, b, np.empty(0, np.int64)))
-    assert (x == a).all() and (y == b).all() and len(z) == 0
-
-
 def test_language_held_out(spark):
     rng = np.random.default_rng(8)
     stems = {"aa": "ba be bi bo bu".split(), "bb": "xti xto xta xte kra".split()}
