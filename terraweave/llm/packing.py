@@ -3,22 +3,23 @@
 Documents are tokenised and ended with one end token; only documents longer than a
 sequence are cut. What is left to pack is a histogram of piece lengths, which has at most
 ``capacity`` entries whatever the size of the corpus. Branch and bound over that
-histogram finds the patterns: around the largest remaining length it enumerates
-undominated fillings of the residual space, repeats each filling as often as the counts
-allow, prunes branches whose waste cannot beat the incumbent, and starts from the
-best-fit decreasing solution as incumbent. Spark then ranks the pieces of each length and
-joins them to their places in the patterns.
+histogram finds the patterns: around the largest remaining length it enumerates, by
+rising waste, the undominated fillings of the residual space, of any number of pieces,
+prunes branches whose waste cannot beat the incumbent, and starts from the best-fit
+decreasing solution as incumbent. Spark then ranks the pieces of each length and joins
+them to their places in the patterns.
 """
 
 from __future__ import annotations
 
-import base64
+import bisect
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,69 +28,110 @@ from terraweave.llm.common import materialise, table
 CAPACITY = 2048
 END_ID = 0
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_WORDS: dict[str, dict] = {}  # of each vocabulary: this worker's cache from words to their ids
+SLICE_BYTES = 4 << 20
+ROWS_A_BUCKET = 1_000_000
+_WORDS: dict[str, Tokeniser] = {}  # of each vocabulary: this worker's tokeniser with its cache
+#: Texts in which a word may begin elsewhere than at a space before a non-space.
+_OTHER_SPACES = r"  | $| [\t\n\v\f\r]|[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
-class WordIds(dict):
-    """Cache from a stretch of text between spaces to its token ids as little-endian bytes."""
+class Tokeniser:
+    """Token ids of whole texts, with a bounded cache from stretches between spaces to ids.
 
-    def __init__(self, vocabulary: str, limit: int = 300_000):
-        import public_tokenizers
-        import tiktoken
-
-        with open(vocabulary, "rb") as file:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        self.encode = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.limit = limit
-
-    def __missing__(self, stretch: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        found = self[stretch] = np.array(self.encode(stretch), "<u4").tobytes()
-        return found
+    A space that a non-space follows always begins a new word for a byte-level vocabulary,
+    so stretches are encoded on their own, distinct ones once. Texts with other white
+    space after a space, or with a control string, are encoded in one go.
+    """
 
+    def __init__(self, vocabulary: str, limit: int = 1_000_000):
+        from tokenizers import Tokenizer
 
-def token_bytes(text: str, words: WordIds) -> bytes:
-    """Ids of the whole text as little-endian 32-bit words.
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.controls = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cache: dict[str, np.ndarray] = {}
+        self.limit = limit
 
-    A space that a non-space follows always begins a new word for this vocabulary's
-    pattern, so stretches are encoded on their own and cached; texts with other runs of
-    white space after a space are encoded in one go.
-    """
-    if "  " in text or text.endswith(" ") or any(f" {c}" in text for c in "\n\t\r\x0b\x0c") or not text.isprintable() and any(c.isspace() and c not in " \n\t\r\x0b\x0c" for c in text):
-        return np.array(words.encode(text), "<u4").tobytes()
-    first, *rest = text.split(" ")
-    return words[first] + b"".join([words[" " + x] for x in rest])
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def cached(self, stretches: list[str]) -> list[np.ndarray]:
+        new = [x for x in dict.fromkeys(stretches) if x not in self.cache]
+        if len(self.cache) + len(new) > self.limit:
+            self.cache.clear()
+            new = list(dict.fromkeys(stretches))
+        self.cache.update(zip(new, self.encode(new), strict=True))
+        return [self.cache[x] for x in stretches]
+
+    def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts``, each text ended with ``end_id``, and the number of ids of each."""
+        odd = pc.match_substring_regex(texts, _OTHER_SPACES).to_numpy(zero_copy_only=False)
+        for control in self.controls:
+            odd |= pc.match_substring(texts, control).to_numpy(zero_copy_only=False)
+        regular = pc.if_else(pa.array(odd), "", texts)
+        parts = pc.split_pattern(regular, " ")
+        flat = parts.flatten().dictionary_encode()
+        code = flat.indices.to_numpy().astype(np.int64)
+        offsets = parts.offsets.to_numpy().astype(np.int64)
+        firsts = offsets[:-1]
+        distinct = flat.dictionary.to_pylist()
+        ids = self.cached([" " + x for x in distinct])
+        whole = np.flatnonzero(odd)
+        # the first stretch of a text has no space before it; of an odd text it is the whole text
+        ids += self.cached([distinct[c] for c in code[firsts].tolist()])
+        code[firsts] = len(distinct) + np.arange(len(firsts))
+        for row, encoded in zip(whole.tolist(), self.encode(texts.take(pa.array(whole)).to_pylist()), strict=True):
+            ids[len(distinct) + row] = encoded
+        ids.append(np.array([end_id], np.uint32))
+        every = np.full(len(code) + len(firsts), len(ids) - 1, np.int64)
+        is_end = np.zeros(len(every), bool)
+        is_end[offsets[1:] + np.arange(len(firsts))] = True
+        every[~is_end] = code
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        starts = np.cumsum(lengths) - lengths
+        n = lengths[every]
+        upto = np.cumsum(n)
+        out = np.concatenate(ids)[np.repeat(starts[every] - upto + n, n) + np.arange(int(n.sum()))]
+        return out, np.diff(upto[is_end], prepend=0)
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows with at most ``most`` bytes of text, or one row."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+        yield start, end
+        start = end
 
 
 def _tokeniser(vocabulary: str, capacity: int, end_id: int):
-    end = int(end_id).to_bytes(4, "little")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _WORDS.get(vocabulary)
-        if words is None:
-            words = _WORDS[vocabulary] = WordIds(vocabulary)
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"], strict=True):
-                ids = (token_bytes(text, words) if isinstance(text, str) and text else b"") + end
-                total = len(ids) // 4
-                start, piece = 0, 0
-                while start < total:
-                    # the first piece takes the remainder, so that all others are full
-                    length = min(capacity, total) if start or total % capacity == 0 else total % capacity
-                    rows.append((doc_id, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
-                    start, piece = start + length, piece + 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = pd.array(out["doc_id"], dtype="Int64") if len(out) else out["doc_id"]
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokeniser = _WORDS.get(vocabulary)
+        if tokeniser is None:
+            tokeniser = _WORDS[vocabulary] = Tokeniser(vocabulary)
+        for batch in batches:
+            texts = pc.fill_null(batch["text"].cast(pa.large_string()), "")
+            for first, after in _slices(texts, SLICE_BYTES):
+                ids, lengths = tokeniser.ids(texts.slice(first, after - first), end_id)
+                rows, at = [], 0
+                for row, total in enumerate(lengths.tolist(), first):
+                    start, piece = 0, 0
+                    while start < total:
+                        # the first piece takes the remainder, so that all others are full
+                        length = min(capacity, total) if start or total % capacity == 0 else total % capacity
+                        rows.append((row, piece, start, length, zlib.crc32(ids[at + start : at + start + length].astype("<u4"))))
+                        start, piece = start + length, piece + 1
+                    at += total
+                row, *columns = zip(*rows, strict=True)
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(row)), *map(pa.array, columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_tokeniser(vocabulary, capacity, end_id), PIECE_SCHEMA)
+    return rows.mapInArrow(_tokeniser(vocabulary, capacity, end_id), PIECE_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -100,53 +142,64 @@ class Pattern:
     times: int
 
 
-def _best_pairs(have: np.ndarray, counts: np.ndarray, room: int, cap: int, width: int) -> list[tuple[int, int]]:
-    """Pairs (a, b), cap >= a >= b, of the largest sums within ``room``, best first."""
-    first = have[(have <= cap) & (have < room)]
-    if len(first) == 0:
-        return []
-    partner = np.searchsorted(have, np.minimum(first, room - first), "right") - 1
-    # a pair of equal lengths needs two pieces
-    alone = (partner >= 0) & (have[partner] == first) & (counts[first] < 2)
-    partner = partner - alone
-    ok = partner >= 0
-    first, partner = first[ok], partner[ok]
-    sums = first + have[partner]
-    order = np.lexsort((-first, -sums))[:width]
-    return list(zip(first[order].tolist(), have[partner[order]].tolist(), strict=True))
-
-
-def _fillings(counts: np.ndarray, room: int, slack: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first, at most ``width`` of them.
-
-    A piece dominates any set of pieces whose sum it reaches, so pairs are enumerated only
-    where they leave less waste than the best single piece, triples only where they leave
-    less than the best pair; what then remains is filled greedily.
+def fillings(counts: list[int], room: int, slack: int, spend: Callable[[], None] = lambda: None) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings of ``room`` by rising waste, up to a waste of ``slack``.
+
+    Lazy, without a limit on their number or on the pieces of one. A filling is dominated
+    if a set of its pieces can be exchanged for one larger left-out piece (or one as large
+    as several): what that piece frees elsewhere takes the set in. What a left-out piece
+    dominates is cut off as soon as it is left out. ``spend`` is called at every step.
     """
-    have = np.flatnonzero(counts[: room + 1] > 0) if room > 0 else np.empty(0, np.int64)
-    if len(have) == 0:
-        return [()]
-    single = int(have[-1])
-    found = {(single,)}
-    if single < room:
-        pairs = _best_pairs(have, counts, room, room, width)
-        found |= {p for p in pairs if sum(p) > single}
-        best = max(map(sum, found))
-        if best < room:
-            for a in have[::-1][:24].tolist():
-                for p in _best_pairs(have, counts, room - a, a, 2):
-                    if counts[a] > p.count(a) and a + sum(p) > best:
-                        found.add((a, *p))
-            best = max(map(sum, found))
-        if best < room:
-            left, greedy = room, []
-            for x in have[::-1].tolist():
-                n = min(int(counts[x]), left // x)
-                greedy += [x] * n
-                left -= n * x
-            found.add(tuple(greedy))
-    ordered = sorted(found, key=lambda f: (room - sum(f), len(f), tuple(-x for x in f)))
-    return [f for i, f in enumerate(ordered[:width]) if i == 0 or room - sum(f) <= slack]
+    lengths = [x for x in range(min(room, len(counts) - 1), 0, -1) if counts[x]]
+    full = (1 << room + 1) - 1
+    reach = [1]  # sums that the smallest lengths make, as bits
+    for x in reversed(lengths):
+        sums, left, step = reach[-1], min(counts[x], room // x), 1
+        while left:
+            step = min(step, left)
+            sums |= sums << x * step & full
+            left, step = left - step, step * 2
+        reach.append(sums)
+    reach.reverse()
+
+    def exact(i: int, rest: int, waste: int, single: int, several: int, equal: int, below: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of ``rest`` from lengths[i:]. ``single``, ``several``: sums of one chosen piece, and of more;
+        ``below``: sums that a left-out piece beats within the waste, ``equal``: these and the piece's own length."""
+        spend()
+        if not rest:
+            yield ()
+            return
+        start = bisect.bisect_left(lengths, -rest, key=lambda x: -x)
+        for k in range(i, start):  # too large for the rest, so left out
+            equal, below = _beats(lengths[k], waste, equal, below)
+        i = max(i, start)
+        while i < len(lengths) and reach[i] >> rest & 1:
+            x = lengths[i]
+            more = min(counts[x], rest // x)
+            for n in range(more, -1, -1):
+                if n < counts[x]:  # pieces of this length are left out from here on
+                    equal, below = _beats(x, waste, equal, below)
+                if n == 0:
+                    break
+                ones, sums = single, several
+                for _ in range(n):
+                    ones, sums = ones | 1 << x, sums | (ones | sums) << x
+                left = rest - n * x
+                if reach[i + 1] >> left & 1 and not (ones & below or sums & equal or left and (1 | ones | sums) << left & equal):
+                    for others in exact(i + 1, left, waste, ones, sums, equal, below):
+                        yield (x,) * n + others
+            i += 1
+            if (1 | single | several) << rest & equal:
+                return
+
+    for waste in range(min(room, slack) + 1):
+        if reach[0] >> room - waste & 1:
+            yield from exact(0, room - waste, waste, 0, 0, 0, 0)
+
+
+def _beats(piece: int, waste: int, equal: int, below: int) -> tuple[int, int]:
+    lower = (1 << waste) - 1 << piece >> waste
+    return equal | lower | 1 << piece, below | lower
 
 
 def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[Pattern]:
@@ -184,32 +237,59 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[Patter
     return [Pattern(c, n) for c, n in bins.items()]
 
 
-def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int = 8_000, width: int = 8) -> list[Pattern]:
-    """Bin completion by branch and bound over a histogram of lengths.
+def lower_bound(histogram: dict[int, int], capacity: int) -> int:
+    """No packing has fewer bins: the total, or pieces over half a bin with what they can't share (for every threshold)."""
+    counts = np.zeros(capacity + 2, np.int64)
+    for length, n in histogram.items():
+        counts[length] = n
+    upto, mass = np.cumsum(counts), np.cumsum(counts * np.arange(capacity + 2))
+    best, half = -(-int(mass[-1]) // capacity), capacity // 2
+    for least in range(1, half + 1):
+        # pieces above capacity - least are alone; those above half are one a bin, and leave room for pieces from ``least`` on
+        alone, large = int(upto[capacity] - upto[capacity - least]), int(upto[capacity - least] - upto[half])
+        room = large * capacity - int(mass[capacity - least] - mass[half])
+        best = max(best, alone + large + max(0, -(-(int(mass[half] - mass[least - 1]) - room) // capacity)))
+    return best
 
-    Stops at the lower bound ceil(total / capacity), or after ``max_nodes`` nodes with the
-    best solution so far.
+
+class _Stopped(Exception):
+    """The search has used up its nodes."""
+
+
+def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int | None = None) -> tuple[list[Pattern], int]:
+    """Bin completion by branch and bound over a histogram of lengths: patterns and the proven lower bound.
+
+    A filling is repeated as often as the counts allow, or once: between them these two
+    choices reach every packing. The search ends at the lower bound, when it is exhausted
+    (then the incumbent is optimal and is the bound), or after ``max_nodes`` nodes.
     """
     incumbent = best_fit_decreasing(histogram, capacity)
     total = sum(length * n for length, n in histogram.items())
-    bound = -(-total // capacity)
+    bound = lower_bound(histogram, capacity)
     best = sum(p.times for p in incumbent)
-    counts = np.zeros(capacity + 1, np.int64)
+    counts = [0] * (capacity + 1)
     for length, n in histogram.items():
         counts[length] = n
     waste, used, nodes = 0, 0, 0
-    path: list[tuple[Pattern, int]] = []
-    trail: list[list[tuple[int, ...]]] = []  # untried fillings at each depth
 
-    def allowed() -> int:
-        return (best - 1) * capacity - total
+    def spend() -> None:
+        nonlocal nodes
+        nodes += 1
+        if max_nodes is not None and nodes > max_nodes:
+            raise _Stopped
 
-    def options() -> list[tuple[int, ...]]:
-        largest = int(np.flatnonzero(counts)[-1])
-        counts[largest] -= 1
-        fills = _fillings(counts, capacity - largest, max(0, allowed() - waste), width)
-        counts[largest] += 1
-        return [(largest, *f) for f in reversed(fills)]
+    path: list[tuple[Pattern, int]] = []
+    trail: list[Iterator[tuple[tuple[int, ...], bool]]] = []  # untried choices at each depth
+
+    def options() -> Iterator[tuple[tuple[int, ...], bool]]:
+        largest = next(x for x in range(capacity, 0, -1) if counts[x])
+        left = list(counts)
+        left[largest] -= 1
+        for filling in fillings(left, capacity - largest, max(0, (best - 1) * capacity - total - waste), spend):
+            lengths = (largest, *filling)
+            yield lengths, True
+            if all(left[x] + (x == largest) >= 2 * lengths.count(x) for x in set(lengths)):
+                yield lengths, False
 
     def undo() -> None:
         nonlocal waste, used
@@ -221,17 +301,20 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int = 8_0
 
     if total:
         trail.append(options())
-    while trail and best > bound and nodes < max_nodes:
-        if not trail[-1]:
+    while trail and best > bound:
+        try:
+            choice = next(trail[-1], None)
+        except _Stopped:
+            break
+        if choice is None:
             trail.pop()
             if path:
                 undo()
             continue
-        lengths = trail[-1].pop()
-        nodes += 1
+        lengths, repeated = choice
         lost = capacity - sum(lengths)
-        times = min(int(counts[x]) // lengths.count(x) for x in set(lengths))
-        room = allowed() - waste
+        room = (best - 1) * capacity - total - waste
+        times = min(counts[x] // lengths.count(x) for x in set(lengths)) if repeated else 1
         if lost and times * lost > room:
             times = room // lost  # as often as the waste bound allows
         if times <= 0:
@@ -241,12 +324,13 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int = 8_0
         path.append((Pattern(lengths, times), times * lost))
         waste += times * lost
         used += times
-        if not counts.any():
-            incumbent, best = [p for p, _ in path], used
+        if not any(counts):
+            if used < best:
+                incumbent, best = [p for p, _ in path], used
             undo()
         else:
             trail.append(options())
-    return incumbent
+    return incumbent, bound if trail and best > bound else best
 
 
 def plan_rows(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int]]:
@@ -264,46 +348,55 @@ def plan_rows(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, in
     return rows
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, max_nodes: int = 8_000, buckets: int = 64) -> DataFrame:
-    """``pieces`` with sequence_id and offset (gapless from 0 in every sequence).
+def pack(pieces: DataFrame, capacity: int = CAPACITY, max_nodes: int | None = 200_000) -> DataFrame:
+    """``pieces`` with sequence_id, offset (gapless from 0 in every sequence), n_sequences and lower_bound.
+
+    n_sequences: of the whole packing; lower_bound: proven least number, so the difference
+    is what a longer search (``max_nodes``, None: until it ends) could save at most.
 
-    Ranks inside a length are counted in two levels (hash bucket, then row), so a length
-    that a third of all pieces share is spread over ``buckets`` tasks. What the driver
-    sees is the histogram (at most ``capacity`` rows); what is broadcast is the plan (a
-    few rows for each pattern) and the bucket counts (capacity * buckets rows at most).
+    Ranks inside a length are counted in two levels (hash bucket, then row), with a bucket
+    for every million pieces of the length, so a length that a third of all pieces share is
+    spread. What the driver sees is the histogram (at most ``capacity`` rows). Broadcast
+    are the plan (at most ``max_nodes`` patterns with their lengths) and the sizes of
+    buckets (``capacity`` rows and one for each million pieces).
     """
     spark = pieces.sparkSession
-    bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
-    sizes = materialise(bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n")), "pack-sizes")
-    histogram = {int(r["length"]): int(r["n"]) for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    rows = plan_rows(complete_bins(histogram, capacity, max_nodes))
-    plan = spark.createDataFrame(rows or [(0, 0, 0, 0, 1, 0)], "p_length long, p_first long, p_last long, p_sequence long, p_each long, p_offset long")
+    histogram = {int(r["length"]): int(r["count"]) for r in pieces.groupBy("length").count().collect()}
+    patterns, bound = complete_bins(histogram, capacity, max_nodes)
+    plan = spark.createDataFrame(plan_rows(patterns) or [(0, 0, 0, 0, 1, 0)], "p_length long, p_first long, p_last long, p_sequence long, p_each long, p_offset long")
+    spread = spark.createDataFrame([(x, -(-n // ROWS_A_BUCKET)) for x, n in histogram.items()] or [(0, 1)], "length long, spread long")
+    bucketed = pieces.join(F.broadcast(spread), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "spread")).drop("spread")
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    starts = bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     ranked = bucketed.withColumn("row", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")))
     ranked = ranked.join(F.broadcast(starts), ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("row") - 1)
     placed = ranked.join(F.broadcast(plan), (F.col("length") == F.col("p_length")) & F.col("rank").between(F.col("p_first"), F.col("p_last")))
     nth = F.col("rank") - F.col("p_first")
     sequence = F.col("p_sequence") + F.floor(nth / F.col("p_each")).cast("long")
-    return placed.select(*pieces.columns, sequence.alias("sequence_id"), (F.col("p_offset") + nth % F.col("p_each") * F.col("length")).alias("offset"))
+    return placed.select(
+        *pieces.columns, sequence.alias("sequence_id"), (F.col("p_offset") + nth % F.col("p_each") * F.col("length")).alias("offset"),
+        F.lit(sum(p.times for p in patterns)).cast("long").alias("n_sequences"), F.lit(bound).cast("long").alias("lower_bound"),
+    )
 
 
 def default_vocabulary() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+def pack_documents(
+    docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, max_nodes: int | None = 200_000
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, n_sequences, lower_bound.
 
     Null and empty texts are one end token. Null ids stay null. Repeated rows are packed
-    each. Control strings in a text are ordinary text. Other columns are ignored; an empty
-    table gives no rows. vocabulary: path of the ranks file on every executor; its ids are
-    those of the JSON file of the same vocabulary.
+    each. Control strings in a text become their ids, as the vocabulary's library has it
+    with add_special_tokens=False. Other columns are ignored; an empty table gives no rows.
+    vocabulary: path of a byte-level vocabulary of the tokenizers library on every executor.
     """
     pieces = materialise(pieces_of(docs, vocabulary or default_vocabulary(), id_col, text_col, capacity, end_id), "pieces")
-    return pack(pieces, capacity)
+    return pack(pieces, capacity, max_nodes)
 
 
 def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,7 +207,6 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     texts = [*EDGE, "a  b   c \n d\t e ", "it's we'll  <|endoftext|> 12 3.5!", " wide   space", "tail "]
     got = collections.defaultdict(list)
     sequences = collections.defaultdict(list)
@@ -249,10 +248,11 @@ def test_bin_completion_is_optimal_on_small_cases():
     rng = np.random.default_rng(6)
     for _ in range(40):
         items = sorted(rng.integers(1, 21, 9).tolist(), reverse=True)
-        patterns = packing.complete_bins(dict(collections.Counter(items)), 20)
+        patterns, bound = packing.complete_bins(dict(collections.Counter(items)), 20)
         packed = sorted((x for p in patterns for x in p.lengths * p.times), reverse=True)
         assert packed == items and all(sum(p.lengths) <= 20 for p in patterns)
-        assert sum(p.times for p in patterns) <= optimum(items, 20) + 1
+        assert sum(p.times for p in patterns) == bound == optimum(items, 20)
+        assert packing.lower_bound(dict(collections.Counter(items)), 20) <= bound
 
 
 def test_language_held_out(spark):
