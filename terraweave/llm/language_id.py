@@ -35,18 +35,27 @@ def build_dictionaries(labelled: DataFrame, lang_col: str = "lang", text_col: st
     The labelled sample is bounded: per language enough passages of ``doc_chars``
     characters, one for each of the texts with the smallest hashes and at a place in the
     text that the hash gives, so the choice does not depend on order or partitioning and
-    repeated texts count once. ``max_languages`` bounds what reaches the
-    driver (more raises an error). Rows with a null text or language are not used.
+    repeated texts count once. Passages are cut, and those of a language with many texts
+    thinned to a few times the number wanted by a bound on the hash, before they are
+    ranked, so what reaches one task does not grow with the input. ``max_languages``
+    bounds what reaches the driver (more raises an error). Rows with a null text or
+    language are not used, nor is a language without a letter in its passages. No rows: no
+    dictionaries.
     """
     wanted = max(1, 2 * dict_bytes // doc_chars)  # short texts fill less
-    rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(F.trim(F.col(text_col))) > 0)).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= wanted)
-    start = F.pmod("h", F.greatest(F.lit(1), F.length("text") - doc_chars + 1)).cast("int") + 1
-    ranked = ranked.select("lang", "h", F.substring("text", start, F.lit(doc_chars)).alias("piece"))
-    chosen = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("h", "piece"))).alias("pieces")).limit(max_languages + 1).collect()
-    if len(chosen) > max_languages:
+    rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(F.trim(F.col(text_col))) > 0)).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    kinds = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(max_languages + 1).collect()
+    if len(kinds) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    return {r["lang"]: b" ".join(dict.fromkeys(letters_only(p["piece"]) for p in r["pieces"]))[:dict_bytes] for r in sorted(chosen, key=lambda r: r["lang"])}
+    # four times as many as wanted are expected below the bound; small languages have none
+    bounds = labelled.sparkSession.createDataFrame([(r["lang"], (1 << 63) - 1 if r["n"] <= 8 * wanted else int(4 * wanted / r["n"] * 2**63)) for r in kinds], "lang string, bound long")
+    place = F.shiftrightunsigned("h", 1)
+    start = F.pmod("h", F.greatest(F.lit(1), F.length("text") - doc_chars + 1)).cast("int") + 1
+    passages = rows.join(F.broadcast(bounds), "lang").where(place <= F.col("bound")).select("lang", "h", F.substring("text", start, F.lit(doc_chars)).alias("piece")).dropDuplicates(["lang", "h"])
+    ranked = passages.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "h"))).where(F.col("n") <= wanted)
+    chosen = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("n", "piece"))).alias("pieces")).collect()
+    found = {r["lang"]: b" ".join(filter(None, dict.fromkeys(letters_only(p["piece"]) for p in r["pieces"])))[:dict_bytes] for r in sorted(chosen, key=lambda r: r["lang"])}
+    return {lang: content for lang, content in found.items() if content}
 
 
 def _predictor(dictionaries: dict[str, bytes], chunk_bytes: int, level: int, min_margin: float):
@@ -81,7 +90,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     margin: how much larger the second smallest encoding is, as a share; score rises with
     it from 0 to 1 and is 0.5 at ``min_margin``; rejected: margin below that. Equal sizes
     go to the first language by name. Null text, a text without a letter, or no
-    dictionary at all: ``und``, score 0, rejected. Repeated rows give repeated results.
+    dictionary at all: ``und``, score 0, rejected. Null ids stay null, repeated rows give
+    repeated results, an empty table none.
     The dictionaries (bounded when built) travel with the task.
     """
     rows = docs.selectExpr(f"cast({id_col} as long) as doc_id", f"{text_col} as text")
