@@ -85,15 +85,25 @@ def expand(chats: DataFrame) -> DataFrame:
 
 
 def read_back(chats: DataFrame) -> DataFrame:
-    """Digests of what the formatted output says, parsed from the text and spans alone."""
+    """Digests of what the examples say, read back from the rows of ``expand``.
+
+    Turns are parsed from the last example of a conversation, which holds them all; the
+    text under the loss mask comes from the target of every example, in order. Examples of
+    a conversation are grouped where they were made, so they aren't shuffled.
+    """
+    rows = expand(chats)
+    reply = F.struct("example", unescape(F.col("target")).alias("text"))
+    whole = rows.groupBy("conv_id").agg(
+        F.max_by("formatted", "example").alias("formatted"),
+        F.array_sort(F.collect_list(F.when(F.col("target").isNotNull(), reply))).alias("replies"),
+        F.sum(F.length("formatted").cast("bigint")).alias("formatted_chars"),
+    )
     # a turn opens with the control string; inside data every "<|" is escaped
-    turns = F.filter(F.split("transcript", r"\Q" + TURN_OPEN + r"\E"), lambda t, i: i > 0)
+    turns = F.filter(F.split("formatted", r"\Q" + TURN_OPEN + r"\E"), lambda t, i: i > 0)
     head = r"(?s)^((?:[^\\\n]|\\.)*)\n"
     parsed = F.transform(turns, lambda t: F.struct(unescape(F.regexp_extract(t, head, 1)).alias("role"), unescape(F.regexp_replace(F.substring(t, F.lit(1), F.length(t) - len(TURN_CLOSE)), head, "")).alias("text")))
-    loss = F.array_join(
-        F.transform(F.filter("examples", lambda e: e["target_start"].isNotNull()), lambda e: unescape(F.substring(F.col("transcript"), (e["target_start"] + 1).cast("int"), e["target_length"].cast("int")))), ""
-    )
-    return chats.select("conv_id", parsed.alias("parsed"), loss.alias("loss"), F.aggregate("examples", F.lit(0).cast("bigint"), lambda a, e: a + e["end"]).alias("formatted_chars")).select(
+    loss = F.array_join(F.transform("replies", lambda r: r["text"]), "")
+    return whole.select("conv_id", parsed.alias("parsed"), loss.alias("loss"), "formatted_chars").select(
         "conv_id",
         F.size("parsed").cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(F.transform("parsed", lambda p: F.concat(p["role"], F.lit("\n"), p["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
