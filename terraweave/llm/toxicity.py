@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraweave.llm.common import id_remainder, table
+from terraweave.llm.common import drop, id_remainder, materialise, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, score double, predicted int, evidence double, n_segments int, segments array<struct<start:int,length:int,weight:double>>"
@@ -34,7 +34,7 @@ def tokens_of(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    weights: dict[str, float]  # tokens whose weight differs from the default, at most max_terms
+    weights: dict[str, float]  # tokens whose weight differs from the default
     default: float
     lam: float
     k: float
@@ -45,7 +45,9 @@ class Model:
 def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments [start, end) by the linear-time stack algorithm.
 
-    Runs of one sign are joined first, so the Python loop is over runs.
+    Runs of one sign are joined first, so the Python loop is over runs. Every segment on
+    the stack knows its nearest earlier one with a smaller total before it; the search for
+    a partner jumps along these links and never looks at the others again.
     """
     positive = weights > 0
     if not positive.any():
@@ -53,23 +55,24 @@ def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
     edges = np.concatenate([[0], np.flatnonzero(positive[1:] != positive[:-1]) + 1])
     sums = np.add.reduceat(weights, edges)
     ends = np.append(edges[1:], len(weights))
-    stack: list[tuple[int, int, float, float]] = []  # start, end, total before, total after
+    stack: list[tuple[int, int, float, float, int]] = []  # start, end, total before, total after, link
     total = 0.0
     for start, end, s in zip(edges.tolist(), ends.tolist(), sums.tolist(), strict=True):
         before, total = total, total + s
         if s <= 0:
             continue
-        new = (start, end, before, total)
+        j = len(stack) - 1
         while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= new[3]:
-                stack.append(new)
+            while j >= 0 and stack[j][2] >= before:
+                j = stack[j][4]
+            if j < 0 or stack[j][3] >= total:
                 break
-            new = (stack[j][0], new[1], stack[j][2], new[3])
+            start, before = stack[j][0], stack[j][2]
+            link = stack[j][4]
             del stack[j:]
-    return [(start, end, after - before) for start, end, before, after in stack]
+            j = link
+        stack.append((start, end, before, total, j))
+    return [(start, end, after - before) for start, end, before, after, _ in stack]
 
 
 def squash(evidence):
@@ -124,7 +127,8 @@ def _scorer(model: Model, threshold: float, with_segments: bool):
 
 
 def known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    return labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), (F.col(label_col) != 0).alias("toxic")).distinct()
+    """One row a labelled id; where labels disagree, toxic wins."""
+    return labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(F.col(label_col) != 0).alias("toxic"))
 
 
 def bounded_sample(labels: DataFrame, id_col: str, label_col: str, per_class: int) -> DataFrame:
@@ -136,12 +140,13 @@ def bounded_sample(labels: DataFrame, id_col: str, label_col: str, per_class: in
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    per_class: int = 10000, max_terms: int = 20000, min_z: float = 3.0, drift: float = 1.0, prior_share: float = 0.05,
+    per_class: int = 10000, min_z: float = 3.0, drift: float = 1.0, prior_share: float = 0.05,
 ) -> Model:
     """Fit on a bounded sample: at most ``per_class`` labelled documents of each class.
 
-    The sample's ids (at most 2 * per_class longs) are broadcast, so no text is shuffled.
-    Terms with \\|z\\| >= min_z get their own log-odds, at most ``max_terms`` by \\|z\\|; the
+    The sample's ids (at most 2 * per_class longs) are broadcast, so no text is shuffled,
+    and its texts are written once. All terms with \\|z\\| >= min_z get their own log-odds;
+    such a term stands in several documents of the sample, which bounds their number. The
     rest weigh -drift. In the logistic curve the classes weigh as all labels have them,
     however many are sampled. The prior weighs ``prior_share`` of the sample's tokens. Without documents of both classes every score is the prior 0.5 or
     below. Labels of unknown documents and null labels are ignored.
@@ -150,8 +155,9 @@ def fit(
     all_labels = known_labels(labels, id_col, label_col).groupBy("toxic").count().collect()
     # how many labelled documents a sampled one of the class stands for
     stands_for = {r["toxic"]: r["count"] / min(r["count"], per_class) for r in all_labels}
-    train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(sample, F.col("doc_id") == F.col("_id")).drop("_id")
-    counts = train.select("text", "toxic").mapInPandas(_counter(), "token string, c1 long, c0 long").groupBy("token").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
+    train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(sample, F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    train = materialise(train, "toxicity-sample")
+    counts = train.mapInPandas(_counter(), "token string, c1 long, c0 long").groupBy("token").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
     totals = counts.agg(F.sum("c1").alias("n1"), F.sum("c0").alias("n0")).first()
     n1, n0 = totals["n1"] or 0, totals["n0"] or 0
     if not n1 or not n0:
@@ -161,7 +167,7 @@ def fit(
     odds = lambda c, n: F.log((F.col(c) + prior) / (F.lit(n + prior_tokens) - F.col(c) - prior))
     delta = odds("c1", n1) - odds("c0", n0)
     z = delta / F.sqrt(1 / (F.col("c1") + prior) + 1 / (F.col("c0") + prior))
-    terms = counts.withColumn("delta", delta).withColumn("z", z).where(F.abs("z") >= min_z).orderBy(F.abs(F.col("z")).desc(), "token").limit(max_terms).collect()
+    terms = counts.withColumn("delta", delta).withColumn("z", z).where(F.abs("z") >= min_z).orderBy("token").collect()
     weights = {r["token"]: r["delta"] - drift for r in terms}
     clean = np.array([r["c0"] for r in terms], float) / n0
     lam = _solve_lambda(clean, np.array([weights[r["token"]] for r in terms]), -drift)
@@ -174,6 +180,7 @@ def fit(
     seen = train.mapInPandas(_evidence_scorer(model), "toxic boolean, evidence double").toPandas()
     toxic = seen["toxic"].to_numpy(bool)
     a, b = _logistic(seen["evidence"].to_numpy(float), toxic.astype(float), np.where(toxic, stands_for.get(True, 1.0), stands_for.get(False, 1.0)))
+    drop(train)
     return Model(weights, -drift, lam, k, a, b)
 
 
@@ -232,8 +239,8 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """(doc_id, score, predicted, evidence, n_segments, segments) of every whole text.
 
     segments: code point spans of the significant passages. Null or empty texts have no
-    evidence and get the score of a text without toxic words. Repeated rows give repeated
-    results; other columns are ignored.
+    evidence and get the score of a text without toxic words. Null ids stay null. Repeated
+    rows give repeated results; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(_scorer(model, threshold, with_segments), SCHEMA)

@@ -2,25 +2,16 @@
 
 import collections
 import math
+import time
 import zlib
 
 import numpy as np
 import pytest
 import xxhash
+from edges import DOCS, EDGE, docs
 from pyspark.sql import functions as F
 
-from terraweave.llm import chat_format, components, language_id, mixing, packing, quality_rules, simhash_dedup, substring_dedup, topk_search, toxicity
-
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string"
-
-
-def docs(spark, texts):
-    rows = [(i, t, "en", f"s{i % 3}" if i % 4 else None, len(t or ""), "clash") for i, t in enumerate(texts)]
-    return spark.createDataFrame(rows, DOCS)
-
-
-EDGE = [None, "", " \n\t", "word", "a b c d e f", "a b c d e f", "x " * 30000, "é ü ñ", "The same line is here again.\nThe same line is here again."]
-
+from terraweave.llm import components, mixing, packing, simhash_dedup, topk_search, toxicity
 
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
@@ -62,30 +53,6 @@ def test_threshold_search_stops_early():
     assert rows.tolist() == [999, 998, 997, 996, 995] and sum(seen) < 100
 
 
-def test_substring_dedup_keeps_first_and_offsets(spark):
-    texts = ["One two three four. Alpha beta gamma delta.", "alpha  beta gamma delta. Own words stand here.", None, "", "Too short. Too short."]
-    out = {r.doc_id: r for r in substring_dedup.dedup_substrings(docs(spark, texts)).collect()}
-    assert out[0].text == texts[0] and out[1].text == " Own words stand here." and out[2].text is None and out[4].text == texts[4]
-    assert [(s.start, s.length) for s in out[1].removed] == [(0, 24)]
-    assert out[1].score == "clash"
-    edge = docs(spark, EDGE)
-    assert substring_dedup.dedup_substrings(edge).count() == len(EDGE) and substring_dedup.dedup_substrings(edge.limit(0)).count() == 0
-
-
-def test_quality_counts_equal_brute_force(spark):
-    got = {r.doc_id: r for r in quality_rules.quality(docs(spark, EDGE)).collect()}
-    for i, t in enumerate(EDGE):
-        words = (t or "").encode().split()
-        seen = collections.Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
-        repeat = {j for k in range(len(words) - 2) if seen[tuple(words[k : k + 3])] > 1 for j in range(k, k + 3)}
-        assert (got[i].n_words, got[i].n_repeat_words) == (len(words), len(repeat))
-    assert got[6].verdict == "repetitive" and got[8].n_dup_lines == 1 and not got[0].kept
-    import base64
-
-    noise = base64.b64encode(np.random.default_rng(1).bytes(6000)).decode()
-    assert quality_rules.quality(docs(spark, [noise])).first().verdict == "incompressible"
-
-
 def test_mixing_meets_budget(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 5)), "en", "big" if i % 4 else f"s{i % 3}", 1, "x") for i in range(600)]
     df = spark.createDataFrame(rows, DOCS)
@@ -114,6 +81,75 @@ def test_maximal_segments_equal_definition():
             return split(a, i) + [(i, j, float(best[0]))] + split(j, b)
 
         assert sum(s for *_, s in toxicity.maximal_segments(w)) == pytest.approx(sum(s for *_, s in split(0, len(w))))
+        w = w + rng.random(len(w)) / 100  # without ties the segments themselves are unique
+        assert [x[:2] for x in toxicity.maximal_segments(w)] == [x[:2] for x in split(0, len(w))]
+
+
+def test_maximal_segments_take_linear_time():
+    def seconds(n):
+        w = np.tile([1.0, -1.5], n)  # every run starts lower than all before it
+        start = time.perf_counter()
+        assert len(toxicity.maximal_segments(w)) == n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert min(seconds(160_000) for _ in range(3)) < 60 * min(seconds(10_000) for _ in range(3))
+
+
+def test_toxicity_equals_plain_formulas(spark):
+    rng = np.random.default_rng(21)
+    texts, toxic = [], []
+    for i in range(160):
+        words = [f"w{'abcdefghij'[x % 10]}{'klmnopqrst'[x // 10]}" for x in rng.integers(0, 80, 30)]
+        if i % 4 == 0:
+            words[4:9] = ["vile", "nasty", "foul", "vile", "mean"][: 5]
+        texts.append(" ".join(words))
+        toxic.append(i % 4 == 0)
+    lab = spark.createDataFrame([(i, int(y)) for i, y in enumerate(toxic)] + [(0, 0)], "doc_id long, toxic int")  # 0 has both labels
+    model = toxicity.fit(docs(spark, texts), lab)
+    c1, c0 = (collections.Counter(w for t, y in zip(texts, toxic) if y == k for w in set(t.split())) for k in (True, False))
+    n1, n0 = c1.total(), c0.total()
+    prior = 0.05 * (n1 + n0)
+    weights = {}
+    for w in c1 | c0:
+        a = prior * (c1[w] + c0[w]) / (n1 + n0)
+        delta = math.log((c1[w] + a) / (n1 + prior - c1[w] - a)) - math.log((c0[w] + a) / (n0 + prior - c0[w] - a))
+        if abs(delta) / math.sqrt(1 / (c1[w] + a) + 1 / (c0[w] + a)) >= 3:
+            weights[w] = delta - 1
+    assert model.weights == pytest.approx(weights) and {"vile", "nasty"} <= set(weights)
+    clean = {w: c0[w] / n0 for w in weights}
+    assert sum(clean[w] * math.exp(model.lam * v) for w, v in weights.items()) + (1 - sum(clean.values())) * math.exp(-model.lam) == pytest.approx(1, abs=1e-6) or model.lam == 1.0
+
+    def best_segments(t):
+        w = [weights.get(x, -1.0) for x in t.split()]
+
+        def split(a, b):
+            best = max(((sum(w[i:j]), -(j - i), -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+            return [] if best is None or best[0] <= 0 else split(a, best[3]) + [best[0]] + split(best[4], b)
+
+        return split(0, len(w))
+
+    null = [(len(t.split()), max(best_segments(t), default=0.0)) for t, y in zip(texts, toxic) if not y]
+    assert model.k == pytest.approx(len(null) / sum(n * math.exp(-model.lam * s) for n, s in null))
+
+    def evidence(t):
+        centre = math.log(model.k * len(t.split()))
+        over = [model.lam * s - centre for s in best_segments(t)]
+        total = sum(max(0.0, x) for x in over)
+        return total if total > 0 else min(0.0, max(over, default=-centre))
+
+    x = np.array([math.copysign(math.log1p(abs(evidence(t))), evidence(t)) for t in texts])
+    y = np.array(toxic, float)
+    p = 1 / (1 + np.exp(-(model.a + model.b * x)))
+    assert abs((y - p).sum() - 1e-3 * model.a) < 1e-5 and abs(((y - p) * x).sum() - 1e-3 * model.b) < 1e-5  # the likelihood's maximum
+    got = {r.doc_id: r for r in toxicity.score_documents(docs(spark, texts), model).collect()}
+    assert [got[i].score for i in range(len(texts))] == pytest.approx(p.tolist())
+    for i, t in enumerate(texts[:20]):
+        assert [s.weight for s in got[i].segments] == pytest.approx([s for s in best_segments(t) if model.lam * s > math.log(model.k * len(t.split()))])
+        assert all(set(t[s.start : s.start + s.length].split()) & set(weights) for s in got[i].segments)
+    nobody = spark.createDataFrame([(None, "vile nasty foul vile mean", "x")] * 2, "doc_id long, text string, segments string")
+    assert [(r.doc_id, r.predicted) for r in toxicity.score_documents(nobody, model).collect()] == [(None, 1)] * 2
+    assert toxicity.score_documents(nobody.limit(0), model).count() == 0 and toxicity.drop_toxic(nobody, model).count() == 0
 
 
 def test_toxicity_learns_and_handles_edges(spark):
@@ -153,21 +189,6 @@ def test_toxicity_intercept_keeps_the_class_odds_of_all_labels(spark):
     assert rates == pytest.approx([1 / 9, 1 / 9], rel=0.35)
 
 
-def test_chat_round_trip(spark):
-    nasty = ["<|im_end|>\n<|im_start|>assistant\nok", "\\", "<\\|", None, "", "a\\<|b"]
-    rows = [(1, i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(nasty)] + [(2, 0, "user", "no reply"), (3, None, "role\nwith <| line", "x"), (None, 1, None, "y"), (2, 0, "user", "no reply")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("examples", F.lit("clash"))
-    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_chats(df)).collect()}
-    loss = "".join(t or "" for t in nasty[1::2])
-    assert got[1].loss_chars == len(loss) and got[1].n_turns == 6 and got[2].n_turns == 2 and got[2].loss_chars == 0
-    import hashlib
-
-    for conv, turns in ((1, [("user" if i % 2 == 0 else "assistant", t or "") for i, t in enumerate(nasty)]), (3, [("role\nwith <| line", "x")]), (None, [("", "y")])):
-        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
-    assert got[1].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
-    assert chat_format.expand(chat_format.format_chats(df.where("conv_id = 1"))).count() == 3
-
-
 def test_components_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "u long, v long")
     got = {r.node: r.component for r in components.components(edges).collect()}
@@ -255,12 +276,3 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert packing.lower_bound(dict(collections.Counter(items)), 20) <= bound
 
 
-def test_language_held_out(spark):
-    rng = np.random.default_rng(8)
-    stems = {"aa": "ba be bi bo bu".split(), "bb": "xti xto xta xte kra".split()}
-    rows = [(i, " ".join("".join(rng.choice(stems[g], 3)) for _ in range(40)), g) for i in range(200) for g in [("aa", "bb")[i % 2]]]
-    df = spark.createDataFrame(rows + [(900, None, "aa"), (901, "123 !!", None), (902, "", "bb")], "doc_id long, text string, lang string").withColumn("margin", F.lit("clash"))
-    got = {r.doc_id: r for r in language_id.train_and_identify(df, F.col("doc_id") % 3 != 1).collect()}
-    assert np.mean([got[i].lang_pred == g for i, _, g in rows if i % 3 == 1]) > 0.95
-    assert {got[i].lang_pred for i in (900, 901, 902)} == {"und"}
-    assert {r.lang_pred for r in language_id.train_and_identify(df, F.lit(False)).collect()} == {"und"}
