@@ -7,9 +7,12 @@ one bit at most. Every segment is indexed once for each of its bits with that bi
 variants finds them, and the full distance verifies them.
 
 Groups of copies need no pairs. Equal fingerprints are one node. Small buckets verify
-all their pairs in the window that forms them. In a large bucket every member is first compared with one centre, chosen by a hash of member and
-bucket so that the buckets of a dense group have different centres. Then only members of
-different components are compared, each bucket's smaller components against all others.
+all their pairs in the window that forms them. The members of a large bucket are dealt
+again: what their variant leaves out is cut into ``max_bits`` + 1 pieces, one of which any
+linked pair has equal, so buckets of chance meetings stay small for some thousand million
+fingerprints. Only dense groups stay together then. There every member is first compared
+with one centre, chosen by a hash of member and bucket so that the buckets of a dense
+group have different centres, and then members of different components are compared.
 """
 
 from __future__ import annotations
@@ -60,32 +63,50 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInPandas(_fingerprinter(width), "doc_id long, text_hash long, fp long")
 
 
+def _segments(max_bits: int) -> list[tuple[int, int]]:
+    n = (max_bits + 2) // 2
+    return [(BITS * s // n, BITS * (s + 1) // n) for s in range(n)]
+
+
+def _bits(fp: Column, low: int, high: int) -> Column:
+    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+
+
 def variants(fp: Column, max_bits: int) -> Column:
     """Array of the one-wildcard variants: (masked bit << segment width) | masked segment."""
-    segments = (max_bits + 2) // 2
-    widest = -(-BITS // segments)
-    out = []
-    for s in range(segments):
-        low, high = BITS * s // segments, BITS * (s + 1) // segments
-        value = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-        out += [value.bitwiseAND(F.lit(((1 << (high - low)) - 1) & ~(1 << (bit - low)))).bitwiseOR(F.lit(bit << widest)) for bit in range(low, high)]
-    return F.array(*out)
+    segments = _segments(max_bits)
+    widest = max(high - low for low, high in segments)
+    return F.array(*[_bits(fp, low, high).bitwiseAND(F.lit(~(1 << (bit - low)))).bitwiseOR(F.lit(bit << widest)) for low, high in segments for bit in range(low, high)])
+
+
+def subkeys(fp: Column, variant: Column, max_bits: int) -> Column:
+    """Array of finer keys of a member of a variant's bucket: the variant and one of ``max_bits`` + 1 pieces of all other bits."""
+    segments, n = _segments(max_bits), max_bits + 1
+    bit = F.shiftrightunsigned(variant, max(high - low for low, high in segments))
+    arrays = []
+    for low, high in segments:
+        rest = [b for b in range(BITS) if not low <= b < high]
+        pieces = [rest[len(rest) * k // n : len(rest) * (k + 1) // n] for k in range(n)]
+        # a piece is two runs of bits where the segment lies inside it
+        value = lambda p: F.concat_ws(",", *[_bits(fp, a, b + 1).cast("string") for a, b in _runs(p)])
+        arrays.append((high, F.array(*[F.xxhash64(variant, F.lit(k), value(p)) for k, p in enumerate(pieces)])))
+    out = arrays[-1][1]
+    for high, keys in reversed(arrays[:-1]):
+        out = F.when(bit < high, keys).otherwise(out)
+    return out
+
+
+def _runs(bits: list[int]) -> list[tuple[int, int]]:
+    cuts = [k for k in range(1, len(bits)) if bits[k] != bits[k - 1] + 1]
+    return [(bits[a], bits[b - 1]) for a, b in zip([0, *cuts], [*cuts, len(bits)], strict=True)]
 
 
 def _linked(a: Column, b: Column, max_bits: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
 
-def link(nodes: DataFrame, max_bits: int = 4, small: int = 17) -> DataFrame:
-    """(fp, component) for the distinct fingerprints ``nodes`` (fp) that have any link.
-
-    All links between different fingerprints count; none is capped. In buckets of at most
-    ``small`` members every member is compared with all that follow it; larger ones go
-    by centres and components. Buckets are window
-    partitions, which spill; their size is the number of distinct fingerprints that
-    agree in a third of their bits.
-    """
-    keyed = nodes.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("variant"))
+def _bucketed(keyed: DataFrame, max_bits: int, small: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Links inside the small buckets of ``keyed`` (fp, variant), and the members of the large ones with their centres."""
     bucket = Window.partitionBy("variant")
     ahead = bucket.orderBy("fp")
     close = F.filter(F.array(*[F.lead("fp", i).over(ahead) for i in range(1, small)]), lambda x: x.isNotNull() & _linked(F.col("fp"), x, max_bits))
@@ -93,20 +114,32 @@ def link(nodes: DataFrame, max_bits: int = 4, small: int = 17) -> DataFrame:
     shared = shared.withColumn("centre", F.min(F.struct(F.xxhash64("fp", "variant"), F.col("fp").alias("at"))).over(bucket)["at"])
     large = F.col("n") > small
     # of a small bucket only members with a link go on: chance meetings end here
-    members = materialise(shared.where(large | (F.size("close") > 0)), "members")
+    members = materialise(shared.where(large | (F.size("close") > 0)), name)
     pairs = members.where(~large).select(F.col("fp").alias("u"), F.explode("close").alias("v"))
-    members = members.where(large).select("fp", "variant", "centre")
+    return pairs, members.where(large).select("fp", "variant", "centre")
+
+
+def link(nodes: DataFrame, max_bits: int = 4, small: int = 17) -> DataFrame:
+    """(fp, component) for the distinct fingerprints ``nodes`` (fp) that have any link.
+
+    All links between different fingerprints count; none is capped. In buckets of at most
+    ``small`` members every member is compared with all that follow it; larger ones are
+    dealt once more by finer keys and then go by centres and components. Buckets are window
+    partitions, which spill; joins on a node or bucket can be split where it is skewed.
+    """
+    pairs, crowded = _bucketed(nodes.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("variant")), max_bits, small, "members")
+    finer = crowded.select("fp", F.explode(subkeys(F.col("fp"), F.col("variant"), max_bits)).alias("variant"))
+    more, members = _bucketed(finer, max_bits, small, "finer-members")
     stars = members.where((F.col("fp") != F.col("centre")) & _linked(F.col("fp"), F.col("centre"), max_bits)).select(F.col("fp").alias("u"), F.col("centre").alias("v"))
-    stars = pairs.unionByName(stars)
-    first = materialise(components(stars), "stars")
+    first = materialise(components(pairs.unionByName(more).unionByName(stars)), "stars")
     # second pass: links between members of different components
     placed = members.select("fp", "variant").join(first.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     sizes = placed.groupBy("variant", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("variant").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("variant", "largest")
     open_members = materialise(placed.join(mixed, "variant"), "open")
-    small = open_members.where("component <> largest").select("variant", F.col("fp").alias("a"), F.col("component").alias("u"))
+    lesser = open_members.where("component <> largest").select("variant", F.col("fp").alias("a"), F.col("component").alias("u"))
     all_members = open_members.select("variant", F.col("fp").alias("b"), F.col("component").alias("v"))
-    crossing = small.join(all_members, (small["variant"] == all_members["variant"]) & (F.col("u") != F.col("v")) & _linked(F.col("a"), F.col("b"), max_bits)).select("u", "v")
+    crossing = lesser.join(all_members, (lesser["variant"] == all_members["variant"]) & (F.col("u") != F.col("v")) & _linked(F.col("a"), F.col("b"), max_bits)).select("u", "v")
     merged = components(crossing).select(F.col("node").alias("part"), F.col("component").alias("merged"))
     every = first.unionByName(merged.join(first, merged["part"] == first["node"], "left_anti").select(F.col("part").alias("node"), F.col("part").alias("component")))
     return every.join(merged, every["component"] == merged["part"], "left").select(F.col("node").alias("fp"), F.coalesce("merged", "component").alias("component"))
