@@ -9,6 +9,8 @@ hash blocks and of the documents inside the blocks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,16 +23,15 @@ def word_count(text: Column) -> Column:
     return F.greatest(F.lit(1), F.size(words)).cast("long")
 
 
-def _bisect(shares: DataFrame, measure, wanted: float, steps: int, levels: int = 4) -> float:
+def _bisect(measure, wanted: float, steps: int, levels: int = 1) -> float:
     """Smallest alpha in [0, 1] where ``measure`` (falling in alpha) is at most ``wanted``.
 
-    One aggregate over the sources evaluates all midpoints of ``levels`` halvings; only
-    those few numbers reach the driver.
+    ``measure`` takes a list of alphas, so that ``levels`` halvings cost one evaluation.
     """
     low, high = 0.0, 1.0
-    for _ in range(steps // levels):
+    for _ in range(-(-steps // levels)):
         points = [low + (high - low) * i / 2**levels for i in range(1, 2**levels)]
-        values = shares.agg(*[measure(p).alias(f"m{i}") for i, p in enumerate(points)]).first()
+        values = measure(points)
         below = [p for p, v in zip(points, values, strict=True) if v is not None and v <= wanted]
         above = [p for p, v in zip(points, values, strict=True) if v is None or v > wanted]
         low, high = max([low, *above]), min([high, *below])
@@ -44,7 +45,8 @@ def source_weights(totals: DataFrame, target_entropy: float | None = 0.97, max_r
     alpha is the smallest that brings it down to that (0 where even equal weights don't
     exceed it). max_repetition: limit on the passes over any source when the source with
     the fewest passes is read once; it can only raise alpha. passes: weight / share,
-    scaled so that the smallest is one pass, so no source is cut.
+    scaled so that the smallest is one pass, so no source is cut. ``totals`` is read
+    several times. No sources: no rows.
     """
     whole = totals.agg(F.sum("tokens").alias("all"), F.count("*").alias("n"), F.min("tokens").alias("least"), F.max("tokens").alias("most")).first()
     if not whole["n"]:
@@ -52,42 +54,49 @@ def source_weights(totals: DataFrame, target_entropy: float | None = 0.97, max_r
     shares = totals.withColumn("share", F.col("tokens") / F.lit(float(whole["all"])))
     log_share = F.log("share")
 
-    def entropy(alpha: float) -> Column:
-        z = F.sum(F.exp(alpha * log_share))
-        return F.log(z) - alpha * F.sum(F.exp(alpha * log_share) * log_share) / z
+    def entropies(alphas: list[float]) -> list[float]:
+        """Of the weights at every alpha, as parts of the maximum: one aggregate over the sources."""
+        sums = [f(a) for a in alphas for f in (lambda a: F.sum(F.exp(a * log_share)), lambda a: F.sum(F.exp(a * log_share) * log_share))]
+        row = shares.agg(*[x.alias(f"x{i}") for i, x in enumerate(sums)]).first()
+        return [(math.log(row[2 * i]) - a * row[2 * i + 1] / row[2 * i]) / math.log(whole["n"]) for i, a in enumerate(alphas)]
 
     alpha = 0.0
     if target_entropy is not None and whole["n"] > 1:
-        maximum = F.log(F.lit(float(whole["n"])))
-        alpha = _bisect(shares, lambda a: entropy(a) / maximum, target_entropy, steps)
+        alpha = _bisect(entropies, target_entropy, steps, 6)
     if max_repetition is not None:
         # passes of a source are proportional to share ** (alpha - 1)
-        alpha = max(alpha, _bisect(shares, lambda a: F.max(F.exp((a - 1) * log_share)) / F.min(F.exp((a - 1) * log_share)), max_repetition, steps))
+        widest = whole["most"] / whole["least"]
+        alpha = max(alpha, _bisect(lambda alphas: [widest ** (1 - a) for a in alphas], max_repetition, steps))
     z = shares.agg(F.sum(F.exp(alpha * log_share)).alias("z")).first()["z"]
     most = float(whole["most"]) / float(whole["all"])
     return shares.withColumn("weight", F.exp(alpha * log_share) / F.lit(z)).withColumn("passes", F.exp((alpha - 1) * (log_share - F.log(F.lit(most))))), alpha
 
 
-def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", target_entropy: float | None = 0.97, max_repetition: float | None = 2.0, budget: float | None = None, seed: int = 17, blocks: int = 256) -> DataFrame:
+def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", target_entropy: float | None = 0.97, max_repetition: float | None = 2.0, budget: float | None = None, seed: int = 17, rows_a_block: int = 65_536) -> DataFrame:
     """``docs`` repeated to the mixture, with mix_source, mix_tokens, mix_pass, mix_block, mix_rank.
 
     budget: tokens of the mixture; null: as many as give the most plentiful source one
     whole pass. A source is read floor(passes) times, then the documents of a last pass
     in permuted order while their tokens before them are within the remaining budget, so
-    a source overruns its budget by less than one document.
+    a source overruns its budget by less than one document (of any length), and the
+    mixture by less than the longest document of every source together.
     mix_block and mix_rank give the order: passes, then permuted blocks, then documents
-    inside the block. Blocks of a source are hash buckets, so a source that holds a third
-    of all rows is spread over ``blocks`` tasks.
-    A null source is a source of its own. Repeated rows stay repeated and are ordered
-    arbitrarily among themselves. Clashing mix_* columns are replaced. Empty table: no rows.
+    inside the block. Blocks are hash buckets, one for every ``rows_a_block`` rows of the
+    table, so a source that holds a third of all rows is spread over a third as many.
+    A null source is a source of its own. Null ids and texts are fine. Repeated rows stay
+    repeated: rows alike in id and text are read the same number of times, but in the pass
+    that the budget cuts, which takes all of them or none. Clashing mix_* columns are
+    replaced. Empty table: no rows.
     """
     columns = [c for c in docs.columns if c not in ("mix_source", "mix_tokens", "mix_pass", "mix_block", "mix_rank")]
     rows = docs.select(*columns).withColumn("mix_source", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))).withColumn("mix_tokens", word_count(F.col(text_col)))
     slim = rows.select(F.col("mix_source").alias("source"), F.col("mix_tokens").alias("tokens"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"))
     # the last pass is settled on (source, key) alone, without texts
-    slim = materialise(slim.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(blocks)).cast("int")), "mix-keys")
+    slim = materialise(slim, "mix-keys")
+    blocks = max(1, -(-slim.count() // rows_a_block))
+    slim = slim.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(blocks)))
     by_bucket = materialise(slim.groupBy("source", "bucket").agg(F.sum("tokens").alias("tokens")), "mix-blocks")
-    weights, _ = source_weights(by_bucket.groupBy("source").agg(F.sum("tokens").alias("tokens")), target_entropy, max_repetition)
+    weights, _ = source_weights(materialise(by_bucket.groupBy("source").agg(F.sum("tokens").alias("tokens")), "mix-totals"), target_entropy, max_repetition)
     scale = 1.0
     if budget is not None:
         whole = weights.agg(F.sum(F.col("tokens") * F.col("passes")).alias("all")).first()["all"]
@@ -95,7 +104,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     plan = weights.select("source", (F.col("passes") * F.lit(scale)).alias("passes"), "tokens").withColumn("full", F.floor(F.col("passes") + 1e-9)).withColumn("rest", (F.col("passes") - F.col("full")) * F.col("tokens"))
     plan = materialise(plan.select("source", "full", F.greatest("rest", F.lit(0.0)).alias("rest")), "mix-plan")
     order = lambda *c: F.xxhash64(F.lit(seed), *c)
-    # at most ``blocks`` rows a source
+    # one row a block of the source
     before = Window.partitionBy("source").orderBy("block_order", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = by_bucket.join(plan, "source").withColumn("block_order", order("full", "bucket")).withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     last = placed.where("rest > before").select("source", "bucket", F.col("full").alias("last_pass"), F.col("before").alias("start"), "rest", (F.col("before") + F.col("tokens") <= F.col("rest")).alias("whole_block"))
@@ -103,7 +112,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     inside = Window.partitionBy("source", "bucket").orderBy(order("last_pass", "key"), "key", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     cut = slim.join(last.where(~F.col("whole_block")), ["source", "bucket"]).withColumn("used", F.col("start") + F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
     cut = cut.where("used < rest").groupBy("source", "key").agg(F.count("*").alias("copies"))
-    ready = rows.withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col))).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col("_key")), F.lit(blocks)).cast("int"))
+    ready = rows.withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col))).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col("_key")), F.lit(blocks)))
     blocks_plan = by_bucket.select("source", "bucket").join(plan, "source").join(last.select("source", "bucket", "whole_block"), ["source", "bucket"], "left")
     blocks_plan = blocks_plan.select(F.col("source").alias("mix_source"), F.col("bucket").alias("_bucket"), "full", "whole_block")
     joined = ready.join(blocks_plan, ["mix_source", "_bucket"])

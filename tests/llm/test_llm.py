@@ -53,20 +53,6 @@ def test_threshold_search_stops_early():
     assert rows.tolist() == [999, 998, 997, 996, 995] and sum(seen) < 100
 
 
-def test_mixing_meets_budget(spark):
-    rows = [(i, " ".join(["w"] * (1 + i % 5)), "en", "big" if i % 4 else f"s{i % 3}", 1, "x") for i in range(600)]
-    df = spark.createDataFrame(rows, DOCS)
-    out = mixing.mix(df, target_entropy=0.9, max_repetition=30.0, blocks=8)
-    per = {r.mix_source: r for r in out.groupBy("mix_source").agg(F.sum("mix_tokens").alias("t"), F.count_distinct("doc_id").alias("d")).collect()}
-    weights, alpha = mixing.source_weights(df.groupBy(F.col("source").alias("source")).agg(F.sum(mixing.word_count(F.col("text"))).alias("tokens")), 0.9, 30.0)
-    for r in weights.collect():
-        assert 0 <= per[r.source].t - r.tokens * r.passes < 5 and 1 - 1e-6 <= r.passes <= 30 + 1e-6
-    h = -sum(r.weight * math.log(r.weight) for r in weights.collect()) / math.log(weights.count())
-    assert 0 < alpha < 1 and h >= 0.9 - 1e-6
-    assert out.select("doc_id").distinct().count() == 600
-    assert mixing.mix(df.limit(0)).count() == 0 and mixing.mix(docs(spark, EDGE)).select("doc_id").distinct().count() == len(EDGE)
-
-
 def test_maximal_segments_equal_definition():
     rng = np.random.default_rng(2)
     for _ in range(200):
