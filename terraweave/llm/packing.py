@@ -27,7 +27,7 @@ from terraweave.llm.common import materialise, table
 
 CAPACITY = 2048
 END_ID = 0
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, row_id long"
 SLICE_BYTES = 4 << 20
 ROWS_A_BUCKET = 1_000_000
 _WORDS: dict[str, Tokeniser] = {}  # of each vocabulary: this worker's tokeniser with its cache
@@ -164,13 +164,13 @@ def _tokeniser(vocabulary: str, capacity: int, end_id: int):
                     at += total
                 row, *columns = zip(*rows, strict=True)
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(row)), *map(pa.array, columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(row)), *map(pa.array, columns, kinds), batch["row_id"].take(pa.array(row))], ["doc_id", "piece", "start", "length", "ids_crc32", "row_id"])
 
     return run
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row_id"))
     return rows.mapInArrow(_tokeniser(vocabulary, capacity, end_id), PIECE_SCHEMA)
 
 
@@ -405,10 +405,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, max_nodes: int | None = 20
     patterns, bound = complete_bins(histogram, capacity, max_nodes)
     plan = spark.createDataFrame(plan_rows(patterns) or [(0, 0, 0, 0, 1, 0)], "p_length long, p_first long, p_last long, p_sequence long, p_each long, p_offset long")
     spread = spark.createDataFrame([(x, -(-n // ROWS_A_BUCKET)) for x, n in histogram.items()] or [(0, 1)], "length long, spread long")
-    bucketed = pieces.join(F.broadcast(spread), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "spread")).drop("spread")
+    bucketed = pieces.join(F.broadcast(spread), "length").withColumn("bucket", F.pmod(F.xxhash64("row_id", "piece"), "spread")).drop("spread")
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    ranked = bucketed.withColumn("row", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")))
+    ranked = bucketed.withColumn("row", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("row_id", "piece")))
     ranked = ranked.join(F.broadcast(starts), ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("row") - 1)
     placed = ranked.join(F.broadcast(plan), (F.col("length") == F.col("p_length")) & F.col("rank").between(F.col("p_first"), F.col("p_last")))
     nth = F.col("rank") - F.col("p_first")
@@ -428,10 +428,10 @@ def default_vocabulary() -> str:
 def pack_documents(
     docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, max_nodes: int | None = 200_000
 ) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, n_sequences, lower_bound.
+    """One row per piece: doc_id, piece, start, length, ids_crc32, row_id, sequence_id, offset, n_sequences, lower_bound.
 
     Null and empty texts are one end token. Null ids stay null. Repeated rows are packed
-    each. Control strings in a text become their ids, as the vocabulary's library has it
+    each; row_id is the same for the pieces of one row and differs between rows. Control strings in a text become their ids, as the vocabulary's library has it
     with add_special_tokens=False. Other columns are ignored; an empty table gives no rows.
     vocabulary: path of a byte-level vocabulary of the tokenizers library on every executor.
     """
