@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from terraweave.operators.scoring import FIELDS, PRESETS, SCHEMES, with_schemes
 from terraweave.plans import scores as s
 from terraweave.sources import projection as p
 from terraweave.sources import sinks
-from terraweave.sources.storage import materialise, shared_dir
+from terraweave.sources.storage import materialise, new_path
 
 DIGITS = {"habitat_context_score": 3, "share": 5, "hectares": 2}
 
@@ -113,14 +111,14 @@ def s8_payload_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s1_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed-precision CSV, written to the shared folder and read back as text."""
-    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    path = new_path(spark, "csv")
     sinks.write_csv(p.part_scores(spark, sf_dir).select("hex_id", (F.col("raw") / 8.0).alias("value"), F.expr("nullif(raw, 7.0D)").alias("gap")), path)
     return spark.read.csv(path, header=True, schema="hex_id string, value string, gap string")
 
 
 def s1_audit_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON audit rows; division by zero comes back as null."""
-    path = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    path = new_path(spark, "json")
     sinks.write_audit(p.part_scores(spark, sf_dir).groupBy("steps").agg(F.count("*").alias("rows"), F.try_divide(F.sum("raw"), F.max("steps")).alias("ratio")), path)
     return spark.read.schema("steps int, rows long, ratio double").json(path)
 
