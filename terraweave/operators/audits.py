@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraweave.operators import delivery, ranks, raster
+from terraweave.operators import delivery, ranks, raster, stats
+
 
-#: Fixed value: the version text of a layer counts as current, in lower case.
-CURRENT_VERSION = r"(?<!\d)(?:v(?:ersion)?\s*)?2(?:[._\-\s]?[0-9x]+)?(?!\d)"
+def is_current(version: Column, major: int = 2) -> Column:
+    """Whether the version text counts as current: its first number, read up to a separator, is the major one.
+
+    "v2.1", "NMD version 2", "2x" and "2-3" count; "v1.2", "12", "v20" and a text without a
+    number don't. Null: null.
+    """
+    number = F.regexp_extract(version, r"([0-9]+)", 1)
+    return F.when(version.isNotNull(), F.coalesce(F.try_to_number(F.when(number != "", number), F.lit("999999999")) == major, F.lit(False)))
 
 
 def coverage(pixels: DataFrame, edges: DataFrame, marine: tuple[int, ...] = (61, 62), pixel_m2: float = 100.0) -> DataFrame:
@@ -19,7 +24,7 @@ def coverage(pixels: DataFrame, edges: DataFrame, marine: tuple[int, ...] = (61,
     edges: (feature_id, version, x1, y1, x2, y2). Codes are counted twice, before and after
     clipping, and meet as one row a code. No current polygon: nothing is covered.
     """
-    current = raster.spans(edges.where(F.lower(F.trim("version")).rlike(CURRENT_VERSION)))
+    current = raster.spans(edges.where(is_current(F.col("version"))))
     tagged = pixels.select("code", F.lit(0).alias("inside")).unionByName(raster.clip_to_spans(pixels, current).select("code", F.lit(1).alias("inside")))
     by_code = tagged.groupBy("code").agg(F.count_if(F.col("inside") == 0).alias("n"), F.count_if(F.col("inside") == 1).alias("covered"))
     sea, open_ = F.col("code").isin(*marine), F.col("n") - F.col("covered")
@@ -38,25 +43,21 @@ def adjacent_pairs(df: DataFrame, score: str, values: list[str], tolerance: floa
     placed = ranks.ordinal_ranks(rows, "_down", id_col, "_rank")
     after = placed.select((F.col("_rank") - 1).alias("_rank"), F.col(id_col).alias("second_id"), F.col("_s").alias("_s2"), *[F.col(v).alias(f"_{v}") for v in values])
     pairs = placed.join(after, "_rank").withColumn("gap", F.abs(F.col("_s2") - F.col("_s"))).where(F.col("gap") <= tolerance)
-    best = [
-        pairs.select(F.lit(v).alias("field"), "_rank", F.col(id_col).alias("first_id"), "second_id", "gap", F.abs(F.col(v) - F.col(f"_{v}")).alias("difference")).where("difference is not null").orderBy(F.desc("difference"), "_rank").limit(n)
-        for v in values
-    ]
-    order = F.row_number().over(ranks.Window.partitionBy("field").orderBy(F.desc("difference"), "_rank"))
-    return reduce(DataFrame.unionByName, best).select("field", order.alias("place"), "first_id", "second_id", "gap", "difference")
+    changes = F.array(*[F.struct(F.lit(v).alias("field"), F.abs(F.col(v) - F.col(f"_{v}")).alias("difference")) for v in values])
+    rows = pairs.select("_rank", F.col(id_col).alias("first_id"), "second_id", "gap", F.explode(changes).alias("c")).select("c.field", "_rank", "first_id", "second_id", "gap", "c.difference").where("difference is not null")
+    return ranks.best_by(rows, "field", [F.desc("difference"), F.col("_rank")], n, "place").select("field", "place", "first_id", "second_id", "gap", "difference")
 
 
 def extreme_movers(df: DataFrame, reference: str, schemes: list[str], n: int = 10, id_col: str = "hex_id") -> DataFrame:
     """(scheme, direction, place, id, movement, reference_rank, scheme_rank): the n largest moves of percentile rank each way."""
-    base = ranks.ordinal_ranks(ranks.percentile_score(df.select(id_col, reference, *schemes), reference, "_from"), reference, id_col, "reference_rank")
-    out = []
-    for scheme in schemes:
-        moved = ranks.ordinal_ranks(ranks.percentile_score(base, scheme, "_to"), scheme, id_col, "scheme_rank").withColumn("movement", F.round(F.col("_to") - F.col("_from"), 9))
-        for direction, order in (("upward", F.desc("movement")), ("downward", F.asc("movement"))):
-            out.append(moved.where("movement is not null").orderBy(order, id_col).limit(n).select(F.lit(scheme).alias("scheme"), F.lit(direction).alias("direction"), id_col, "movement", "reference_rank", "scheme_rank"))
+    every = ranks.stacked(df, [reference, *schemes], "scheme", "value", [id_col])
+    ranked = ranks.ordinal_ranks(ranks.percentile_score(every, "value", "percentile", within=["scheme"]), "value", id_col, "scheme_rank", ["scheme"])
+    base = ranked.where(F.col("scheme") == reference).select(id_col, F.col("percentile").alias("_from"), F.col("scheme_rank").alias("reference_rank"))
+    moved = ranked.where(F.col("scheme") != reference).join(base, id_col).withColumn("movement", F.round(F.col("percentile") - F.col("_from"), 9)).where("movement is not null")
+    both = moved.withColumn("direction", F.explode(F.array(F.lit("upward"), F.lit("downward"))))
     signed = F.when(F.col("direction") == "upward", -F.col("movement")).otherwise(F.col("movement"))
-    place = F.row_number().over(ranks.Window.partitionBy("scheme", "direction").orderBy(signed, id_col))
-    return reduce(DataFrame.unionByName, out).withColumn("place", place)
+    keyed = both.withColumn("_list", F.concat_ws("/", "scheme", "direction"))
+    return ranks.best_by(keyed, "_list", [signed, F.col(id_col)], n, "place").select("scheme", "direction", id_col, "movement", "reference_rank", "scheme_rank", "place")
 
 
 def thematic_effect(df: DataFrame, reference: str, schemes: list[str], field: str, threshold: float, fraction: float = 0.1) -> DataFrame:
@@ -64,8 +65,10 @@ def thematic_effect(df: DataFrame, reference: str, schemes: list[str], field: st
 
     change: median less that of the reference's tail. The reference has its own row, change 0.
     """
-    tails = [ranks.top_fraction(df, s, fraction).select(F.lit(s).alias("scheme"), field) for s in [reference, *schemes]]
-    profile = reduce(DataFrame.unionByName, tails).groupBy("scheme").agg(F.count("*").alias("rows"), F.percentile(field, F.lit(0.5)).alias("median"), F.count_if(F.col(field) >= threshold).alias("at_threshold"))
+    every = ranks.stacked(df, [reference, *schemes], "scheme", "value", ["hex_id", field])
+    tails = ranks.top_fraction(every, "value", fraction, within=["scheme"])
+    counted = tails.groupBy("scheme").agg(F.count("*").alias("rows"), F.count_if(F.col(field) >= threshold).alias("at_threshold"))
+    profile = counted.join(stats.percentiles(tails, ["scheme"], field, {"median": 0.5}), "scheme")
     # one row a scheme
     base = F.max(F.when(F.col("scheme") == reference, F.col("median"))).over(ranks.Window.partitionBy(F.lit(0)))
     return profile.withColumn("change", F.col("median") - base)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
+from terraweave.operators import ranks
 
 # GRS80 and the national projection zone.
 _A, _F_INV, _K0, _LON0, _EAST0 = 6378137.0, 298.257222101, 0.9996, 15.0, 500000.0
@@ -32,19 +32,35 @@ def lon_lat(x: Column, y: Column, digits: int = 6) -> tuple[Column, Column]:
 
 
 def exact_round(digits: int):
-    """Rounds the exact binary value, halves to even, -0 to 0; Spark's round takes the shortest decimal."""
+    """Rounds the exact binary value, halves to even, -0 to 0; Spark's round takes the shortest decimal.
 
-    @F.pandas_udf("double")
-    def rounded(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if pd.isna(v) else round(v, digits) + 0.0).astype("float64")
+    value * 10**digits is taken with its rounding error (a product of halves of the two
+    numbers), so the remainder over the whole part is known exactly and compares with 0.5.
+    Null, NaN and values too large to have digits stay.
+    """
+    scale = 10.0**digits
+    halves = lambda v: (F.lit(134217729.0) * v - (F.lit(134217729.0) * v - v),)
+    top = 134217729.0 * scale - (134217729.0 * scale - scale)
+    rest = scale - top
+
+    def rounded(value: Column) -> Column:
+        value = value.cast("double")
+        product = value * F.lit(scale)
+        (high,) = halves(value)
+        low = value - high
+        error = ((high * F.lit(top) - product) + high * F.lit(rest) + low * F.lit(top)) + low * F.lit(rest)
+        whole = F.floor(product).cast("double")
+        over = (product - (whole + 0.5)) + error
+        up = (over > 0) | ((over == 0) & (F.pmod(whole, F.lit(2.0)) == 1))
+        small = F.abs(product) < F.lit(float(1 << 52))
+        return F.when(small, F.when(up, whole + 1).otherwise(whole) / F.lit(scale) + F.lit(0.0)).otherwise(value)
 
     return rounded
 
 
 def shortlists(presets: DataFrame, names: list[str], n: int = 50) -> DataFrame:
-    """(preset, rank, hex_id, score): best n of each preset by unrounded score, ties by id."""
-    parts = [presets.select(F.lit(p).alias("preset"), "hex_id", F.col(p).alias("score")).orderBy(F.col(p).desc(), "hex_id").limit(n) for p in names]
-    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(Window.partitionBy("preset").orderBy(F.col("score").desc(), "hex_id")))
+    """(preset, rank, hex_id, score): best n of each preset by unrounded score, ties by id; one pass for all presets."""
+    return ranks.best_by(ranks.stacked(presets, names, "preset", "score", ["hex_id"]), "preset", [F.col("score").desc(), F.col("hex_id")], n)
 
 
 def features(df: DataFrame, properties: list[str]) -> DataFrame:

@@ -1,26 +1,60 @@
 """Average ranks, percentile scores, ordinal ranks and top fractions without a global window.
 
-Ranks are counted in two levels. Values are counted first (one partial and one final
-aggregate); the distinct values are dealt to ranges by split points, ranked inside their
-range, and shifted by the ranges' prefix sums. No task sees all rows, and ties are exact
-because equal values are one row of the count table.
+Rows are sorted once by Spark's range partitioning, which splits by the sampled data, and
+written with their places. A rank is the place inside the part plus the sizes of the parts
+before it, one row a part. The order ends with the id, so a value that many rows share is
+split as well. Average ranks first count equal values, with map-side combination, and sort
+the distinct ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraweave.sources.storage import materialise
 
-def _ranges(values: DataFrame, column: str, ranges: int) -> DataFrame:
-    """``values`` with _range: bucket numbers that rise with the value."""
-    splits = values.approxQuantile(column, [i / ranges for i in range(1, ranges)], 0.01) if ranges > 1 else []
-    splits = sorted(set(splits))
-    number = sum(((F.col(column) > s).cast("int") for s in splits), F.lit(0))
-    return values.withColumn("_range", number)
 
+def _part() -> Column:
+    return F.shiftright("_place", 33).cast("int").alias("_part")
 
-def average_ranks(df: DataFrame, column: str, ranges: int = 16, within: list[str] | None = None) -> DataFrame:
+
+def _sorted(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` written in order, with _part (rises with the order) and _place (rises inside a part, from 0)."""
+    placed = materialise(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), name)
+    return placed.select(*df.columns, _part(), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+
+
+def _starts(sizes: DataFrame) -> DataFrame:
+    """(_part, _start) from (_part, _size); one row a part."""
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")))
+
+
+def _keyed(df: DataFrame, right: DataFrame, keys: list[str], extra: dict[str, str] | None = None) -> DataFrame:
+    """Left join on null-safe keys (and pairs of columns, left: right)."""
+    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    for a, b in (extra or {}).items():
+        on = on & (F.col(a) == F.col(b))
+    return df.join(renamed, on, "left").drop(*[f"_k_{k}" for k in keys])
+
+
+def cumulative(counts: DataFrame, keys: list[str], value: str, ties: str = "_ties") -> DataFrame:
+    """``counts`` (keys, value, ties; one row a value) with _below and n: rows of smaller values and all rows, by group."""
+    placed = _sorted(counts, [*keys, value], "value-ranks")
+    starts = _starts(placed.groupBy("_part").agg(F.sum(ties).alias("_size")))
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    upto = placed.withColumn("_inside", F.coalesce(F.sum(ties).over(inside), F.lit(0))).join(starts, "_part")
+    upto = upto.select(*counts.columns, (F.col("_start") + F.col("_inside")).alias("_before"))
+    groups = upto.groupBy(*keys).agg(F.min("_before").alias("_first"), F.sum(ties).alias("n"))
+    joined = _keyed(upto, groups, keys) if keys else upto.join(F.broadcast(groups))
+    return joined.withColumn("_below", F.col("_before") - F.col("_first")).drop("_before", "_first")
+
+
+def average_ranks(df: DataFrame, column: str, within: list[str] | None = None) -> DataFrame:
     """``df`` with rank_avg (from 1, ties share the mean) and n, over non-null values.
 
     within: columns that split the population (for example a scheme). Null values get a
@@ -28,20 +62,8 @@ def average_ranks(df: DataFrame, column: str, ranges: int = 16, within: list[str
     """
     keys = within or []
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_value")).agg(F.count("*").alias("_ties"))
-    dealt = _ranges(counts.withColumn("_value_d", F.col("_value").cast("double")), "_value_d", ranges)
-    sizes = dealt.groupBy(*keys, "_range").agg(F.sum("_ties").alias("_size"))
-    # at most ``ranges`` rows a population
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"), F.sum("_size").over(whole).alias("n"))
-    inside = Window.partitionBy(*keys, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = dealt.withColumn("_below", F.coalesce(F.sum("_ties").over(inside), F.lit(0))).join(F.broadcast(starts), [*keys, "_range"])
-    ranked = ranked.select(*keys, "_value", (F.col("_start") + F.col("_below") + (F.col("_ties") + 1) / F.lit(2.0)).alias("rank_avg"), "n")
-    on = F.col(column) == F.col("_value")
-    for k in keys:
-        ranked = ranked.withColumnRenamed(k, f"_k_{k}")
-        on = on & (F.col(k) == F.col(f"_k_{k}"))
-    return df.join(ranked, on, "left").drop("_value", *[f"_k_{k}" for k in keys])
+    ranked = cumulative(counts, keys, "_value").select(*keys, "_value", (F.col("_below") + (F.col("_ties") + 1) / F.lit(2.0)).alias("rank_avg"), "n")
+    return _keyed(df, ranked, keys, {column: "_value"}).drop("_value")
 
 
 def percentile_score(df: DataFrame, column: str, name: str = "score", **options) -> DataFrame:
@@ -50,6 +72,11 @@ def percentile_score(df: DataFrame, column: str, name: str = "score", **options)
     return ranked.withColumn(name, F.when(F.col("n") > 1, F.lit(100.0) * (F.col("rank_avg") - 1) / (F.col("n") - 1)).when(F.col("n") == 1, 0.0)).drop("rank_avg", "n")
 
 
+def rank_fraction(df: DataFrame, column: str, name: str, **options) -> DataFrame:
+    """Average rank / n, in (0, 1]."""
+    return average_ranks(df, column, **options).withColumn(name, F.col("rank_avg") / F.col("n")).drop("rank_avg", "n")
+
+
 def positive_percentile_score(df: DataFrame, column: str, name: str = "score", **options) -> DataFrame:
     """Zero scores 0; positive values score 100 * average rank / n among the positive."""
     positive = df.withColumn("_positive", F.when(F.col(column) > 0, F.col(column)))
@@ -64,30 +91,48 @@ def reverse_score(df: DataFrame, column: str, name: str = "score", **options) ->
     return ranked.withColumn(name, F.when(F.col(column) == 0, 100.0).otherwise(F.lit(100.0) * (F.col("n") - F.col("rank_avg") + 1) / (F.col("n") + 1))).drop("rank_avg", "n", "_positive")
 
 
-def ordinal_ranks(df: DataFrame, column: str, id_col: str = "hex_id", name: str = "rank", ranges: int = 16) -> DataFrame:
-    """1..n by (column descending, id ascending), nulls last; ranges first, then rows."""
-    dealt = _ranges(df.withColumn("_v", -F.col(column).cast("double")), "_v", ranges).withColumn("_range", F.coalesce("_range", F.lit(2**31 - 1)))
-    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_size"))
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_range").orderBy(F.col(column).desc_nulls_last(), id_col)
-    return dealt.withColumn("_row", F.row_number().over(inside)).join(F.broadcast(starts), "_range").withColumn(name, (F.col("_start") + F.col("_row")).cast("long")).drop("_v", "_range", "_row", "_start")
+def ordinal_ranks(df: DataFrame, column: str, id_col: str = "hex_id", name: str = "rank", within: list[str] | None = None) -> DataFrame:
+    """1..n by (column descending, id ascending), nulls last; within groups if given."""
+    keys = within or []
+    placed = _sorted(df, [*keys, F.col(column).desc_nulls_last(), F.col(id_col)], "ordinal-ranks")
+    starts = _starts(placed.groupBy("_part").agg(F.count("*").alias("_size")))
+    ranked = placed.join(starts, "_part").withColumn(name, (F.col("_start") + F.col("_place") + 1).cast("long")).drop("_part", "_place", "_start")
+    if not keys:
+        return ranked
+    groups = ranked.groupBy(*keys).agg(F.min(name).alias("_first"))
+    return _keyed(ranked, groups, keys).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
 
 
-def top_fraction(df: DataFrame, column: str, fraction: float, id_col: str = "hex_id") -> DataFrame:
-    """The max(1, ceil(n * fraction)) best rows, ties by id."""
-    total = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") * F.lit(fraction))).alias("_limit"))
-    return ordinal_ranks(df, column, id_col, "_rank").join(F.broadcast(total)).where(F.col("_rank") <= F.col("_limit")).drop("_rank", "_limit")
+def top_fraction(df: DataFrame, column: str, fraction: float, id_col: str = "hex_id", within: list[str] | None = None) -> DataFrame:
+    """The max(1, ceil(n * fraction)) best rows (of each group), ties by id."""
+    keys = within or []
+    limits = df.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count("*") * F.lit(fraction))).alias("_limit"))
+    ranked = ordinal_ranks(df, column, id_col, "_rank", keys)
+    joined = _keyed(ranked, limits, keys) if keys else ranked.join(F.broadcast(limits))
+    return joined.where(F.col("_rank") <= F.col("_limit")).drop("_rank", "_limit")
 
 
 def top_n(df: DataFrame, column: str, n: int, id_col: str = "hex_id") -> DataFrame:
     return df.orderBy(F.col(column).desc(), id_col).limit(n)
 
 
-def quartiles(df: DataFrame, column: str, id_col: str = "hex_id") -> DataFrame:
+def best_by(df: DataFrame, key: str, order: list[Column], n: int, name: str = "rank") -> DataFrame:
+    """The n first rows of every group of ``key``, with their place; Spark limits each group before its shuffle."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col(name) <= n)
+
+
+def examples(df: DataFrame, column: str, n: int, columns: list[str], ascending: bool = False, where: Column | None = None, id_col: str = "hex_id") -> DataFrame:
+    """The n highest (or lowest) rows that meet a condition, with fixed columns, ties by id."""
+    rows = df if where is None else df.where(where)
+    order = F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()
+    return rows.orderBy(order, id_col).limit(n).select(id_col, column, *columns)
+
+
+def quartiles(df: DataFrame, column: str, id_col: str = "hex_id", name: str = "quartile") -> DataFrame:
     """quartile 1..4 of the ascending ordinal rank, ties by id: ceil(4 * rank / n)."""
     ranked = ordinal_ranks(df.withColumn("_neg", -F.col(column)), "_neg", id_col, "_rank").drop("_neg")
     total = df.agg(F.count("*").alias("_n"))
-    return ranked.join(F.broadcast(total)).withColumn("quartile", F.ceil(F.lit(4.0) * F.col("_rank") / F.col("_n")).cast("int")).drop("_rank", "_n")
+    return ranked.join(F.broadcast(total)).withColumn(name, F.ceil(F.lit(4.0) * F.col("_rank") / F.col("_n")).cast("int")).drop("_rank", "_n")
 
 
 def leave_one_out(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -99,3 +144,7 @@ def leave_one_out(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.select("hex_id", F.explode(F.array(*rows)).alias("o")).select("hex_id", "o.omitted", "o.score")
 
 
+def stacked(df: DataFrame, columns: list[str], name: str, value: str, keep: list[str]) -> DataFrame:
+    """One row for each of ``columns``: (keep, name, value)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in columns])
+    return df.select(*keep, F.explode(pairs).alias("_s")).select(*keep, f"_s.{name}", f"_s.{value}")

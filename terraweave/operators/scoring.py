@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraweave.operators import ranks
+
 FIELDS = ["habitat_context_score", "ecological_network_score", "riparian_opportunity_score", "protected_area_reinforcement_score", "restoration_land_availability_score"]
 # Weights in the order of FIELDS.
 PRESETS = {"balanced": (0.20, 0.20, 0.20, 0.20, 0.20), "connectivity_first": (0.20, 0.30, 0.10, 0.25, 0.15), "riparian_restoration": (0.20, 0.10, 0.35, 0.15, 0.20)}
@@ -40,26 +42,20 @@ def baseline(scores: DataFrame) -> DataFrame:
 
 
 def custom_rank(scores: DataFrame, raw_weights: dict[str, tuple[float, ...]], n: int = 5) -> DataFrame:
-    """(vector, rank, hex_id, score): the best n for each named vector of raw weights.
+    """(vector, rank, hex_id, score): the best n for each named vector of raw weights, in one pass.
 
-    Raw weights are divided by their sum; all zero means equal weights. Each vector is one
-    ordered limit, so no row set is multiplied.
+    Raw weights are divided by their sum; all zero means equal weights.
     """
-    parts = []
+    columns = {}
     for name, raw in raw_weights.items():
         total = sum(raw)
         weights = [w / total for w in raw] if total > 0 else [0.2] * len(FIELDS)
         score = F.col(FIELDS[0]) * F.lit(weights[0])
         for w, f in zip(weights[1:], FIELDS[1:], strict=True):
             score = score + F.col(f) * F.lit(w)
-        best = scores.select(F.lit(name).alias("vector"), "hex_id", score.alias("score")).orderBy(F.col("score").desc(), "hex_id").limit(n)
-        parts.append(best)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    from pyspark.sql import Window
-
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy("vector").orderBy(F.col("score").desc(), "hex_id")))
+        columns[name] = score
+    rows = ranks.stacked(scores.select("hex_id", *[c.alias(name) for name, c in columns.items()]), list(columns), "vector", "score", ["hex_id"])
+    return ranks.best_by(rows, "vector", [F.col("score").desc(), F.col("hex_id")], n)
 
 
 def compensability(top: DataFrame) -> DataFrame:

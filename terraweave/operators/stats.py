@@ -7,22 +7,45 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraweave.operators import ranks
+
 POINTS = {"p10": 0.10, "p25": 0.25, "median": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
 
 
+def percentiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float] | None = None) -> DataFrame:
+    """(keys, one column a point): exact percentiles, interpolated between neighbours, nulls left out.
+
+    Equal values are counted and their ranks made as in ``ranks``, so no task holds the
+    values of a group.
+    """
+    points = points or POINTS
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_ties"))
+    placed = ranks.cumulative(counts, keys, "_v")
+    upto = F.col("_below") + F.col("_ties")
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("_below") <= place) & (place < upto), F.col("_v")))
+
+    wanted = {name: F.lit(p) * (F.col("n") - 1) for name, p in points.items()}
+    found = placed.groupBy(*keys).agg(F.max("n").alias("n"), *[at(g(w)).alias(f"{name}_{side}") for name, w in wanted.items() for side, g in (("low", F.floor), ("high", F.ceil))])
+    part = {name: w - F.floor(w) for name, w in wanted.items()}
+    return found.select(*keys, *[(F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * part[name]).alias(name) for name in points])
+
+
 def distribution(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """(by, metric, n, missing, min, percentiles, mean, std, max) for each column, one pass.
+    """(by, metric, n, missing, min, percentiles, mean, std, max) for each column.
 
     Percentiles are exact and interpolated, deviation is that of the population, values
     are rounded to 6 digits.
     """
-    stacked = df.select(*(by or []), F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns])).alias("s")).select(*(by or []), "s.metric", "s.value")
+    keys = [*(by or []), "metric"]
+    rows = ranks.stacked(df, columns, "metric", "value", by or [])
     r = lambda c: F.round(c, 6)
-    quantiles = F.percentile("value", F.array(*[F.lit(p) for p in POINTS.values()]))
-    out = stacked.groupBy(*(by or []), "metric").agg(
-        F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"), r(F.min("value")).alias("min"), quantiles.alias("_q"), r(F.avg("value")).alias("mean"), r(F.stddev_pop("value")).alias("std"), r(F.max("value")).alias("max")
+    out = rows.groupBy(*keys).agg(
+        F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"), r(F.min("value")).alias("min"), r(F.avg("value")).alias("mean"), r(F.stddev_pop("value")).alias("std"), r(F.max("value")).alias("max")
     )
-    return out.select(*[c for c in out.columns if c != "_q"], *[r(F.col("_q")[i]).alias(name) for i, name in enumerate(POINTS)])
+    points = percentiles(rows, keys, "value")
+    return ranks._keyed(out, points, keys).select(*out.columns, *[r(F.col(name)).alias(name) for name in POINTS])
 
 
 def binned_counts(df: DataFrame, column: str, edges: list[float]) -> DataFrame:

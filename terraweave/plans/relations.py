@@ -94,7 +94,7 @@ def s4_adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s6_extreme_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.extreme_movers(_preset_rows(spark, sf_dir), "reference", ["connectivity_strong", "riparian_strong"])
+    return audits.extreme_movers(_preset_rows(spark, sf_dir), "reference", list(SCHEMES))
 
 
 def s7_thematic_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ _SCHEMES = s.W + ", pre AS (SELECT hex_id, " + ", ".join(f"round({s._mean(w)}, 9
 
 def _movers() -> str:
     parts = []
-    for scheme in ("connectivity_strong", "riparian_strong"):
+    for scheme in SCHEMES:
         moved = f"SELECT hex_id, round(100.0::DOUBLE * (b - 1) / (n - 1) - 100.0::DOUBLE * (a - 1) / (n - 1), 9) AS movement, ra AS reference_rank, rb AS scheme_rank FROM (SELECT hex_id, {s._avg('reference')} AS a, {s._avg(scheme)} AS b, count(*) OVER () AS n, row_number() OVER (ORDER BY reference DESC, hex_id) AS ra, row_number() OVER (ORDER BY {scheme} DESC, hex_id) AS rb FROM pre)"
         for direction, order in (("upward", "DESC"), ("downward", "ASC")):
             parts.append(f"SELECT '{scheme}' AS scheme, '{direction}' AS direction, *, CAST(row_number() OVER (ORDER BY movement {order}, hex_id) AS INTEGER) AS place FROM ({moved}) QUALIFY place <= 10")

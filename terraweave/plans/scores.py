@@ -135,7 +135,9 @@ def s6_rank_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _presets(spark, sf_dir).select("hex_id", *[F.round(c, 9).alias(c) for c in ("balanced", "riparian_restoration")])
     a = ranks.percentile_score(df, "balanced", "a").select("hex_id", "a", "riparian_restoration")
     moved = F.abs(F.col("b") - F.col("a"))
-    return ranks.percentile_score(a, "riparian_restoration", "b").agg(F.round(F.percentile(moved, F.lit(0.5)), 6).alias("median"), F.round(F.max(moved), 6).alias("max"), *[F.count_if(moved >= t).alias(f"at_least_{t}") for t in (10, 25, 40)])
+    moves = ranks.percentile_score(a, "riparian_restoration", "b").select(moved.alias("moved"))
+    middle = stats.percentiles(moves, [], "moved", {"median": 0.5}).select(F.round("median", 6).alias("median"))
+    return moves.agg(F.round(F.max("moved"), 6).alias("max"), *[F.count_if(F.col("moved") >= t).alias(f"at_least_{t}") for t in (10, 25, 40)]).join(F.broadcast(middle))
 
 
 def s7_top_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
