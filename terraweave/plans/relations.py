@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +31,14 @@ def _centres(units: DataFrame) -> DataFrame:
 
 
 def _layer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strips of 12 km with a version, one a nation."""
-    y = F.expr("6199000 + n_nationkey * 12000.0D")
+    """Strips with a version, one a nation, of 12 km or a multiple that covers the study area."""
+    height = 12000.0 * (1 + math.ceil((p.study(spark, sf_dir)[2][1] - p.NORTH) / 300000.0))
+    y = F.lit(6199000.0) + F.col("n_nationkey") * F.lit(height)
     version = F.expr("CASE WHEN n_nationkey % 5 = 4 THEN 'v1.9' ELSE concat('NMD v2.', n_nationkey % 3) END")
     strips = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("feature_id"), version.alias("version"), y.alias("y"))
     west, east = F.lit(400000.0), F.lit(413000.0)
     side = lambda x, up: F.struct(x.alias("x1"), F.col("y").alias("y1"), x.alias("x2"), up.alias("y2"))
-    up = F.col("y") + 12000.0
+    up = F.col("y") + F.lit(height)
     return strips.select("feature_id", "version", F.explode(F.array(side(west, up), side(east, up))).alias("e")).select("feature_id", "version", "e.*")
 
 
@@ -58,12 +61,12 @@ def s2_coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s3_context_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = geometry.within(p.diamond_edges(_customers(spark, sf_dir)), p.study_edges(spark), 5000.0)
+    found = geometry.within(p.diamond_edges(_customers(spark, sf_dir)), p.study_edges(spark, sf_dir), 5000.0)
     return found.select("feature_id", F.round("distance", 6).alias("distance"))
 
 
 def s3_boundary_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geometry.near_boundary(_centres(cells.eligible(p.units(spark, sf_dir))), p.study_edges(spark), 1000.0)
+    return geometry.near_boundary(_centres(cells.eligible(p.units(spark, sf_dir))), p.study_edges(spark, sf_dir), 1000.0)
 
 
 def s3_footprint_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,13 +127,17 @@ def s1_audit_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CELLS = "WITH " + p.CELL_SQL
-_STUDY_EDGES = "study(x1, y1, x2, y2) AS (VALUES " + ", ".join(f"({a[0]!r}::DOUBLE, {a[1]!r}::DOUBLE, {b[0]!r}::DOUBLE, {b[1]!r}::DOUBLE)" for a, b in zip(p.STUDY, [*p.STUDY[1:], p.STUDY[0]], strict=True)) + ")"
+#: The study area; its corners in the north are in the table of that name.
+_CORNERS = [("400150.3::DOUBLE", "6199000.7::DOUBLE"), ("412700.3::DOUBLE", "6199500.7::DOUBLE"), ("412300.3::DOUBLE", "(SELECT n FROM north)"), ("400450.3::DOUBLE", "(SELECT n FROM north)")]
+_SIDES = list(zip(_CORNERS, [*_CORNERS[1:], _CORNERS[0]], strict=True))
+_STUDY_EDGES = "study(x1, y1, x2, y2) AS (" + " UNION ALL ".join(f"SELECT {a[0]}, {a[1]}, {b[0]}, {b[1]}" for a, b in _SIDES) + ")"
+_NORTH = p.PIXEL_SQL.split("sel AS", 1)[0].strip().rstrip(",")
 #: Macros can't be made in one statement, so the distance of a point and a segment is a text.
 _PS = lambda x, y, x1, y1, x2, y2: (
     f"sqrt(pow({x} - ({x1} + least(1, greatest(0, (({x} - {x1}) * ({x2} - {x1}) + ({y} - {y1}) * ({y2} - {y1})) / (pow({x2} - {x1}, 2) + pow({y2} - {y1}, 2)))) * ({x2} - {x1})), 2)"
     f" + pow({y} - ({y1} + least(1, greatest(0, (({x} - {x1}) * ({x2} - {x1}) + ({y} - {y1}) * ({y2} - {y1})) / (pow({x2} - {x1}, 2) + pow({y2} - {y1}, 2)))) * ({y2} - {y1})), 2))"
 )
-_INSIDE_STUDY = " AND ".join(f"({b[0]!r}::DOUBLE - {a[0]!r}::DOUBLE) * ({{y}} - {a[1]!r}::DOUBLE) - ({b[1]!r}::DOUBLE - {a[1]!r}::DOUBLE) * ({{x}} - {a[0]!r}::DOUBLE) > 0" for a, b in zip(p.STUDY, [*p.STUDY[1:], p.STUDY[0]], strict=True))
+_INSIDE_STUDY = " AND ".join(f"({b[0]} - {a[0]}) * ({{y}} - {a[1]}) - ({b[1]} - {a[1]}) * ({{x}} - {a[0]}) > 0" for a, b in _SIDES)
 _DIAMOND = "SELECT feature_id, cx, cy, r, cx + dx * r AS x1, cy + dy * r AS y1, cx + ex * r AS x2, cy + ey * r AS y2 FROM {src}, (VALUES (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) v(dx, dy, ex, ey)"
 _CENTRES = f"cen AS (SELECT hex_id, (grid_col + grid_row / 2.0::DOUBLE) * 500.0::DOUBLE AS x, grid_row * {1.5 * hexgrid.SIDE!r}::DOUBLE AS y FROM cand)"
 _SIDE = lambda a, b, c: f"sign(({b[0]} - {a[0]}) * ({c[1]} - {a[1]}) - ({b[1]} - {a[1]}) * ({c[0]} - {a[0]}))"
@@ -169,10 +176,11 @@ def _rounding() -> str:
 
 
 ORACLES = {
-    "s2_coverage_gate": "WITH " + p.PIXEL_SQL + """, c AS (SELECT code IN (61, 62) AS sea, n_nationkey IS NULL AS gone FROM px LEFT JOIN nation ON n_nationkey % 5 <> 4 AND y >= 6199000 + n_nationkey * 12000 AND y < 6211000 + n_nationkey * 12000 AND x BETWEEN 400000 AND 413000)
+    "s2_coverage_gate": "WITH " + p.PIXEL_SQL + """, h AS (SELECT 12000.0::DOUBLE * (1 + ceil((n - 6500000.7::DOUBLE) / 300000.0::DOUBLE)) AS h FROM north), strip AS (SELECT n_nationkey, 6199000 + n_nationkey * h AS low, 6199000 + n_nationkey * h + h AS high FROM nation, h WHERE n_nationkey % 5 <> 4),
+      c AS (SELECT code IN (61, 62) AS sea, n_nationkey IS NULL AS gone FROM px LEFT JOIN strip ON y >= low AND y < high AND x BETWEEN 400000 AND 413000)
       SELECT count(*) AS valid_pixels, count(*) FILTER (WHERE sea) AS marine_pixels, count(*) FILTER (WHERE NOT sea) AS land_pixels, count(*) FILTER (WHERE sea AND gone) AS uncovered_marine, count(*) FILTER (WHERE NOT sea AND gone) AS uncovered_land,
         count(*) FILTER (WHERE NOT sea AND gone) * 100.0::DOUBLE AS uncovered_land_m2, count(*) FILTER (WHERE NOT sea AND gone) = 0 AS complete FROM c""",
-    "s3_context_filter": "WITH " + _STUDY_EDGES + ", cust AS (SELECT c_custkey AS feature_id, 385000 + (c_custkey * 3701 % 42000) + 0.3::DOUBLE AS cx, 6190000 + (c_custkey * 977 % 320000) + 0.3::DOUBLE AS cy, CAST(150 + (c_custkey % 5) * 60 AS DOUBLE) AS r FROM customer), dia AS (" + _DIAMOND.format(src="cust") + f"), g AS (SELECT feature_id, min(CASE WHEN {_INSIDE_STUDY.format(x='d.x1', y='d.y1')} THEN 0 ELSE {_GAP} END) AS gap FROM dia d, study t GROUP BY 1) SELECT feature_id, round(gap, 6) AS distance FROM g WHERE gap <= 5000",
+    "s3_context_filter": "WITH " + _NORTH + ", " + _STUDY_EDGES + ", cust AS (SELECT c_custkey AS feature_id, 385000 + (c_custkey * 3701 % 42000) + 0.3::DOUBLE AS cx, 6190000 + (c_custkey * 977 % 320000) + 0.3::DOUBLE AS cy, CAST(150 + (c_custkey % 5) * 60 AS DOUBLE) AS r FROM customer), dia AS (" + _DIAMOND.format(src="cust") + f"), g AS (SELECT feature_id, min(CASE WHEN {_INSIDE_STUDY.format(x='d.x1', y='d.y1')} THEN 0 ELSE {_GAP} END) AS gap FROM dia d, study t GROUP BY 1) SELECT feature_id, round(gap, 6) AS distance FROM g WHERE gap <= 5000",
     "s3_boundary_flags": _CELLS + ", " + _STUDY_EDGES + f", {_CENTRES} SELECT hex_id, min({_PS('c.x', 'c.y', *_B1, *_B2)}) <= 1000 AS boundary_edge_flag FROM cen c, study t GROUP BY 1",
     "s3_footprint_distance": _CELLS + "," + p.PROTECTED_SQL + f", {_CENTRES}, dia AS (" + _DIAMOND.format(src="(SELECT DISTINCT feature_id, cx, cy, r FROM box)") + f"), g AS (SELECT hex_id, min(CASE WHEN abs(c.x - t.cx) + abs(c.y - t.cy) < t.r THEN 0 ELSE {_PS('c.x', 'c.y', *_B1, *_B2)} END) AS gap FROM cen c, dia t GROUP BY 1) SELECT hex_id, round(gap, 6) AS distance, gap = 0 AS centre_within FROM g",
     "s4_adjacent_pairs": _pairs(),

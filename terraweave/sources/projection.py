@@ -9,7 +9,15 @@ from terraweave.functions import hexgrid
 from terraweave.operators import cells, raster
 from terraweave.sources.storage import materialise
 
-STUDY = [(400150.3, 6199000.7), (412700.3, 6199500.7), (412300.3, 6500000.7), (400450.3, 6500000.7)]
+NORTH = 6500000.7  # of the study area, unless the orders reach further
+
+
+def study(spark: SparkSession, sf_dir: str) -> list[tuple[float, float]]:
+    """Corners of the study area; its northern edge lies beyond the last block of the orders, so it grows with them."""
+    last = spark.read.parquet(f"{sf_dir}/lineitem.parquet").agg(F.max("l_orderkey")).first()[0] or 0
+    north = max(NORTH, 6201000.7 + (last // 256 * 7 + 7) * 50)
+    return [(400150.3, 6199000.7), (412700.3, 6199500.7), (412300.3, north), (400450.3, north)]
+
 
 CODE = """
 CASE WHEN m < 6 + (CAST(FLOOR(l_orderkey / 32) AS BIGINT) % 3) * 3 THEN 3
@@ -33,15 +41,16 @@ def all_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread.select((F.lit(40000) + F.col("bcol") * 5 + F.col("i")).cast("int").alias("px_col"), (F.lit(620000) + F.col("brow") * 5 + F.col("j")).cast("int").alias("px_row"), "code")
 
 
-def study_edges(spark: SparkSession) -> DataFrame:
-    rows = [(1, *a, *b) for a, b in zip(STUDY, [*STUDY[1:], STUDY[0]], strict=True)]
+def study_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corners = study(spark, sf_dir)
+    rows = [(1, *a, *b) for a, b in zip(corners, [*corners[1:], corners[0]], strict=True)]
     return spark.createDataFrame(rows, "feature_id int, x1 double, y1 double, x2 double, y2 double")
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid pixels of the study area with x, y and their cell."""
     valid = all_pixels(spark, sf_dir).where("code <> 0")
-    inside = raster.clip_to_spans(valid, raster.spans(study_edges(spark)))
+    inside = raster.clip_to_spans(valid, raster.spans(study_edges(spark, sf_dir)))
     placed = inside.withColumns({"x": (F.col("px_col") + 0.5) * F.lit(10.0), "y": (F.col("px_row") + 0.5) * F.lit(10.0)})
     return hexgrid.with_cell(placed)
 
@@ -94,6 +103,7 @@ def part_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same derivations in SQL, as common table expressions.
 PIXEL_SQL = """
+north AS (SELECT greatest(6500000.7::DOUBLE, 6201000.7::DOUBLE + (coalesce(max(l_orderkey), 0) // 256 * 7 + 7) * 50) AS n FROM lineitem),
 sel AS (SELECT *, (l_partkey * 7 + l_suppkey * 3 + l_linenumber * 5) % 20 AS m FROM lineitem),
 blk AS (
   SELECT l_orderkey % 256 AS bcol, (l_orderkey // 256) * 7 + l_linenumber - 1 AS brow,
@@ -110,11 +120,11 @@ px0 AS (
   SELECT *, (px_col + 0.5::DOUBLE) * 10.0::DOUBLE AS x, (px_row + 0.5::DOUBLE) * 10.0::DOUBLE AS y FROM allpx WHERE code <> 0
 ),
 px1 AS (
-  SELECT * FROM px0
+  SELECT px0.* FROM px0, north
   WHERE (412700.3 - 400150.3) * (y - 6199000.7) - (6199500.7 - 6199000.7) * (x - 400150.3) > 0
-    AND (412300.3 - 412700.3) * (y - 6199500.7) - (6500000.7 - 6199500.7) * (x - 412700.3) > 0
-    AND (400450.3 - 412300.3) * (y - 6500000.7) - (6500000.7 - 6500000.7) * (x - 412300.3) > 0
-    AND (400150.3 - 400450.3) * (y - 6500000.7) - (6199000.7 - 6500000.7) * (x - 400450.3) > 0
+    AND (412300.3 - 412700.3) * (y - 6199500.7) - (n - 6199500.7) * (x - 412700.3) > 0
+    AND (400450.3 - 412300.3) * (y - n) > 0
+    AND (400150.3 - 400450.3) * (y - n) - (6199000.7 - n) * (x - 400450.3) > 0
 ),
 px2 AS (SELECT *, y / {pitch}::DOUBLE AS r FROM px1),
 px3 AS (SELECT *, x / 500.0::DOUBLE - r / 2.0::DOUBLE AS q FROM px2),
