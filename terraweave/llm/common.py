@@ -2,62 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
-
-_local_dir: str | None = None
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see, from ``spark.checkpoint.dir``.
-
-    Where the setting is missing a temporary folder serves local mode only; on a
-    cluster that is an error, since executors would not see the driver's disk.
-    """
-    global _local_dir
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-    return _local_dir
-
+from terraweave.sources.storage import drop, materialise
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+__all__ = ["drop", "id_remainder", "materialise", "table"]
 
-    Cuts lineage: a lost executor costs a reread, not a recomputation. The table is
-    removed when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._materialised_at = path
-    return out
-
-
-def drop(materialised: DataFrame) -> None:
-    """Remove a table of ``materialise`` that nothing reads any more."""
-    _remove(materialised.sparkSession, materialised._materialised_at)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-    except Exception:  # the JVM may be gone at exit; the folder is scratch space
-        pass
+ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +20,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def id_remainder(column: str | Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null id: null)."""
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")) % modulus
-
-
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, ASCII_UPPER, ASCII_LOWER)

@@ -25,12 +25,13 @@ occurrences to be split, so there are at most ``MAX_SPLIT`` of them.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -43,6 +44,7 @@ K_MAX = 5
 END, START, UNSEEN, FIRST_WORD = 0, 1, 2, 3  # codes; words seen in training follow
 MAX_SPLIT = 1_000_000
 STATS = [f"s{r}" for r in range(1, K_MAX + 2)] + ["kinds"]
+TOKEN_NAMES, TOKEN_TYPES = ["block", "docs", "words", "tokens", "trained", "ends"], [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 TOKEN_SCHEMA = "block long, docs binary, words binary, tokens long, trained long, ends long"
 STATE_SCHEMA = "block long, state binary"
 QUESTION_SCHEMA = "bucket int, block long, question binary"
@@ -50,40 +52,35 @@ ANSWER_SCHEMA = "block long, bucket int, answer binary, split binary, " + ", ".j
 SCORE_SCHEMA = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words, ASCII lower case; bytes split at exactly 0x20 and 0x09-0x0D."""
-    return text.encode().lower().split() if isinstance(text, str) else []
-
-
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value; sorted arrays are kept as differences."""
+    """Arrays as one compressed value; sorted arrays are kept as differences, whole numbers in the fewest bytes."""
     parts = []
     for a in arrays:
-        rising = len(a) > 1 and a.dtype == np.int64 and bool((a[1:] >= a[:-1]).all()) and int(a[0]) > -(2**62)
+        rising = len(a) > 1 and a.dtype == np.int64 and int(a[0]) > -(2**62) and bool((a[1:] >= a[:-1]).all())
         body = np.diff(a, prepend=0) if rising else a
+        if body.dtype.kind == "i" and len(body):
+            low, high = int(body.min()), int(body.max())
+            body = body.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max), copy=False)
         # bytes of one significance stand together, which packs better
-        data = np.ascontiguousarray(body).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-        parts.append(np.array([len(a), rising], "<i8").tobytes() + a.dtype.str.encode() + data)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+        planes = np.ascontiguousarray(body).view(np.uint8).reshape(len(a), body.itemsize)
+        parts.append(np.array([len(a), rising], "<i8").tobytes() + body.dtype.str.encode() + a.dtype.str.encode() + b"".join(planes[:, k].tobytes() for k in range(body.itemsize)))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def unpack_arrays(value: bytes) -> list[np.ndarray]:
     data, at, out = zstandard.ZstdDecompressor().decompress(value), 0, []
     while at < len(data):
         n, rising = np.frombuffer(data, "<i8", 2, at).tolist()
-        dtype = np.dtype(data[at + 16 : at + 19].decode())
-        body = np.frombuffer(data, np.uint8, n * dtype.itemsize, at + 19).reshape(dtype.itemsize, n).T
-        a = np.ascontiguousarray(body).view(dtype).reshape(n)
+        kept, dtype = np.dtype(data[at + 16 : at + 19].decode()), np.dtype(data[at + 19 : at + 22].decode())
+        planes = np.empty((n, kept.itemsize), np.uint8)
+        for k in range(kept.itemsize):
+            planes[:, k] = np.frombuffer(data, np.uint8, n, at + 22 + k * n)
+        a = planes.reshape(-1).view(kept).astype(dtype, copy=False)
         out.append(np.cumsum(a) if rising else a)
-        at += 19 + n * dtype.itemsize
+        at += 22 + n * kept.itemsize
     return out
 
 
-def _small(a: np.ndarray) -> np.ndarray:
-    """The same whole numbers in 32 bits where they fit."""
-    return a.astype(np.int32) if len(a) == 0 or (a.min() >= -(2**31) and a.max() < 2**31) else a.astype(np.int64)
-
-
 def discounts(n: list[float]) -> np.ndarray:
     """d(r) for r = 0..K_MAX and above (index K_MAX + 1: 1), from n[r], r = 1..K_MAX + 1.
 
@@ -120,36 +117,47 @@ class Totals:
         return self.d[order - 1][np.minimum(counts, K_MAX + 1)] * counts
 
 
-def _tokeniser(tokens_a_block: int):
-    """Blocks of whole texts: ids, lengths, marks and word numbers; hashes and training counts of the words."""
+def _words(texts: pa.Array) -> pa.ListArray:
+    """Words of every text, ASCII lower case, cut at exactly 0x20 and 0x09-0x0D; a text without words has one empty one."""
+    return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, number = TaskContext.get().partitionId() << 32, 0
-        local: dict[bytes, int] = {}
-        ids, marks, codes, held = [], [], [], 0
-
-        def flush() -> pd.DataFrame:
-            lengths = np.array([len(c) for c in codes], np.int32)
-            mark = np.array(marks, np.int8)
-            code = np.concatenate(codes)
-            n = np.bincount(code[np.repeat(mark & 1, lengths) > 0], minlength=len(local)).astype(np.int32)
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, local), np.uint64, len(local)).view(np.int64)
-            row = (task + number, pack_arrays(np.array(ids, np.int64), lengths, mark, code), pack_arrays(hashes, n), len(code) + len(ids), int(n.sum(dtype=np.int64)), int((mark & 1).sum()))
-            local.clear(), ids.clear(), marks.clear(), codes.clear()
-            return pd.DataFrame([row], columns=["block", "docs", "words", "tokens", "trained", "ends"])
 
-        for pdf in batches:
-            for doc_id, text, is_train in zip(pdf["doc_id"], pdf["text"], pdf["train"], strict=True):
-                tokens = words_of(text)
-                codes.append(np.fromiter([local.setdefault(w, len(local)) for w in tokens], np.int32, len(tokens)))
-                ids.append(0 if pd.isna(doc_id) else int(doc_id))
-                marks.append(bool(is_train) + 2 * bool(pd.isna(doc_id)))
-                held += len(tokens) + 1
-                if held >= tokens_a_block:
-                    yield flush()
-                    number, held = number + 1, 0
-        if ids:
-            yield flush()
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows with at most ``most`` bytes of text, or one row."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+        yield start, end
+        start = end
+
+
+def _tokeniser(block_bytes: int):
+    """Blocks of whole texts: ids, lengths, marks and word numbers; hashes and training counts of the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            texts = pc.fill_null(batch["text"].cast(pa.large_string()), "")
+            is_null = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
+            ids = pc.fill_null(batch["doc_id"], 0).to_numpy(zero_copy_only=False)
+            marks = batch["train"].to_numpy(zero_copy_only=False).astype(np.int8) + 2 * is_null.astype(np.int8)
+            for a, b in _slices(texts, block_bytes):
+                words = _words(texts.slice(a, b - a))
+                flat = words.flatten().dictionary_encode()
+                distinct = flat.dictionary.to_pylist()
+                code, offsets = flat.indices.to_numpy(), words.offsets.to_numpy()
+                lengths = np.diff(offsets).astype(np.int32)
+                if "" in distinct:  # stands where a text has no word
+                    gone = code == distinct.index("")
+                    lengths -= np.diff(np.concatenate([[0], np.cumsum(gone)])[offsets]).astype(np.int32)
+                    code = code[~gone]
+                hashes = np.fromiter([xxhash.xxh64_intdigest(w) for w in distinct], np.uint64, len(distinct)).view(np.int64)
+                mark = marks[a:b]
+                n = np.bincount(code[np.repeat(mark & 1, lengths) > 0], minlength=len(distinct))
+                row = (number, pack_arrays(ids[a:b], lengths, mark, code), pack_arrays(hashes, n), len(code) + b - a, int(n.sum()), int((mark & 1).sum()))
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, TOKEN_TYPES, strict=True)], TOKEN_NAMES)
+                number += 1
 
     return run
 
@@ -202,7 +210,18 @@ def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
     place = np.empty(len(words), np.int64)
     place[np.argsort(-counts, kind="stable")] = np.arange(len(words))
     parts = np.split(at, np.cumsum([len(h) for h, _ in asked])[:-1])
-    return _answers(pdf, [pack_arrays(_small(counts[p]), _small(place[p])) for p in parts], None, counts)
+    return _answers(pdf, [pack_arrays(counts[p], place[p]) for p in parts], None, counts)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some place of each distinct key, in order of the keys, and the number of its key for every place."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
 
 
 class Block:
@@ -222,7 +241,7 @@ class Block:
         self.train = np.repeat((marks & 1) > 0, lengths)
 
     def pack(self) -> bytes:
-        return pack_arrays(self.ids, self.lengths, self.marks, self.index, self.codes, self.counts1, self.logp, *map(_small, self.counts[1:]))
+        return pack_arrays(self.ids, self.lengths, self.marks, self.index, self.codes, self.counts1, self.logp, *self.counts[1:])
 
     def before(self, values: np.ndarray, steps: int, default: int) -> np.ndarray:
         """``values`` of the position ``steps`` earlier in the same document."""
@@ -248,10 +267,10 @@ class Grams:
         key, most = np.zeros(len(self.at), np.int64), 1
         for column in [*self.columns, block.index[self.at]]:
             if most * kinds >= 2**62:
-                found, key = np.unique(key, return_inverse=True)
-                most = len(found)
+                first, key = _distinct(key)
+                most = len(first)
             key, most = key * kinds + column, most * kinds
-        _, first, self.inverse = np.unique(key, return_index=True, return_inverse=True)
+        first, self.inverse = _distinct(key)
         self.first = self.at[first]
         self.columns = [block.codes[c[first]] for c in self.columns]
         self.words = block.codes[block.index[self.first]]
@@ -274,9 +293,9 @@ def _ask(order: int, totals: Totals):
                 block = Block(*unpack_arrays(state))
                 grams = Grams(block, order, totals)
                 n = np.bincount(grams.inverse, weights=block.train[grams.at], minlength=len(grams.first)).astype(np.int64)
-                shorter = block.counts[order - 2][grams.first]
-                its_context = block.before(block.counts[order - 3], 1, totals.ends)[grams.first] if order > 2 else np.zeros(len(n), np.int64)
-                columns = [*grams.columns, _small(grams.words), _small(2 * n + grams.is_split), _small(shorter), _small(its_context)]
+                shorter = np.where(n > 0, block.counts[order - 2][grams.first], 0)
+                its_context = np.where(n > 0, block.before(block.counts[order - 3], 1, totals.ends)[grams.first] if order > 2 else totals.n, 0)
+                columns = [*grams.columns, grams.words, 2 * n + grams.is_split, shorter, its_context]
                 rows = [(bucket, number, pack_arrays(*[c[grams.order[a:b]] for c in columns])) for bucket, a, b in grams.segments]
                 yield pd.DataFrame(rows, columns=["bucket", "block", "question"])
 
@@ -293,21 +312,24 @@ def _count(order: int, totals: Totals):
         context = np.zeros(len(words), np.uint64)
         for column in columns:
             context = _mix(context * np.uint64(3) + column.astype(np.uint64))
-        _, first, at = np.unique(_mix(context * np.uint64(3) + words.astype(np.uint64)), return_index=True, return_inverse=True)
+        first, at = _distinct(_mix(context * np.uint64(3) + words.astype(np.uint64)))
         counts = np.bincount(at, weights=n >> 1, minlength=len(first)).astype(np.int64)
-        contexts, of = np.unique(context, return_inverse=True)
+        home, place = _distinct(context[first])  # contexts of the distinct n-grams
+        contexts, home, of = context[first][home], place, place[at]
         split = np.zeros(len(contexts), bool)
         split[of] = n & 1 > 0
         seen = counts > 0
-        lower = totals.discounted(order - 1, shorter[first]) / (np.maximum(its_context[first], 1) if order > 2 else max(totals.n, 1))
-        home = of[first]
+        below, above = np.zeros(len(first), np.int64), np.ones(len(first), np.int64)
+        trained = n > 1  # only these rows have the counts
+        below[at[trained]], above[at[trained]] = shorter[trained], its_context[trained]
+        lower = totals.discounted(order - 1, below) / above
         sums = [np.bincount(home[counts == r], minlength=len(contexts)) for r in range(1, K_MAX + 1)]
         sums.append(np.bincount(home[seen], weights=lower[seen], minlength=len(contexts)))
         answers = []
         for gram, c in zip(np.split(at, sizes), np.split(of, sizes), strict=True):
             wanted = c[(counts[gram] == 0) & ~split[c]]
             wanted = wanted[np.diff(wanted, prepend=-1) != 0]  # the n-grams of a context stand together
-            answers.append(pack_arrays(_small(counts[gram]), *[_small(s[wanted]) for s in sums[:-1]], sums[-1][wanted]))
+            answers.append(pack_arrays(counts[gram], *[s[wanted] for s in sums[:-1]], sums[-1][wanted]))
         parts = pack_arrays(contexts[split].view(np.int64), *[s[split].astype(np.float64) for s in sums])
         return _answers(pdf, answers, parts if split.any() else None, counts)
 
@@ -400,13 +422,7 @@ def _result(number: int, block: Block, totals: Totals, last: bool) -> pd.DataFra
     )
 
 
-def _free_shuffles(spark: SparkSession) -> None:
-    """Spark removes the files of shuffles that nothing refers to when the driver's JVM collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, tokens_a_block: int = 1_000_000, tokens_a_bucket: int = 1_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, block_bytes: int = 4 << 20, tokens_a_bucket: int = 600_000) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score), one row a row of ``docs``.
 
     is_training: boolean column over ``docs``; null counts as true. Null texts are empty
@@ -415,12 +431,12 @@ def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id"
     type. Other columns are ignored. Empty table: no rows. A document is never cut, so a
     block holds at least one whole text.
 
-    order: longest n-gram. tokens_a_block, tokens_a_bucket: work of one task; they change
-    no result.
+    order: longest n-gram. block_bytes (of text), tokens_a_bucket: work of one task; they
+    change no result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(is_training, F.lit(True)).alias("train"))
-    tokens = materialise(rows.mapInPandas(_tokeniser(tokens_a_block), TOKEN_SCHEMA), "tokens")
+    tokens = materialise(rows.mapInArrow(_tokeniser(block_bytes), TOKEN_SCHEMA), "tokens")
     whole = tokens.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "ends")]).first()
     buckets = max(1, -(-int(whole["tokens"]) // tokens_a_bucket))
     piece = max(1, tokens_a_bucket // 4, int(whole["tokens"]) // MAX_SPLIT)
@@ -437,9 +453,9 @@ def score_documents(docs: DataFrame, is_training: Column, id_col: str = "doc_id"
     result = _joined(state, answers, _absorb_words(totals, order == 1), order == 1)
     for level in range(2, order + 1):
         previous, state = state, materialise(result, f"state-{level - 1}")
-        _forget(spark, tokens if level == 2 else previous, answers)
+        drop(tokens if level == 2 else previous)
+        drop(answers)
         answers = materialise(state.mapInPandas(_ask(level, totals), QUESTION_SCHEMA).groupBy("bucket").applyInPandas(_count(level, totals), ANSWER_SCHEMA), f"answers-{level}")
-        _free_shuffles(spark)
         of, _ = _count_of_counts(answers)
         totals = Totals(n, totals.kinds, ends, (*totals.d, discounts([0.0, *[of[r] for r in range(1, K_MAX + 2)]])), totals.unseen, buckets, piece)
         names = [f"x{i}" for i in range(K_MAX + 1)]
@@ -463,12 +479,6 @@ def _joined(state: DataFrame, answers: DataFrame, function, last: bool) -> DataF
     return state.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(function, SCORE_SCHEMA if last else STATE_SCHEMA)
 
 
-def _forget(spark: SparkSession, *tables: DataFrame) -> None:
-    for done in tables:
-        drop(done)
-    _free_shuffles(spark)
-
-
 def op9_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_remainder("doc_id", 7) == 2, F.lit(False))
     return score_documents(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", ~F.col("train")).drop("train")

@@ -63,13 +63,13 @@ def corpus():
     return texts + texts[:9] + EDGE
 
 
-@pytest.mark.parametrize("order, block, bucket", [(3, 1_000_000, 1_000_000), (3, 300, 200), (2, 500, 100), (4, 700, 400), (1, 400, 100)])
+@pytest.mark.parametrize("order, block, bucket", [(3, 1_000_000, 1_000_000), (3, 900, 200), (2, 1500, 100), (4, 2000, 400), (1, 1200, 100)])
 def test_katz_equals_the_definition(spark, order, block, bucket):
     """Neither the size of blocks and buckets nor the splitting of frequent contexts changes a score."""
     texts = corpus()
     train = [i % 7 != 2 for i in range(len(texts))]
     plain = Plain([t for t, k in zip(texts, train, strict=True) if k], order)
-    got = {r.doc_id: r for r in katz_lm.score_documents(docs(spark, texts).repartition(3), F.col("doc_id") % 7 != 2, order=order, tokens_a_block=block, tokens_a_bucket=bucket).collect()}
+    got = {r.doc_id: r for r in katz_lm.score_documents(docs(spark, texts).repartition(3), F.col("doc_id") % 7 != 2, order=order, block_bytes=block, tokens_a_bucket=bucket).collect()}
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
         words = [*(t or "").lower().split(), "</s>"]
