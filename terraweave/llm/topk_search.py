@@ -5,8 +5,10 @@ list of its rows sorted by that component. A query walks the lists of its non-ze
 dimensions in step (from the top for a positive weight, from the bottom for a negative
 one), scores every row it meets by random access inside the block, and stops when the
 threshold - the score of a hypothetical row standing at the current depth of every
-list - cannot beat the k-th best score known so far. Results of all blocks are merged
-by a ranked window that Spark limits before its shuffle.
+list - cannot beat the k-th best score known so far. The k-th score carries over between
+the blocks of a task, blocks of the highest bounds come first, and a block whose bound
+cannot beat it is passed over unread. Results of all blocks are merged by a ranked window
+that Spark limits before its shuffle.
 
 Memory is bounded by one candidate block and one query block per task. Work is
 (query blocks x candidate blocks), the whole of the stated query set against all rows.
@@ -114,26 +116,35 @@ def _distinct(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> tuple[np
     return rows, scores
 
 
+def _matrices(b) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(block, ids, components, query ids, queries) of a pair of blocks, in a type in which products are exact."""
+    dims = max(b.dims, b.q_dims)
+    comps = np.zeros((b.n, dims), dtype=np.int64)
+    comps[:, : b.dims] = np.frombuffer(b.comps, np.int64).reshape(b.n, b.dims)
+    queries = np.zeros((b.q_n, dims), dtype=np.int64)
+    queries[:, : b.q_dims] = np.frombuffer(b.q_comps, np.int64).reshape(b.q_n, b.q_dims)
+    widest = int(np.abs(comps).max(initial=0)) * int(np.abs(queries).max(initial=0)) * dims
+    kind = np.float64 if widest < 2**53 else np.int64 if widest < 2**63 else object
+    return b.block, np.frombuffer(b.ids, np.int64), comps.astype(kind), np.frombuffer(b.q_ids, np.int64), queries.astype(kind)
+
+
 def _searcher(k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kth: dict[int, float] = {}  # of queries that have k results from earlier blocks of this task
         last: tuple = (None,)
         for pdf in batches:
-            for b in pdf.itertuples(index=False):
-                dims = max(b.dims, b.q_dims)
-                ids, q_ids = np.frombuffer(b.ids, np.int64), np.frombuffer(b.q_ids, np.int64)
-                comps = np.zeros((b.n, dims), dtype=np.int64)
-                comps[:, : b.dims] = np.frombuffer(b.comps, np.int64).reshape(b.n, b.dims)
-                queries = np.zeros((b.q_n, dims), dtype=np.int64)
-                queries[:, : b.q_dims] = np.frombuffer(b.q_comps, np.int64).reshape(b.q_n, b.q_dims)
-                widest = int(np.abs(comps).max(initial=0)) * int(np.abs(queries).max(initial=0)) * dims
-                kind = np.float64 if widest < 2**53 else np.int64 if widest < 2**63 else object
-                comps, queries = comps.astype(kind), queries.astype(kind)
-                if last[0] != (b.block, dims):
-                    last = ((b.block, dims), np.argsort(comps, axis=0, kind="stable").T)
+            pairs = [_matrices(b) for b in pdf.itertuples(index=False)]
+            # at depth 0 of the lists: no row of the block scores more
+            bounds = [np.where(queries > 0, queries * comps.max(axis=0), queries * comps.min(axis=0)).sum(axis=1) for _, _, comps, _, queries in pairs]
+            for at in sorted(range(len(pairs)), key=lambda i: (-float(np.mean(bounds[i])), i)):
+                block, ids, comps, q_ids, queries = pairs[at]
+                wanted = [i for i, query_id in enumerate(q_ids.tolist()) if bounds[at][i] >= kth.get(query_id, -np.inf)]
+                if wanted and last[0] != (block, comps.shape[1]):
+                    last = ((block, comps.shape[1]), np.argsort(comps, axis=0, kind="stable").T)
                 found: list[tuple[int, int, int]] = []
-                for query_id, query in zip(q_ids.tolist(), queries, strict=True):
-                    rows, scores = threshold_search(comps, ids, last[1], query, query_id, k, kth.get(query_id, -np.inf))
+                for i in wanted:
+                    query_id = int(q_ids[i])
+                    rows, scores = threshold_search(comps, ids, last[1], queries[i], query_id, k, kth.get(query_id, -np.inf))
                     if len(rows) == k:
                         kth[query_id] = max(kth.get(query_id, -np.inf), scores[-1])
                     found += zip([query_id] * len(rows), ids[rows].tolist(), (max(-(2**63), min(2**63 - 1, int(s))) for s in scores), strict=True)
