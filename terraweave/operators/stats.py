@@ -115,3 +115,12 @@ def coordinate_thirds(df: DataFrame) -> DataFrame:
         return F.when(F.col(v) < F.col(low) + step, "low").when(F.col(v) < F.col(low) + 2 * step, "middle").otherwise("high")
 
     return df.join(F.broadcast(extent)).groupBy(third("grid_col", "x0", "x1").alias("third_x"), third("grid_row", "y0", "y1").alias("third_y")).agg(F.count("*").alias("rows"))
+
+
+def threshold_counts(df: DataFrame, conditions: dict[str, Column], value: str) -> DataFrame:
+    """(condition, rows, median of ``value``) of the rows that meet each condition; one without rows has a null median."""
+    names = F.array_compact(F.array(*[F.when(c, name) for name, c in conditions.items()]))
+    rows = df.select(F.explode(names).alias("condition"), F.col(value).alias("_v"))
+    every = df.sparkSession.createDataFrame([(name,) for name in conditions], "condition string")
+    counted = rows.groupBy("condition").agg(F.count("*").alias("rows"))
+    return every.join(counted, "condition", "left").join(percentiles(rows, ["condition"], "_v", {"median": 0.5}), "condition", "left").select("condition", F.coalesce("rows", F.lit(0)).alias("rows"), "median")

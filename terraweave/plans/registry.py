@@ -1,6 +1,6 @@
 """All queries of the land model by name, with their SQL."""
 
-from terraweave.plans import cells, relations, scores
+from terraweave.plans import audit, cells, chain, relations, scores
 
-QUERIES = cells.QUERIES | scores.QUERIES | relations.QUERIES
-ORACLES = cells.ORACLES | scores.ORACLES | relations.ORACLES
+QUERIES = cells.QUERIES | scores.QUERIES | relations.QUERIES | chain.QUERIES | audit.QUERIES
+ORACLES = cells.ORACLES | scores.ORACLES | relations.ORACLES | chain.ORACLES | audit.ORACLES
