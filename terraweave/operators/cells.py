@@ -63,9 +63,13 @@ def hydrology(counts: DataFrame) -> DataFrame:
     )
 
 
-def protection(pixels: DataFrame, footprint: DataFrame) -> DataFrame:
-    """Terrestrial and protected terrestrial pixels a cell; footprint: (px_col, px_row), distinct."""
-    marked = pixels.where(has_role("terrestrial_land")).join(footprint.select("px_col", "px_row", F.lit(True).alias("inside")), ["px_col", "px_row"], "left")
-    return marked.groupBy("grid_col", "grid_row").agg(F.count("*").alias("terrestrial_pixels"), F.count("inside").alias("protected_pixels")).withColumn(
+def protection(pixels: DataFrame, runs: DataFrame) -> DataFrame:
+    """Terrestrial and protected terrestrial pixels a cell; runs: merged runs of the footprint (px_row, left, right).
+
+    A pixel meets at most one merged run, by an equality on the row and a range test.
+    """
+    mask = runs.select(F.col("px_row").alias("_row"), F.col("left").alias("_left"), F.col("right").alias("_right"))
+    marked = pixels.where(has_role("terrestrial_land")).join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("_left"), F.col("_right")), "left")
+    return marked.groupBy("grid_col", "grid_row").agg(F.count("*").alias("terrestrial_pixels"), F.count("_row").alias("protected_pixels")).withColumn(
         "protected_fraction", F.try_divide(F.col("protected_pixels") * F.lit(1.0), F.col("terrestrial_pixels"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
+from terraweave.sources.storage import materialise
 
 
 def neighbours(candidates: DataFrame, grid: DataFrame, radius: int = 2, how: str = "inner") -> DataFrame:
@@ -92,30 +93,37 @@ def _name(offset: tuple[int, int]) -> str:
 
 
 def nearest_steps(candidates: DataFrame, sources: DataFrame, first_radius: int = 4, max_rounds: int = 24) -> DataFrame:
-    """(hex_id, steps): exact axial distance to the nearest source cell, null without sources.
+    """(hex_id, steps): exact axial distance to the nearest source cell, null without sources or without a place.
 
-    Tile search with a doubling radius: tiles are as wide as the radius, a candidate meets
+    Candidates that are sources have distance 0. For all others only sources at the edge of
+    a group of sources can be nearest, so cells with six source neighbours are left out.
+    Then tiles with a doubling radius: tiles are as wide as the radius, a candidate meets
     the sources of its 3x3 tiles, and a distance within the radius is final. What is left
     goes on; the number of rounds is the logarithm of the extent, and every round is
     written to the shared folder.
     """
-    from terraweave.sources.storage import materialise
-
-    places = materialise(sources.select(F.col("grid_col").alias("s_col"), F.col("grid_row").alias("s_row")).distinct(), "sources")
-    open_ = candidates.select("hex_id", "grid_col", "grid_row")
+    places = materialise(sources.where("grid_col IS NOT NULL AND grid_row IS NOT NULL").select(F.col("grid_col").alias("s_col"), F.col("grid_row").alias("s_row")).distinct(), "sources")
+    every = candidates.select("hex_id", "grid_col", "grid_row")
     if places.isEmpty():
-        return open_.select("hex_id", F.lit(None).cast("int").alias("steps"))
-    done, radius = None, first_radius
+        return every.select("hex_id", F.lit(None).cast("int").alias("steps"))
+    own = every.join(places, (F.col("grid_col") == F.col("s_col")) & (F.col("grid_row") == F.col("s_row")), "left")
+    done = materialise(own.where("s_col IS NOT NULL").select("hex_id", F.lit(0).alias("steps")), "nearest")
+    open_ = materialise(own.where("s_col IS NULL AND grid_col IS NOT NULL AND grid_row IS NOT NULL").select("hex_id", "grid_col", "grid_row"), "open")
+    six = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(r).alias("r")) for c, r in hexgrid.ring(1)])
+    around = places.select(F.explode(six).alias("o"), "*").select((F.col("s_col") + F.col("o.c")).alias("s_col"), (F.col("s_row") + F.col("o.r")).alias("s_row"))
+    inner = around.join(places, ["s_col", "s_row"]).groupBy("s_col", "s_row").count().where("count = 6")
+    edge = materialise(places.join(inner.select("s_col", "s_row"), ["s_col", "s_row"], "left_anti"), "source-edge")
+    radius = first_radius
     for _ in range(max_rounds):
-        tiled = places.select("*", F.floor(F.col("s_col") / radius).alias("tc"), F.floor(F.col("s_row") / radius).alias("tr"))
-        around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-        looking = open_.withColumn("o", F.explode(around)).select("hex_id", "grid_col", "grid_row", (F.floor(F.col("grid_col") / radius) + F.col("o.a")).alias("tc"), (F.floor(F.col("grid_row") / radius) + F.col("o.b")).alias("tr"))
+        if open_.isEmpty():
+            break
+        tiled = edge.select("*", F.floor(F.col("s_col") / radius).alias("tc"), F.floor(F.col("s_row") / radius).alias("tr"))
+        nine = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+        looking = open_.withColumn("o", F.explode(nine)).select("hex_id", "grid_col", "grid_row", (F.floor(F.col("grid_col") / radius) + F.col("o.a")).alias("tc"), (F.floor(F.col("grid_row") / radius) + F.col("o.b")).alias("tr"))
         steps = hexgrid.distance(F.col("grid_col"), F.col("grid_row"), F.col("s_col"), F.col("s_row"))
         found = looking.join(tiled, ["tc", "tr"]).groupBy("hex_id").agg(F.min(steps).cast("int").alias("steps")).where(F.col("steps") <= radius)
         found = materialise(found, "nearest")
-        done = found if done is None else done.unionByName(found)
+        done = done.unionByName(found)
         open_ = materialise(open_.join(found, "hex_id", "left_anti"), "open")
-        if open_.isEmpty():
-            break
         radius *= 2
-    return done
+    return every.select("hex_id").join(done, "hex_id", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,17 @@ def rasterise(edges: DataFrame, step: float = 10.0, keys: tuple[str, ...] = ("fe
     return spans(edges, step, keys).select(*keys, F.explode(F.sequence("left", "right")).alias("px_col"), "px_row")
 
 
+def merged(runs: DataFrame) -> DataFrame:
+    """(px_row, left, right): the runs of all features as their union, apart from each other.
+
+    The runs of one row are merged together; a row has as many as features cross it.
+    """
+    row = Window.partitionBy("px_row").orderBy("left", "right")
+    reached = F.max("right").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    opened = runs.select("px_row", "left", "right", F.coalesce((F.col("left") > reached + 1).cast("int"), F.lit(0)).alias("_new"))
+    return opened.withColumn("_run", F.sum("_new").over(row)).groupBy("px_row", "_run").agg(F.min("left").alias("left"), F.max("right").alias("right")).drop("_run")
+
+
 def clip_to_spans(pixels: DataFrame, runs: DataFrame) -> DataFrame:
     """Pixels inside any run, by an equality on the row and a range test in the column.
 

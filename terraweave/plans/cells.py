@@ -57,7 +57,7 @@ def s2_record_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s2_protected_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     land = p.pixels(spark, sf_dir).where(cells.has_role("terrestrial_land"))
-    return raster.clip(land, p.footprint(spark, sf_dir)).groupBy("code").agg(F.count("*").alias("pixels"))
+    return raster.clip_to_spans(land, p.footprint_runs(spark, sf_dir)).groupBy("code").agg(F.count("*").alias("pixels"))
 
 
 def s2_delivery_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def s3_hex_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = hexgrid.centre(F.col("grid_col"), F.col("grid_row"))
     corners = hexgrid.polygon(F.col("grid_col"), F.col("grid_row"))
     units = p.units(spark, sf_dir)
-    return units.select("hex_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), F.size(corners).alias("corners"), F.round(corners[0]["x"], 6).alias("x0"), F.round(corners[0]["y"], 6).alias("y0"))
+    return units.select("hex_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), F.size(corners).alias("corners"), *[F.round(corners[i][k], 6).alias(f"{k}{i}") for i in range(6) for k in ("x", "y")])
 
 
 def s3_point_to_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,12 +89,12 @@ def s3_union_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s3_water_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inside = raster.clip(p.pixels(spark, sf_dir), p.footprint(spark, sf_dir))
+    inside = raster.clip_to_spans(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir))
     return inside.agg(F.count("*").alias("pixels"), F.count_if(F.col("code") == 62).alias("sea"), F.count_if(F.col("code") == 61).alias("inland"))
 
 
 def s3_nearest_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = cells.protection(p.pixels(spark, sf_dir), p.footprint(spark, sf_dir)).where("protected_pixels > 0")
+    sources = cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)).where("protected_pixels > 0")
     return neighbours.nearest_steps(cells.eligible(p.units(spark, sf_dir)), sources)
 
 
@@ -111,7 +111,7 @@ def s5_pixel_to_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s5_pixel_to_protection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.protection(p.pixels(spark, sf_dir), p.footprint(spark, sf_dir))
+    return cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir))
 
 
 def s5_habitat_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +133,7 @@ def s5_riparian_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s5_protected_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = materialise(cells.protection(p.pixels(spark, sf_dir), p.footprint(spark, sf_dir)), "protection")
+    grid = materialise(cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)), "protection")
     cand = cells.eligible(p.units(spark, sf_dir))
     near = neighbours.share_indicators(cand, grid, "protected_pixels", "terrestrial_pixels", "protected")
     return near.join(neighbours.focal_share(cand, grid, "protected_pixels", "terrestrial_pixels", "protected_focal_fraction"), "hex_id")
@@ -206,6 +206,9 @@ _DIST = """SELECT metric, count(v) AS n, count(*) FILTER (WHERE v IS NULL) AS mi
 _GROUPS = "(VALUES " + ", ".join(f"({code}, '{g}')" for g, codes in semantics.GROUP_CODES.items() for code in codes) + ") g(code, grp)"
 _ROLES = "(VALUES " + ", ".join(f"({code}, '{r}')" for r in semantics.ROLE_GROUPS for code in cells.codes_of(r)) + ") r(code, role)"
 
+#: Corners of a cell from its centre, from 30 degrees on.
+_CORNERS = [(250.0, hexgrid.SIDE / 2), (0.0, hexgrid.SIDE), (-250.0, hexgrid.SIDE / 2), (-250.0, -hexgrid.SIDE / 2), (0.0, -hexgrid.SIDE), (250.0, -hexgrid.SIDE / 2)]
+
 ORACLES = {
     "s1_pixel_scan": PIX + " SELECT CAST(code AS INTEGER) AS code, count(*) AS pixels, CAST(min(px_col) AS INTEGER) AS min_col, CAST(max(px_row) AS INTEGER) AS max_row FROM px GROUP BY 1",
     "s1_pixel_centres": PIX + " SELECT min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM px",
@@ -220,7 +223,7 @@ ORACLES = {
     "s2_record_filters": "WITH " + PROT + " SELECT CASE WHEN kind = 'SCI' THEN 'natura' ELSE 'national' END AS source, kind, count(*) AS features, count(DISTINCT feature_id) AS ids FROM prot WHERE kind = 'SCI' OR (kind IN ('Nationalpark', 'Naturreservat') AND status = 'Gällande') GROUP BY 1, 2",
     "s2_protected_predicate": PIX + "," + PROT + " SELECT CAST(code AS INTEGER) AS code, count(*) AS pixels FROM px JOIN foot USING (px_col, px_row) WHERE code NOT IN (61, 62) GROUP BY 1",
     "s2_delivery_rounding": "SELECT p_partkey, CAST(format('{:.3f}', CAST(p_retailprice AS DOUBLE) / 7.0::DOUBLE) AS DOUBLE) AS score, CAST(format('{:.5f}', CAST(p_retailprice AS DOUBLE) / 7.0::DOUBLE / 1000.0::DOUBLE) AS DOUBLE) AS fraction FROM part",
-    "s3_hex_geometry": CELLS + f" SELECT hex_id, round((grid_col + grid_row / 2.0::DOUBLE) * 500.0::DOUBLE, 6) AS x, round(grid_row * {1.5 * hexgrid.SIDE!r}::DOUBLE, 6) AS y, CAST(6 AS INTEGER) AS corners, round((grid_col + grid_row / 2.0::DOUBLE) * 500.0::DOUBLE + 250.0::DOUBLE, 6) AS x0, round(grid_row * {1.5 * hexgrid.SIDE!r}::DOUBLE + {hexgrid.SIDE / 2!r}::DOUBLE, 6) AS y0 FROM units",
+    "s3_hex_geometry": CELLS + f" SELECT hex_id, round((grid_col + grid_row / 2.0::DOUBLE) * 500.0::DOUBLE, 6) AS x, round(grid_row * {1.5 * hexgrid.SIDE!r}::DOUBLE, 6) AS y, CAST(6 AS INTEGER) AS corners, " + ", ".join(f"round(round((grid_col + grid_row / 2.0::DOUBLE) * 500.0::DOUBLE + {dx!r}::DOUBLE, 9), 6) AS x{i}, round(round(grid_row * {1.5 * hexgrid.SIDE!r}::DOUBLE + {dy!r}::DOUBLE, 9), 6) AS y{i}" for i, (dx, dy) in enumerate(_CORNERS)) + " FROM units",
     "s3_point_to_hex": PIX + " SELECT grid_col, grid_row, count(*) AS pixels, CAST(min(px_col) AS INTEGER) AS min_col, CAST(max(px_col) AS INTEGER) AS max_col FROM px GROUP BY 1, 2",
     "s3_rasterise": "WITH " + PROT + " SELECT feature_id, count(*) AS pixels, CAST(min(px_col) AS INTEGER) AS min_col, CAST(max(px_col) AS INTEGER) AS max_col, CAST(min(px_row) AS INTEGER) AS min_row, CAST(max(px_row) AS INTEGER) AS max_row FROM cover GROUP BY 1",
     "s3_union_areas": "WITH " + PROT + ", b AS (SELECT px_col, px_row, max(CASE WHEN kind <> 'SCI' THEN 1 ELSE 0 END) AS f, max(CASE WHEN kind = 'SCI' THEN 1 ELSE 0 END) AS s FROM cover GROUP BY 1, 2) SELECT count(*) FILTER (WHERE f = 1) * 100.0::DOUBLE AS first_m2, count(*) FILTER (WHERE s = 1) * 100.0::DOUBLE AS second_m2, count(*) FILTER (WHERE f = 1 AND s = 1) * 100.0::DOUBLE AS intersection_m2, count(*) * 100.0::DOUBLE AS union_m2, (count(*) FILTER (WHERE f = 1) + count(*) FILTER (WHERE s = 1)) * 100.0::DOUBLE AS summed_m2 FROM b",

@@ -20,7 +20,7 @@ def indicators(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     counts = p.counts(spark, sf_dir)
     units = cells.analysis_units(counts)
     cand = materialise(cells.eligible(units), "candidates")
-    grid = materialise(cells.protection(p.pixels(spark, sf_dir), p.footprint(spark, sf_dir)), "protection")
+    grid = materialise(cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)), "protection")
     network = neighbours.network_indicators(cand, units).select("hex_id", F.round("opposing_balance_ratio", 9).alias("opposing_balance_ratio"))
     parts = [
         neighbours.share_indicators(cand, units, "habitat_context_pixels", "terrestrial_pixels", "habitat").select("hex_id", "habitat_local_fraction"),
@@ -231,5 +231,6 @@ ORACLES = {
     "s5_subtype_shares": c.PIX + ", g AS (SELECT grid_col, grid_row, count(*) FILTER (WHERE code NOT IN (61, 62)) AS w, " + ", ".join(f"count(*) FILTER (WHERE code = {k}) AS {n}" for k, n in _SUB.items()) + " FROM px GROUP BY 1, 2), u AS (" + " UNION ALL ".join(f"SELECT '{n}' AS subtype, {n} AS v, w FROM g" for n in _SUB.values()) + "), t AS (SELECT subtype, CAST(sum(v) AS BIGINT) AS pixels, round(avg(v * 1.0::DOUBLE / nullif(w, 0)), 9) AS mean_fraction FROM u GROUP BY 1) SELECT subtype, pixels, pixels * 1.0::DOUBLE / (SELECT sum(pixels) FROM t) AS share, mean_fraction FROM t",
     "s5_water_only": _WATER,
     "s6_rank_fraction": c.CELLS + f", k AS (SELECT {s._avg('candidate_area_m2')} AS a, {s._avg('candidate_fraction_of_terrestrial')} AS b, count(*) OVER () AS n FROM cand), g AS (SELECT a, b, abs(b / n - a / n) AS gap FROM k) SELECT count(*) AS rows, round(max(gap), 9) AS largest, count(*) FILTER (WHERE gap >= 0.10) AS at_least_10, count(*) FILTER (WHERE gap >= 0.25) AS at_least_25, round(corr(a, b), 6) AS spearman, round(quantile_cont(gap, 0.5), 9) AS median, round(quantile_cont(gap, 0.9), 9) AS p90 FROM g",
+    "s8_features": c.CELLS + f", {r._CENTRES}" + _LONLAT.replace("FROM model JOIN cen", "FROM cand JOIN cen") + " SELECT hex_id, round(longitude, 4) AS lon, round(latitude, 4) AS lat, hex_id AS feature_id, CAST(7 AS INTEGER) AS ring_points FROM place",
 }
 QUERIES = {name: f for name, f in globals().items() if name[:1] == "s" and name[1:2].isdigit() and callable(f)}

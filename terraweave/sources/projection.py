@@ -83,6 +83,12 @@ def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.dissolve(raster.rasterise(diamond_edges(national(features).unionByName(natura(features)))))
 
 
+def footprint_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The footprint as merged runs of pixels, one row a run."""
+    features = protected(spark, sf_dir)
+    return raster.merged(raster.spans(diamond_edges(national(features).unionByName(natura(features)))))
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell counts, written once: every indicator reads them several times."""
     return materialise(cells.composition(pixels(spark, sf_dir)), "cells")
