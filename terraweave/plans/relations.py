@@ -175,7 +175,27 @@ def _rounding() -> str:
     return s.W + " " + " UNION ALL ".join(rows)
 
 
+def _patches(before: str, mask: str) -> str:
+    """Patches of a mask of pixels: least labels spread over touching runs until nothing changes."""
+    return f"""WITH RECURSIVE {before},
+mk AS (SELECT DISTINCT px_col, px_row FROM ({mask})), isl AS (SELECT px_row, px_col, px_col - row_number() OVER (PARTITION BY px_row ORDER BY px_col) AS i FROM mk),
+run AS (SELECT CAST(px_row AS BIGINT) * 2147483648 + min(px_col) AS run, px_row, min(px_col) AS l, max(px_col) AS r FROM isl GROUP BY px_row, i),
+half AS (SELECT a.run AS a, b.run AS b, least(a.r, b.r) - greatest(a.l, b.l) + 1 AS shared FROM run a JOIN run b ON b.px_row = a.px_row + 1 AND b.l <= a.r AND b.r >= a.l),
+link AS (SELECT a, b, shared FROM half UNION ALL SELECT b, a, shared FROM half),
+lab(run, patch) USING KEY (run) AS (
+  SELECT run, run FROM run
+  UNION
+  SELECT k.b, min(n.patch) FROM lab n JOIN link k ON n.run = k.a JOIN recurring.lab o ON o.run = k.b WHERE n.patch < o.patch GROUP BY k.b
+),
+pt AS (SELECT patch, CAST(sum(r - l + 1) AS BIGINT) AS pixels, sum(r - l + 1) * 100.0::DOUBLE AS area_m2, CAST(min(l) AS INTEGER) AS min_col, CAST(max(r) AS INTEGER) AS max_col, CAST(min(px_row) AS INTEGER) AS min_row, CAST(max(px_row) AS INTEGER) AS max_row FROM run JOIN lab USING (run) GROUP BY patch)"""
+
+
+_CANDIDATE_PATCHES = _patches(p.PIXEL_SQL, "SELECT px_col, px_row FROM px WHERE code = 3")
+
 ORACLES = {
+    "s3_patches": _CANDIDATE_PATCHES + " SELECT * FROM pt",
+    "s3_patch_accounting": _CANDIDATE_PATCHES + " SELECT count(*) AS patches, coalesce(sum(area_m2), 0) AS mask_m2, count(*) FILTER (WHERE area_m2 >= 10000) AS kept, coalesce(sum(area_m2) FILTER (WHERE area_m2 >= 10000), 0) AS kept_m2, sum(area_m2) FILTER (WHERE area_m2 >= 10000) * 100.0::DOUBLE / sum(area_m2) AS kept_percent FROM pt",
+    "s3_patch_outlines": _patches(p.PROTECTED_SQL, "SELECT px_col, px_row FROM foot") + ", ov AS (SELECT a AS run, sum(shared) AS shared FROM link GROUP BY 1) SELECT patch, CAST(sum(2 + 2 * (r - l + 1) - coalesce(shared, 0)) AS DOUBLE) * 10.0::DOUBLE AS perimeter_m, CAST(min(l) AS INTEGER) AS min_x, CAST(max(px_row) + 1 AS INTEGER) AS max_y FROM run JOIN lab USING (run) LEFT JOIN ov USING (run) GROUP BY patch",
     "s2_coverage_gate": "WITH " + p.PIXEL_SQL + """, h AS (SELECT 12000.0::DOUBLE * (1 + ceil((n - 6500000.7::DOUBLE) / 300000.0::DOUBLE)) AS h FROM north), strip AS (SELECT n_nationkey, 6199000 + n_nationkey * h AS low, 6199000 + n_nationkey * h + h AS high FROM nation, h WHERE n_nationkey % 5 <> 4),
       c AS (SELECT code IN (61, 62) AS sea, n_nationkey IS NULL AS gone FROM px LEFT JOIN strip ON y >= low AND y < high AND x BETWEEN 400000 AND 413000)
       SELECT count(*) AS valid_pixels, count(*) FILTER (WHERE sea) AS marine_pixels, count(*) FILTER (WHERE NOT sea) AS land_pixels, count(*) FILTER (WHERE sea AND gone) AS uncovered_marine, count(*) FILTER (WHERE NOT sea AND gone) AS uncovered_land,
