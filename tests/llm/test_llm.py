@@ -16,10 +16,10 @@ from terraweave.llm import components, mixing, packing, simhash_dedup, topk_sear
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(1)], i) for i in range(300)] + [(300, None, 1), (301, [1.0, None], 1), (302, [float("nan")], 1), (303, [], 1)]
-    rows += [(7, rows[7][1], 9)]  # a repeated row
+    rows += [(7, rows[7][1], 9), (None, rows[5][1], 1)]  # a repeated row, one without an id
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score long")
     got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, k=10, block_rows=64, query_rows=4).collect()
-    valid = {i: [math.floor(1024 * x) for x in v] for i, v, _ in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    valid = {i: [math.floor(1024 * x) for x in v] for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     for q in [i for i in valid if i % 50 == 0]:
         scored = sorted((-sum(a * b for a, b in zip(valid[q], v)), i) for i, v in valid.items() if i != q)[:10]
         assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [(i, -s) for s, i in scored]
@@ -234,6 +234,25 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs(spark, EDGE).limit(0)).count() == 0
 
 
+def test_packing_nulls_repeats_and_gap(spark):
+    rows = docs(spark, ["same text", "same text", None, "x y " * 3000, "same text"], [None, None, 4, 7, 9]).withColumn("length", F.lit("clash"))
+    got = packing.pack_documents(rows).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.piece) for r in got if r.doc_id != 7) == [(False, 4, 0), (False, 9, 0), (True, 0, 0), (True, 0, 0)]
+    assert len({r.row_id for r in got}) == 5 and len({r.row_id for r in got if r.doc_id == 7}) == 1
+    assert {(r.n_sequences, r.lower_bound) for r in got} == {(3, 3)} and len({r.sequence_id for r in got}) == 3
+    assert [r.length for r in got if r.doc_id == 4] == [1]
+
+
+def test_search_that_is_cut_off_reports_its_bound():
+    rng = np.random.default_rng(8)
+    histogram = dict(collections.Counter(rng.integers(300, 1100, 4000).tolist()))
+    some, bound = packing.complete_bins(histogram, 2048, 50)
+    more, same = packing.complete_bins(histogram, 2048, 20_000)
+    count = lambda patterns: sum(p.times for p in patterns)
+    assert bound <= count(more) <= count(some) and same >= bound
+    assert collections.Counter(x for p in more for x in p.lengths * p.times) == histogram
+
+
 def test_bin_completion_is_optimal_on_small_cases():
     def optimum(items, cap):
         best = [len(items)]
