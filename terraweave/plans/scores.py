@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraweave.operators import checks, delivery, ranks, scoring, stats
+from terraweave.operators import cells, checks, delivery, ranks, scoring, stats
 from terraweave.operators.scoring import FIELDS, PRESETS, SCHEMES
+from terraweave.plans import cells as c
 from terraweave.sources import projection as p
 
 VECTORS = {"first_only": (100.0, 0.0, 0.0, 0.0, 0.0), "mixed": (10.0, 20.0, 30.0, 40.0, 0.0), "none": (0.0, 0.0, 0.0, 0.0, 0.0)}
@@ -48,10 +49,9 @@ def s4_one_to_one_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s4_reconcile_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    first = lines.where("l_linenumber < 4").groupBy(F.expr("l_partkey % 50").alias("grid_col"), F.expr("l_suppkey % 20").alias("grid_row")).agg(F.count("*").alias("n"))
-    second = lines.where("l_linenumber > 2 AND l_partkey % 50 > 3").groupBy(F.expr("l_partkey % 50").alias("grid_col"), F.expr("l_suppkey % 20").alias("grid_row")).agg(F.count("*").alias("n"))
-    return checks.reconcile_positions(first, second, "n")
+    """Land pixels of every cell, as the composition and as the protection table count them."""
+    grid = cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir))
+    return checks.reconcile_positions(p.counts(spark, sf_dir), grid, "terrestrial_pixels")
 
 
 def s4_same_context_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +270,7 @@ ORACLES = {
     "s4_reconcile_ids": "WITH a AS (SELECT o_orderkey AS k, count(*) AS a FROM orders GROUP BY 1), b AS (SELECT l_orderkey AS k, count(*) AS b FROM lineitem GROUP BY 1), j AS (SELECT * FROM a FULL JOIN b USING (k)) SELECT CAST(sum(a) AS BIGINT) AS expected_rows, CAST(sum(b) AS BIGINT) AS found_rows, count(*) FILTER (WHERE b IS NULL) AS missing, count(*) FILTER (WHERE a IS NULL) AS extra, count(*) FILTER (WHERE a > 1 OR b > 1) AS repeated, count(*) FILTER (WHERE b IS NULL OR a IS NULL OR a > 1 OR b > 1) = 0 AS exact FROM j",
     "s4_flag_agreement": W + " SELECT count(*) AS keys, count(*) FILTER (WHERE raw = 3 AND NOT boundary_edge_flag) AS disagreeing FROM scores",
     "s4_one_to_one_join": W + " SELECT hex_id, raw, steps FROM scores",
-    "s4_reconcile_positions": "WITH a AS (SELECT l_partkey % 50 AS c, l_suppkey % 20 AS r, count(*) AS a FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2), b AS (SELECT l_partkey % 50 AS c, l_suppkey % 20 AS r, count(*) AS b FROM lineitem WHERE l_linenumber > 2 AND l_partkey % 50 > 3 GROUP BY 1, 2) SELECT CASE WHEN b IS NULL THEN 'left_only' WHEN a IS NULL THEN 'right_only' WHEN a = b THEN 'equal' ELSE 'different' END AS side, count(*) AS positions, CAST(sum(coalesce(a, 0) - coalesce(b, 0)) AS BIGINT) AS difference FROM a FULL JOIN b USING (c, r) GROUP BY 1",
+    "s4_reconcile_positions": c.CELLS + "," + p.PROTECTED_SQL + c._PGRID + ", a AS (SELECT grid_col, grid_row, terrestrial_pixels AS a FROM cnt), b AS (SELECT grid_col, grid_row, terrestrial_pixels AS b FROM pg) SELECT CASE WHEN b IS NULL THEN 'left_only' WHEN a IS NULL THEN 'right_only' WHEN a = b THEN 'equal' ELSE 'different' END AS side, count(*) AS positions, CAST(sum(coalesce(a, 0) - coalesce(b, 0)) AS BIGINT) AS difference FROM a FULL JOIN b USING (grid_col, grid_row) GROUP BY 1",
     "s4_same_context_extremes": W + " SELECT habitat_context_score AS habitat, low_id, high_id, gap FROM (SELECT habitat_context_score, arg_min(hex_id, {'v': restoration_land_availability_score, 'h': hex_id}) AS low_id, arg_min(hex_id, {'v': -restoration_land_availability_score, 'h': hex_id}) AS high_id, max(restoration_land_availability_score) - min(restoration_land_availability_score) AS gap FROM scores GROUP BY 1) WHERE gap >= 5 ORDER BY gap DESC, habitat LIMIT 6",
     "s5_distribution": W + _dist("", FIELDS),
     "s5_group_split": W + _dist("boundary_edge_flag", FIELDS[:2]),
