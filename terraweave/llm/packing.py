@@ -13,6 +13,7 @@ them to their places in the patterns.
 from __future__ import annotations
 
 import bisect
+import itertools
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -319,7 +320,8 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int | Non
             raise _Stopped
 
     path: list[tuple[Pattern, int]] = []
-    trail: list[Iterator[tuple[tuple[int, ...], bool]]] = []  # untried choices at each depth
+    # at each depth the number of choices tried, and what is left of them; only the deepest keeps it, for it is large
+    trail: list[tuple[int, Iterator[tuple[tuple[int, ...], bool]] | None]] = []
 
     def options() -> Iterator[tuple[tuple[int, ...], bool]]:
         largest = next(x for x in range(capacity, 0, -1) if counts[x])
@@ -340,17 +342,20 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int | Non
         used -= pattern.times
 
     if total:
-        trail.append(options())
+        trail.append((0, None))
     while trail and best > bound:
+        tried, left = trail.pop()
         try:
-            choice = next(trail[-1], None)
+            left = itertools.islice(options(), tried, None) if left is None else left
+            choice = next(left, None)
         except _Stopped:
+            trail.append((tried, None))
             break
         if choice is None:
-            trail.pop()
             if path:
                 undo()
             continue
+        trail.append((tried + 1, left))
         lengths, repeated = choice
         lost = capacity - sum(lengths)
         room = (best - 1) * capacity - total - waste
@@ -369,7 +374,8 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int | Non
                 incumbent, best = [p for p, _ in path], used
             undo()
         else:
-            trail.append(options())
+            trail[-1] = (tried + 1, None)
+            trail.append((0, None))
     return incumbent, bound if trail and best > bound else best
 
 
