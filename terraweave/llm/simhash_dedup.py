@@ -7,12 +7,14 @@ one bit at most. Every segment is indexed once for each of its bits with that bi
 variants finds them, and the full distance verifies them.
 
 Groups of copies need no pairs. Equal fingerprints are one node. Small buckets verify
-all their pairs in the window that forms them. The members of a large bucket are dealt
-again: what their variant leaves out is cut into ``max_bits`` + 1 pieces, one of which any
-linked pair has equal, so buckets of chance meetings stay small for some thousand million
-fingerprints. Only dense groups stay together then. There every member is first compared
-with one centre, chosen by a hash of member and bucket so that the buckets of a dense
-group have different centres, and then members of different components are compared.
+all their pairs in the window that forms them. In a large bucket every member is first
+compared with one centre, chosen by a hash of member and bucket so that the buckets of a
+dense group have different centres. Only buckets that still hold different components go
+on. Where few members are outside the largest component these are compared with all of the
+bucket; otherwise the members are dealt again: what the variant leaves out is cut into ``max_bits`` + 1
+pieces, one of which any linked pair has equal, so buckets of chance meetings stay small
+for some thousand million fingerprints. What is crowded even then goes by centres once
+more, and then the smaller components of a bucket are compared with all others.
 """
 
 from __future__ import annotations
@@ -106,41 +108,67 @@ def _linked(a: Column, b: Column, max_bits: int) -> Column:
 
 
 def _bucketed(keyed: DataFrame, max_bits: int, small: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Links inside the small buckets of ``keyed`` (fp, variant), and the members of the large ones with their centres."""
+    """Links (u, v) inside the small buckets of ``keyed`` (fp, variant), and the members of the large ones with their centres.
+
+    With a column ``component`` links are those of different components, and u, v are these.
+    """
+    plain = "component" not in keyed.columns
     bucket = Window.partitionBy("variant")
     ahead = bucket.orderBy("fp")
-    close = F.filter(F.array(*[F.lead("fp", i).over(ahead) for i in range(1, small)]), lambda x: x.isNotNull() & _linked(F.col("fp"), x, max_bits))
+    me = F.col("fp") if plain else F.struct("fp", "component")
+    fp_of = (lambda x: x) if plain else (lambda x: x["fp"])
+    apart = (lambda x: F.lit(True)) if plain else (lambda x: x["component"] != F.col("component"))
+    close = F.filter(F.array(*[F.lead(me, i).over(ahead) for i in range(1, small)]), lambda x: x.isNotNull() & apart(x) & _linked(F.col("fp"), fp_of(x), max_bits))
+    if not plain:
+        close = F.array_distinct(F.transform(close, lambda x: x["component"]))
     shared = keyed.withColumn("n", F.count("*").over(bucket)).withColumn("close", close)
-    shared = shared.withColumn("centre", F.min(F.struct(F.xxhash64("fp", "variant"), F.col("fp").alias("at"))).over(bucket)["at"])
+    centre = F.struct(F.xxhash64("fp", "variant").alias("_h"), F.col("fp").alias("at"), (F.col("fp") if plain else F.col("component")).alias("of"))
+    shared = shared.withColumn("centre", F.min(centre).over(bucket))
     large = F.col("n") > small
     # of a small bucket only members with a link go on: chance meetings end here
     members = materialise(shared.where(large | (F.size("close") > 0)), name)
-    pairs = members.where(~large).select(F.col("fp").alias("u"), F.explode("close").alias("v"))
-    return pairs, members.where(large).select("fp", "variant", "centre")
+    own = "fp" if plain else "component"
+    pairs = members.where(~large).select(F.col(own).alias("u"), F.explode("close").alias("v"))
+    return pairs, members.where(large).select(*keyed.columns, F.col(own).alias("own"), F.col("centre.at").alias("at"), F.col("centre.of").alias("of"))
+
+
+def _stars(members: DataFrame, max_bits: int) -> DataFrame:
+    return members.where((F.col("own") != F.col("of")) & _linked(F.col("fp"), F.col("at"), max_bits)).select(F.col("own").alias("u"), F.col("of").alias("v"))
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """(variant, largest, lesser) of the buckets of ``placed`` (variant, component) with several components: the largest, and the members of all others."""
+    sizes = placed.groupBy("variant", "component").agg(F.count("*").alias("n"))
+    out = sizes.groupBy("variant").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"), (F.sum("n") - F.max("n")).alias("lesser"))
+    return out.where("parts > 1").select("variant", "largest", "lesser")
+
+
+def _crossing(members: DataFrame, max_bits: int) -> DataFrame:
+    """Links (u, v) between components: the lesser ones of every bucket against all its members."""
+    lesser = members.where("component <> largest").select("variant", F.col("fp").alias("a"), F.col("component").alias("u"))
+    every = members.select("variant", F.col("fp").alias("b"), F.col("component").alias("v"))
+    return lesser.join(every, (lesser["variant"] == every["variant"]) & (F.col("u") != F.col("v")) & _linked(F.col("a"), F.col("b"), max_bits)).select("u", "v")
 
 
 def link(nodes: DataFrame, max_bits: int = 4, small: int = 17) -> DataFrame:
     """(fp, component) for the distinct fingerprints ``nodes`` (fp) that have any link.
 
     All links between different fingerprints count; none is capped. In buckets of at most
-    ``small`` members every member is compared with all that follow it; larger ones are
-    dealt once more by finer keys and then go by centres and components. Buckets are window
-    partitions, which spill; joins on a node or bucket can be split where it is skewed.
+    ``small`` members every member is compared with all that follow it; larger ones go by
+    centres, finer keys and components. Buckets are window partitions, which spill; joins
+    on a node or bucket can be split where it is skewed.
     """
-    pairs, crowded = _bucketed(nodes.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("variant")), max_bits, small, "members")
-    finer = crowded.select("fp", F.explode(subkeys(F.col("fp"), F.col("variant"), max_bits)).alias("variant"))
-    more, members = _bucketed(finer, max_bits, small, "finer-members")
-    stars = members.where((F.col("fp") != F.col("centre")) & _linked(F.col("fp"), F.col("centre"), max_bits)).select(F.col("fp").alias("u"), F.col("centre").alias("v"))
-    first = materialise(components(pairs.unionByName(more).unionByName(stars)), "stars")
+    pairs, members = _bucketed(nodes.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("variant")), max_bits, small, "members")
+    first = materialise(components(pairs.unionByName(_stars(members, max_bits))), "stars")
     # second pass: links between members of different components
     placed = members.select("fp", "variant").join(first.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    sizes = placed.groupBy("variant", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("variant").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("variant", "largest")
-    open_members = materialise(placed.join(mixed, "variant"), "open")
-    lesser = open_members.where("component <> largest").select("variant", F.col("fp").alias("a"), F.col("component").alias("u"))
-    all_members = open_members.select("variant", F.col("fp").alias("b"), F.col("component").alias("v"))
-    crossing = lesser.join(all_members, (lesser["variant"] == all_members["variant"]) & (F.col("u") != F.col("v")) & _linked(F.col("a"), F.col("b"), max_bits)).select("u", "v")
-    merged = components(crossing).select(F.col("node").alias("part"), F.col("component").alias("merged"))
+    open_members = materialise(placed.join(_mixed(placed), "variant"), "open")
+    # a few strays are compared with their bucket at once; dealing it anew costs ``max_bits`` + 1 rows a member
+    few = F.col("lesser") <= 2 * max_bits
+    finer = open_members.where(~few).select("fp", "component", F.explode(subkeys(F.col("fp"), F.col("variant"), max_bits)).alias("variant"))
+    more, crowded = _bucketed(finer, max_bits, small, "finer-members")
+    still = materialise(crowded.select("fp", "variant", "component").join(_mixed(crowded), "variant"), "still-open")
+    merged = components(more.unionByName(_stars(crowded, max_bits)).unionByName(_crossing(open_members.where(few), max_bits)).unionByName(_crossing(still, max_bits))).select(F.col("node").alias("part"), F.col("component").alias("merged"))
     every = first.unionByName(merged.join(first, merged["part"] == first["node"], "left_anti").select(F.col("part").alias("node"), F.col("part").alias("component")))
     return every.join(merged, every["component"] == merged["part"], "left").select(F.col("node").alias("fp"), F.coalesce("merged", "component").alias("component"))
 
