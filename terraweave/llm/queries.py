@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terraweave.llm import chat_format, katz_lm, language_id, mixing, packing, quality_rules, simhash_dedup, substring_dedup, topk_search, toxicity
+from terraweave.llm import chat_format, katz_lm, language_id, mixing, packing, piece_codec, quality_rules, simhash_dedup, substring_dedup, topk_search, toxicity
 
 QUERIES = {
     "op1_topk_search": topk_search.op1_topk_search,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bin_completion": packing.op8_bin_completion,
     "op9_katz_lm": katz_lm.op9_katz_lm,
     "op10_language_id": language_id.op10_language_id,
+    "op13_piece_codec": piece_codec.op13_piece_codec,
 }
 
 ORACLES = {
