@@ -46,7 +46,9 @@ class PieceCodec:
         self.processor = SentencePieceProcessor(model_file=model)
         self.begin, self.end = self.processor.bos_id(), self.processor.eos_id()
         self.id_of = {p.piece: i for i, p in enumerate(spec.pieces) if p.type == plain}
-        self.bytes_of = [self.processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        word = lambda i: int(i).to_bytes(4, "little")
+        self.word_of = {piece: word(i) for piece, i in self.id_of.items()}
+        self.bytes_of = [word(self.processor.piece_to_id(f"<0x{b:02X}>")) for b in range(256)]
         assert sum(p.type == byte for p in spec.pieces) == 256
         #: when a piece is made by merging: the higher its score the sooner, equal scores from left to right
         self.due = {piece: -spec.pieces[i].score for piece, i in self.id_of.items() if len(piece) > 1}
@@ -60,7 +62,7 @@ class PieceCodec:
         marks = (SPACE if cut_spaces else "") + ("\n" if cut_lines else "")
         self.stretches = re.compile((f"{SPACE}+[^{marks}]*|" if cut_spaces else "") + ("\n+|" if cut_lines else "") + (f"[^{marks}]+" if marks else ".+"), re.DOTALL).findall
         self.edges = functools.cache(self._edges)  # at most the vocabulary
-        self.may_follow = functools.lru_cache(limit)(lambda left, right: self._border(left, right) is None)
+        self.may_follow = functools.lru_cache(limit)(lambda left, right: bool(self.edges(right)) and (left is None or self._border(left, right) is None))
         self.cached = _Cache(self.encode_stretch, limit)
 
     def _border(self, left: str, right: str) -> tuple[str, str] | None:
@@ -92,22 +94,23 @@ class PieceCodec:
     def encode_stretch(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian 32-bit words, nothing added before it."""
         last: list[str | None] = [None] * len(text)
+        may_follow = self.may_follow
         for end, piece in self.automaton.iter(text):
-            if last[end] is None and self.edges(piece):
+            if last[end] is None:
                 before = end - len(piece)
                 # a character outside the vocabulary has no entry and is never merged
-                if before < 0 or last[before] is None or self.may_follow(last[before], piece):
+                if may_follow(last[before] if before >= 0 else None, piece):
                     last[end] = piece
-        ids, end = [], len(text) - 1
+        words, end = [], len(text) - 1
         while end >= 0:
             piece = last[end]
             if piece is None:
-                ids.extend(self.bytes_of[b] for b in reversed(text[end].encode()))
+                words.extend(self.bytes_of[b] for b in reversed(text[end].encode()))
                 end -= 1
             else:
-                ids.append(self.id_of[piece])
+                words.append(self.word_of[piece])
                 end -= len(piece)
-        return np.array(ids[::-1], "<u4").tobytes()
+        return b"".join(reversed(words))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text with begin and end ids, as little-endian 32-bit words."""
