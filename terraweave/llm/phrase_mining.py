@@ -30,9 +30,10 @@ from terraweave.llm.common import drop, materialise, table
 WORDS_MAX = 4
 SCALE = 2_000_000
 BITMAP_BITS = 1 << 26
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 SALTS = 64
 COUNT_SCHEMA = "lang string, phrase string, key long, n long"
+TOTAL = ""  # no word: stands for all words of a language
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,57 +48,86 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
                 yield batch["lang"].slice(a, b - a), batch["text"].slice(a, b - a)
 
 
+_BYTES = np.arange(256, dtype=np.uint8)
+_BYTES[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"]] += 32
+_IS_MARK = np.isin(np.arange(256), [*b".,;:!?\n\x0b\x0c\r"])
+_IS_WORD = ~_IS_MARK & ~np.isin(np.arange(256), [*b" \t"])
+
+
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, text of each, piece of each): the lower-cased words of ``texts``; pieces are numbered through all of them."""
+    offset = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offset[0] : offset[-1]]
+    offset = offset - offset[0]
+    is_word = _IS_WORD[data]
+    begins = is_word.copy()
+    begins[1:] &= ~is_word[:-1]
+    heads = offset[:-1][offset[:-1] < offset[1:]]  # a text that begins with a word begins one
+    begins[heads] = is_word[heads]
+    at = np.flatnonzero(begins)
+    text = np.searchsorted(offset, at, "right") - 1
+    piece = np.cumsum(_IS_MARK[data], dtype=np.int32)[at] + text
+    offsets = np.append((np.cumsum(is_word, dtype=np.int32)[at] - 1), is_word.sum()).astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(_BYTES[data[is_word]])])
+    return words, text, piece
+
+
+def _hashes(strings: pa.Array) -> np.ndarray:
+    """64-bit hash of each string."""
+    strings = pa.concat_arrays([strings.cast(pa.string())])  # one that begins at its buffers' start
+    offset = np.frombuffer(strings.buffers()[1], np.int32)[: len(strings) + 1].tolist() if len(strings) else [0]
+    data, digest = (strings.buffers()[2] or pa.py_buffer(b"")).to_pybytes(), xxhash.xxh64_intdigest
+    return np.fromiter((digest(data[a:b]) for a, b in zip(offset[:-1], offset[1:], strict=True)), np.uint64, len(strings))
+
+
 class _Slice:
     """Words of some texts as codes (a code is a word of one language), with the pieces they stand in."""
 
     def __init__(self, langs: pa.Array, texts: pa.Array):
-        lowered = pc.ascii_lower(pc.fill_null(texts, ""))
-        marked = pc.replace_substring(pc.replace_substring_regex(lowered, r"[.,;:!?\n\x0B\x0C\r]", " \n "), "\t", " ")
-        parts = pc.split_pattern(marked, " ")
-        flat = parts.flatten().dictionary_encode()
-        words, code = flat.dictionary, flat.indices.to_numpy().astype(np.int64)
-        doc = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
-        named = pc.fill_null(langs, "und").dictionary_encode()
-        lang = named.indices.to_numpy().astype(np.int64)[doc]
-        is_mark = pc.equal(words, "\n").to_numpy(zero_copy_only=False)[code]
-        # a mark and a new text both begin a piece
-        piece = np.cumsum(is_mark) + doc
-        is_word = ~is_mark & ~pc.equal(words, "").to_numpy(zero_copy_only=False)[code]
-        self.piece = piece[is_word]
-        both, self.code = np.unique(lang[is_word] * max(len(words), 1) + code[is_word], return_inverse=True)
-        self.lang = named.dictionary.take(pa.array(both // max(len(words), 1)))
-        self.word = words.take(pa.array(both % max(len(words), 1)))
-        digest = xxhash.xxh64_intdigest
-        self.hash = np.fromiter((digest(f"{g}\0{w}".encode()) for g, w in zip(self.lang.to_pylist(), self.word.to_pylist(), strict=True)), np.uint64, len(both))
-
-    def grow(self, size: int, keep_last) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places, kinds, keys): where phrases of ``size`` words stand, which distinct one each is, and the hash of each distinct one.
-
-        keep_last(prefix keys, suffix keys) tells, for phrases of ``size`` words, which are counted.
-        """
-        at, kind, keys = np.arange(len(self.code)), self.code, self.hash
-        for m in range(2, size + 1):
-            follows = np.flatnonzero((np.diff(at) == 1) & (self.piece[at[1:]] == self.piece[at[:-1]])) if len(at) else at
-            left, right = kind[follows], kind[follows + 1]
-            if m == size:
-                kept = keep_last(keys)(left, right)
-                follows, left, right = follows[kept], left[kept], right[kept]
-            pairs, kind = np.unique(left * max(len(keys), 1) + right, return_inverse=True)
-            first = np.zeros(len(pairs), np.int64)
-            first[kind] = at[follows]
-            at = at[follows]
-            words = first + (m - 1)
-            with np.errstate(over="ignore"):
-                keys = (keys[pairs // max(len(keys), 1)] ^ (keys[pairs // max(len(keys), 1)] >> np.uint64(29))) * _STEP + self.hash[self.code[words]]
-        return at, kind, keys
-
-    def rows(self, at: np.ndarray, kind: np.ndarray, keys: np.ndarray, size: int) -> pa.RecordBatch:
-        first = np.zeros(len(keys), np.int64)
+        words, text, self.piece = _cut(pc.fill_null(texts, ""))
+        coded, named = words.dictionary_encode(), pc.fill_null(langs, "und").dictionary_encode()
+        n = max(len(coded.dictionary), 1)
+        both = named.indices.to_numpy().astype(np.int64)[text] * n + coded.indices.to_numpy()
+        if len(named.dictionary) * n <= 1 << 24:  # numbered without sorting
+            seen = np.zeros(len(named.dictionary) * n, bool)
+            seen[both] = True
+            kinds, self.code = np.flatnonzero(seen), (np.cumsum(seen) - 1)[both]
+        else:
+            kinds, self.code = np.unique(both, return_inverse=True)
+        self.lang, self.word = named.dictionary.take(pa.array(kinds // n)), coded.dictionary.take(pa.array(kinds % n))
+        with np.errstate(over="ignore"):
+            self.hash = (_hashes(coded.dictionary)[kinds % n] ^ _hashes(named.dictionary)[kinds // n]) * _STEP
+
+    def keys(self, size: int) -> np.ndarray:
+        """Hash of the ``size`` words from each place on."""
+        word = self.hash[self.code]
+        out = word[: len(word) - size + 1]
+        with np.errstate(over="ignore"):
+            for k in range(1, size):
+                out = (out ^ (out >> np.uint64(29))) * _STEP + word[k : len(word) - size + 1 + k]
+        return out
+
+    def places(self, size: int) -> np.ndarray:
+        """Where ``size`` words stand in one piece."""
+        last = max(len(self.code) - size + 1, 0)
+        return np.flatnonzero(self.piece[:last] == self.piece[size - 1 :]) if last else np.zeros(0, np.int64)
+
+    def totals(self) -> pa.RecordBatch:
+        n = np.bincount(self.code, minlength=len(self.lang)).astype(np.int64)
+        return pa.record_batch([self.lang, pa.repeat(TOTAL, len(n)), pa.repeat(0, len(n)), pa.array(n)], names=["lang", "phrase", "key", "n"])
+
+    def rows(self, at: np.ndarray, size: int) -> pa.RecordBatch:
+        """Distinct phrases at these places, told apart by their words, with their counts."""
+        kind, kinds = self.code[at], len(self.word)
+        for k in range(1, size):
+            pairs, kind = np.unique(kind * len(self.word) + self.code[at + k], return_inverse=True)
+            kinds = len(pairs)
+        first = np.zeros(kinds, np.int64)
         first[kind] = at
+        n = np.bincount(kind, minlength=kinds).astype(np.int64)
         columns = [self.word.take(pa.array(self.code[first + k])) for k in range(size)]
         phrase = pc.binary_join_element_wise(*columns, " ") if size > 1 else columns[0]
-        n = np.bincount(kind, minlength=len(keys)).astype(np.int64)
-        return pa.record_batch([self.lang.take(pa.array(self.code[first])), phrase, pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "phrase", "key", "n"])
+        return pa.record_batch([self.lang.take(pa.array(self.code[first])), phrase, pa.array(self.keys(size)[first].view(np.int64)), pa.array(n)], names=["lang", "phrase", "key", "n"])
 
 
 def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -114,60 +144,66 @@ def _bitmap(keyed: DataFrame) -> np.ndarray:
     return out
 
 
-def _count(docs: DataFrame, size: int, at_least: int, name: str, both: DataFrame | None = None, prefix: DataFrame | None = None, suffix: DataFrame | None = None, whole: DataFrame | None = None) -> DataFrame:
-    """(lang, phrase, key, f) of phrases of ``size`` words found ``at_least`` times.
+class _Tables:
+    """Bitmaps of the tables that say which phrases are counted.
 
     both: phrases of one word less that the first and the last part both have to be among.
     prefix, suffix: of these, one part has to be among its own table, if one is given.
     whole: tables of the phrases themselves.
     """
-    maps = {k: _bitmap(v) for k, v in (("both", both), ("prefix", prefix), ("suffix", suffix), ("whole", whole)) if v is not None}
-    shared = docs.sparkSession.sparkContext.broadcast(maps)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = shared.value
-
-        def keep_last(keys):
-            of = {k: _has(v, keys) for k, v in maps.items()}
-
-            def kept(left, right):
-                out = np.ones(len(left), bool)
-                if "both" in of:
-                    out &= of["both"][left] & of["both"][right]
-                if "prefix" in of or "suffix" in of:
-                    none = np.zeros(len(left), bool)
-                    out &= (of["prefix"][left] if "prefix" in of else none) | (of["suffix"][right] if "suffix" in of else none)
-                return out
-
-            return kept
+    def __init__(self, **tables: DataFrame | None):
+        self.maps = {k: _bitmap(v) for k, v in tables.items() if v is not None}
+
+    def counted(self, part: _Slice, size: int) -> np.ndarray:
+        """Places of the phrases that are counted."""
+        at = part.places(size)
+        for name, bitmap in self.maps.items():
+            if name == "both":
+                less = part.keys(size - 1)
+                at = at[_has(bitmap, less[at])]
+                at = at[_has(bitmap, less[at + 1])]
+            elif name == "whole":
+                at = at[_has(bitmap, part.keys(size)[at])]
+        if "prefix" in self.maps:
+            less = part.keys(size - 1)
+            at = at[_has(self.maps["prefix"], less[at]) | _has(self.maps["suffix"], less[at + 1])]
+        return at
+
+
+def _count(docs: DataFrame, size: int, at_least: int, name: str, **tables: DataFrame | None) -> DataFrame:
+    """(lang, phrase, key, f) of phrases of ``size`` words found ``at_least`` times; for words with the totals. tables: as in ``_Tables``."""
+    shared = docs.sparkSession.sparkContext.broadcast(_Tables(**tables))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in _slices(batches):
             part = _Slice(langs, texts)
-            at, kind, keys = part.grow(size, keep_last)
-            if "whole" in maps:
-                kept = _has(maps["whole"], keys)[kind]
-                at, kind = at[kept], kind[kept]
-                used, kind = np.unique(kind, return_inverse=True)
-                keys = keys[used]
-            if len(keys):
-                yield part.rows(at, kind, keys, size)
+            at = shared.value.counted(part, size)
+            if len(at):
+                yield part.rows(at, size)
+            if size == 1 and len(part.lang):
+                yield part.totals()
 
     counted = docs.mapInArrow(run, COUNT_SCHEMA).groupBy("lang", "phrase").agg(F.first("key").alias("key"), F.sum("n").alias("f"))
-    out = materialise(counted.where(F.col("f") >= at_least), name)
+    out = materialise(counted.where((F.col("f") >= at_least) | (F.col("phrase") == TOTAL)), name)
     shared.destroy()
     return out
 
 
-def _totals(docs: DataFrame) -> DataFrame:
-    """(lang, n): all word occurrences."""
+def _frequent_keys(docs: DataFrame, size: int, at_least: int, name: str, **tables: DataFrame | None) -> DataFrame:
+    """(key, f) of hashes found ``at_least`` times: a table of numbers tells first which phrases are worth their text."""
+    shared = docs.sparkSession.sparkContext.broadcast(_Tables(**tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in _slices(batches):
             part = _Slice(langs, texts)
-            n = np.bincount(part.code, minlength=len(part.lang)).astype(np.int64)
-            yield pa.record_batch([part.lang, pa.array(n)], names=["lang", "n"])
+            keys = np.sort(part.keys(size)[shared.value.counted(part, size)])
+            edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+            yield pa.record_batch([pa.array(keys[edges].view(np.int64)), pa.array(np.diff(np.append(edges, len(keys))))], names=["key", "n"])
 
-    return docs.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    out = materialise(docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= at_least), name)
+    shared.destroy()
+    return out
 
 
 def _first(phrase: Column, k: int) -> Column:
@@ -242,9 +278,11 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", limit:
         kept.append(_count(*args, **tables))
         return kept[-1]
 
-    totals = hold(_totals(docs), "phrase-totals")
-    counts = {1: count(docs, 1, at_least, "phrase-words")}
-    counts[2] = count(docs, 2, at_least, "phrase-pairs", both=counts[1])
+    words = count(docs, 1, at_least, "phrase-words")
+    totals = words.where(F.col("phrase") == TOTAL).select("lang", F.col("f").alias("n"))
+    counts = {1: words.where(F.col("phrase") != TOTAL)}
+    kept.append(_frequent_keys(docs, 2, at_least, "phrase-pair-keys", both=counts[1]))
+    counts[2] = count(docs, 2, at_least, "phrase-pairs", whole=kept[-1])
     pairs = hold(_scored(counts[2], counts, 2), "phrase-pairs-scored")
     found, aim, open_docs = [], ahead * limit, docs
     while True:
@@ -290,18 +328,19 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", limit:
 
 
 def _hashed(phrases: DataFrame) -> DataFrame:
-    """(lang, phrase, key) with the hash by which ``_Slice.grow`` knows a phrase."""
+    """(lang, phrase, key) of phrases of one length, with the hash by which ``_Slice.keys`` knows a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
-            for lang, phrase in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist(), strict=True):
-                words = [xxhash.xxh64_intdigest(f"{lang}\0{w}".encode()) for w in phrase.split(" ")]
-                key = words[0]
-                for word in words[1:]:
-                    key = ((key ^ (key >> 29)) * int(_STEP) + word) & (2**64 - 1)
-                keys.append(key)
-            yield pa.record_batch([batch["lang"], batch["phrase"], pa.array(np.array(keys, np.uint64).view(np.int64))], names=["lang", "phrase", "key"])
+            parts = [x.split(" ") for x in batch["phrase"].to_pylist()]
+            part = object.__new__(_Slice)  # words of a phrase one after the other, as in a text
+            words, part.code = pa.array([w for x in parts for w in x], pa.string()), np.arange(sum(map(len, parts)))
+            lang = np.repeat(_hashes(batch["lang"]), [len(x) for x in parts])
+            with np.errstate(over="ignore"):
+                part.hash = (_hashes(words) ^ lang) * _STEP
+            size = len(parts[0]) if parts else 1
+            keys = part.keys(size)[::size] if parts else np.zeros(0, np.uint64)
+            yield pa.record_batch([batch["lang"], batch["phrase"], pa.array(keys.view(np.int64))], names=["lang", "phrase", "key"])
 
     return phrases.mapInArrow(run, "lang string, phrase string, key long")
 
