@@ -45,7 +45,7 @@ def format_chats(conversations: DataFrame, conv_col: str = "conv_id", turn_col:
     mask covers [target_start, target_start + target_length).
     Null role or text: empty. Equal or null turn numbers are ordered by role, then text
     (null turns first); repeated rows stay. Rows with a null conversation id form one
-    conversation. Other columns are ignored; an empty table gives no rows. A conversation
+    conversation. Roles and texts may be of any length. Other columns are ignored; an empty table gives no rows. A conversation
     is the unit of work, as its digest needs it whole.
     """
     rows = conversations.select(
@@ -100,7 +100,8 @@ def read_back(chats: DataFrame) -> DataFrame:
     )
     # a turn opens with the control string; inside data every "<|" is escaped
     turns = F.filter(F.split("formatted", r"\Q" + TURN_OPEN + r"\E"), lambda t, i: i > 0)
-    head = r"(?s)^((?:[^\\\n]|\\.)*)\n"
+    # possessive runs are matched in a loop, however long a role is
+    head = r"(?s)^((?:[^\\\n]++|\\.)*+)\n"
     parsed = F.transform(turns, lambda t: F.struct(unescape(F.regexp_extract(t, head, 1)).alias("role"), unescape(F.regexp_replace(F.substring(t, F.lit(1), F.length(t) - len(TURN_CLOSE)), head, "")).alias("text")))
     loss = F.array_join(F.transform("replies", lambda r: r["text"]), "")
     return whole.select("conv_id", parsed.alias("parsed"), loss.alias("loss"), "formatted_chars").select(

@@ -53,3 +53,13 @@ def test_chat_edges(spark):
     assert {c: (r.n_turns, r.loss_chars) for c, r in got.items()} == {None: (1, 0), 2: (2, 0), 3: (2, 0)}
     assert got[3].turns_sha256 == hashlib.sha256(b"assistant\n\nuser\nlater\n").hexdigest()  # null turns first
     assert chat_format.read_back(chat_format.format_chats(df.limit(0))).count() == 0
+
+
+def test_very_long_roles_and_texts(spark):
+    """Roles of 100,000 characters, plain and all escapes, and a text of 10 MB: no recursion, and the way back holds."""
+    rows = [(1, 0, "r" * 100_000, "x"), (1, 1, "\\\n<|" * 25_000, "y"), (1, 2, "assistant", "long <| text\\\n" * 700_000), (2, 0, "\n" * 100_000, "\n")]
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_chats(spark.createDataFrame(rows, SCHEMA))).collect()}
+    for conv in (1, 2):
+        said = "".join(f"{role}\n{text}\n" for c, _, role, text in rows if c == conv)
+        assert got[conv].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert got[1].loss_sha256 == hashlib.sha256(rows[2][3].encode()).hexdigest()
