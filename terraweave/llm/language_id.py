@@ -8,10 +8,10 @@ the second best rejects the verdict.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,8 +20,8 @@ from terraweave.llm.common import id_remainder, table
 
 UNDETERMINED = "und"
 SCHEMA = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
-_LETTER = re.compile(r"[^\W\d_]")
-_OTHER = re.compile(r"[\W\d_]+")
+_LETTER = regex.compile(r"\p{L}")  # of Unicode's letter classes; digits in circles or raised, fractions and numerals are none
+_OTHER = regex.compile(r"\P{L}+")
 
 
 def letters_only(text: str) -> bytes:

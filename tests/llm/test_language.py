@@ -71,3 +71,10 @@ def test_language_edges(spark):
     assert len(got) == 4 and {r.lang_pred for r in got if r.doc_id is None} == {"bb"}
     assert {r.lang_pred for r in language_id.train_and_identify(df, F.lit(False)).collect()} == {"und"}
     assert language_id.train_and_identify(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_symbols_that_are_no_letters(spark):
+    """Raised digits, fractions, numerals and circled digits are word characters, but no letters."""
+    df = spark.createDataFrame([(1, "²² ½ ⅷ ①", "aa"), (2, "ba be bi bo " * 30, "aa"), (3, "xti xto xta " * 30, "bb"), (4, "ⅷ xti ② xto xta " * 20, None)], SCHEMA)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(df, language_id.build_dictionaries(df.where("doc_id > 1"))).collect()}
+    assert got[1] == ("und", 0.0) and got[4][0] == "bb"
