@@ -82,6 +82,26 @@ def _digester(min_words: int):
     return digest
 
 
+def cut_spans(text: str, starts: np.ndarray, lengths: np.ndarray) -> tuple[str, list[dict]]:
+    """``text`` without the spans, and the outermost of them; spans are sorted by start, the longest first. One pass."""
+    kept, removed, at = [], [], 0
+    for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
+        if start >= at or not removed:  # else it lies inside the one that went before
+            kept.append(text[at:start])
+            removed.append({"start": start, "length": length})
+            at = start + length
+    return "".join([*kept, text[at:]]), removed
+
+
+def _cutter():
+    @F.pandas_udf("text string, removed array<struct<start:int,length:int>>")
+    def cut(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
+        rows = [cut_spans(t, s, n) if isinstance(t, str) else (None, None) for t, s, n in zip(texts, starts, lengths, strict=True)]
+        return pd.DataFrame(rows, columns=["text", "removed"])
+
+    return cut
+
+
 def find_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 4) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     return rows.mapInPandas(_digester(min_words), UNIT_SCHEMA)
@@ -111,29 +131,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     units = materialise(find_units(docs, id_col, text_col, min_words), "units")
     # larger units first; what lies inside one that went is passed over
     spans = repeated_units(units).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", (-F.col("length")).alias("size")))).alias("_spans"))
-    end = lambda x: F.when(F.size(x) == 0, -1).otherwise(F.try_element_at(x, F.lit(-1))["start"] + F.try_element_at(x, F.lit(-1))["length"])
-    outer = F.aggregate(
-        "_spans", F.expr("cast(array() as array<struct<start:int,length:int>>)"), lambda x, s: F.when(s["start"] < end(x), x).otherwise(F.concat(x, F.array(F.struct(s["start"].alias("start"), (-s["size"]).alias("length")))))
-    )
-    spans = spans.select("doc_id", "text_hash", outer.alias("_removed"))
     keyed = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(text_col))
-    joined = keyed.join(spans.select(F.col("doc_id").alias("_sid"), F.col("text_hash").alias("_shash"), "_removed"), F.col("_key").eqNullSafe(F.col("_sid")) & (F.col("_hash") == F.col("_shash")), "left")
-    removed = F.coalesce("_removed", F.expr("cast(array() as array<struct<start:int,length:int>>)"))
-    text = F.col(text_col)
-    # what stands between removed spans, in order
-    n = F.size("_removed")
-    kept = F.transform(
-        F.sequence(F.lit(0), n),
-        lambda i: F.substring(
-            text,
-            F.when(i == 0, 1).otherwise(F.try_element_at("_removed", i)["start"] + F.try_element_at("_removed", i)["length"] + 1),
-            F.when(i == n, F.length(text)).otherwise(F.try_element_at("_removed", i + 1)["start"])
-            - F.when(i == 0, 0).otherwise(F.try_element_at("_removed", i)["start"] + F.try_element_at("_removed", i)["length"]),
-        ),
-    )
-    cut = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(kept, ""))
+    joined = keyed.join(spans.select(F.col("doc_id").alias("_sid"), F.col("text_hash").alias("_shash"), "_spans"), F.col("_key").eqNullSafe(F.col("_sid")) & (F.col("_hash") == F.col("_shash")), "left")
+    text, has = F.col(text_col), F.col("_spans").isNotNull()
+    # only texts that lose something go to Python
+    done = joined.withColumn("_cut", _cutter()(F.when(has, text), F.transform("_spans", lambda s: s["start"]), F.transform("_spans", lambda s: -s["size"])))
+    removed = F.coalesce("_cut.removed", F.expr("cast(array() as array<struct<start:int,length:int>>)"))
+    cut = F.when(has, F.col("_cut.text")).otherwise(text)
     columns = [cut.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed"]
-    return joined.select(*columns, removed.alias("removed"))
+    return done.select(*columns, removed.alias("removed"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

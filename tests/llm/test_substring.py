@@ -68,3 +68,12 @@ def test_substring_edges(spark):
     clash = same.withColumnRenamed("score", "removed")
     assert substring_dedup.dedup_substrings(clash).columns == clash.columns
     assert substring_dedup.dedup_substrings(same.limit(0)).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """100,000 removed spans cost one pass over the text."""
+    line = "the very same line is here"
+    many = "\n".join(f"{line}\nown {k}" for k in range(100_000))
+    got = {r.doc_id: r for r in substring_dedup.dedup_substrings(docs(spark, [line, many], [1, 2])).collect()}
+    assert got[1].text == line and len(got[2].removed) == 100_000
+    assert got[2].text == "\n".join(f"\nown {k}" for k in range(100_000))
