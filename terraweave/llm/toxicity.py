@@ -131,9 +131,8 @@ def known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     return labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(F.col(label_col) != 0).alias("toxic"))
 
 
-def bounded_sample(labels: DataFrame, id_col: str, label_col: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled ids of each class, those with the smallest hashes."""
-    known = known_labels(labels, id_col, label_col)
+def bounded_sample(known: DataFrame, per_class: int) -> DataFrame:
+    """At most ``per_class`` ids of each class of ``known`` (_id, toxic), those with the smallest hashes."""
     parts = [known.where(F.col("toxic") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for value in (True, False)]
     return parts[0].unionByName(parts[1])
 
@@ -142,21 +141,25 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     per_class: int = 10000, min_z: float = 3.0, drift: float = 1.0, prior_share: float = 0.05,
 ) -> Model:
-    """Fit on a bounded sample: at most ``per_class`` labelled documents of each class.
+    """Fit on a bounded sample: at most ``per_class`` labelled documents of each class that ``docs`` holds.
 
     The sample's ids (at most 2 * per_class longs) are broadcast, so no text is shuffled,
     and its texts are written once. All terms with \\|z\\| >= min_z get their own log-odds;
     such a term stands in several documents of the sample, which bounds their number. The
-    rest weigh -drift. In the logistic curve the classes weigh as all labels have them,
+    rest weigh -drift. In the logistic curve the classes weigh as all labels of ``docs`` have them,
     however many are sampled. The prior weighs ``prior_share`` of the sample's tokens. Without documents of both classes every score is the prior 0.5 or
     below. Labels of unknown documents and null labels are ignored.
     """
-    sample = F.broadcast(bounded_sample(labels, id_col, label_col, per_class))
-    all_labels = known_labels(labels, id_col, label_col).groupBy("toxic").count().collect()
+    # labels of absent documents must not use up the sample, so ids are matched before it is drawn
+    present = docs.select(F.col(id_col).cast("long").alias("_id"))
+    known = materialise(known_labels(labels, id_col, label_col).join(present, "_id", "left_semi"), "toxicity-labels")
+    sample = F.broadcast(bounded_sample(known, per_class))
+    all_labels = known.groupBy("toxic").count().collect()
     # how many labelled documents a sampled one of the class stands for
     stands_for = {r["toxic"]: r["count"] / min(r["count"], per_class) for r in all_labels}
     train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(sample, F.col("doc_id") == F.col("_id")).select("text", "toxic")
     train = materialise(train, "toxicity-sample")
+    drop(known)
     counts = train.mapInPandas(_counter(), "token string, c1 long, c0 long").groupBy("token").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
     totals = counts.agg(F.sum("c1").alias("n1"), F.sum("c0").alias("n0")).first()
     n1, n0 = totals["n1"] or 0, totals["n0"] or 0

@@ -281,3 +281,16 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert packing.lower_bound(dict(collections.Counter(items)), 20) <= bound
 
 
+
+
+def test_labels_of_absent_documents_leave_the_sample_alone(spark):
+    """Many labels without a document must neither use up the sample nor change the weights of the classes."""
+    rng = np.random.default_rng(2)
+    words = [f"plain{k}" for k in map(chr, range(97, 117))]
+    rows = [(i, " ".join(rng.choice(words, 30)) + (" awful nasty vile" if i % 4 == 0 else "")) for i in range(200)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    absent = spark.range(1000, 60000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    alone = toxicity.fit(texts, labels, per_class=50)
+    assert toxicity.fit(texts, labels.unionByName(absent), per_class=50) == alone and alone.weights
+    assert toxicity.fit(texts, absent, per_class=50).weights == {}
