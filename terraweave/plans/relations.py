@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
-from terraweave.operators import audits, cells, delivery, geometry, patches
+from terraweave.operators import audits, bands, cells, delivery, geometry, patches
 from terraweave.operators.scoring import FIELDS, PRESETS, SCHEMES, with_schemes
 from terraweave.plans import scores as s
 from terraweave.sources import projection as p
@@ -96,6 +96,13 @@ def s4_adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.adjacent_pairs(p.part_scores(spark, sf_dir), FIELDS[0], [FIELDS[2], "raw"])
 
 
+def s4_contrast_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest contrasts of two indicators among rows of nearly one score."""
+    scored = p.part_scores(spark, sf_dir)
+    parts = [bands.contrast_pairs(scored, FIELDS[0], v).select(F.lit(v).alias("field"), "*") for v in (FIELDS[2], "raw")]
+    return parts[0].unionByName(parts[1])
+
+
 def s6_extreme_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.extreme_movers(_preset_rows(spark, sf_dir), "reference", list(SCHEMES))
 
@@ -167,6 +174,17 @@ def _pairs() -> str:
     return s.W + " " + " UNION ALL ".join(parts)
 
 
+def _contrasts() -> str:
+    parts = []
+    for v in (FIELDS[2], "raw"):
+        band = f"FROM scores a JOIN scores b ON b.{FIELDS[0]} <= a.{FIELDS[0]} + 2.0 AND (b.{FIELDS[0]} > a.{FIELDS[0]} OR b.{FIELDS[0]} = a.{FIELDS[0]} AND b.hex_id > a.hex_id)"
+        each = f"SELECT a.hex_id AS first_id, b.hex_id AS second_id, a.{FIELDS[0]} AS first_score, b.{FIELDS[0]} AS second_score, a.{v} AS first_value, b.{v} AS second_value, {{kind}} AS kind {band} QUALIFY row_number() OVER (PARTITION BY a.hex_id ORDER BY b.{v} {{order}}, b.{FIELDS[0]}, b.hex_id) = 1"
+        both = each.format(kind=0, order="DESC") + " UNION ALL " + each.format(kind=1, order="ASC")
+        once = f"SELECT *, abs(second_value - first_value) AS difference FROM ({both}) WHERE second_value <> first_value QUALIFY row_number() OVER (PARTITION BY first_id, second_id ORDER BY kind) = 1"
+        parts.append(f"SELECT '{v}' AS field, CAST(row_number() OVER (ORDER BY difference DESC, first_id, kind) AS INTEGER) AS place, first_id, second_id, first_score, second_score, second_score - first_score AS score_gap, first_value, second_value, difference FROM ({once}) QUALIFY place <= 5")
+    return s.W + " " + " UNION ALL ".join(parts)
+
+
 def _rounding() -> str:
     rows = []
     for f, (d, v) in {"habitat_context_score": (3, "habitat_context_score"), "share": (5, "raw / 7.0::DOUBLE"), "hectares": (2, "raw / 3.0::DOUBLE")}.items():
@@ -204,6 +222,7 @@ ORACLES = {
     "s3_boundary_flags": _CELLS + ", " + _STUDY_EDGES + f", {_CENTRES} SELECT hex_id, min({_PS('c.x', 'c.y', *_B1, *_B2)}) <= 1000 AS boundary_edge_flag FROM cen c, study t GROUP BY 1",
     "s3_footprint_distance": _CELLS + "," + p.PROTECTED_SQL + f", {_CENTRES}, dia AS (" + _DIAMOND.format(src="(SELECT DISTINCT feature_id, cx, cy, r FROM box)") + f"), g AS (SELECT hex_id, min(CASE WHEN abs(c.x - t.cx) + abs(c.y - t.cy) < t.r THEN 0 ELSE {_PS('c.x', 'c.y', *_B1, *_B2)} END) AS gap FROM cen c, dia t GROUP BY 1) SELECT hex_id, round(gap, 6) AS distance, gap = 0 AS centre_within FROM g",
     "s4_adjacent_pairs": _pairs(),
+    "s4_contrast_pairs": _contrasts(),
     "s6_extreme_movers": _movers(),
     "s7_thematic_effect": _effect(),
     "s8_rounding_audit": _rounding(),
