@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
-from terraweave.operators import cells, checks, stats
+from terraweave.operators import cells, checks, runs, stats
 
 
 def require_columns(df: DataFrame, columns: list[str], label: str) -> DataFrame:
@@ -111,12 +111,11 @@ def context_extent(study_hits: DataFrame) -> DataFrame:
 
 
 def overlaps(candidates: DataFrame, footprint: DataFrame, steps: DataFrame) -> DataFrame:
-    """(hex_id, overlap_m2, overlap_fraction, steps, agrees): footprint pixels in every candidate cell, against its steps to protected cells.
+    """(hex_id, overlap_m2, overlap_fraction, steps, agrees): footprint pixels (whole runs) in every candidate cell, against its steps to protected cells.
 
     agrees: land that overlaps the footprint is at step 0; water in the footprint makes no step 0, so only the other way is a contradiction.
     """
-    placed = hexgrid.with_cell(footprint.select(((F.col("px_col") + 0.5) * F.lit(10.0)).alias("x"), ((F.col("px_row") + 0.5) * F.lit(10.0)).alias("y")))
-    inside = placed.groupBy("grid_col", "grid_row").agg(F.count("*").alias("_n"))
+    inside = runs.cell_counts(footprint).withColumnRenamed("pixels", "_n")
     rows = candidates.select("hex_id", "grid_col", "grid_row").join(inside, ["grid_col", "grid_row"], "left").join(steps.select("hex_id", "steps"), "hex_id", "left")
     area = F.coalesce("_n", F.lit(0)) * F.lit(cells.PIXEL_M2)
     return rows.select("hex_id", area.alias("overlap_m2"), (area / F.lit(cells.CELL_M2)).alias("overlap_fraction"), "steps", (~((F.col("steps") == 0) & (area == 0))).alias("agrees"))

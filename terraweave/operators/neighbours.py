@@ -102,7 +102,8 @@ def nearest_steps(candidates: DataFrame, sources: DataFrame, first_radius: int =
     goes on; the number of rounds is the logarithm of the extent, and every round is
     written to the shared folder.
     """
-    places = materialise(sources.where("grid_col IS NOT NULL AND grid_row IS NOT NULL").select(F.col("grid_col").alias("s_col"), F.col("grid_row").alias("s_row")).distinct(), "sources")
+    # the filter stands behind the written table, or it would be pushed to whatever the cells are made of
+    places = materialise(sources.select(F.col("grid_col").alias("s_col"), F.col("grid_row").alias("s_row")).distinct(), "sources").where("s_col IS NOT NULL AND s_row IS NOT NULL")
     every = candidates.select("hex_id", "grid_col", "grid_row")
     if places.isEmpty():
         return every.select("hex_id", F.lit(None).cast("int").alias("steps"))

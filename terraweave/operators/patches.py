@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraweave.operators import runs as intervals
 from terraweave.sources.storage import materialise
 
 
 def runs(mask: DataFrame, tile: int = 256) -> DataFrame:
     """(run, px_row, left, right): neighbouring pixels of a row, cut at every ``tile`` columns.
 
-    mask: (px_col, px_row); repeated pixels count once. run: a number that grows by row
+    mask: (px_col, px_row), or runs (px_row, left, right), which are never taken apart;
+    repeated pixels count once. run: a number that grows by row
     and column. Groups are (row, tile) and hold at most ``tile`` pixels.
     """
+    if "left" in mask.columns:
+        # within a tile a stretch that begins where another ends belongs to it
+        parts = intervals.joined(intervals.union(mask, strip=tile).withColumn("px_row", F.struct("px_row", F.floor(F.col("left") / F.lit(tile)).alias("t"))))
+        return parts.select((F.col("px_row.px_row").cast("long") * F.lit(1 << 31) + F.col("left")).alias("run"), F.col("px_row.px_row").alias("px_row"), F.col("px_row.t").alias("t"), "left", "right")
     pixels = mask.select("px_row", "px_col").where("px_row is not null and px_col is not null").distinct().withColumn("t", F.floor(F.col("px_col") / F.lit(tile)))
     order = Window.partitionBy("px_row", "t").orderBy("px_col")
     grouped = pixels.withColumn("island", F.col("px_col") - F.row_number().over(order)).groupBy("px_row", "t", "island").agg(F.min("px_col").alias("left"), F.max("px_col").alias("right"))
@@ -61,12 +67,35 @@ def sizes(labelled: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
     )
 
 
+def sides(labelled: DataFrame) -> DataFrame:
+    """(patch, x1, y1, x2, y2): sides of the patches in pixels, upright ones of length 1, level ones as long as they go inside a run.
+
+    A level side lies where a run's pixels have none below (or above) them; an upright one
+    at a run's end that no other run touches.
+    """
+    plain = labelled.select("px_row", "left", "right")
+    shifted = lambda by: plain.select((F.col("px_row") + by).cast("int").alias("px_row"), "left", "right")
+
+    def level(by: int, up: int) -> DataFrame:
+        free = intervals.joined(intervals.difference(plain, shifted(by)))
+        at = (F.col("px_row") + up).alias
+        parts = intervals.overlaid(labelled, free)
+        return parts.select("patch", F.col("left").alias("x1"), at("y1"), (F.col("right") + 1).alias("x2"), at("y2"))
+
+    def upright(end: str, step: int) -> DataFrame:
+        other = "right" if end == "left" else "left"
+        beside = plain.select("px_row", (F.col(other) - step).alias(end))
+        x = F.col("left") if end == "left" else F.col("right") + 1
+        return labelled.join(beside, ["px_row", end], "left_anti").select("patch", x.alias("x1"), F.col("px_row").alias("y1"), x.alias("x2"), (F.col("px_row") + 1).alias("y2"))
+
+    return level(1, 0).unionByName(level(-1, 1)).unionByName(upright("left", -1)).unionByName(upright("right", 1))
+
+
 def outlines(labelled: DataFrame) -> DataFrame:
-    """(patch, x1, y1, x2, y2): unit edges, in pixels, that belong to one pixel of the patch only."""
-    pixels = labelled.select("patch", F.explode(F.sequence("left", "right")).alias("c"), F.col("px_row").alias("r"))
-    edge = lambda a, b, c, d: F.struct((F.col("c") + a).alias("x1"), (F.col("r") + b).alias("y1"), (F.col("c") + c).alias("x2"), (F.col("r") + d).alias("y2"))
-    sides = pixels.select("patch", F.explode(F.array(edge(0, 0, 1, 0), edge(0, 1, 1, 1), edge(0, 0, 0, 1), edge(1, 0, 1, 1))).alias("e"))
-    return sides.groupBy("patch", "e").agg(F.count("*").alias("n")).where("n = 1").select("patch", "e.*")
+    """(patch, x1, y1, x2, y2): unit edges, in pixels, that belong to one pixel of the patch only: ``sides`` cut to unit length."""
+    long = sides(labelled)
+    unit = long.withColumn("x1", F.explode(F.sequence("x1", F.greatest("x2", F.col("x1") + 1) - 1)))
+    return unit.select("patch", "x1", "y1", F.when(F.col("y1") == F.col("y2"), F.col("x1") + 1).otherwise(F.col("x1")).alias("x2"), "y2")
 
 
 def accounting(patches: DataFrame, min_area_m2: float = 10_000.0) -> DataFrame:

@@ -55,6 +55,30 @@ def clip_to_spans(pixels: DataFrame, runs: DataFrame) -> DataFrame:
     return pixels.join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("left"), F.col("right")), "left_semi")
 
 
+def buffered(edges: DataFrame, distance: float, step: float = 10.0) -> DataFrame:
+    """(px_row, left, right): runs of pixels whose centres lie inside the rings or at most ``distance`` from a side.
+
+    The rings' own runs, and for every side those of the rectangle around it and of the
+    discs at its ends; runs overlap. ``runs.union`` takes them together.
+    """
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    length = F.sqrt(dx * dx + dy * dy)
+    usable = edges.where("x1 is not null and x2 is not null and y1 is not null and y2 is not null").select("x1", "y1", "x2", "y2").distinct()
+    named = usable.withColumn("feature_id", F.xxhash64("x1", "y1", "x2", "y2")).withColumns({"_nx": F.try_divide(-dy, length) * F.lit(distance), "_ny": F.try_divide(dx, length) * F.lit(distance)})
+    corner = lambda e, side: F.struct((F.col(f"x{e}") + F.col("_nx") * side).alias("x"), (F.col(f"y{e}") + F.col("_ny") * side).alias("y"))
+    ring = [corner(1, 1), corner(2, 1), corner(2, -1), corner(1, -1)]
+    sides = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)])
+    boxes = named.select("feature_id", F.explode(sides).alias("s")).select("feature_id", F.col("s.a.x").alias("x1"), F.col("s.a.y").alias("y1"), F.col("s.b.x").alias("x2"), F.col("s.b.y").alias("y2"))
+    ends = usable.select(F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("p.*").distinct()
+    half, d = step / 2, F.lit(distance)
+    rows = ends.withColumn("px_row", F.explode(F.sequence(F.ceil((F.col("y") - d - half) / step), F.floor((F.col("y") + d - half) / step))))
+    up = F.col("px_row") * F.lit(step) + F.lit(half) - F.col("y")
+    reach = F.sqrt(F.greatest(d * d - up * up, F.lit(0.0)))
+    discs = rows.select(F.col("px_row").cast("int").alias("px_row"), F.ceil((F.col("x") - reach - half) / step).cast("int").alias("left"), F.floor((F.col("x") + reach - half) / step).cast("int").alias("right"))
+    own = spans(edges, step)
+    return own.select("px_row", "left", "right").unionByName(spans(boxes, step).select("px_row", "left", "right")).unionByName(discs.where("left <= right"))
+
+
 def dissolve(pixels: DataFrame) -> DataFrame:
     """Physical union: every pixel once, whichever features cover it."""
     return pixels.select("px_col", "px_row").distinct()
@@ -64,19 +88,5 @@ def clip(pixels: DataFrame, mask: DataFrame) -> DataFrame:
     return pixels.join(mask.select("px_col", "px_row"), ["px_col", "px_row"], "left_semi")
 
 
-def union_areas(first: DataFrame, second: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
-    """One row: areas of both unions, their sum, union and intersection.
-
-    One shuffle: both sides' distinct pixels meet in one aggregate.
-    """
-    tagged = first.select("px_col", "px_row", F.lit(1).alias("bit")).unionByName(second.select("px_col", "px_row", F.lit(2).alias("bit")))
-    sides = tagged.groupBy("px_col", "px_row").agg(F.bit_or("bit").alias("sides"))
-    area = lambda c: (F.count_if(c) * F.lit(pixel_m2))
-    s = F.col("sides")
-    return sides.agg(
-        area(s.bitwiseAND(1) > 0).alias("first_m2"), area(s.bitwiseAND(2) > 0).alias("second_m2"), area(s == 3).alias("intersection_m2"), area(s > 0).alias("union_m2")
-    ).withColumn("summed_m2", F.col("first_m2") + F.col("second_m2"))
-
-
 def code_statistics(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("code").agg(F.count("*").alias("pixels"))

@@ -88,9 +88,8 @@ def s3_context_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s3_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Footprint area inside every candidate cell against its steps to protected land."""
     cand = materialise(cells.eligible(p.units(spark, sf_dir)), "candidates")
-    foot = materialise(p.footprint(spark, sf_dir), "footprint")
-    sources = cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)).where("protected_pixels > 0")
-    return layers.overlaps(cand, foot, neighbours.nearest_steps(cand, sources))
+    sources = p.protected_cells(spark, sf_dir).where("protected_pixels > 0")
+    return layers.overlaps(cand, p.footprint_runs(spark, sf_dir), neighbours.nearest_steps(cand, sources))
 
 
 def s4_component_read(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraweave.operators import cells, delivery, neighbours, ranks, raster, semantics, stats
+from terraweave.operators import cells, delivery, neighbours, ranks, raster, runs, semantics, stats
 from terraweave.functions import hexgrid
 from terraweave.sources import projection as p
 from terraweave.sources.storage import materialise
@@ -85,17 +85,17 @@ def s3_rasterise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s3_union_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = p.protected(spark, sf_dir)
-    return raster.union_areas(raster.rasterise(p.diamond_edges(p.national(features))), raster.rasterise(p.diamond_edges(p.natura(features))))
+    return runs.union_areas(raster.spans(p.diamond_edges(p.national(features))), raster.spans(p.diamond_edges(p.natura(features))))
 
 
 def s3_water_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inside = raster.clip_to_spans(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir))
-    return inside.agg(F.count("*").alias("pixels"), F.count_if(F.col("code") == 62).alias("sea"), F.count_if(F.col("code") == 61).alias("inland"))
+    counts = runs.code_counts(runs.overlaid(p.coded_runs(spark, sf_dir), p.footprint_runs(spark, sf_dir)))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return counts.agg(total(F.col("pixels")).alias("pixels"), total(F.when(F.col("code") == 62, F.col("pixels"))).alias("sea"), total(F.when(F.col("code") == 61, F.col("pixels"))).alias("inland"))
 
 
 def s3_nearest_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)).where("protected_pixels > 0")
-    return neighbours.nearest_steps(cells.eligible(p.units(spark, sf_dir)), sources)
+    return neighbours.nearest_steps(cells.eligible(p.units(spark, sf_dir)), p.protected_cells(spark, sf_dir).where("protected_pixels > 0"))
 
 
 def s3_neighbour_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:

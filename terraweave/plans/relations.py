@@ -71,8 +71,7 @@ def s3_boundary_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s3_footprint_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of every candidate's centre to the footprint, and whether it lies inside."""
-    features = p.protected(spark, sf_dir)
-    edges = materialise(p.diamond_edges(p.national(features).unionByName(p.natura(features))), "footprint-edges")
+    edges = materialise(p.footprint_edges(spark, sf_dir), "footprint-edges")
     points = materialise(_centres(cells.eligible(p.units(spark, sf_dir))).select("hex_id", F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2")), "centres")
     found = geometry.nearest(points, edges)
     return found.select("hex_id", F.round("distance", 6).alias("distance"), (F.col("distance") == 0).alias("centre_within"))
@@ -88,8 +87,9 @@ def s3_patch_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s3_patch_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perimeter of every protected patch from its outline."""
-    sides = patches.outlines(patches.label(p.footprint(spark, sf_dir)))
-    return sides.groupBy("patch").agg((F.count("*") * 10.0).alias("perimeter_m"), F.min("x1").alias("min_x"), F.max("y2").alias("max_y"))
+    sides = patches.sides(patches.label(p.footprint_runs(spark, sf_dir)))
+    length = F.col("x2") - F.col("x1") + F.col("y2") - F.col("y1")
+    return sides.groupBy("patch").agg((F.sum(length) * 10.0).alias("perimeter_m"), F.min("x1").alias("min_x"), F.max("y2").alias("max_y"))
 
 
 def s4_adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

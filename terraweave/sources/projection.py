@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
-from terraweave.operators import cells, raster
+from terraweave.operators import cells, raster, runs
 from terraweave.sources.storage import materialise
 
 NORTH = 6500000.7  # of the study area, unless the orders reach further
@@ -78,15 +78,27 @@ def diamond_edges(features: DataFrame) -> DataFrame:
     return features.select("feature_id", F.explode(edges).alias("e")).select("feature_id", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
 
 
-def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coded_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(px_row, left, right, code): the valid pixels of the study area as runs of one code, one a row of a block."""
+    rows = blocks(spark, sf_dir).where("code <> 0").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    left = F.lit(40000) + F.col("bcol") * 5
+    coded = rows.select((F.lit(620000) + F.col("brow") * 5 + F.col("j")).cast("int").alias("px_row"), left.cast("int").alias("left"), (left + 4).cast("int").alias("right"), "code")
+    return runs.overlaid(coded, raster.spans(study_edges(spark, sf_dir)))
+
+
+def footprint_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = protected(spark, sf_dir)
-    return raster.dissolve(raster.rasterise(diamond_edges(national(features).unionByName(natura(features)))))
+    return diamond_edges(national(features).unionByName(natura(features)))
 
 
 def footprint_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The footprint as merged runs of pixels, one row a run."""
-    features = protected(spark, sf_dir)
-    return raster.merged(raster.spans(diamond_edges(national(features).unionByName(natura(features)))))
+    """The footprint as whole runs of pixels, one row a run."""
+    return runs.joined(runs.union(raster.spans(footprint_edges(spark, sf_dir))))
+
+
+def protected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with their protected pixels, written once: a filter on it must not reach the pixels."""
+    return materialise(cells.protection(pixels(spark, sf_dir), footprint_runs(spark, sf_dir)), "protection")
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
