@@ -20,10 +20,11 @@ def has_role(role: str) -> Column:
     return F.col("code").isin(codes_of(role))
 
 
-def composition(pixels: DataFrame) -> DataFrame:
+def composition(pixels: DataFrame, footprint: DataFrame | None = None) -> DataFrame:
     """Ten counts a cell over valid pixels (grid_col, grid_row, code): one partial and one final aggregate.
 
     No join with the class table: roles become constant code sets inside the aggregate.
+    footprint: whole runs (px_row, left, right); with them protected_pixels, the terrestrial ones inside, come from the same pass.
     """
     roles = {
         "terrestrial_pixels": "terrestrial_land", "candidate_pixels": "primary_candidate", "habitat_context_pixels": "habitat_context_proxy",
@@ -31,6 +32,9 @@ def composition(pixels: DataFrame) -> DataFrame:
     }
     counts = [F.count("*").alias("valid_pixels"), *[F.count_if(has_role(r)).alias(c) for c, r in roles.items()]]
     counts += [F.count_if(F.col("code") == 54).alias("peat_pixels"), F.count_if(F.col("code") == 62).alias("sea_pixels")]
+    if footprint is not None:
+        pixels = _marked(pixels, footprint)
+        counts.append(F.count_if(has_role("terrestrial_land") & F.col("_row").isNotNull()).alias("protected_pixels"))
     return pixels.groupBy("grid_col", "grid_row").agg(*counts)
 
 
@@ -43,6 +47,12 @@ def analysis_units(counts: DataFrame) -> DataFrame:
     )
 
 
+def is_eligible(min_area_m2: float = 50_000.0, min_fraction: float = 0.25) -> Column:
+    """The limits of ``eligible`` on cell counts; false for cells without land."""
+    area, fraction = F.col("candidate_pixels") * PIXEL_M2, F.try_divide(F.col("candidate_pixels") * F.lit(1.0), F.col("terrestrial_pixels"))
+    return F.coalesce((area >= min_area_m2) & (fraction >= min_fraction), F.lit(False))
+
+
 def eligible(units: DataFrame, min_area_m2: float = 50_000.0, min_fraction: float = 0.25) -> DataFrame:
     """Candidates: both limits are inclusive."""
     return units.where((F.col("candidate_area_m2") >= min_area_m2) & (F.col("candidate_fraction_of_terrestrial") >= min_fraction))
@@ -63,13 +73,17 @@ def hydrology(counts: DataFrame) -> DataFrame:
     )
 
 
+def _marked(pixels: DataFrame, footprint: DataFrame) -> DataFrame:
+    """``pixels`` with _row, which is null outside the runs of the footprint."""
+    mask = footprint.select(F.col("px_row").alias("_row"), F.col("left").alias("_left"), F.col("right").alias("_right"))
+    return pixels.join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("_left"), F.col("_right")), "left")
+
+
 def protection(pixels: DataFrame, runs: DataFrame) -> DataFrame:
     """Terrestrial and protected terrestrial pixels a cell; runs: merged runs of the footprint (px_row, left, right).
 
     A pixel meets at most one merged run, by an equality on the row and a range test.
     """
-    mask = runs.select(F.col("px_row").alias("_row"), F.col("left").alias("_left"), F.col("right").alias("_right"))
-    marked = pixels.where(has_role("terrestrial_land")).join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("_left"), F.col("_right")), "left")
-    return marked.groupBy("grid_col", "grid_row").agg(F.count("*").alias("terrestrial_pixels"), F.count("_row").alias("protected_pixels")).withColumn(
+    return _marked(pixels.where(has_role("terrestrial_land")), runs).groupBy("grid_col", "grid_row").agg(F.count("*").alias("terrestrial_pixels"), F.count("_row").alias("protected_pixels")).withColumn(
         "protected_fraction", F.try_divide(F.col("protected_pixels") * F.lit(1.0), F.col("terrestrial_pixels"))
     )

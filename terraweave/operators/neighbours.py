@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +70,74 @@ def riparian_indicators(candidates: DataFrame, hydrology: DataFrame) -> DataFram
     return near.join(focal, "hex_id").withColumn("riparian_near_fraction", F.greatest("riparian_focal_fraction", "riparian_adjacent_fraction"))
 
 
+def _stencil(tile: int, radius: int, sums: list[str], values: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        width = tile + 2 * radius
+        tc, tr = int(pdf["tc"].iloc[0]), int(pdf["tr"].iloc[0])
+        at = (pdf["grid_row"].to_numpy() - tr * tile + radius, pdf["grid_col"].to_numpy() - tc * tile + radius)
+        present = np.zeros((width, width), np.int64)
+        present[at] = 1
+        planes = {"cells": present}
+        for name in sums:
+            planes[name] = np.zeros((width, width), np.int64)
+            planes[name][at] = pdf[name].fillna(0).to_numpy(np.int64)
+        own = pdf["own"].to_numpy(bool)
+        mine = (at[0][own], at[1][own])
+        out = {"grid_col": pdf["grid_col"].to_numpy()[own], "grid_row": pdf["grid_row"].to_numpy()[own]}
+        around = lambda plane, rings: sum(plane[mine[0] + r, mine[1] + c] for k in rings for c, r in hexgrid.ring(k))
+        for name, plane in planes.items():
+            out[f"adjacent_{name}"] = around(plane, [1])
+            out[f"local_{name}"] = out[f"adjacent_{name}"] + around(plane, range(2, radius + 1))
+        for name in values:
+            plane = np.full((width, width), np.nan)
+            plane[at] = pdf[name].astype(float).to_numpy()
+            for c, r in hexgrid.ring(1):
+                out[f"{name}_{_name((c, r))}"] = plane[mine[0] + r, mine[1] + c]
+        return pd.DataFrame(out)
+
+    return run
+
+
+def stencil(grid: DataFrame, keep: Column, sums: list[str], values: list[str] | None = None, radius: int = 2, tile: int = 64) -> DataFrame:
+    """One row for every cell of ``grid`` that meets ``keep``: what its neighbours hold, for all columns at once.
+
+    adjacent_<c>, local_<c>: sums of the whole numbers ``c`` over ring 1 and over all rings
+    up to ``radius``; adjacent_cells, local_cells: neighbours that are in the grid; <v>_<offset>: a
+    value of each of the six neighbours, null where it or the neighbour is missing. Cells are packed in
+    square tiles with a halo of ``radius`` cells, in one shuffle that each cell passes once, or a few times near
+    a border; neighbours are then looked up in a tile's arrays, whose size is fixed.
+    Cells without a place are dropped; places should be unique. An empty grid gives no rows.
+    """
+    values = values or []
+    tiles = lambda c: F.sequence(F.floor((F.col(c) - radius) / tile).cast("int"), F.floor((F.col(c) + radius) / tile).cast("int"))
+    slim = grid.where("grid_col is not null and grid_row is not null").select("grid_col", "grid_row", *dict.fromkeys([*sums, *values]), F.coalesce(keep, F.lit(False)).alias("own"))
+    dealt = slim.withColumn("tc", F.explode(tiles("grid_col"))).withColumn("tr", F.explode(tiles("grid_row")))
+    home = (F.floor(F.col("grid_col") / tile) == F.col("tc")) & (F.floor(F.col("grid_row") / tile) == F.col("tr"))
+    names = [f"{where}_{c} long" for c in ["cells", *sums] for where in ("adjacent", "local")] + [f"{v}_{_name(o)} double" for v in values for o in hexgrid.ring(1)]
+    found = dealt.withColumn("own", F.col("own") & home).groupBy("tc", "tr").applyInPandas(_stencil(tile, radius, sums, values), "grid_col int, grid_row int, " + ", ".join(names))
+    known = [F.when(~F.isnan(f"{v}_{_name(o)}"), F.col(f"{v}_{_name(o)}")).alias(f"{v}_{_name(o)}") for v in values for o in hexgrid.ring(1)]
+    return found.select("grid_col", "grid_row", *[n.split()[0] for n in names if n.endswith("long")], *known)
+
+
+def packed_indicators(counts: DataFrame, keep: Column) -> DataFrame:
+    """Neighbourhood fields of all components for the cells that meet ``keep``, from one pass of ``stencil``.
+
+    counts: cell counts with protected_pixels. The fields are those of ``share_indicators``
+    (habitat, artificial, riparian, protected) and ``network_indicators``.
+    """
+    wet, water = F.col("wetland_context_pixels"), F.col("inland_water_pixels")
+    full = counts.withColumns({"hydrologic_pixels": wet + water, "nonmarine_pixels": F.col("terrestrial_pixels") + water, "habitat": F.coalesce(_ratio("habitat_context_pixels", "terrestrial_pixels"), F.lit(0.0))})
+    shares = {"habitat": ("habitat_context_pixels", "terrestrial_pixels"), "artificial": ("artificial_pixels", "terrestrial_pixels"), "riparian": ("hydrologic_pixels", "nonmarine_pixels"), "protected": ("protected_pixels", "terrestrial_pixels")}
+    near = stencil(full, keep, sorted({c for pair in shares.values() for c in pair}), ["habitat"])
+    at = {o: F.coalesce(F.col(f"habitat_{_name(o)}"), F.lit(0.0)) for pair in AXES.values() for o in pair}
+    axes = [F.least(at[p], at[q]) for p, q in AXES.values()]
+    strengths, total = axes[0] + axes[1] + axes[2], sum(list(at.values())[1:], next(iter(at.values())))
+    fractions = [_ratio(f"{where}_{part}", f"{where}_{whole}").alias(f"{name}_{where}_fraction") for name, (part, whole) in shares.items() for where in ("adjacent", "local")]
+    return near.select(
+        "grid_col", "grid_row", "adjacent_cells", "local_cells", *fractions, F.greatest(*axes).alias("bridge_strength_max"), F.coalesce(F.try_divide(2.0 * strengths, total), F.lit(0.0)).alias("opposing_balance_ratio")
+    )
+
+
 AXES = {"a": ((1, 0), (-1, 0)), "b": ((0, 1), (0, -1)), "c": ((1, -1), (-1, 1))}
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraweave.functions import hexgrid
 from terraweave.operators import cells, components, delivery, geometry, neighbours, profiles, scoring
 from terraweave.operators.components import EVIDENCE, FLAG
 from terraweave.operators.scoring import FIELDS, PRESETS
@@ -16,24 +17,19 @@ from terraweave.sources.storage import materialise
 
 
 def indicators(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Candidates with the raw fields of all components, and their boundary flags; pixels are read twice (cells, protection)."""
-    counts = p.counts(spark, sf_dir)
-    units = cells.analysis_units(counts)
-    cand = materialise(cells.eligible(units), "candidates")
-    grid = materialise(cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)), "protection")
-    network = neighbours.network_indicators(cand, units).select("hex_id", F.round("opposing_balance_ratio", 9).alias("opposing_balance_ratio"))
-    parts = [
-        neighbours.share_indicators(cand, units, "habitat_context_pixels", "terrestrial_pixels", "habitat").select("hex_id", "habitat_local_fraction"),
-        network,
-        neighbours.riparian_indicators(cand, cells.hydrology(counts)).select("hex_id", "riparian_focal_fraction"),
-        neighbours.nearest_steps(cand, grid.where("protected_pixels > 0")).withColumnRenamed("steps", "nearest_protected_hex_steps"),
-        neighbours.focal_share(cand, grid, "protected_pixels", "terrestrial_pixels", "protected_focal_fraction"),
-    ]
-    land = (F.col("candidate_area_m2") / 10000.0).alias("candidate_land_area_ha"), F.try_divide(F.col("artificial_pixels") * F.lit(1.0), F.col("terrestrial_pixels")).alias("artificial_focal_fraction")
-    out = cand.select("hex_id", "grid_col", "grid_row", "candidate_fraction_of_terrestrial", *land)
-    for part in parts:
-        out = out.join(part, "hex_id", "left")
-    flags = geometry.near_boundary(r._centres(cand), p.study_edges(spark, sf_dir), 1000.0)
+    """Candidates with the raw fields of all components, and their boundary flags; pixels are read once, neighbours are looked up in one pass."""
+    counts = p.full_counts(spark, sf_dir)
+    cand = cells.eligible(cells.analysis_units(counts))
+    share = lambda part, whole: F.try_divide(part * F.lit(1.0), whole)
+    water, land = F.col("inland_water_pixels"), F.col("terrestrial_pixels")
+    own = cand.select(
+        "hex_id", "grid_col", "grid_row", "candidate_fraction_of_terrestrial", (F.col("candidate_area_m2") / 10000.0).alias("candidate_land_area_ha"), share(F.col("artificial_pixels"), land).alias("artificial_focal_fraction"),
+        share(F.col("wetland_context_pixels") + water, land + water).alias("riparian_focal_fraction"), share(F.col("protected_pixels"), land).alias("protected_focal_fraction"),
+    )
+    near = neighbours.packed_indicators(counts, cells.is_eligible()).select("grid_col", "grid_row", F.col("habitat_local_fraction"), F.round("opposing_balance_ratio", 9).alias("opposing_balance_ratio"))
+    steps = neighbours.nearest_steps(own, counts.where("protected_pixels > 0")).withColumnRenamed("steps", "nearest_protected_hex_steps")
+    out = own.join(near, ["grid_col", "grid_row"], "left").join(steps, "hex_id", "left")
+    flags = geometry.near_boundary(r._centres(own), p.study_edges(spark, sf_dir), 1000.0)
     return materialise(out, "indicators"), materialise(flags, "flags")
 
 
@@ -49,6 +45,13 @@ def model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(components.reconcile(raw.select("hex_id", "grid_col", "grid_row"), tables), "model")
 
 
+def s5_packed_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbourhood fields of every component for all candidates, from one packed pass."""
+    found = neighbours.packed_indicators(p.full_counts(spark, sf_dir), cells.is_eligible())
+    rounded = {"opposing_balance_ratio": F.round("opposing_balance_ratio", 9)}
+    return found.select(hexgrid.hex_id(F.col("grid_col"), F.col("grid_row")).alias("hex_id"), *found.columns[2:]).withColumns(rounded)
+
+
 def s6_network_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, FIELDS[1])
 
@@ -215,7 +218,16 @@ SELECT field, count(*) AS rows, count(*) FILTER (WHERE abs(a - b) > 1e-12) AS af
 _KINDS = "CASE WHEN wetland_pixels > water_pixels THEN 'wetland_pixels' WHEN water_pixels > wetland_pixels THEN 'water_pixels' ELSE 'tie' END"
 _SUB = {51: "artificial_building_pixels", 52: "artificial_other_pixels", 53: "artificial_transport_pixels"}
 
+_PACKED = {"h": "s5_habitat_indicators", "a": "s5_land_indicators", "w": "s5_riparian_indicators", "o": "s5_protected_indicators", "n": "s5_network_indicators"}
+_PACKED_SQL = (
+    "WITH " + ", ".join(f"{k} AS ({c.ORACLES[q]})" for k, q in _PACKED.items())
+    + " SELECT hex_id, riparian_adjacent_cells AS adjacent_cells, riparian_local_cells AS local_cells, "
+    + ", ".join(f"{n}_{w}_fraction" for n in ("habitat", "artificial", "riparian", "protected") for w in ("adjacent", "local"))
+    + ", bridge_strength_max, opposing_balance_ratio FROM h JOIN a USING (hex_id) JOIN w USING (hex_id) JOIN o USING (hex_id) JOIN n USING (hex_id)"
+)
+
 ORACLES = {
+    "s5_packed_indicators": _PACKED_SQL,
     "s6_network_score": MODEL_SQL + f" SELECT hex_id, opposing_balance_ratio, {FIELDS[1]}, boundary_edge_flag FROM model",
     "s6_protected_score": MODEL_SQL + f" SELECT hex_id, nearest_protected_hex_steps, {FIELDS[3]}, protected_focal_fraction, boundary_edge_flag FROM model",
     "s6_land_score": MODEL_SQL + f" SELECT hex_id, candidate_land_area_ha, {FIELDS[4]}, artificial_focal_fraction, boundary_edge_flag FROM model",

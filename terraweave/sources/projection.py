@@ -106,6 +106,11 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(cells.composition(pixels(spark, sf_dir)), "cells")
 
 
+def full_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell counts with protected_pixels, from one pass over the pixels, written once."""
+    return materialise(cells.composition(pixels(spark, sf_dir), footprint_runs(spark, sf_dir)), "cells")
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.analysis_units(counts(spark, sf_dir))
 
