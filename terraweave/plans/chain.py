@@ -13,7 +13,8 @@ from terraweave.plans import cells as c
 from terraweave.plans import relations as r
 from terraweave.plans import scores as s
 from terraweave.sources import projection as p
-from terraweave.sources.storage import materialise
+from terraweave.sources import publish
+from terraweave.sources.storage import materialise, new_path
 
 
 def indicators(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -72,6 +73,13 @@ def s8_delivery_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.delivery_frame(model(spark, sf_dir))
 
 
+def s8_published_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivered frame, published as a version in the order of its ids and read back with its digest checked."""
+    path = new_path(spark, "published")
+    publish.publish(components.delivery_frame(model(spark, sf_dir)), path, ["hex_id"])
+    return publish.read_published(spark, path, verify=True)
+
+
 def s7_weight_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.weight_index(model(spark, sf_dir)).withColumns({k: F.round(k, 5) for k in ("longitude", "latitude")})
 
@@ -245,4 +253,5 @@ ORACLES = {
     "s6_rank_fraction": c.CELLS + f", k AS (SELECT {s._avg('candidate_area_m2')} AS a, {s._avg('candidate_fraction_of_terrestrial')} AS b, count(*) OVER () AS n FROM cand), g AS (SELECT a, b, abs(b / n - a / n) AS gap FROM k) SELECT count(*) AS rows, round(max(gap), 9) AS largest, count(*) FILTER (WHERE gap >= 0.10) AS at_least_10, count(*) FILTER (WHERE gap >= 0.25) AS at_least_25, round(corr(a, b), 6) AS spearman, round(quantile_cont(gap, 0.5), 9) AS median, round(quantile_cont(gap, 0.9), 9) AS p90 FROM g",
     "s8_features": c.CELLS + f", {r._CENTRES}" + _LONLAT.replace("FROM model JOIN cen", "FROM cand JOIN cen") + " SELECT hex_id, round(longitude, 4) AS lon, round(latitude, 4) AS lat, hex_id AS feature_id, CAST(7 AS INTEGER) AS ring_points FROM place",
 }
+ORACLES["s8_published_frame"] = ORACLES["s8_delivery_frame"]
 QUERIES = {name: f for name, f in globals().items() if name[:1] == "s" and name[1:2].isdigit() and callable(f)}

@@ -11,7 +11,8 @@ from terraweave.plans import audit
 from terraweave.plans import cells as c
 from terraweave.plans import relations as r
 from terraweave.sources import projection as p
-from terraweave.sources.storage import materialise
+from terraweave.sources import tiles
+from terraweave.sources.storage import materialise, new_path
 
 
 def _related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -41,6 +42,16 @@ def s3_extent_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return footprints.extent_areas(records, raster.spans(study), raster.buffered(study, 5000.0))
 
 
+def s1_tiled_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes inside the national parks, from a table of all pixels clustered by tile of which only the tiles of the parks are read."""
+    path = new_path(spark, "tiled-pixels")
+    tiles.write_tiled(p.all_pixels(spark, sf_dir), path, 1024)
+    parks = p.protected(spark, sf_dir).where("kind = 'Nationalpark' AND status = 'Gällande'")
+    mask = runs.joined(runs.union(raster.spans(p.diamond_edges(parks))))
+    inside = tiles.clip_tiled(tiles.read_tiled(spark, path, "px_col int, px_row int, code int"), mask, 1024)
+    return inside.groupBy("code").agg(F.count("*").alias("pixels"), F.min("px_col").alias("min_col"), F.max("px_row").alias("max_row"))
+
+
 _HALF, _ROOT = repr(hexgrid.WIDTH / 2), repr(3**0.5 / 2)
 _OVER = audit.ORACLES["s3_overlaps"]
 _RELATED = (
@@ -66,6 +77,7 @@ rel AS (
 _FLAGS = f", {r._STUDY_EDGES}, fl AS (SELECT hex_id, min({r._PS('c.x', 'c.y', *r._B1, *r._B2)}) <= 1000 AS edge FROM cen c, study t GROUP BY 1)"
 
 ORACLES = {
+    "s1_tiled_clip": "WITH " + p.PIXEL_SQL + "," + p.PROTECTED_SQL + " SELECT CAST(code AS INTEGER) AS code, count(*) AS pixels, CAST(min(px_col) AS INTEGER) AS min_col, CAST(max(px_row) AS INTEGER) AS max_row FROM allpx JOIN (SELECT DISTINCT px_col, px_row FROM cover WHERE kind = 'Nationalpark') USING (px_col, px_row) GROUP BY 1",
     "s3_vector_relations": _RELATED + " SELECT * FROM rel",
     "s3_vector_audit": _RELATED
     + _FLAGS
