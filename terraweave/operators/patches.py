@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraweave.operators import runs as intervals
-from terraweave.sources.storage import materialise
+from terraweave.sources.storage import drop, materialise
 
 
 def runs(mask: DataFrame, tile: int = 256) -> DataFrame:
@@ -23,40 +24,77 @@ def runs(mask: DataFrame, tile: int = 256) -> DataFrame:
     pixels = mask.select("px_row", "px_col").where("px_row is not null and px_col is not null").distinct().withColumn("t", F.floor(F.col("px_col") / F.lit(tile)))
     order = Window.partitionBy("px_row", "t").orderBy("px_col")
     grouped = pixels.withColumn("island", F.col("px_col") - F.row_number().over(order)).groupBy("px_row", "t", "island").agg(F.min("px_col").alias("left"), F.max("px_col").alias("right"))
-    return grouped.select((F.col("px_row").cast("long") * F.lit(1 << 31) + F.col("left")).alias("run"), "px_row", "t", "left", "right")
+    return grouped.select((F.col("px_row").cast("long") * F.lit(1 << 31) + F.col("left")).alias("run"), F.col("px_row").cast("int").alias("px_row"), "t", F.col("left").cast("int").alias("left"), F.col("right").cast("int").alias("right"))
 
 
-def _links(found: DataFrame) -> DataFrame:
-    """(a, b), a < b: runs that touch along a side, in the next row or across a cut."""
-    upper = found.select(F.col("run").alias("b"), (F.col("px_row") - 1).alias("px_row"), "t", F.col("left").alias("l"), F.col("right").alias("r"))
-    below = found.join(upper, ["px_row", "t"]).where("left <= r AND l <= right").select(F.col("run").alias("a"), "b")
-    beside = found.select(F.col("run").alias("b"), "px_row", (F.col("left") - 1).alias("right")).join(found.select(F.col("run").alias("a"), "px_row", "right"), ["px_row", "right"])
-    return below.unionByName(beside.select("a", "b"))
+TILE_ROWS = 256
 
 
-def label(mask: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _inside(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Runs of one tile with ``part``, the smallest run that they reach inside the tile."""
+    pdf = pdf.sort_values(["px_row", "left"], ignore_index=True)
+    row, left, right = pdf["px_row"].tolist(), pdf["left"].tolist(), pdf["right"].tolist()
+    root = list(range(len(pdf)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    below = 0
+    for i in range(len(pdf)):
+        while below < i and (row[below] < row[i] - 1 or (row[below] == row[i] - 1 and right[below] < left[i])):
+            below += 1
+        j = below
+        while j < i and row[j] == row[i] - 1 and left[j] <= right[i]:
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)  # the order of places is that of the runs' numbers
+            j += 1
+    pdf["part"] = pdf["run"].to_numpy()[[find(i) for i in range(len(pdf))]] if len(pdf) else pdf["run"]
+    return pdf[["run", "px_row", "t", "left", "right", "part"]]
+
+
+def _border_links(found: DataFrame, rows: int) -> DataFrame:
+    """(a, b), a < b, distinct: parts that touch across the border of their tiles."""
+    upper = found.where(F.pmod("px_row", F.lit(rows)) == 0).select(F.col("part").alias("v"), (F.col("px_row") - 1).alias("px_row"), "t", F.col("left").alias("l"), F.col("right").alias("r"))
+    lower = found.where(F.pmod("px_row", F.lit(rows)) == rows - 1)
+    across = lower.join(upper, ["px_row", "t"]).where("left <= r AND l <= right").select(F.col("part").alias("u"), "v")
+    # runs that end at a cut meet the one that begins behind it
+    ends, begins = found.select(F.col("part").alias("u"), "px_row", F.col("right").alias("at")), found.select(F.col("part").alias("v"), "px_row", (F.col("left") - 1).alias("at"))
+    both = across.unionByName(ends.join(begins, ["px_row", "at"]).select("u", "v"))
+    return both.where("u <> v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
+def label(mask: DataFrame, max_rounds: int = 60, rows: int = TILE_ROWS) -> DataFrame:
     """(patch, px_row, left, right): the runs of ``mask`` with their patch, the smallest run reached by rook moves.
 
-    Labels fall to the least label of a neighbour, hooked under the old label's own, and
-    are then read off the label's label; long chains halve each round. Every round is a
-    table in the shared folder, and only a count reaches the driver.
+    Two levels: a tile's runs are put together in one task, whose size a tile bounds; then
+    only parts that touch a tile's border are linked, and rounds go over those. Labels fall
+    to the least label of a neighbour, hooked under the old label's own, and are then read
+    off the label's label; long chains halve each round. Every round is a table in the
+    shared folder, and only a count reaches the driver.
     """
-    found = materialise(runs(mask), "runs")
-    links = materialise(_links(found), "links")
+    tiled = runs(mask).withColumn("tr", F.floor(F.col("px_row") / F.lit(rows)))
+    found = materialise(tiled.groupBy("t", "tr").applyInPandas(_inside, "run long, px_row int, t long, left int, right int, part long"), "parts")
+    links = materialise(_border_links(found, rows), "links")
     both = materialise(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
-    labels = materialise(found.select("run", F.col("run").alias("patch")), "labels")
+    labels = materialise(both.select(F.col("a").alias("part"), F.col("a").alias("patch")).distinct(), "labels")
     for _ in range(max_rounds):
-        of = lambda name, value: labels.select(F.col("run").alias(name), F.col("patch").alias(value))  # noqa: E731, B023
+        of = lambda name, value: labels.select(F.col("part").alias(name), F.col("patch").alias(value))  # noqa: E731, B023
         met = materialise(both.join(of("a", "mine"), "a").join(of("b", "theirs"), "b").where("theirs < mine").groupBy("a", "mine").agg(F.min("theirs").alias("least")), "met")
         if met.isEmpty():
             break
-        # the run takes the least label it meets, and so does the run that its old label names
-        offers = met.select(F.col("a").alias("run"), "least").unionByName(met.select(F.col("mine").alias("run"), "least")).groupBy("run").agg(F.min("least").alias("least"))
-        hooked = materialise(labels.join(offers, "run", "left").select("run", F.least("patch", F.coalesce("least", "patch")).alias("patch")), "hooked")
-        labels = materialise(hooked.join(hooked.select(F.col("run").alias("patch"), F.col("patch").alias("root")), "patch").select("run", F.col("root").alias("patch")), "labels")
+        # the part takes the least label it meets, and so does the part that its old label names
+        offers = met.select(F.col("a").alias("part"), "least").unionByName(met.select(F.col("mine").alias("part"), "least")).groupBy("part").agg(F.min("least").alias("least"))
+        hooked = materialise(labels.join(offers, "part", "left").select("part", F.least("patch", F.coalesce("least", "patch")).alias("patch")), "hooked")
+        was = [met, labels]
+        labels = materialise(hooked.join(hooked.select(F.col("part").alias("patch"), F.col("patch").alias("root")), "patch").select("part", F.col("root").alias("patch")), "labels")
+        for done in [*was, hooked]:
+            drop(done)
     else:
         raise RuntimeError(f"patches did not settle in {max_rounds} rounds")
-    return found.join(labels, "run").select("patch", "px_row", "left", "right")
+    return found.join(labels, "part", "left").select(F.coalesce("patch", "part").alias("patch"), "px_row", "left", "right")
 
 
 def sizes(labelled: DataFrame, pixel_m2: float = 100.0) -> DataFrame:

@@ -82,3 +82,59 @@ def test_dissolve_is_never_by_pixel(spark):
     square = spark.createDataFrame([(k, *e) for k in range(5) for e in ((0.3, 0.3, 4000.3, 0.3), (4000.3, 0.3, 4000.3, 4000.3), (4000.3, 4000.3, 0.3, 4000.3), (0.3, 4000.3, 0.3, 0.3))], "feature_id int, x1 double, y1 double, x2 double, y2 double")
     spans = raster.spans(square)
     assert runs.union(spans).count() == 400 and runs.union(spans).agg(F.sum(F.col("right") - F.col("left") + 1)).first()[0] == 160_000
+
+
+def flood(cells):
+    """Patches by rook moves, each as a set."""
+    left, out = set(cells), []
+    while left:
+        todo, patch = [left.pop()], set()
+        while todo:
+            r, c = todo.pop()
+            patch.add((r, c))
+            for near in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+                if near in left:
+                    left.remove(near)
+                    todo.append(near)
+        out.append(patch)
+    return out
+
+
+@pytest.mark.parametrize("rows", [3, 256])
+def test_patches_of_runs_in_two_levels(spark, rows):
+    """Random runs, negative rows, and one spiral that passes through all tiles many times."""
+    from terraweave.operators import patches
+
+    made_rows = [(r - 7, a, b, x) for r, a, b, x in made(3, n=90, rows=20, columns=700)]
+    spiral = [(2000 + k, 0 if k % 4 else 0, 600, "x") for k in range(0, 40, 2)] + [(2001 + k, 600 if k % 4 == 0 else 0, 600 if k % 4 == 0 else 0, "x") for k in range(0, 38, 2)]
+    mask = [*made_rows, *spiral]
+    found = patches.label(table(spark, mask), rows=rows).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.patch, set()).update((r.px_row, c) for c in range(r.left, r.right + 1))
+    want = flood(pixels(mask))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want))
+    assert all(min((r << 31) + c for r, c in p) <= k for k, p in got.items())
+    # level sides and upright ones add up to the pixels' own sides
+    labelled = patches.label(table(spark, mask), rows=rows)
+    sides = patches.sides(labelled).withColumn("n", F.col("x2") - F.col("x1") + F.col("y2") - F.col("y1"))
+    cells = pixels(mask)
+    assert sides.agg(F.sum("n")).first()[0] == sum((r + a, c + b) not in cells for r, c in cells for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1)))
+
+
+def test_rounds_see_border_parts_only(spark, monkeypatch):
+    """Patches that stay inside their tiles have no part in any round."""
+    from terraweave.operators import patches
+
+    seen = {}
+    keep = patches.materialise
+
+    def counted(df, name):
+        out = keep(df, name)
+        seen.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(patches, "materialise", counted)
+    mask = table(spark, [(r, 256 * t + 10, 256 * t + 60, "x") for t in range(4) for r in range(5, 100)] + [(300, 250, 260, "x")])
+    assert patches.label(mask).select("patch").distinct().count() == 5
+    assert seen["links"] == 1 and seen["labels"] == 2
