@@ -47,10 +47,15 @@ def study_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "feature_id int, x1 double, y1 double, x2 double, y2 double")
 
 
+def study_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The study area as runs of pixels, written once: Spark knows its size then, and broadcasts it only while it is small."""
+    return materialise(raster.spans(study_edges(spark, sf_dir)), "study-runs")
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid pixels of the study area with x, y and their cell."""
     valid = all_pixels(spark, sf_dir).where("code <> 0")
-    inside = raster.clip_to_spans(valid, raster.spans(study_edges(spark, sf_dir)))
+    inside = raster.clip_to_spans(valid, study_runs(spark, sf_dir))
     placed = inside.withColumns({"x": (F.col("px_col") + 0.5) * F.lit(10.0), "y": (F.col("px_row") + 0.5) * F.lit(10.0)})
     return hexgrid.with_cell(placed)
 
@@ -83,7 +88,7 @@ def coded_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = blocks(spark, sf_dir).where("code <> 0").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(4))))
     left = F.lit(40000) + F.col("bcol") * 5
     coded = rows.select((F.lit(620000) + F.col("brow") * 5 + F.col("j")).cast("int").alias("px_row"), left.cast("int").alias("left"), (left + 4).cast("int").alias("right"), "code")
-    return runs.overlaid(coded, raster.spans(study_edges(spark, sf_dir)))
+    return runs.overlaid(coded, study_runs(spark, sf_dir))
 
 
 def footprint_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +97,8 @@ def footprint_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def footprint_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The footprint as whole runs of pixels, one row a run."""
-    return runs.joined(runs.union(raster.spans(footprint_edges(spark, sf_dir))))
+    """The footprint as whole runs of pixels, one row a run, written once like ``study_runs``."""
+    return materialise(runs.joined(runs.union(raster.spans(footprint_edges(spark, sf_dir)))), "footprint-runs")
 
 
 def protected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
