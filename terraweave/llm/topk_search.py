@@ -6,11 +6,11 @@ dimensions in step (from the top for a positive weight, from the bottom for a ne
 one), scores every row it meets by random access inside the block, and stops when the
 threshold - the score of a hypothetical row standing at the current depth of every
 list - cannot beat the k-th best score known so far. The k-th score carries over between
-the blocks of a task, blocks of the highest bounds come first, and a block whose bound
-cannot beat it is passed over unread. Results of all blocks are merged by a ranked window
-that Spark limits before its shuffle.
+the blocks of a task. Of the blocks that reach a task in one Arrow batch those of the
+highest bounds come first, and a pair whose bound cannot beat it is passed over. Results
+of all blocks are merged by a ranked window that Spark limits before its shuffle.
 
-Memory is bounded by one candidate block and one query block per task. Work is
+A task holds one Arrow batch of packed pairs, and one pair of blocks unpacked. Work is
 (query blocks x candidate blocks), the whole of the stated query set against all rows.
 """
 
@@ -128,18 +128,32 @@ def _matrices(b) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return b.block, np.frombuffer(b.ids, np.int64), comps.astype(kind), np.frombuffer(b.q_ids, np.int64), queries.astype(kind)
 
 
+def _bounds(b) -> np.ndarray:
+    """Of each query of a pair: what no row of the block exceeds, as at depth 0 of the lists."""
+    _, _, comps, _, queries = _matrices(b)
+    return np.where(queries > 0, queries * comps.max(axis=0), queries * comps.min(axis=0)).sum(axis=1)
+
+
 def _searcher(k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kth: dict[int, float] = {}  # of queries that have k results from earlier blocks of this task
         last: tuple = (None,)
         for pdf in batches:
-            pairs = [_matrices(b) for b in pdf.itertuples(index=False)]
-            # at depth 0 of the lists: no row of the block scores more
-            bounds = [np.where(queries > 0, queries * comps.max(axis=0), queries * comps.min(axis=0)).sum(axis=1) for _, _, comps, _, queries in pairs]
-            for at in sorted(range(len(pairs)), key=lambda i: (-float(np.mean(bounds[i])), i)):
-                block, ids, comps, q_ids, queries = pairs[at]
+            pairs = list(pdf.itertuples(index=False))
+            # one pair is unpacked at a time, here for its bounds and below for the search
+            bounds = [_bounds(b) for b in pairs]
+            hopes = [float(np.mean(x)) for x in bounds]
+            of_block: dict[int, float] = {}
+            for b, hope in zip(pairs, hopes, strict=True):
+                of_block[b.block] = max(of_block.get(b.block, -np.inf), hope)
+            # pairs of a block follow each other, so its lists are sorted once
+            for at in sorted(range(len(pairs)), key=lambda i: (-of_block[pairs[i].block], pairs[i].block, -hopes[i], i)):
+                q_ids = np.frombuffer(pairs[at].q_ids, np.int64)
                 wanted = [i for i, query_id in enumerate(q_ids.tolist()) if bounds[at][i] >= kth.get(query_id, -np.inf)]
-                if wanted and last[0] != (block, comps.shape[1]):
+                if not wanted:
+                    continue
+                block, ids, comps, q_ids, queries = _matrices(pairs[at])
+                if last[0] != (block, comps.shape[1]):
                     last = ((block, comps.shape[1]), np.argsort(comps, axis=0, kind="stable").T)
                 found: list[tuple[int, int, int]] = []
                 for i in wanted:
