@@ -148,18 +148,35 @@ def network_indicators(candidates: DataFrame, units: DataFrame, fraction: str =
     at = lambda o: F.max(F.when((F.col("dc") == o[0]) & (F.col("dr") == o[1]), value)).alias(_name(o))
     six = [o for pair in AXES.values() for o in pair]
     wide = near.groupBy("hex_id").agg(*[at(o) for o in six], F.count_if(F.col(f"n_{fraction}").isNull()).alias("adjacent_cells_missing"))
+    return _network_fields(wide, ["hex_id"])
+
+
+def _network_fields(wide: DataFrame, keep: list[str]) -> DataFrame:
+    """Network fields from the values of the six neighbours, in columns named by ``_name``."""
+    six = [o for pair in AXES.values() for o in pair]
     wide = wide.withColumns({f"axis_{k}": F.least(F.col(_name(p)), F.col(_name(q))) for k, (p, q) in AXES.items()})
     axes = [F.col(f"axis_{k}") for k in AXES]
     total = sum((F.col(_name(o)) for o in six[1:]), F.col(_name(six[0])))
     wide = wide.withColumns({"total": total, "bridge_strength_max": F.greatest(*axes), "axis_sum": axes[0] + axes[1] + axes[2]})
     tied = [(F.col("bridge_strength_max") - a <= 1e-12) for a in axes]
     return wide.select(
-        "hex_id", *[F.col(f"axis_{k}").alias(f"bridge_axis_{k}_strength") for k in AXES], "bridge_strength_max", (F.col("axis_sum") / 3.0).alias("bridge_strength_mean"), (F.col("total") / 6.0).alias("neighbor_habitat_mean"),
+        *keep, *[F.col(f"axis_{k}").alias(f"bridge_axis_{k}_strength") for k in AXES], "bridge_strength_max", (F.col("axis_sum") / 3.0).alias("bridge_strength_mean"), (F.col("total") / 6.0).alias("neighbor_habitat_mean"),
         F.coalesce(F.try_divide(2.0 * F.col("axis_sum"), F.col("total")), F.lit(0.0)).alias("opposing_balance_ratio"), F.coalesce(F.try_divide(2.0 * F.col("bridge_strength_max"), F.col("total")), F.lit(0.0)).alias("dominant_opposing_pair_share"),
         F.when(tied[0], "axis_a").when(tied[1], "axis_b").otherwise("axis_c").alias("strongest_axis"), sum((t.cast("int") for t in tied[1:]), tied[0].cast("int")).alias("strongest_axis_tie_count"), "adjacent_cells_missing",
     )
 
 
+def packed_network(counts: DataFrame, keep: Column) -> DataFrame:
+    """Fields of ``network_indicators`` and the habitat shares around it, by place, for the cells that meet ``keep``: one pass of ``stencil``."""
+    full = counts.withColumn("habitat", _ratio("habitat_context_pixels", "terrestrial_pixels"))
+    near = stencil(full, keep, ["habitat_context_pixels", "terrestrial_pixels"], ["habitat"])
+    at = [_name(o) for pair in AXES.values() for o in pair]
+    gaps = [F.col(f"habitat_{n}").isNull().cast("long") for n in at]
+    wide = near.withColumn("adjacent_cells_missing", sum(gaps[1:], gaps[0])).withColumns({n: F.coalesce(f"habitat_{n}", F.lit(0.0)) for n in at})
+    wide = wide.withColumns({f"habitat_{w}_fraction": _ratio(f"{w}_habitat_context_pixels", f"{w}_terrestrial_pixels") for w in ("adjacent", "local")})
+    return _network_fields(wide, ["grid_col", "grid_row", "habitat_adjacent_fraction", "habitat_local_fraction"])
+
+
 def _name(offset: tuple[int, int]) -> str:
     return f"n{offset[0]}_{offset[1]}".replace("-", "m")
 

@@ -18,13 +18,16 @@ def percentiles(df: DataFrame, keys: list[str], value: str, points: dict[str, fl
     Equal values are counted and their ranks made as in ``ranks``, so no task holds the
     values of a group.
     """
-    points = points or POINTS
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_ties"))
-    placed = ranks.cumulative(counts, keys, "_v")
+    return at_points(ranks.cumulative(counts, keys, "_v"), keys, "_v", points or POINTS)
+
+
+def at_points(placed: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
+    """The percentiles of ``percentiles`` from equal values with their places, as ``ranks.cumulative`` gives them."""
     upto = F.col("_below") + F.col("_ties")
 
     def at(place: Column) -> Column:
-        return F.max(F.when((F.col("_below") <= place) & (place < upto), F.col("_v")))
+        return F.max(F.when((F.col("_below") <= place) & (place < upto), F.col(value)))
 
     wanted = {name: F.lit(p) * (F.col("n") - 1) for name, p in points.items()}
     found = placed.groupBy(*keys).agg(F.max("n").alias("n"), *[at(g(w)).alias(f"{name}_{side}") for name, w in wanted.items() for side, g in (("low", F.floor), ("high", F.ceil))])
