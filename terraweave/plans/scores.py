@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraweave.operators import cells, checks, delivery, ranks, scoring, stats
+from terraweave.operators import cells, checks, delivery, ranks, scoring, skyband, stats
 from terraweave.operators.scoring import FIELDS, PRESETS, SCHEMES
 from terraweave.plans import cells as c
 from terraweave.sources import projection as p
 
 VECTORS = {"first_only": (100.0, 0.0, 0.0, 0.0, 0.0), "mixed": (10.0, 20.0, 30.0, 40.0, 0.0), "none": (0.0, 0.0, 0.0, 0.0, 0.0)}
+#: Thirty-two weightings: every choice of components that count at all.
+MANY = {f"w{i}": tuple(float((i * k) % 101) if i >> j & 1 else 0.0 for j, k in enumerate((37, 53, 11, 71, 29))) for i in range(32)}
 
 
 def _presets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +154,12 @@ def s7_custom_weight_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.custom_rank(p.part_scores(spark, sf_dir), VECTORS, 5).withColumn("score", F.round("score", 9))
 
 
+def s7_skyband_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best ten for many weightings, from an index that is made once for all of them."""
+    index = skyband.skyband(p.part_scores(spark, sf_dir), 10)
+    return scoring.custom_rank(index, MANY, 10).withColumn("score", F.round("score", 9))
+
+
 def s7_tail_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _presets(spark, sf_dir).select("hex_id", *[F.round(c, 9).alias(c) for c in PRESETS])
     a, b = ranks.top_fraction(df, "balanced", 0.1).select("hex_id"), ranks.top_fraction(df, "riparian_restoration", 0.1).select("hex_id")
@@ -237,13 +245,13 @@ def _corr(fields: list[str], source: str, method: str) -> str:
     return " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, '{method}' AS method, round(corr({a}, {b}), 6) AS value FROM {source}" for i, a in enumerate(fields) for b in fields[i + 1 :])
 
 
-def _custom() -> str:
+def _custom(vectors: dict[str, tuple[float, ...]] = VECTORS, n: int = 5) -> str:
     parts = []
-    for name, raw in VECTORS.items():
+    for name, raw in vectors.items():
         total = sum(raw)
         w = [x / total for x in raw] if total else [0.2] * 5
         parts.append(f"SELECT '{name}' AS vector, hex_id, " + " + ".join(f"{f} * {_D(x)}" for f, x in zip(FIELDS, w, strict=True)) + " AS score FROM scores")
-    return W + " SELECT vector, CAST(rank AS INTEGER) AS rank, hex_id, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY vector ORDER BY score DESC, hex_id) AS rank FROM (" + " UNION ALL ".join(parts) + ")) WHERE rank <= 5"
+    return W + " SELECT vector, CAST(rank AS INTEGER) AS rank, hex_id, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY vector ORDER BY score DESC, hex_id) AS rank FROM (" + " UNION ALL ".join(parts) + f")) WHERE rank <= {n}"
 
 
 def _top(v: str, source: str = "pre") -> str:
@@ -292,6 +300,7 @@ ORACLES = {
     "s7_top_fraction": W + " SELECT hex_id, raw FROM scores JOIN " + _top("raw", "scores") + " USING (hex_id)",
     "s7_shortlists": _PRE + " SELECT preset, hex_id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY preset ORDER BY score DESC, hex_id) AS rank FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS preset, hex_id, {n} AS score FROM pre" for n in PRESETS) + ")) WHERE rank <= 50",
     "s7_custom_weight_rank": _custom(),
+    "s7_skyband_rank": _custom(MANY, 10),
     "s7_tail_overlap": _PRE + f" SELECT count(*) AS tail, count(b.hex_id) AS shared FROM {_top('balanced')} a LEFT JOIN {_top('riparian_restoration')} b USING (hex_id)",
     "s7_consistent": _PRE + " " + " INTERSECT ".join(f"SELECT hex_id FROM {_top(n)}" for n in PRESETS),
     "s7_churn": _PRE + ", a AS (SELECT hex_id FROM pre ORDER BY riparian_restoration DESC, hex_id LIMIT 100), b AS (SELECT hex_id FROM pre ORDER BY balanced DESC, hex_id LIMIT 100) SELECT hex_id, 'entered' AS change FROM a ANTI JOIN b USING (hex_id) UNION ALL SELECT hex_id, 'left' FROM b ANTI JOIN a USING (hex_id)",
