@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terraweave.llm import katz_lm
+from terraweave.llm import katz_lm, katz_tables
 
 SCHEMA = "doc_id long, text string, score string, block long"
 EDGE = [None, "", " \n\t", "word", "A b C d", "x " * 3000, "é ü ñ"]
@@ -98,3 +98,31 @@ def test_array_packing_round_trip():
     a, b = np.array([3, 9, 9, 2**40], np.int64), np.array([5, 1, 2], np.int32)
     x, y, z = katz_lm.unpack_arrays(katz_lm.pack_arrays(a, b, np.empty(0, np.int64)))
     assert (x == a).all() and (y == b).all() and len(z) == 0
+
+
+@pytest.mark.parametrize("order, hot", [(3, 20_000), (3, 5), (2, 50), (1, 20_000)])
+def test_stored_tables_score_another_table(spark, tmp_path, monkeypatch, order, hot):
+    """Rows that were never in the training table, with frequent keys broadcast or not."""
+    monkeypatch.setattr(katz_tables, "HOT_KEYS", hot)
+    texts = corpus()
+    known, others = texts[:40], [*texts[30:60], *EDGE, "w1 never-seen w2", "w1 never-seen w2"]
+    plain = Plain(known, order)
+    katz_tables.fit(docs(spark, known), f"{tmp_path}/model", order=order, parts=4)
+    got = {r.doc_id: r for r in katz_tables.score(docs(spark, others), f"{tmp_path}/model").collect()}
+    assert len(got) == len(others)
+    for i, t in enumerate(others):
+        words = [*(t or "").lower().split(), "</s>"]
+        assert got[i].score == pytest.approx(plain.score(t), rel=1e-9)
+        assert (got[i].n_tokens, got[i].n_known) == (len(words), sum((w,) in plain.c[1] for w in words))
+
+
+def test_stored_tables_edges(spark, tmp_path):
+    rows = docs(spark, ["a b", "a b", None], [1, 1, None])
+    katz_tables.fit(rows, f"{tmp_path}/model", parts=2)
+    got = katz_tables.score(rows, f"{tmp_path}/model").collect()
+    assert len(got) == 3 and len({r.score for r in got if r.doc_id == 1}) == 1
+    stored = spark.read.parquet(f"{tmp_path}/model/ngrams")
+    assert stored.groupBy("order", "context").agg(F.countDistinct("part").alias("parts")).where("parts > 1").count() == 0
+    assert katz_tables.score(rows.limit(0), f"{tmp_path}/model").count() == 0
+    katz_tables.fit(rows.limit(0), f"{tmp_path}/none", parts=2)
+    assert {r.score for r in katz_tables.score(rows, f"{tmp_path}/none").collect()} == {0.0}
