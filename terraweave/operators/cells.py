@@ -24,7 +24,8 @@ def composition(pixels: DataFrame, footprint: DataFrame | None = None) -> DataFr
     """Ten counts a cell over valid pixels (grid_col, grid_row, code): one partial and one final aggregate.
 
     No join with the class table: roles become constant code sets inside the aggregate.
-    footprint: whole runs (px_row, left, right); with them protected_pixels, the terrestrial ones inside, come from the same pass.
+    footprint: whole runs (px_row, left, right); with them protected_pixels, the terrestrial ones inside, come from the same pass,
+    as they do from pixels with a column ``protected``.
     """
     roles = {
         "terrestrial_pixels": "terrestrial_land", "candidate_pixels": "primary_candidate", "habitat_context_pixels": "habitat_context_proxy",
@@ -34,7 +35,8 @@ def composition(pixels: DataFrame, footprint: DataFrame | None = None) -> DataFr
     counts += [F.count_if(F.col("code") == 54).alias("peat_pixels"), F.count_if(F.col("code") == 62).alias("sea_pixels")]
     if footprint is not None:
         pixels = _marked(pixels, footprint)
-        counts.append(F.count_if(has_role("terrestrial_land") & F.col("_row").isNotNull()).alias("protected_pixels"))
+    if "protected" in pixels.columns:
+        counts.append(F.count_if(has_role("terrestrial_land") & F.col("protected")).alias("protected_pixels"))
     return pixels.groupBy("grid_col", "grid_row").agg(*counts)
 
 
@@ -74,16 +76,25 @@ def hydrology(counts: DataFrame) -> DataFrame:
 
 
 def _marked(pixels: DataFrame, footprint: DataFrame) -> DataFrame:
-    """``pixels`` with _row, which is null outside the runs of the footprint."""
+    """``pixels`` with protected: whether a run of the footprint holds them."""
     mask = footprint.select(F.col("px_row").alias("_row"), F.col("left").alias("_left"), F.col("right").alias("_right"))
-    return pixels.join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("_left"), F.col("_right")), "left")
+    return pixels.join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("_left"), F.col("_right")), "left").withColumn("protected", F.col("_row").isNotNull())
 
 
-def protection(pixels: DataFrame, runs: DataFrame) -> DataFrame:
+def protection(pixels: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Terrestrial and protected terrestrial pixels a cell; runs: merged runs of the footprint (px_row, left, right).
 
-    A pixel meets at most one merged run, by an equality on the row and a range test.
+    A pixel meets at most one merged run, by an equality on the row and a range test. Without runs the pixels have a column ``protected``.
     """
-    return _marked(pixels.where(has_role("terrestrial_land")), runs).groupBy("grid_col", "grid_row").agg(F.count("*").alias("terrestrial_pixels"), F.count("_row").alias("protected_pixels")).withColumn(
-        "protected_fraction", F.try_divide(F.col("protected_pixels") * F.lit(1.0), F.col("terrestrial_pixels"))
-    )
+    land = pixels.where(has_role("terrestrial_land"))
+    marked = land if runs is None else _marked(land, runs)
+    return with_protected_fraction(marked.groupBy("grid_col", "grid_row").agg(F.count("*").alias("terrestrial_pixels"), F.count_if("protected").alias("protected_pixels")))
+
+
+def with_protected_fraction(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("protected_fraction", F.try_divide(F.col("protected_pixels") * F.lit(1.0), F.col("terrestrial_pixels")))
+
+
+def protected_of(counts: DataFrame) -> DataFrame:
+    """The table of ``protection`` from cell counts that hold protected_pixels."""
+    return with_protected_fraction(counts.where("terrestrial_pixels > 0").select("grid_col", "grid_row", "terrestrial_pixels", "protected_pixels"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +57,34 @@ def clip_to_spans(pixels: DataFrame, runs: DataFrame) -> DataFrame:
     return pixels.join(mask, (F.col("px_row") == F.col("_row")) & F.col("px_col").between(F.col("left"), F.col("right")), "left_semi")
 
 
+def clip_to_ring(pixels: DataFrame, corners: list[tuple[float, float]], step: float = 10.0) -> DataFrame:
+    """Pixels inside one ring of few corners, by the rules of ``spans`` and without a join.
+
+    The sides are constants of the query: a pixel is inside if an odd number of those that
+    cross its row have their first pixel at or before its column.
+    """
+    half, crossed = step / 2, F.lit(0)
+    y = F.col("px_row") * F.lit(step) + F.lit(half)
+    for (x1, y1), (x2, y2) in zip(corners, [*corners[1:], corners[0]], strict=True):
+        first, last = math.ceil((min(y1, y2) - half) / step), math.ceil((max(y1, y2) - half) / step) - 1
+        if first <= last:
+            x = F.lit(x1) + (y - F.lit(y1)) * F.lit(x2 - x1) / F.lit(y2 - y1)
+            crossed = crossed + (F.col("px_row").between(first, last) & (F.ceil((x - half) / step) <= F.col("px_col"))).cast("int")
+    return pixels.where(crossed % 2 == 1)
+
+
+def block_masks(runs: DataFrame, size: int = 5) -> DataFrame:
+    """(bx, by, mask): runs as bits of square blocks of ``size`` pixels (at most 5): pixel (i, j) of a block is bit j * size + i.
+
+    One row for every run and block; ``bit_or`` unites them.
+    """
+    index = lambda c: F.floor(F.col(c) / size)
+    parts = runs.where("px_row is not null and left <= right").withColumn("bx", F.explode(F.sequence(index("left"), index("right")))).withColumn("by", index("px_row"))
+    return parts.selectExpr(
+        "bx", "by", f"shiftleft(shiftleft(1, CAST(least(right - bx * {size}, {size - 1}) + 1 AS INT)) - shiftleft(1, CAST(greatest(left - bx * {size}, 0) AS INT)), CAST((px_row - by * {size}) * {size} AS INT)) AS mask"
+    )
+
+
 def buffered(edges: DataFrame, distance: float, step: float = 10.0) -> DataFrame:
     """(px_row, left, right): runs of pixels whose centres lie inside the rings or at most ``distance`` from a side.
 

@@ -56,8 +56,8 @@ def s2_record_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s2_protected_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    land = p.pixels(spark, sf_dir).where(cells.has_role("terrestrial_land"))
-    return raster.clip_to_spans(land, p.footprint_runs(spark, sf_dir)).groupBy("code").agg(F.count("*").alias("pixels"))
+    land = p.marked_pixels(spark, sf_dir).where(cells.has_role("terrestrial_land"))
+    return land.where("protected").groupBy("code").agg(F.count("*").alias("pixels"))
 
 
 def s2_delivery_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,8 @@ def s3_water_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s3_nearest_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.nearest_steps(cells.eligible(p.units(spark, sf_dir)), p.protected_cells(spark, sf_dir).where("protected_pixels > 0"))
+    counts = p.full_counts(spark, sf_dir)
+    return neighbours.nearest_steps(cells.eligible(cells.analysis_units(counts)), counts.where("protected_pixels > 0"))
 
 
 def s3_neighbour_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +112,7 @@ def s5_pixel_to_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s5_pixel_to_protection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir))
+    return cells.protection(p.marked_pixels(spark, sf_dir))
 
 
 def s5_habitat_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:

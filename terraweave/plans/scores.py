@@ -52,7 +52,7 @@ def s4_one_to_one_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s4_reconcile_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land pixels of every cell, as the composition and as the protection table count them."""
-    grid = cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir))
+    grid = cells.protection(p.marked_pixels(spark, sf_dir))
     return checks.reconcile_positions(p.counts(spark, sf_dir), grid, "terrestrial_pixels")
 
 

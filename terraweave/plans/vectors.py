@@ -16,8 +16,9 @@ from terraweave.sources.storage import materialise, new_path
 
 
 def _related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    cand = materialise(cells.eligible(p.units(spark, sf_dir)), "candidates")
-    land = p.protected_cells(spark, sf_dir)
+    counts = p.full_counts(spark, sf_dir)
+    cand = materialise(cells.eligible(cells.analysis_units(counts)), "candidates")
+    land = cells.protected_of(counts)
     steps = neighbours.nearest_steps(cand, land.where("protected_pixels > 0"))
     return footprints.relations(cand, p.footprint_edges(spark, sf_dir), p.footprint_runs(spark, sf_dir), land, steps), cand
 
