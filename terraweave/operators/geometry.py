@@ -2,12 +2,13 @@
 
 Edges are (key, x1, y1, x2, y2) of closed rings, holes included; a point is an edge of no
 length. Null coordinates are dropped. Joins are equalities on tiles, so a task holds what
-lies near one tile.
+lies near one tile. Both sides are shuffled (``_apart``): Spark's size of a table doesn't count the tiles its
+rows are spread out to, and would send millions of them through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraweave.sources.storage import materialise
@@ -35,6 +36,10 @@ def segment_distance(a: list[Column], b: list[Column]) -> Column:
     return F.when(crossing, 0.0).otherwise(ends)
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    return df.hint("merge")
+
+
 def _tiled(edges: DataFrame, tile: float, pad: float = 0.0) -> DataFrame:
     """``edges`` once for every tile (tx, ty) that comes within ``pad`` of them.
 
@@ -60,12 +65,11 @@ def contains(points: DataFrame, edges: DataFrame, point_key: str, key: str, tile
     leftmost tile to their own, so that a point meets all edges its ray can cross, once.
     """
     index = lambda v: F.floor(v / F.lit(tile))
-    rows = edges.where(" and ".join(f"{c} is not null" for c in ENDS) + " and y1 <> y2")
-    first = rows.groupBy(key).agg(F.min(index(F.least("x1", "x2"))).alias("_left"))
-    rows = rows.join(first, key).withColumn("tx", F.explode(F.sequence(F.col("_left"), index(F.greatest("x1", "x2")))))
+    rows = edges.where(" and ".join(f"{c} is not null" for c in ENDS) + f" and y1 <> y2 and {key} is not null")
+    rows = rows.withColumn("_left", F.min(index(F.least("x1", "x2"))).over(Window.partitionBy(key))).withColumn("tx", F.explode(F.sequence(F.col("_left"), index(F.greatest("x1", "x2")))))
     rows = rows.withColumn("ty", F.explode(F.sequence(index(F.least("y1", "y2")), index(F.greatest("y1", "y2")))))
     placed = points.where("x is not null and y is not null").select(point_key, F.col("x").alias("_x"), F.col("y").alias("_y"), index(F.col("x")).alias("tx"), index(F.col("y")).alias("ty"))
-    met = placed.join(rows.select(key, *ENDS, "tx", "ty"), ["tx", "ty"])
+    met = placed.join(_apart(rows.select(key, *ENDS, "tx", "ty")), ["tx", "ty"])
     spans = (F.col("_y") >= F.least("y1", "y2")) & (F.col("_y") < F.greatest("y1", "y2"))
     ahead = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")) > F.col("_x")
     crossings = met.where(spans & ahead).groupBy(point_key, key, "_x", "_y").agg(F.count("*").alias("_n"))
@@ -86,7 +90,7 @@ def distances(shapes: DataFrame, others: DataFrame, limit: float, key: str = "he
     a = _tiled(shapes.select(key, *ENDS), limit)
     b = _tiled(others.select(*[F.col(c).alias(f"_{c}") for c in ENDS], *ENDS), limit, limit).drop(*ENDS)
     gap = segment_distance([F.col(c) for c in ENDS], [F.col(f"_{c}") for c in ENDS])
-    near = a.join(b, ["tx", "ty"]).select(key, gap.alias("distance")).where(F.col("distance") <= limit)
+    near = a.join(_apart(b), ["tx", "ty"]).select(key, gap.alias("distance")).where(F.col("distance") <= limit)
     inside = contains(_corners(shapes, key), others, key, other_key, limit).select(key, F.lit(0.0).alias("distance"))
     holding = contains(_corners(others, other_key), shapes, other_key, key, limit).select(key, F.lit(0.0).alias("distance"))
     return near.unionByName(inside).unionByName(holding).groupBy(key).agg(F.min("distance").alias("distance"))
@@ -102,8 +106,8 @@ def near_boundary(points: DataFrame, edges: DataFrame, limit: float = 1000.0, ke
     line = _tiled(edges.select(*ENDS), limit, limit)
     placed = points.select(key, "x", "y", F.floor(F.col("x") / limit).alias("tx"), F.floor(F.col("y") / limit).alias("ty"))
     gap = point_to_segment(F.col("x"), F.col("y"), *[F.col(c) for c in ENDS])
-    hit = placed.join(line, ["tx", "ty"]).where(gap <= limit).select(key).distinct()
-    return points.select(key).join(hit.withColumn("_hit", F.lit(True)), key, "left").select(key, F.coalesce("_hit", F.lit(False)).alias("boundary_edge_flag"))
+    hit = placed.join(_apart(line), ["tx", "ty"]).where(gap <= limit).select(key).distinct()
+    return points.select(key).join(_apart(hit.withColumn("_hit", F.lit(True))), key, "left").select(key, F.coalesce("_hit", F.lit(False)).alias("boundary_edge_flag"))
 
 
 def nearest(shapes: DataFrame, others: DataFrame, start: float = 2000.0, most: float = 1e7, key: str = "hex_id") -> DataFrame:
@@ -116,7 +120,7 @@ def nearest(shapes: DataFrame, others: DataFrame, start: float = 2000.0, most: f
     while True:
         found = materialise(distances(left, others, radius, key), "distances")
         done = found if done is None else done.unionByName(found)
-        left = materialise(left.join(found.select(key), key, "left_anti"), "open")
+        left = materialise(left.join(_apart(found.select(key)), key, "left_anti"), "open")
         radius *= 4
         if radius > most or left.isEmpty():
-            return shapes.select(key).distinct().join(done, key, "left")
+            return shapes.select(key).distinct().join(_apart(done), key, "left")

@@ -1,10 +1,14 @@
 """Pixels marked by masks of blocks: the same as by joins with runs, and no pixel is shuffled."""
 
+import itertools
 import os
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from terraweave.operators import raster, runs
+from terraweave.functions import hexgrid
+from terraweave.operators import geometry, neighbours, raster, runs
 from terraweave.plans import cells as c
 from terraweave.sources import projection as p
 
@@ -18,7 +22,7 @@ def ring(key, corners):
 
 def test_clip_to_ring_equals_spans(spark):
     corners = [(3.0, -52.0), (118.0, 5.0), (61.0, 40.0), (120.0, 95.5), (5.0, 95.5), (45.0, 20.0)]  # not convex
-    grid = spark.range(-12, 14).crossJoin(spark.range(-12, 14).withColumnRenamed("id", "r")).selectExpr("cast(id as int) px_col", "cast(r as int) px_row")
+    grid = spark.createDataFrame([(x, y) for x in range(-12, 14) for y in range(-12, 14)], "px_col int, px_row int")
     want = raster.clip_to_spans(grid, raster.spans(spark.createDataFrame(ring(1, corners), EDGES)))
     got = raster.clip_to_ring(grid.unionByName(spark.createDataFrame([(None, 1)], "px_col int, px_row int")), corners)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 40
@@ -42,3 +46,23 @@ def test_marked_pixels_meet_no_join(spark):
     assert sorted(marked.where("protected").select("px_col", "px_row").collect()) == sorted(want) and want
     for plan in (marked, c.s2_protected_predicate(spark, DATA), c.s5_pixel_to_protection(spark, DATA)):
         assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shares_without_joins(spark):
+    """Before, candidates met their neighbours in joins that Spark broadcast from the driver, 18 rows a candidate."""
+    rng = np.random.default_rng(5)
+    rows = [(int(x), int(y), *map(int, rng.integers(0, 9, 3))) for x, y in itertools.product(range(-70, 70, 3), range(-6, 6)) if rng.random() < 0.8]
+    grid = spark.createDataFrame(rows, "grid_col int, grid_row int, part long, whole long, kept long").withColumn("hex_id", hexgrid.hex_id(F.col("grid_col"), F.col("grid_row")))
+    got = neighbours.packed_shares(grid, F.col("kept") > 4, {"x": ("part", "whole")}, ["kept"])
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    cand = grid.where("kept > 4")
+    want = neighbours.share_indicators(cand, grid, "part", "whole", "x").join(cand.select("hex_id", "kept"), "hex_id")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and want.count() > 100
+
+
+def test_geometry_broadcasts_nothing_that_grows(spark):
+    """Before, tiles' rows that Spark took for a small table went through the driver."""
+    boxes = spark.createDataFrame([r for k in range(40) for r in ring(k, [(float(k), 0.0), (k + 4.0, 0.0), (k + 4.0, 6.0), (float(k), 6.0)])], EDGES)
+    found = geometry.within(boxes, spark.createDataFrame(ring(1, [(0.0, -3.0), (9.0, -3.0), (9.0, -1.0), (0.0, -1.0)]), EDGES), 2.0)
+    assert sorted(r.feature_id for r in found.collect()) == list(range(11))
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
