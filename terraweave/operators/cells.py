@@ -67,11 +67,11 @@ def eligibility_diagnostics(units: DataFrame, min_area_m2: float = 50_000.0, min
     return units.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("cells"), F.sum("candidate_area_m2").alias("candidate_area_m2"))
 
 
-def hydrology(counts: DataFrame) -> DataFrame:
-    """Seven counts on every valid position, cells of water alone included."""
+def hydrology(counts: DataFrame, *more: Column) -> DataFrame:
+    """Seven counts on every valid position, cells of water alone included; more: further columns from the counts."""
     wet, water = F.col("wetland_context_pixels"), F.col("inland_water_pixels")
     return counts.select(
-        "grid_col", "grid_row", "valid_pixels", "terrestrial_pixels", wet.alias("wetland_pixels"), water.alias("water_pixels"), (wet + water).alias("hydrologic_pixels"), (F.col("terrestrial_pixels") + water).alias("nonmarine_pixels"), "sea_pixels"
+        "grid_col", "grid_row", "valid_pixels", "terrestrial_pixels", wet.alias("wetland_pixels"), water.alias("water_pixels"), (wet + water).alias("hydrologic_pixels"), (F.col("terrestrial_pixels") + water).alias("nonmarine_pixels"), "sea_pixels", *more
     )
 
 

@@ -70,7 +70,7 @@ def riparian_indicators(candidates: DataFrame, hydrology: DataFrame) -> DataFram
     return near.join(focal, "hex_id").withColumn("riparian_near_fraction", F.greatest("riparian_focal_fraction", "riparian_adjacent_fraction"))
 
 
-def _stencil(tile: int, radius: int, sums: list[str], values: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _stencil(tile: int, radius: int, sums: list[str], values: list[str], carry: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         width = tile + 2 * radius
         tc, tr = int(pdf["tc"].iloc[0]), int(pdf["tr"].iloc[0])
@@ -93,30 +93,51 @@ def _stencil(tile: int, radius: int, sums: list[str], values: list[str]) -> Call
             plane[at] = pdf[name].astype(float).to_numpy()
             for c, r in hexgrid.ring(1):
                 out[f"{name}_{_name((c, r))}"] = plane[mine[0] + r, mine[1] + c]
-        return pd.DataFrame(out)
+        return pd.DataFrame(out | {name: pdf[name].to_numpy()[own] for name in carry})
 
     return run
 
 
-def stencil(grid: DataFrame, keep: Column, sums: list[str], values: list[str] | None = None, radius: int = 2, tile: int = 64) -> DataFrame:
+def stencil(grid: DataFrame, keep: Column, sums: list[str], values: list[str] | None = None, radius: int = 2, tile: int = 64, carry: list[str] | None = None) -> DataFrame:
     """One row for every cell of ``grid`` that meets ``keep``: what its neighbours hold, for all columns at once.
 
     adjacent_<c>, local_<c>: sums of the whole numbers ``c`` over ring 1 and over all rings
     up to ``radius``; adjacent_cells, local_cells: neighbours that are in the grid; <v>_<offset>: a
-    value of each of the six neighbours, null where it or the neighbour is missing. Cells are packed in
+    value of each of the six neighbours, null where it or the neighbour is missing; ``carry``: numbers of the cell itself that
+    come along, so that nothing need be joined to it again. Cells are packed in
     square tiles with a halo of ``radius`` cells, in one shuffle that each cell passes once, or a few times near
     a border; neighbours are then looked up in a tile's arrays, whose size is fixed.
     Cells without a place are dropped; places should be unique. An empty grid gives no rows.
     """
-    values = values or []
+    values, carry = values or [], carry or []
     tiles = lambda c: F.sequence(F.floor((F.col(c) - radius) / tile).cast("int"), F.floor((F.col(c) + radius) / tile).cast("int"))
-    slim = grid.where("grid_col is not null and grid_row is not null").select("grid_col", "grid_row", *dict.fromkeys([*sums, *values]), F.coalesce(keep, F.lit(False)).alias("own"))
+    slim = grid.where("grid_col is not null and grid_row is not null").select("grid_col", "grid_row", *dict.fromkeys([*sums, *values, *carry]), F.coalesce(keep, F.lit(False)).alias("own"))
     dealt = slim.withColumn("tc", F.explode(tiles("grid_col"))).withColumn("tr", F.explode(tiles("grid_row")))
     home = (F.floor(F.col("grid_col") / tile) == F.col("tc")) & (F.floor(F.col("grid_row") / tile) == F.col("tr"))
     names = [f"{where}_{c} long" for c in ["cells", *sums] for where in ("adjacent", "local")] + [f"{v}_{_name(o)} double" for v in values for o in hexgrid.ring(1)]
-    found = dealt.withColumn("own", F.col("own") & home).groupBy("tc", "tr").applyInPandas(_stencil(tile, radius, sums, values), "grid_col int, grid_row int, " + ", ".join(names))
+    kept = [f"{c} {grid.schema[c].dataType.simpleString()}" for c in carry]
+    found = dealt.withColumn("own", F.col("own") & home).groupBy("tc", "tr").applyInPandas(_stencil(tile, radius, sums, values, carry), "grid_col int, grid_row int, " + ", ".join([*names, *kept]))
     known = [F.when(~F.isnan(f"{v}_{_name(o)}"), F.col(f"{v}_{_name(o)}")).alias(f"{v}_{_name(o)}") for v in values for o in hexgrid.ring(1)]
-    return found.select("grid_col", "grid_row", *[n.split()[0] for n in names if n.endswith("long")], *known)
+    return found.select("grid_col", "grid_row", *[n.split()[0] for n in names if n.endswith("long")], *known, *carry)
+
+
+def packed_shares(grid: DataFrame, keep: Column, shares: dict[str, tuple[str, str]], carry: list[str] | None = None) -> DataFrame:
+    """hex_id, the fields of ``share_indicators`` for every (part, whole) by prefix, and the cell's own ``carry``, for the cells of ``grid`` that meet ``keep``.
+
+    One pass of ``stencil`` and no join: neither the driver nor a task holds more than a tile.
+    """
+    near = stencil(grid, keep, sorted({c for pair in shares.values() for c in pair}), carry=carry)
+    out = [hexgrid.hex_id(F.col("grid_col"), F.col("grid_row")).alias("hex_id")]
+    for prefix, (part, whole) in shares.items():
+        out += [F.col(f"{w}_cells").alias(f"{prefix}_{w}_cells") for w in ("adjacent", "local")] + [_ratio(f"{w}_{part}", f"{w}_{whole}").alias(f"{prefix}_{w}_fraction") for w in ("adjacent", "local")]
+    return near.select(*out, *(carry or []))
+
+
+def packed_riparian(hydrology: DataFrame, keep: Column) -> DataFrame:
+    """``riparian_indicators`` for the cells of ``hydrology`` that meet ``keep``, from one pass of ``stencil``."""
+    pair = ("hydrologic_pixels", "nonmarine_pixels")
+    near = packed_shares(hydrology, keep, {"riparian": pair}, list(pair)).withColumn("riparian_focal_fraction", _ratio(*pair)).drop(*pair)
+    return near.withColumn("riparian_near_fraction", F.greatest("riparian_focal_fraction", "riparian_adjacent_fraction"))
 
 
 def packed_indicators(counts: DataFrame, keep: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraweave.operators import cells, delivery, neighbours, ranks, raster, runs, semantics, stats
@@ -116,33 +116,34 @@ def s5_pixel_to_protection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s5_habitat_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = p.units(spark, sf_dir)
-    return neighbours.share_indicators(cells.eligible(units), units, "habitat_context_pixels", "terrestrial_pixels", "habitat")
+    return neighbours.packed_shares(p.units(spark, sf_dir), cells.is_eligible(), {"habitat": ("habitat_context_pixels", "terrestrial_pixels")})
 
 
 def s5_land_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = p.units(spark, sf_dir)
-    cand = cells.eligible(units)
-    near = neighbours.share_indicators(cand, units, "artificial_pixels", "terrestrial_pixels", "artificial")
-    own = cand.select("hex_id", (F.col("candidate_area_m2") / 10000.0).alias("candidate_land_area_ha"), F.try_divide(F.col("artificial_pixels") * F.lit(1.0), F.col("terrestrial_pixels")).alias("artificial_focal_fraction"))
-    return own.join(near, "hex_id")
+    pair, carry = ("artificial_pixels", "terrestrial_pixels"), ["candidate_area_m2", "artificial_pixels", "terrestrial_pixels"]
+    near = neighbours.packed_shares(p.units(spark, sf_dir), cells.is_eligible(), {"artificial": pair}, carry)
+    own = {"candidate_land_area_ha": F.col("candidate_area_m2") / 10000.0, "artificial_focal_fraction": F.try_divide(F.col("artificial_pixels") * F.lit(1.0), F.col("terrestrial_pixels"))}
+    return near.withColumns(own).select("hex_id", *own, *[x for x in near.columns if x not in ("hex_id", *carry)])
+
+
+def _hydrology(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Hydrology of all cells, and the condition for candidates."""
+    return cells.hydrology(p.counts(spark, sf_dir), cells.is_eligible().alias("eligible")), F.col("eligible")
 
 
 def s5_riparian_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = p.counts(spark, sf_dir)
-    return neighbours.riparian_indicators(cells.eligible(cells.analysis_units(counts)), cells.hydrology(counts))
+    return neighbours.packed_riparian(*_hydrology(spark, sf_dir))
 
 
 def s5_protected_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = materialise(cells.protection(p.pixels(spark, sf_dir), p.footprint_runs(spark, sf_dir)), "protection")
-    cand = cells.eligible(p.units(spark, sf_dir))
-    near = neighbours.share_indicators(cand, grid, "protected_pixels", "terrestrial_pixels", "protected")
-    return near.join(neighbours.focal_share(cand, grid, "protected_pixels", "terrestrial_pixels", "protected_focal_fraction"), "hex_id")
+    pair = ("protected_pixels", "terrestrial_pixels")
+    near = neighbours.packed_shares(p.full_counts(spark, sf_dir).where("terrestrial_pixels > 0"), cells.is_eligible(), {"protected": pair}, list(pair))
+    return near.withColumn("protected_focal_fraction", F.try_divide(F.col(pair[0]) * F.lit(1.0), F.col(pair[1]))).drop(*pair)
 
 
 def s5_network_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = p.units(spark, sf_dir)
-    out = neighbours.network_indicators(cells.eligible(units), units)
+    near = neighbours.packed_network(p.counts(spark, sf_dir), cells.is_eligible()).drop("habitat_adjacent_fraction", "habitat_local_fraction")
+    out = near.select(hexgrid.hex_id(F.col("grid_col"), F.col("grid_row")).alias("hex_id"), *near.columns[2:])
     rounded = ["bridge_strength_mean", "neighbor_habitat_mean", "opposing_balance_ratio", "dominant_opposing_pair_share"]
     return out.withColumns({c: F.round(c, 9) for c in rounded})
 
@@ -160,11 +161,13 @@ def s5_coordinate_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s6_habitat_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranks.percentile_score(s5_habitat_indicators(spark, sf_dir).select("hex_id", "habitat_local_fraction"), "habitat_local_fraction", "habitat_context_score")
+    near = materialise(s5_habitat_indicators(spark, sf_dir).select("hex_id", "habitat_local_fraction"), "indicators")
+    return ranks.percentile_score(near, "habitat_local_fraction", "habitat_context_score")
 
 
 def s6_riparian_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranks.positive_percentile_score(s5_riparian_indicators(spark, sf_dir).select("hex_id", "riparian_focal_fraction"), "riparian_focal_fraction", "riparian_opportunity_score")
+    near = materialise(s5_riparian_indicators(spark, sf_dir).select("hex_id", "riparian_focal_fraction"), "indicators")
+    return ranks.positive_percentile_score(near, "riparian_focal_fraction", "riparian_opportunity_score")
 
 
 def s8_features(spark: SparkSession, sf_dir: str) -> DataFrame:
