@@ -129,10 +129,9 @@ def s5_subtype_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s5_water_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Riparian shares on the full grid against those without cells of water alone."""
-    counts = p.counts(spark, sf_dir)
-    cand, hydro = cells.eligible(cells.analysis_units(counts)), cells.hydrology(counts)
-    full = neighbours.riparian_indicators(cand, hydro)
-    land = neighbours.riparian_indicators(cand, hydro.where("terrestrial_pixels > 0"))
+    hydro, keep = c._hydrology(spark, sf_dir)
+    full = materialise(neighbours.packed_riparian(hydro, keep), "full")
+    land = materialise(neighbours.packed_riparian(hydro.where("terrestrial_pixels > 0"), keep), "land")
     return profiles.differences(full, land, ["riparian_adjacent_fraction", "riparian_local_fraction"])
 
 
