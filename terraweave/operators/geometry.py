@@ -16,24 +16,43 @@ from terraweave.sources.storage import materialise
 ENDS = ["x1", "y1", "x2", "y2"]
 
 
-def point_to_segment(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    dx, dy = x2 - x1, y2 - y1
-    t = F.coalesce(F.try_divide((px - x1) * dx + (py - y1) * dy, dx * dx + dy * dy), F.lit(0.0))
-    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), t))
-    gx, gy = px - (x1 + t * dx), py - (y1 + t * dy)
-    return F.sqrt(gx * gx + gy * gy)
+def _point_gaps(pairs: DataFrame, points: dict[str, tuple[str, str]], segment: list[str], name: str) -> DataFrame:
+    """``pairs`` with the square of the distance of every point to the segment (x1, y1, x2, y2), as columns name + point."""
+    x1, y1, x2, y2 = (F.col(c) for c in segment)
+    dx, dy, length = (f"{name}{c}" for c in ("dx", "dy", "l"))
+    pairs = pairs.withColumns({dx: x2 - x1, dy: y2 - y1}).withColumn(length, F.col(dx) * F.col(dx) + F.col(dy) * F.col(dy))
+    along = lambda x, y: F.coalesce(F.try_divide((F.col(x) - x1) * F.col(dx) + (F.col(y) - y1) * F.col(dy), F.col(length)), F.lit(0.0))
+    pairs = pairs.withColumns({f"{name}t{k}": F.least(F.lit(1.0), F.greatest(F.lit(0.0), along(*p))) for k, p in points.items()})
+    gaps = {f"{name}{c}{k}": F.col(v) - (start + F.col(f"{name}t{k}") * F.col(d)) for k, p in points.items() for c, v, start, d in (("gx", p[0], x1, dx), ("gy", p[1], y1, dy))}
+    return pairs.withColumns(gaps).withColumns({f"{name}{k}": F.col(f"{name}gx{k}") * F.col(f"{name}gx{k}") + F.col(f"{name}gy{k}") * F.col(f"{name}gy{k}") for k in points})
 
 
-def segment_distance(a: list[Column], b: list[Column]) -> Column:
-    """Distance of two segments (x1, y1, x2, y2): 0 where they cross, else from an end."""
+def point_gaps(pairs: DataFrame, x: str, y: str, segment: list[str], key: str) -> DataFrame:
+    """(key, distance): the smallest distance of each key's pairs of a point and a segment."""
+    return _point_gaps(pairs, {"p": (x, y)}, segment, "_q").groupBy(key).agg(F.sqrt(F.min("_qp")).alias("distance"))
 
-    def side(p: list[Column], q: list[Column], r: list[Column]) -> Column:
-        return F.signum((q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0]))
 
-    a1, a2, b1, b2 = a[:2], a[2:], b[:2], b[2:]
-    crossing = (side(a1, a2, b1) * side(a1, a2, b2) < 0) & (side(b1, b2, a1) * side(b1, b2, a2) < 0)
-    ends = F.least(*[point_to_segment(*p, *s) for p, s in ((a1, b), (a2, b), (b1, a), (b2, a))])
-    return F.when(crossing, 0.0).otherwise(ends)
+def segment_gaps(pairs: DataFrame, a: list[str], b: list[str], key: str) -> DataFrame:
+    """(key, distance): the smallest distance of each key's pairs of segments, 0 where they cross, else from an end.
+
+    Every quantity is a column of its own, taken once a pair. As one nested expression they were
+    repeated dozens of times, in a method too long for the JVM to compile, and again in the
+    filter that Spark pushed into the join; a limit therefore belongs behind the minimum. The root is taken of the minimum.
+    """
+    x = lambda s, i: F.col(s[2 * i])
+    y = lambda s, i: F.col(s[2 * i + 1])
+    side = lambda s, o, i: F.signum((x(s, 1) - x(s, 0)) * (y(o, i) - y(s, 0)) - (y(s, 1) - y(s, 0)) * (x(o, i) - x(s, 0)))
+    rows = pairs.withColumns({"_cross_b": side(a, b, 0) * side(a, b, 1), "_cross_a": side(b, a, 0) * side(b, a, 1)})
+    rows = rows.select(key, *a, *b, ((F.col("_cross_b") < 0) & (F.col("_cross_a") < 0)).alias("_crossing"))
+    rows = _point_gaps(rows, {"0": (a[0], a[1]), "1": (a[2], a[3])}, b, "_a").select(key, *a, *b, "_crossing", F.least("_a0", "_a1").alias("_near_b"))
+    rows = _point_gaps(rows, {"0": (b[0], b[1]), "1": (b[2], b[3])}, a, "_b").select(key, F.when(F.col("_crossing"), 0.0).otherwise(F.least("_near_b", "_b0", "_b1")).alias("_square"))
+    return rows.groupBy(key).agg(F.sqrt(F.min("_square")).alias("distance"))
+
+
+def _boxes_within(a: list[str], b: list[str], limit: float) -> Column:
+    """Whether the boxes of two segments come within ``limit`` of each other in x and in y; no pair that near is left out."""
+    apart = lambda i: F.greatest(F.least(a[i], a[i + 2]) - F.greatest(b[i], b[i + 2]), F.least(b[i], b[i + 2]) - F.greatest(a[i], a[i + 2]))
+    return (apart(0) <= limit + 1e-6) & (apart(1) <= limit + 1e-6)
 
 
 def _apart(df: DataFrame) -> DataFrame:
@@ -89,8 +108,8 @@ def distances(shapes: DataFrame, others: DataFrame, limit: float, key: str = "he
     """
     a = _tiled(shapes.select(key, *ENDS), limit)
     b = _tiled(others.select(*[F.col(c).alias(f"_{c}") for c in ENDS], *ENDS), limit, limit).drop(*ENDS)
-    gap = segment_distance([F.col(c) for c in ENDS], [F.col(f"_{c}") for c in ENDS])
-    near = a.join(_apart(b), ["tx", "ty"]).select(key, gap.alias("distance")).where(F.col("distance") <= limit)
+    theirs = [f"_{c}" for c in ENDS]
+    near = segment_gaps(a.join(_apart(b), ["tx", "ty"]).where(_boxes_within(ENDS, theirs, limit)), ENDS, theirs, key).where(F.col("distance") <= limit)
     inside = contains(_corners(shapes, key), others, key, other_key, limit).select(key, F.lit(0.0).alias("distance"))
     holding = contains(_corners(others, other_key), shapes, other_key, key, limit).select(key, F.lit(0.0).alias("distance"))
     return near.unionByName(inside).unionByName(holding).groupBy(key).agg(F.min("distance").alias("distance"))
@@ -105,8 +124,8 @@ def near_boundary(points: DataFrame, edges: DataFrame, limit: float = 1000.0, ke
     """(key, boundary_edge_flag) for all ``points`` (key, x, y): a line of ``edges`` within ``limit``, inclusive."""
     line = _tiled(edges.select(*ENDS), limit, limit)
     placed = points.select(key, "x", "y", F.floor(F.col("x") / limit).alias("tx"), F.floor(F.col("y") / limit).alias("ty"))
-    gap = point_to_segment(F.col("x"), F.col("y"), *[F.col(c) for c in ENDS])
-    hit = placed.join(_apart(line), ["tx", "ty"]).where(gap <= limit).select(key).distinct()
+    met = placed.join(_apart(line), ["tx", "ty"]).where(_boxes_within(["x", "y", "x", "y"], ENDS, limit))
+    hit = point_gaps(met, "x", "y", ENDS, key).where(F.col("distance") <= limit).select(key)
     return points.select(key).join(_apart(hit.withColumn("_hit", F.lit(True))), key, "left").select(key, F.coalesce("_hit", F.lit(False)).alias("boundary_edge_flag"))
 
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 
@@ -86,6 +87,20 @@ def test_nearest_points_match_brute_force(spark):
     assert got == pytest.approx({k: min(gap(x, y, ring) for _, ring in triangles) for k, x, y in points}, abs=1e-6)
 
 
+def test_distances_are_compiled(spark):
+    """Before, the distance of two segments was one nested expression, taken twice a pair in a method of over 8,000 bytes, which the JVM leaves uncompiled."""
+    edges = spark.createDataFrame(_box("b", 0, 0, 1), EDGE.format("feature_id"))
+    cells = edges.withColumnRenamed("feature_id", "hex_id")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans have no code before they run
+    try:
+        for plan in (geometry.distances(cells, edges, 5.0), geometry.near_boundary(cells.selectExpr("hex_id", "x1 x", "y1 y"), edges, 5.0)):
+            text = plan._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+            assert 0 < max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_boundary_flag_is_inclusive(spark):
     points = spark.createDataFrame([("near", 450.0, 50.0), ("at", 1000.0, 500.0), ("far", 5050.0, 5050.0)], "hex_id string, x double, y double")
     edges = spark.createDataFrame(_ring("s", [(0.0, 0.0), (9000.0, 0.0), (9000.0, 9000.0), (0.0, 9000.0)]), EDGE.format("feature_id"))
