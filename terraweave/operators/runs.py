@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
+from terraweave.sources.storage import materialise
 
 STRIP = 4096  # columns
 
@@ -123,5 +124,10 @@ def to_cells(runs: DataFrame) -> DataFrame:
 
 
 def cell_counts(runs: DataFrame) -> DataFrame:
-    """(grid_col, grid_row, pixels) of runs that lie apart."""
-    return to_cells(runs).groupBy("grid_col", "grid_row").agg(F.sum(F.col("right") - F.col("left") + 1).cast("long").alias("pixels"))
+    """(grid_col, grid_row, pixels) of runs that lie apart, written once.
+
+    A join on the cell has Spark filter its columns for nulls, and the filter would go down to every part of
+    a run and repeat the grid's function there, in a method of over 8,000 bytes, which the JVM leaves uncompiled.
+    """
+    counts = to_cells(runs).groupBy("grid_col", "grid_row").agg(F.sum(F.col("right") - F.col("left") + 1).cast("long").alias("pixels"))
+    return materialise(counts, "cell-counts")

@@ -1,5 +1,7 @@
 """Algebra of runs against sets of pixels, and cells of runs against cells of pixels."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +140,17 @@ def test_rounds_see_border_parts_only(spark, monkeypatch):
     mask = table(spark, [(r, 256 * t + 10, 256 * t + 60, "x") for t in range(4) for r in range(5, 100)] + [(300, 250, 260, "x")])
     assert patches.label(mask).select("patch").distinct().count() == 5
     assert seen["links"] == 1 and seen["labels"] == 2
+
+
+def test_cell_counts_are_compiled_behind_a_join(spark):
+    """Before, the join's filter for nulls repeated the grid's function in a method of over 8,000 bytes, which the JVM leaves uncompiled."""
+    pixels = spark.createDataFrame([(620010, 40000, 40120)], "px_row int, left int, right int")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans have no code before they run
+    try:
+        counted = runs.cell_counts(pixels)
+        plan = counted.select("grid_col", "grid_row").hint("merge").join(counted, ["grid_col", "grid_row"])
+        text = plan._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+        assert 0 < max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
