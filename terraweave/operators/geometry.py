@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from terraweave.sources.storage import materialise
 
 ENDS = ["x1", "y1", "x2", "y2"]
+STEP = 4  # widths of a tile in the one above
 
 
 def _point_gaps(pairs: DataFrame, points: dict[str, tuple[str, str]], segment: list[str], name: str) -> DataFrame:
@@ -129,17 +130,75 @@ def near_boundary(points: DataFrame, edges: DataFrame, limit: float = 1000.0, ke
     return points.select(key).join(_apart(hit.withColumn("_hit", F.lit(True))), key, "left").select(key, F.coalesce("_hit", F.lit(False)).alias("boundary_edge_flag"))
 
 
-def nearest(shapes: DataFrame, others: DataFrame, start: float = 2000.0, most: float = 1e7, key: str = "hex_id") -> DataFrame:
-    """(key, distance): the exact nearest distance for every shape.
+def _tile_boxes(tiles: DataFrame, shrink: int) -> DataFrame:
+    """(tx, ty, up_x, up_y, low_x, low_y, high_x, high_y): boxes of what lies in every tile, tiles ``shrink`` times as wide as those of ``tiles``, with the tile above."""
+    up = lambda c, n: F.floor(F.col(c) / F.lit(n))
+    boxes = [F.min("low_x").alias("low_x"), F.min("low_y").alias("low_y"), F.max("high_x").alias("high_x"), F.max("high_y").alias("high_y")]
+    return tiles.groupBy(up("tx", shrink).alias("tx"), up("ty", shrink).alias("ty")).agg(*boxes).withColumns({"up_x": up("tx", STEP), "up_y": up("ty", STEP)})
 
-    Radius and tiles double for the shapes still open, so the number of rounds is the
-    logarithm of the largest distance; beyond ``most``, or with no others, distance is null.
+
+def _near_tiles(shapes: DataFrame, others: DataFrame) -> DataFrame:
+    """(tx, ty, _tx, _ty): pairs of tiles of both sides, among them for every shape the tile of its nearest other.
+
+    From one pair of tiles that hold everything down to the tiles given, STEP times narrower at a time. A tile keeps the
+    tiles whose box is no farther than the least distance within which some other is sure to lie; that is a
+    few, however far they are, so the pairs grow with the tiles and not with their product.
+    """
+    reach = shapes.select("tx", "ty").unionByName(others.select("tx", "ty")).agg(F.max(F.greatest(F.abs("tx"), F.abs("ty")))).first()[0] or 0
+    shrink = 1
+    while shrink <= reach:
+        shrink *= STEP
+    above = ["up_x", "up_y", "_up_x", "_up_y"]
+    pairs = None
+    while shrink:
+        a, b = _tile_boxes(shapes, shrink), _tile_boxes(others, shrink)
+        b = b.select(*[F.col(c).alias(f"_{c}") for c in b.columns])
+        if pairs is None:  # at most four tiles a side
+            met = a.crossJoin(b)
+        else:
+            met = pairs.join(_apart(a), ["up_x", "up_y"]).join(_apart(b), ["_up_x", "_up_y"])
+        apart = lambda c: F.greatest(F.lit(0.0), F.col(f"low_{c}") - F.col(f"_high_{c}"), F.col(f"_low_{c}") - F.col(f"high_{c}"))
+        across = lambda c: F.greatest(F.col(f"high_{c}") - F.col(f"_low_{c}"), F.col(f"_high_{c}") - F.col(f"low_{c}"))
+        met = met.withColumns({"_apart_x": apart("x"), "_apart_y": apart("y"), "_across_x": across("x"), "_across_y": across("y")})
+        met = met.select("tx", "ty", "_tx", "_ty", F.hypot("_apart_x", "_apart_y").alias("_least"), F.hypot("_across_x", "_across_y").alias("_most"))
+        kept = met.withColumn("_sure", F.min("_most").over(Window.partitionBy("tx", "ty"))).where(F.col("_least") <= F.col("_sure") * (1 + 1e-9) + 1e-6)
+        pairs = materialise(kept.select("tx", "ty", "_tx", "_ty"), "near-tiles")
+        pairs = pairs if shrink == 1 else pairs.toDF(*above)
+        shrink //= STEP
+    return pairs
+
+
+def _far(shapes: DataFrame, others: DataFrame, tile: float, key: str) -> DataFrame:
+    """(key, distance): to the nearest of ``others``, for shapes that neither touch, hold nor lie in one, however far it is."""
+
+    def placed(edges: DataFrame) -> DataFrame:
+        middle = lambda c: F.floor((F.col(f"{c}1") + F.col(f"{c}2")) / F.lit(2.0 * tile))
+        return edges.withColumns({"tx": middle("x"), "ty": middle("y")})
+
+    def boxes(edges: DataFrame, name: str) -> DataFrame:
+        ends = {f"{n}_{c}": f(f"{c}1", f"{c}2") for c in "xy" for n, f in (("low", F.least), ("high", F.greatest))}
+        return materialise(_tile_boxes(edges.withColumns(ends), 1).drop("up_x", "up_y"), name)
+
+    a, b = placed(shapes.select(key, *ENDS)), placed(others.select(*ENDS).where(" and ".join(f"{c} is not null" for c in ENDS)))
+    pairs = _near_tiles(boxes(a, "shape-tiles"), boxes(b, "other-tiles"))
+    theirs = [f"_{c}" for c in ENDS]
+    met = pairs.join(_apart(a), ["tx", "ty"]).join(_apart(b.select(*[F.col(c).alias(f"_{c}") for c in b.columns])), ["_tx", "_ty"])
+    return segment_gaps(met, ENDS, theirs, key)
+
+
+def nearest(shapes: DataFrame, others: DataFrame, start: float = 2000.0, key: str = "hex_id") -> DataFrame:
+    """(key, distance): the exact nearest distance for every shape, however far; null with no others or without a place.
+
+    Two rounds by tiles as wide as the radius, the second for the shapes still open. A wider radius would put
+    all shapes and others in a few tiles, so what is left after that goes down a hierarchy of tiles (``_near_tiles``).
     """
-    left, done, radius = shapes, None, start
-    while True:
+    left, done = shapes.where(" and ".join(f"{c} is not null" for c in ENDS)), None
+    for radius in (start, 4 * start):
         found = materialise(distances(left, others, radius, key), "distances")
         done = found if done is None else done.unionByName(found)
         left = materialise(left.join(_apart(found.select(key)), key, "left_anti"), "open")
-        radius *= 4
-        if radius > most or left.isEmpty():
-            return shapes.select(key).distinct().join(_apart(done), key, "left")
+        if left.isEmpty():
+            break
+    else:
+        done = done.unionByName(materialise(_far(left, others, start, key), "distances"))
+    return shapes.select(key).distinct().join(_apart(done), key, "left")

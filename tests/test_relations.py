@@ -87,6 +87,32 @@ def test_nearest_points_match_brute_force(spark):
     assert got == pytest.approx({k: min(gap(x, y, ring) for _, ring in triangles) for k, x, y in points}, abs=1e-6)
 
 
+def test_nearest_of_far_sources(spark):
+    """Before, a round's tiles grew until one held all shapes and others, and beyond 8,192 km the distance was null."""
+    rng = random.Random(8)
+    points = [(f"p{i}", x0 + rng.uniform(-9e3, 9e3), rng.uniform(-3e7, 3e7)) for i, x0 in enumerate([0.0, 4e5, -2e7] * 20)] + [("none", None, 0.0)]
+    sides = [(i, x, y, x + rng.uniform(-300, 300), y + rng.uniform(-300, 300)) for i, (x, y) in enumerate((rng.uniform(-7e3, 7e3), rng.choice([-4e7, 0, 9e6]) + rng.uniform(-4e4, 4e4)) for _ in range(90))]
+    shapes = spark.createDataFrame([(k, x, y, x, y) for k, x, y in points], EDGE.format("hex_id"))
+    others = spark.createDataFrame(sides, "feature_id int, x1 double, y1 double, x2 double, y2 double")
+
+    def gap(x, y, ax, ay, bx, by):
+        t = max(0, min(1, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+        return ((x - ax - t * (bx - ax)) ** 2 + (y - ay - t * (by - ay)) ** 2) ** 0.5
+
+    got = {r.hex_id: r.distance for r in geometry.nearest(shapes, others).collect()}
+    assert got.pop("none") is None
+    assert got == pytest.approx({k: min(gap(x, y, *e[1:]) for e in sides) for k, x, y in points if x is not None}, abs=1e-6)
+    assert max(got.values()) > 1e7
+    assert {r.distance for r in geometry.nearest(shapes, others.limit(0)).collect()} == {None}
+
+
+def test_pairs_of_tiles_grow_with_the_tiles(spark):
+    """4,000 shapes in a line, 4,000 others in a line 9,000 km further: a few pairs a tile, not all of them."""
+    line = lambda key, off: spark.range(4000).selectExpr(f"id AS {key}", "0D AS low_x", "0D AS high_x", f"2000D * (id + {off}) AS low_y", f"2000D * (id + {off}) AS high_y", "0L AS tx", f"id + {off} AS ty")
+    pairs = geometry._near_tiles(line("a", -7), line("b", 4500))
+    assert pairs.count() == pairs.select("tx", "ty").distinct().count() == 4000 and pairs.select("_ty").distinct().collect() == [(4500,)]
+
+
 def test_distances_are_compiled(spark):
     """Before, the distance of two segments was one nested expression, taken twice a pair in a method of over 8,000 bytes, which the JVM leaves uncompiled."""
     edges = spark.createDataFrame(_box("b", 0, 0, 1), EDGE.format("feature_id"))
