@@ -8,6 +8,8 @@ rows are spread out to, and would send millions of them through the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,12 +139,28 @@ def _tile_boxes(tiles: DataFrame, shrink: int) -> DataFrame:
     return tiles.groupBy(up("tx", shrink).alias("tx"), up("ty", shrink).alias("ty")).agg(*boxes).withColumns({"up_x": up("tx", STEP), "up_y": up("ty", STEP)})
 
 
-def _near_tiles(shapes: DataFrame, others: DataFrame) -> DataFrame:
+def gap_of(low: Column, high: Column) -> Column:
+    """The least size of a difference that lies in [low, high]."""
+    return F.greatest(F.lit(0.0), low, -high)
+
+
+def reach_of(low: Column, high: Column) -> Column:
+    """The greatest size of a difference that lies in [low, high]."""
+    return F.greatest(high, -low)
+
+
+def _straight(x: tuple[Column, Column], y: tuple[Column, Column]) -> tuple[Column, Column]:
+    """The least and the greatest straight distance, from ranges of the differences in x and in y."""
+    return F.hypot(gap_of(*x), gap_of(*y)), F.hypot(reach_of(*x), reach_of(*y))
+
+
+def near_tiles(shapes: DataFrame, others: DataFrame, bounds: Callable = _straight) -> DataFrame:
     """(tx, ty, _tx, _ty): pairs of tiles of both sides, among them for every shape the tile of its nearest other.
 
     From one pair of tiles that hold everything down to the tiles given, STEP times narrower at a time. A tile keeps the
     tiles whose box is no farther than the least distance within which some other is sure to lie; that is a
     few, however far they are, so the pairs grow with the tiles and not with their product.
+    Both sides: (tx, ty, low_x, low_y, high_x, high_y), one row a tile; bounds: as ``_straight``, of the distance in use.
     """
     reach = shapes.select("tx", "ty").unionByName(others.select("tx", "ty")).agg(F.max(F.greatest(F.abs("tx"), F.abs("ty")))).first()[0] or 0
     shrink = 1
@@ -157,10 +175,9 @@ def _near_tiles(shapes: DataFrame, others: DataFrame) -> DataFrame:
             met = a.crossJoin(b)
         else:
             met = pairs.join(_apart(a), ["up_x", "up_y"]).join(_apart(b), ["_up_x", "_up_y"])
-        apart = lambda c: F.greatest(F.lit(0.0), F.col(f"low_{c}") - F.col(f"_high_{c}"), F.col(f"_low_{c}") - F.col(f"high_{c}"))
-        across = lambda c: F.greatest(F.col(f"high_{c}") - F.col(f"_low_{c}"), F.col(f"_high_{c}") - F.col(f"low_{c}"))
-        met = met.withColumns({"_apart_x": apart("x"), "_apart_y": apart("y"), "_across_x": across("x"), "_across_y": across("y")})
-        met = met.select("tx", "ty", "_tx", "_ty", F.hypot("_apart_x", "_apart_y").alias("_least"), F.hypot("_across_x", "_across_y").alias("_most"))
+        met = met.withColumns({f"_{n}_d{c}": F.col(f"{n}_{c}") - F.col(f"_{o}_{c}") for c in "xy" for n, o in (("low", "high"), ("high", "low"))})
+        least, most = bounds(*[(F.col(f"_low_d{c}"), F.col(f"_high_d{c}")) for c in "xy"])
+        met = met.select("tx", "ty", "_tx", "_ty", least.alias("_least"), most.alias("_most"))
         kept = met.withColumn("_sure", F.min("_most").over(Window.partitionBy("tx", "ty"))).where(F.col("_least") <= F.col("_sure") * (1 + 1e-9) + 1e-6)
         pairs = materialise(kept.select("tx", "ty", "_tx", "_ty"), "near-tiles")
         pairs = pairs if shrink == 1 else pairs.toDF(*above)
@@ -180,7 +197,7 @@ def _far(shapes: DataFrame, others: DataFrame, tile: float, key: str) -> DataFra
         return materialise(_tile_boxes(edges.withColumns(ends), 1).drop("up_x", "up_y"), name)
 
     a, b = placed(shapes.select(key, *ENDS)), placed(others.select(*ENDS).where(" and ".join(f"{c} is not null" for c in ENDS)))
-    pairs = _near_tiles(boxes(a, "shape-tiles"), boxes(b, "other-tiles"))
+    pairs = near_tiles(boxes(a, "shape-tiles"), boxes(b, "other-tiles"))
     theirs = [f"_{c}" for c in ENDS]
     met = pairs.join(_apart(a), ["tx", "ty"]).join(_apart(b.select(*[F.col(c).alias(f"_{c}") for c in b.columns])), ["_tx", "_ty"])
     return segment_gaps(met, ENDS, theirs, key)
@@ -190,7 +207,7 @@ def nearest(shapes: DataFrame, others: DataFrame, start: float = 2000.0, key: st
     """(key, distance): the exact nearest distance for every shape, however far; null with no others or without a place.
 
     Two rounds by tiles as wide as the radius, the second for the shapes still open. A wider radius would put
-    all shapes and others in a few tiles, so what is left after that goes down a hierarchy of tiles (``_near_tiles``).
+    all shapes and others in a few tiles, so what is left after that goes down a hierarchy of tiles (``near_tiles``).
     """
     left, done = shapes.where(" and ".join(f"{c} is not null" for c in ENDS)), None
     for radius in (start, 4 * start):

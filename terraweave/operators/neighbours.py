@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraweave.functions import hexgrid
+from terraweave.operators import geometry
 from terraweave.sources.storage import materialise
 
 
@@ -202,15 +203,36 @@ def _name(offset: tuple[int, int]) -> str:
     return f"n{offset[0]}_{offset[1]}".replace("-", "m")
 
 
-def nearest_steps(candidates: DataFrame, sources: DataFrame, first_radius: int = 4, max_rounds: int = 24) -> DataFrame:
+def _axial(c: tuple[Column, Column], r: tuple[Column, Column]) -> tuple[Column, Column]:
+    """The least and the greatest axial distance, from ranges of the differences in column and in row."""
+    ranges = [c, r, (c[0] + r[0], c[1] + r[1])]
+    return F.greatest(*[geometry.gap_of(*x) for x in ranges]), F.greatest(*[geometry.reach_of(*x) for x in ranges])
+
+
+def _far_steps(open_: DataFrame, edge: DataFrame, tile: int) -> DataFrame:
+    """(hex_id, steps): to the nearest source, however far, by the hierarchy of tiles of ``geometry.near_tiles``."""
+    index = lambda c: F.floor(F.col(c) / tile)
+    a = open_.withColumns({"tx": index("grid_col"), "ty": index("grid_row")})
+    b = edge.withColumns({"_tx": index("s_col"), "_ty": index("s_row")})
+
+    def boxes(rows: DataFrame, tiles: list[str], places: list[str], name: str) -> DataFrame:
+        ends = {f"{n}_{c}": f(p).cast("double") for c, p in zip("xy", places, strict=True) for n, f in (("low", F.min), ("high", F.max))}
+        return materialise(rows.groupBy(*[F.col(t).alias(t.lstrip("_")) for t in tiles]).agg(*[v.alias(n) for n, v in ends.items()]), name)
+
+    pairs = geometry.near_tiles(boxes(a, ["tx", "ty"], ["grid_col", "grid_row"], "open-tiles"), boxes(b, ["_tx", "_ty"], ["s_col", "s_row"], "source-tiles"), _axial)
+    steps = hexgrid.distance(F.col("grid_col"), F.col("grid_row"), F.col("s_col"), F.col("s_row"))
+    return pairs.join(a.hint("merge"), ["tx", "ty"]).join(b.hint("merge"), ["_tx", "_ty"]).groupBy("hex_id").agg(F.min(steps).cast("int").alias("steps"))
+
+
+def nearest_steps(candidates: DataFrame, sources: DataFrame, first_radius: int = 4, max_rounds: int = 5) -> DataFrame:
     """(hex_id, steps): exact axial distance to the nearest source cell, null without sources or without a place.
 
     Candidates that are sources have distance 0. For all others only sources at the edge of
     a group of sources can be nearest, so cells with six source neighbours are left out.
     Then tiles with a doubling radius: tiles are as wide as the radius, a candidate meets
     the sources of its 3x3 tiles, and a distance within the radius is final. What is left
-    goes on; the number of rounds is the logarithm of the extent, and every round is
-    written to the shared folder.
+    goes on, and every round is written to the shared folder. After ``max_rounds`` what is
+    still open goes down a hierarchy of tiles, since wider tiles would hold all there is.
     """
     # the filter stands behind the written table, or it would be pushed to whatever the cells are made of
     places = materialise(sources.select(F.col("grid_col").alias("s_col"), F.col("grid_row").alias("s_row")).distinct(), "sources").where("s_col IS NOT NULL AND s_row IS NOT NULL")
@@ -237,4 +259,6 @@ def nearest_steps(candidates: DataFrame, sources: DataFrame, first_radius: int =
         done = done.unionByName(found)
         open_ = materialise(open_.join(found, "hex_id", "left_anti"), "open")
         radius *= 2
+    if not open_.isEmpty():
+        done = done.unionByName(materialise(_far_steps(open_, edge, 4 * first_radius), "nearest"))
     return every.select("hex_id").join(done, "hex_id", "left")

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from terraweave.operators import audits, geometry, patches
+from terraweave.operators import audits, geometry, neighbours, patches
 from terraweave.sources import sinks
 
 EDGE = "{} string, x1 double, y1 double, x2 double, y2 double"
@@ -109,10 +109,22 @@ def test_nearest_of_far_sources(spark):
 def test_pairs_of_tiles_grow_with_the_tiles(spark):
     """4,000 shapes in a line, 4,000 others in a line 9,000 km further: a few pairs a tile, not all of them."""
     line = lambda key, off: spark.range(4000).selectExpr(f"id AS {key}", "0D AS low_x", "0D AS high_x", f"2000D * (id + {off}) AS low_y", f"2000D * (id + {off}) AS high_y", "0L AS tx", f"id + {off} AS ty")
-    pairs = geometry._near_tiles(line("a", -7), line("b", 4500))
+    pairs = geometry.near_tiles(line("a", -7), line("b", 4500))
     assert pairs.count() == pairs.select("tx", "ty").distinct().count() == 4000 and pairs.select("_ty").distinct().collect() == [(4500,)]
 
 
+def test_steps_to_far_sources(spark):
+    """Before, tiles doubled until one held all candidates and sources; here a round of that kind is followed by the hierarchy."""
+    rng = random.Random(6)
+    cells = [(f"h{i}", rng.choice([0, -9000, 70000]) + rng.randrange(40), rng.randrange(-200000, 200000)) for i in range(60)]
+    sources = [(rng.randrange(-30, 30), rng.choice([-300000, 0, 90000]) + rng.randrange(300)) for _ in range(80)]
+    got = neighbours.nearest_steps(spark.createDataFrame(cells, "hex_id string, grid_col int, grid_row int"), spark.createDataFrame(sources, "grid_col int, grid_row int"), max_rounds=1)
+    want = {k: min(max(abs(c - a), abs(r - b), abs(c - a + r - b)) for a, b in sources) for k, c, r in cells}
+    assert {r.hex_id: r.steps for r in got.collect()} == want
+    tiles = lambda off: spark.range(2000).selectExpr(f"0L AS tx", f"id + {off} AS ty", "0D AS low_x", "15D AS high_x", f"16D * (id + {off}) AS low_y", f"16D * (id + {off}) + 15 AS high_y")
+    assert geometry.near_tiles(tiles(-7), tiles(9000), neighbours._axial).count() <= 4 * 2000
+
+
 def test_distances_are_compiled(spark):
     """Before, the distance of two segments was one nested expression, taken twice a pair in a method of over 8,000 bytes, which the JVM leaves uncompiled."""
     edges = spark.createDataFrame(_box("b", 0, 0, 1), EDGE.format("feature_id"))
