@@ -12,6 +12,8 @@ of all blocks are merged by a ranked window that Spark limits before its shuffle
 
 A task holds one Arrow batch of packed pairs, and one pair of blocks unpacked. Work is
 (query blocks x candidate blocks), the whole of the stated query set against all rows.
+Both sides of their join are shuffled, a copy of the query blocks to every slot; none of
+it passes through the driver.
 """
 
 from __future__ import annotations
@@ -183,7 +185,8 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
     # one batch of rows a task makes one query block, so rows are brought together first
     blocks = queries.repartition(max(1, slots // 8), "id").mapInPandas(_packer(query_rows), BLOCK_SCHEMA)
     blocks = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), *[F.col(c).alias(f"q_{c}") for c in blocks.columns])
-    paired = candidates.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).join(blocks, "slot")
+    # Spark's size of the query blocks doesn't count their copies, so it would broadcast them through the driver
+    paired = candidates.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).join(blocks.hint("merge"), "slot")
     found = paired.drop("slot").mapInPandas(_searcher(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (

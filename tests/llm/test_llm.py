@@ -38,6 +38,15 @@ def test_top_k_with_every_row_repeated(spark):
         assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [(i, -s) for s, i in scored]
 
 
+def test_top_k_broadcasts_no_copies_of_query_blocks(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(200)], "vec_id long, embedding array<double>")
+    got = topk_search.top_k(df, F.col("vec_id") % 10 == 0, k=3, block_rows=32, query_rows=4)
+    assert len(got.collect()) == 20 * 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_threshold_search_stops_early():
     comps = np.zeros((1000, 2))
     comps[:, 0] = np.arange(1000)
